@@ -46,8 +46,9 @@ def bigrams_of(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(w, w[1:])})
 
 
-def _normal(c: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "))
+def _pairs(w: Column) -> Column:
+    n = F.greatest(F.size(w) - 1, F.lit(0))
+    return F.array_distinct(F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.concat(a, F.lit(" "), b)))
 
 
 def scan(df: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -59,13 +60,13 @@ def scan(df: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float
     sizes = sorted({len(s) for s in sets.values()})
     low, high = -(-sizes[0] * t // (2000 - t)), sizes[-1] * (2000 - t) // t
     docs = keyed_text(df, id_col, text_col)
-    lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) > 0)
-    units = F.when(F.size(lines) > 1, F.array_append(lines, F.col("text"))).otherwise(lines)
-    # Distinct bigrams are fewer than words, and a unit that is longer than this many words may still have few of them,
-    # so sizes are compared on the bigrams themselves.
-    words = lambda u: F.split(_normal(u), " ")
-    pairs = lambda w: F.array_distinct(F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b)))
-    sized = F.filter(F.transform(units, lambda u: pairs(words(u))), lambda p: F.size(p).between(max(1, low), high))
+    normal = F.regexp_replace(F.lower("text"), "[^a-z0-9\n]+", " ")
+    words = F.filter(F.transform(F.split("normal", "\n"), lambda u: F.split(F.trim(u), " ")), lambda w: w[0] != "")
+    # Each distinct word but the first ends a bigram, so a unit in the size bounds has at most high + 1 of them; long units go
+    # by this before any bigram is made.
+    units = F.when(F.size("words") > 1, F.array_append("words", F.flatten("words"))).otherwise(F.col("words"))
+    likely = F.filter(units, lambda w: (F.size(w) > max(1, low)) & (F.size(F.array_distinct(w)) <= high + 1))
+    sized = F.filter(F.transform("likely", _pairs), lambda p: F.size(p).between(max(1, low), high))
 
     def scores(p: Column) -> Column:
         one = lambda k, s: F.when(fits(F.size(p), len(s)), F.struct((2.0 * F.size(F.array_intersect(p, F.array(*map(F.lit, s)))) / (F.size(p) + len(s))).alias("dice"), F.lit(k).alias("license")))
@@ -74,7 +75,10 @@ def scan(df: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float
     hits = F.flatten(F.transform(F.col("sized"), scores))
     best = F.reduce("hits", F.struct(F.lit(0.0).alias("dice"), F.lit("").alias("license")), lambda a, x: F.when((x["dice"] > a["dice"]) | ((x["dice"] == a["dice"]) & (x["license"] < a["license"])), x).otherwise(a))
     return (
-        docs.select("doc_id", sized.alias("sized"))
+        docs.select("doc_id", normal.alias("normal"))
+        .select("doc_id", words.alias("words"))
+        .select("doc_id", likely.alias("likely"))
+        .select("doc_id", sized.alias("sized"))
         .select("doc_id", F.size("sized").cast("long").alias("n_units"), hits.alias("hits"))
         .select("doc_id", "n_units", F.size("hits").cast("long").alias("n_hits"), best.alias("best"))
         .select("doc_id", "n_units", "n_hits", F.nullif("best.license", F.lit("")).alias("license"), F.when(F.col("n_hits") > 0, F.floor(F.col("best.dice") * 10000 + 0.5) / 10000).alias("dice"))

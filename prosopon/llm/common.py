@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
@@ -37,6 +35,29 @@ def crc_mod(doc_id: Column, by: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(by))
 
 
+def map_whole(df: DataFrame, start: Callable[[], Callable[[list[str]], tuple[list[bool], list[str]]]], text_col: str = "text") -> DataFrame:
+    """The rows of df that stay, with all their columns. `start()` runs once per task; what it returns maps the texts of a batch
+    (null: empty) to whether each stays and its new text; n_chars, where df has it, follows the text."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    names = df.columns
+
+    def run(batches):
+        f = start()
+        for b in batches:
+            if not b.num_rows:
+                continue
+            old = b.column(names.index(text_col)).to_pylist()
+            keep, new = f([t or "" for t in old])
+            new = [n if t is not None else None for t, n in zip(old, new)]
+            cols = dict(zip(names, b.columns))
+            cols[text_col] = pa.array(new, b.column(names.index(text_col)).type)
+            if "n_chars" in cols:
+                cols["n_chars"] = pa.array([None if n is None else len(n) for n in new], cols["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(cols.values()), names=names).filter(pa.array(keep))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def map_arrow(df: DataFrame, schema: StructType | str, start: Callable[[], Callable[..., Sequence[Sequence]]]) -> DataFrame:
     """`start()` runs once per task; what it returns maps the columns of a batch (lists) to the output's columns."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
@@ -52,30 +73,3 @@ def map_arrow(df: DataFrame, schema: StructType | str, start: Callable[[], Calla
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(cols, arrow)], schema=arrow)
 
     return df.mapInArrow(run, schema)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and the executors share; one of our own only where the session names none."""
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("prosopon.shared.dir", None)
-    if not path:
-        path = f"file://{tempfile.mkdtemp(prefix='prosopon-')}"
-        spark.conf.set("prosopon.shared.dir", path)
-    return path
-
-
-def written(df: DataFrame, what: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Cuts lineage: writes the rows to a table in the shared folder and reads them from there."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{what}-{uuid.uuid4().hex}"
-    w = df.write.option("compression", "zstd")
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._written_to = path  # for drop_written()
-    return out
-
-
-def drop_written(df: DataFrame) -> None:
-    """Deletes a table that no later plan reads."""
-    spark = df.sparkSession
-    p = spark._jvm.org.apache.hadoop.fs.Path(df._written_to)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

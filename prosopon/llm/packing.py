@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prosopon.llm.common import written
+from prosopon.operators.durable import write_table
 
 EXACT_BITS = 10
 
@@ -75,7 +75,7 @@ def best_bounds(cells: list[tuple[int, int, int]], n_buckets: int) -> list[int]:
 def pack(df: DataFrame, length: Column | None = None, n_buckets: int = 16, token_budget: int = 32768, shard_rows: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, bucket, bucket_length, batch (bucket-shard-number), slot, padding. length: a column of df; words of the text by default."""
     n = F.coalesce((word_count(F.col(text_col)) if length is None else length).cast("long"), F.lit(0))
-    lengths = written(df.select(F.col(id_col).cast("long").alias("doc_id"), F.greatest(n, F.lit(0)).alias("n_tokens")), "lengths")
+    lengths = write_table(df.select(F.col(id_col).cast("long").alias("doc_id"), F.greatest(n, F.lit(0)).alias("n_tokens")), "lengths")
     cells = histogram(lengths)
     bounds = best_bounds(cells, n_buckets)
     per = [0] * max(1, len(bounds))

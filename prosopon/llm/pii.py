@@ -19,7 +19,7 @@ import re
 
 from pyspark.sql import DataFrame
 
-from prosopon.llm.common import keyed_text, map_arrow
+from prosopon.llm.common import keyed_text, map_arrow, map_whole
 
 KINDS = ("email", "ip", "card", "phone", "url", "account")
 BASE = 4
@@ -209,3 +209,13 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
         return f
 
     return map_arrow(keyed_text(df, id_col, text_col), SCHEMA, start)
+
+
+def redacted(df: DataFrame) -> DataFrame:
+    """df with redacted texts."""
+
+    def start():
+        a = _automaton()
+        return lambda texts: ([True] * len(texts), [redact(t, find_spans(t, a)) for t in texts])
+
+    return map_whole(df, start)

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from prosopon.llm.common import ASCII_SPACE, keyed_text, map_arrow, utf8
+from prosopon.llm.common import ASCII_SPACE, keyed_text, map_arrow, map_whole, utf8
 
 SYMBOLS = "#*$%&|<>"
 
@@ -104,19 +104,31 @@ SCHEMA = (
 )
 
 
+def verdict(text: str, rules: LineRules, min_words: int, max_repeat_percent: int) -> tuple:
+    """The counts, whether the base rule fails, whether the text is kept, the share lost and the cleaned text."""
+    c = counts(text)
+    bad = c[0] < min_words or 100 * c[4] > max_repeat_percent * c[0]
+    cleaned, lost = clean_lines(text, rules)
+    return (*c, bad, not bad and lost <= rules.max_loss, lost, cleaned)
+
+
 def judge(df: DataFrame, rules: LineRules = LineRules(), min_words: int = 50, max_repeat_percent: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: counts, verdict and the cleaned text."""
 
     def start():
-        def f(ids, texts):
-            out = []
-            for i, t in zip(ids, texts):
-                c = counts(t)
-                bad = c[0] < min_words or 100 * c[4] > max_repeat_percent * c[0]
-                cleaned, lost = clean_lines(t, rules)
-                out.append((i, *c, bad, not bad and lost <= rules.max_loss, lost, cleaned))
-            return list(zip(*out))
+        return lambda ids, texts: list(zip(*((i, *verdict(t, rules, min_words, max_repeat_percent)) for i, t in zip(ids, texts))))
+
+    return map_arrow(keyed_text(df, id_col, text_col), SCHEMA, start)
+
+
+def keep_good(df: DataFrame, rules: LineRules = LineRules(), min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
+    """The rows of df whose texts are kept, with cleaned texts."""
+
+    def start():
+        def f(texts):
+            out = [verdict(t, rules, min_words, max_repeat_percent) for t in texts]
+            return [x[6] for x in out], [x[8] for x in out]
 
         return f
 
-    return map_arrow(keyed_text(df, id_col, text_col), SCHEMA, start)
+    return map_whole(df, start)

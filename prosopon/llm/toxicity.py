@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prosopon.llm.common import crc_mod, keyed_text, map_arrow
+from prosopon.llm.common import crc_mod, keyed_text, map_arrow, map_whole
 
 #: The letters that a character may stand for.
 LOOKS_LIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "%": "x"}
@@ -261,6 +261,23 @@ def train(docs: DataFrame, labels: DataFrame, held_out_of: int = 5, max_labelled
     return Model(lm, {x: float(w[k]) for x, k in index.items()}, float(b))
 
 
+class Scorer:
+    def __init__(self, model: Model):
+        self.model, self.restorer, self.known = model, Restorer(model.lm), {}
+
+    def _hits(self, word: str) -> tuple[str, ...]:
+        if (h := self.known.get(word)) is None:
+            if len(self.known) >= 200_000:
+                self.known.clear()
+            self.known[word] = h = tuple(x for x in features(word) if x in self.model.weight)
+        return h
+
+    def __call__(self, text: str) -> float:
+        found = {x for w in self.restorer.words(text) for x in self._hits(w)}
+        z = self.model.bias + sum(self.model.weight[x] for x in sorted(found))
+        return 1 / (1 + math.exp(-max(-700.0, min(700.0, z))))
+
+
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 
@@ -269,21 +286,10 @@ def score(docs: DataFrame, model: Model, held_out_of: int = 5) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def start():
-        m = sent.value
-        r, known = Restorer(m.lm), {}
-
-        def hits(w):
-            if (h := known.get(w)) is None:
-                if len(known) >= 200_000:
-                    known.clear()
-                known[w] = h = tuple(x for x in features(w) if x in m.weight)
-            return h
+        scorer = Scorer(sent.value)
 
         def f(ids, texts, held):
-            out = []
-            for t in texts:
-                z = m.bias + sum(m.weight[x] for x in sorted({x for w in r.words(t) for x in hits(w)}))
-                out.append(1 / (1 + math.exp(-max(-700, min(700, z)))))
+            out = [scorer(t) for t in texts]
             return ids, held, out, [int(s >= 0.5) for s in out]
 
         return f
@@ -295,3 +301,14 @@ def detect(df: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """Trains on the labelled rows of df and scores all its rows."""
     docs = keyed_text(df)
     return score(docs, train(docs, labels, **how))
+
+
+def keep_clean(df: DataFrame, labels: DataFrame, **how) -> DataFrame:
+    """The rows of df that score below 0.5."""
+    sent = df.sparkSession.sparkContext.broadcast(train(keyed_text(df), labels, **how))
+
+    def start():
+        scorer = Scorer(sent.value)
+        return lambda texts: ([scorer(t) < 0.5 for t in texts], texts)
+
+    return map_whole(df, start)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prosopon.llm import bpe, iblt, licenses, ngram_join, packing, pii, quality, token_counts, toxicity
+from prosopon.llm import bpe, iblt, katz, licenses, ngram_join, packing, pii, quality, token_counts, toxicity
 from prosopon.llm.common import read_table
 
 
@@ -30,6 +30,10 @@ def op3_toxicity(spark, sf_dir):
     return toxicity.detect(_docs(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
+def op4_katz_backoff(spark, sf_dir):
+    return katz.lm_score(_docs(spark, sf_dir))
+
+
 def op5_ngram_join(spark, sf_dir):
     return ngram_join.join(_docs(spark, sf_dir), words=3, percent=90)
 
@@ -56,6 +60,6 @@ def op10_fingerprints(spark, sf_dir):
     return iblt.compare(_docs(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_toxicity, op5_ngram_join, op6_quality_rules, op7_bpe, op8_licenses, op9_pii, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_toxicity, op4_katz_backoff, op5_ngram_join, op6_quality_rules, op7_bpe, op8_licenses, op9_pii, op10_fingerprints)}
 
 ORACLE_SQL: dict[str, str] = {}

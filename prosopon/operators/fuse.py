@@ -51,7 +51,7 @@ def _agreed(rows: DataFrame, field: str) -> DataFrame:
     """Values by first appearance; all contributors carry the first one's method and the value's confidence."""
     at = F.struct("rec_ord", "pos")
     g = rows.groupBy("cluster_ord", "key").agg(
-        F.min(at).alias("at"), F.min_by(field_confidence_struct(), at).alias("first"), F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("rec_ord", "pos", "source_id"))).alias("who")
+        F.min(at).alias("at"), F.min_by(F.struct("method", "source_type"), at).alias("first"), F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("rec_ord", "pos", "source_id"))).alias("who")
     )
     g = g.withColumn("conf", confidence(base_score(F.col("first.method")), tier_weight(F.col("first.source_type")), F.col("n") - 1))
     lists = g.groupBy("cluster_ord").agg(F.array_sort(F.collect_list(F.struct("at", "key", "conf", F.col("first.method").alias("method"), "who"))).alias("v"))
@@ -59,10 +59,6 @@ def _agreed(rows: DataFrame, field: str) -> DataFrame:
     return lists.select("cluster_ord", F.transform("v", lambda v: v["key"]).alias(field), prov.alias(f"prov_{field}"))
 
 
-def field_confidence_struct() -> Column:
-    return F.struct("method", "source_type")
-
-
 def merge_emails(c: DataFrame) -> DataFrame:
     rows = _contributions(c, "emails", "direct").withColumn("key", email_key(F.col("x"))).where("key IS NOT NULL")
     return _agreed(rows, "emails")
@@ -129,7 +125,11 @@ def _together(parts: list[DataFrame]) -> DataFrame:
     return union.groupBy("cluster_ord").agg(*(F.first(x, ignorenulls=True).alias(x) for x in union.columns if x != "cluster_ord"))
 
 
-def overall_confidence(r: DataFrame) -> Column:
+def overall_confidence() -> Column:
+    return round3(overall_score())
+
+
+def overall_score() -> Column:
     """From provenance: 0.7 of the mean of three required fields and 0.3 of that of the optional fields that score."""
     mean = lambda f: F.expr(
         f"aggregate(filter(provenance, p -> substring_index(p.field, '[', 1) = '{f}'), struct(0D AS s, 0 AS n), (a, p) -> struct(a.s + p.confidence AS s, a.n + 1 AS n), a -> if(a.n = 0, 0.5D, a.s / a.n))"
@@ -139,7 +139,7 @@ def overall_confidence(r: DataFrame) -> Column:
     required = (score("full_name") + score("emails") + score("skills")) / 3
     optional = F.filter(F.array(*map(score, ("phones", "location", "headline", "experience", "education"))), lambda s: s > 0)
     average = F.aggregate(optional, F.lit(0.0), lambda a, s: a + s) / F.size(optional)
-    return round3(F.when(F.size(optional) > 0, 0.7 * required + 0.3 * average).otherwise(required))
+    return F.when(F.size(optional) > 0, 0.7 * required + 0.3 * average).otherwise(required)
 
 
 def canonical(clustered: DataFrame) -> DataFrame:
@@ -153,4 +153,4 @@ def canonical(clustered: DataFrame) -> DataFrame:
         F.concat(*prov).alias("provenance"), F.lit(None).cast("double").alias("years_experience"),
         F.struct(*(F.lit(None).cast("string").alias(x) for x in ("linkedin", "github", "portfolio")), F.array().cast("array<string>").alias("other")).cast(LINKS).alias("links"),
     )
-    return full.withColumn("overall_confidence", overall_confidence(full)).select("cluster_ord", *CANONICAL)
+    return full.withColumn("overall_confidence", overall_confidence()).select("cluster_ord", *CANONICAL)

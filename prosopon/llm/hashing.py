@@ -77,7 +77,8 @@ def shingle_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(texts)), n)
     s = h.copy()
     for j in range(1, k):
-        s[: len(h) - j] = mix(s[: len(h) - j] * U(0x9FB21C651E98DF25) + h[j:])
+        m = max(0, len(h) - j)
+        s[:m] = mix(s[:m] * U(0x9FB21C651E98DF25) + h[j:])
     keep = np.arange(len(h)) + k <= at[1:][owner]
     s, who = s[keep], owner[keep]
     short = np.flatnonzero((n > 0) & (n < k))

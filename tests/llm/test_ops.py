@@ -1,0 +1,356 @@
+"""Operators against plain versions, on small fixtures with nulls, empty and long texts, ties, repeated rows and clashing columns."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from prosopon.llm import bpe, iblt, katz, licenses, ngram_join, packing, pii, quality, token_counts, toxicity
+
+P = pytest.importorskip("public_tokenizers")
+
+TEXTS = [
+    None, "", " ", "a", "\n\n", "one two", "é ñ ß — “quoted” 日本語 テスト 😀", "x" * 3000, "tab\tand\x0bvertical\x0c feed \x1c odd \x85 next",
+    "mail a@b@c.com, x.y+z@ex-am.ple.org. ip 1.2.3.4.5.6.7.8 and 300.1.1.1; card 4111 1111 1111 1111, +1 (415) 555-0100, +12",
+    "<|endoftext|> is text <|endoftext|>", "Home | About | Contact | Login | Search\nreal words here and there.", "word " * 400, "the quick brown fox " * 30,
+    "Licensed under CC BY-NC 4.0.\nSome more text here.", "i d i o t and 1d10t and idiooot", "+1 415 555 0100 +44 20 7946 0958", "http://a.b/c?d=e, www.x.org and account no. 12345678",
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Every text twice, the second time under another key; one row repeated whole; a null key; columns with clashing names."""
+    rows = [(k, t) for k, t in enumerate(TEXTS)] + [(100 + k, t) for k, t in enumerate(TEXTS)] + [(3, "a"), (None, "no key")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"n_tokens": F.lit("x"), "kept": F.lit(1), "node": F.lit(2), "score": F.lit(0), "block": F.lit("b"), "batch": F.lit(None).cast("string")})
+    return df.repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").cache()
+
+
+def pairs(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+def by_row(df, *cols):
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
+
+
+EVERY = {
+    "packing": packing.pack, "token_counts": lambda d: token_counts.count_tokens(d, P.path("byte_bpe_50k.json")), "katz": katz.lm_score, "join": ngram_join.join, "quality": quality.judge,
+    "bpe": lambda d: bpe.round_trip(d, P.path("byte_bpe_50k.tiktoken"), P.PATTERN), "licenses": licenses.scan, "pii": pii.scan, "iblt": iblt.compare,
+    "toxicity": lambda d: toxicity.detect(d, d.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))),
+}
+
+
+@pytest.mark.parametrize("name", sorted(EVERY))
+def test_one_row_per_row_and_empty_tables(odd, name):
+    out = EVERY[name](odd)
+    assert sorted((r["doc_id"] for r in out.collect()), key=repr) == sorted((r["doc_id"] for r in odd.collect()), key=repr)
+    assert EVERY[name](odd.limit(0)).collect() == []
+
+
+# ---- packing
+
+
+def test_best_bounds_are_optimal():
+    rng = random.Random(5)
+    for _ in range(30):
+        lengths = [rng.choice([1, 2, 3, 5, 8, 13, 40, 41, 100]) for _ in range(rng.randrange(1, 30))]
+        cells = [(x, lengths.count(x), x * lengths.count(x)) for x in sorted(set(lengths))]
+        for k in (1, 2, 3, 5):
+            cost = lambda b: sum(min(x for x in b if x >= n) - n for n in lengths)
+            tops = [c[0] for c in cells]
+            least = min(cost([*c, tops[-1]]) for m in range(k) for c in itertools.combinations(tops[:-1], m))
+            got = packing.best_bounds(cells, k)
+            assert len(got) <= k and got[-1] == tops[-1] and cost(got) == least
+    assert packing.best_bounds([], 3) == []
+
+
+def test_packing(docs, odd):
+    for df, shard in ((docs, 16), (odd, 8192)):
+        budget = 2000
+        out = packing.pack(df, n_buckets=4, token_budget=budget, shard_rows=shard).collect()
+        want = sorted(len(brute.words(t)) for _, t in pairs(df))
+        assert sorted(r["n_tokens"] for r in out) == want
+        batches = {}
+        for r in out:
+            assert r["padding"] == r["bucket_length"] - r["n_tokens"] >= 0
+            batches.setdefault(r["batch"], []).append(r)
+        for rows in batches.values():
+            assert len({r["bucket_length"] for r in rows}) == 1
+            assert len(rows) == 1 or len(rows) * rows[0]["bucket_length"] <= budget or rows[0]["bucket_length"] == 0
+            assert sorted(r["slot"] for r in rows) == list(range(len(rows)))
+
+
+# ---- token counts and BPE
+
+
+def test_counts_are_the_library_s(odd, docs):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    for df in (odd, docs):
+        out = by_row(token_counts.count_tokens(df, P.path("byte_bpe_50k.json"), chunk=700, overlap=8), "doc_id", "n_bytes", "n_tokens")
+        assert out == sorted(((i, len((x or "").encode()), len(t.encode(x or "", add_special_tokens=False).ids)) for i, x in pairs(df)), key=repr)
+
+
+def test_vocabulary_tokens_are_their_own_encoding():
+    """A token's bytes give that token by merges, so taking whole matches at once, as one library does, is the same."""
+    v = bpe.vocabulary(P.path("byte_bpe_50k.tiktoken"))
+    words = sorted(v.rank)[::7]
+    assert v.encode_words(words) == [[v.rank[w]] for w in words]
+
+
+def test_overlaps_widen():
+    b = token_counts.ByteBPE(P.path("byte_bpe_50k.json"))
+    for t in ("x" * 900 + " y" * 50, "ab" * 700, "日本" * 400 + " a b", " " * 500 + "a", "a" * 300 + "\n" * 300 + "b " * 300, "<|endoftext|>" * 60 + " z"):
+        for chunk, overlap in ((64, 4), (100, 100), (333, 1)):
+            assert token_counts.count_long(b, t, chunk, overlap) == b.count(t)
+
+
+def test_bpe_round_trip(odd, docs):
+    import tiktoken
+
+    path = P.path("byte_bpe_50k.tiktoken")
+    enc = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=bpe.vocabulary(path).rank, special_tokens={})
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    for df in (odd, docs):
+        want = sorted(((i, len(k := enc.encode_ordinary(t or "")), sha(" ".join(map(str, k)).encode()), sha((t or "").encode())) for i, t in pairs(df)), key=repr)
+        assert by_row(bpe.round_trip(df, path, P.PATTERN), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
+    ids = bpe.encode(odd, path, P.PATTERN)
+    assert sorted(bytes(r["bytes"]) for r in bpe.decode(ids, path).collect()) == sorted((t or "").encode() for _, t in pairs(odd))
+    w = bpe.vocabulary(path)
+    for word in ("antidisestablishmentarianism", "aaaaaaaaaaaaaaaaaaaaaaa", "naïveté", "    "):
+        assert w._by_heap(word.encode()) == w.encode_words([word.encode()])[0]
+
+
+# ---- toxicity
+
+
+def test_viterbi_restores():
+    lm = toxicity.CharModel.of(_counts(["idiot stupid loser trash and the words of a text with letters in it"] * 50))
+    r = toxicity.Restorer(lm)
+    for seen, word in (("1d10t", "idiot"), ("idiooooot", "idiot"), ("$tup1d", "stupid"), ("l.o.s.e.r", "loser"), ("plain", "plain"), ("10,", None)):
+        if word:
+            assert r.token(seen) == word
+    assert "trash" in r.words("such t r a s h here") and r.text("such t r a s h here") == "such trash here"
+
+
+def _counts(texts):
+    out = {}
+    for t in texts:
+        a = b = 0
+        for c in [*t, " "]:
+            k = toxicity.symbol(c) if c.isalpha() else 0
+            if k or b:
+                key = ((a if b else 0) * toxicity.N_SYM + b) * toxicity.N_SYM + k
+                out[key] = out.get(key, 0) + 1
+            a, b = (0, 0) if k == 0 else (b, k)
+    return out
+
+
+def test_toxicity_held_out(spark, sf_dir):
+    big = sf_dir.replace("sf0.001", "sf0.1")
+    docs, labels = (spark.read.parquet(f"{big}/{t}.parquet") for t in ("documents", "labels"))
+    out = toxicity.detect(docs, labels).join(labels, "doc_id").where("held_out AND toxic IS NOT NULL")
+    n, right, caught, toxic = out.agg(F.count("*"), F.sum((F.col("predicted") == F.col("toxic")).cast("int")), F.sum(F.col("predicted") * F.col("toxic")), F.sum("toxic")).head()
+    assert right / n > 0.95 and caught / toxic > 0.8
+    for i, h in by_row(toxicity.score(docs.select("doc_id", "text").limit(50), toxicity.Model(toxicity.CharModel.of({}), {}, 0.0)), "doc_id", "held_out"):
+        assert h == (zlib.crc32(str(i).encode()) % 5 == 0)
+
+
+# ---- Katz
+
+
+def test_katz_is_the_plain_model(docs, odd):
+    for df in (docs, odd):
+        got = {}
+        for r in katz.lm_score(df).collect():
+            got.setdefault(r[0], []).append(tuple(r))
+        want = {}
+        for r in brute.katz(pairs(df), katz.discounts):
+            want.setdefault(r[0], []).append(r)
+        assert got.keys() == want.keys()
+        for k in want:
+            for x, y in zip(sorted(got[k]), sorted(want[k])):
+                assert x[:5] == y[:5] and x[5] == pytest.approx(y[5], abs=1e-6) and x[6] == pytest.approx(y[6], abs=1e-6)
+
+
+# ---- n-gram join
+
+
+def _components(rows, k, percent):
+    sets = [frozenset(tuple(w[j : j + k]) for j in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else []) for w in (brute.words(t) for _, t in rows)]
+    up = list(range(len(rows)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        i = len(sets[a] & sets[b])
+        if i and rows[a][0] is not None and rows[b][0] is not None and 100 * i >= percent * (len(sets[a]) + len(sets[b]) - i):
+            up[find(b)] = find(a)
+    low = {}
+    for x, (d, _) in enumerate(rows):
+        if d is not None:
+            low[find(x)] = min(low.get(find(x), d), d)
+    return sorted(((d, len(s), None if d is None else low[find(x)]) for x, ((d, _), s) in enumerate(zip(rows, sets))), key=repr)
+
+
+@pytest.mark.parametrize(("k", "percent"), [(3, 90), (5, 80)])
+def test_join_finds_every_link(spark, docs, odd, k, percent):
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(400)}" for _ in range(160)]
+    rows = []
+    for i in range(120):  # copies with none to many changes, which chain
+        w = list(base)
+        for _ in range(i % 9):
+            w[rng.randrange(len(w))] = f"v{rng.randrange(10**6)}"
+        rows.append((1000 + i, " ".join(w)))
+    near = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for df in (docs, odd, near):
+        assert by_row(ngram_join.join(df, k, percent), "doc_id", "n_shingles", "component_id") == _components(pairs(df), k, percent)
+
+
+# ---- quality
+
+
+def test_quality_counts(docs, odd):
+    for df in (docs, odd):
+        for (i, t), r in zip(sorted(pairs(df), key=repr), sorted(quality.judge(df).collect(), key=lambda r: repr((r["doc_id"], None)))):
+            pass
+        got = by_row(quality.judge(df), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+        want = []
+        for i, t in pairs(df):
+            t = t or ""
+            w = re.findall(r"[^\x20\x09-\x0D]+", t)
+            windows = [tuple(w[j : j + 3]) for j in range(len(w) - 2)]
+            marks = {j + d for j, x in enumerate(windows) if windows.count(x) > 1 for d in range(3)} if len(windows) < 1500 else {j + d for j, x in enumerate(windows) if len([1 for y in windows if y == x]) > 1 for d in range(3)}
+            lines = t.split("\n")
+            dup = sum(1 for j, x in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", x) and x in lines[:j])
+            want.append((i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(marks), len(w) < 50 or 100 * len(marks) > 50 * len(w)))
+        assert got == sorted(want, key=repr)
+
+
+def test_line_rules():
+    rules = quality.LineRules()
+    assert quality.line_fault("Home | About | Contact | Login | Search", rules) in ("navigation", "punctuation")
+    assert quality.line_fault("#### $$$$ %%%%", rules) == "punctuation"
+    assert quality.line_fault("We use cookies. See our privacy policy.", rules) == "boilerplate"
+    assert quality.line_fault("A sentence of ordinary words, with a comma.", rules) is None
+    text, lost = quality.clean_lines("good words here.\nMenu\nmore good words.", rules)
+    assert text == "good words here.\nmore good words." and 0 < lost < 0.5
+
+
+# ---- PII
+
+
+def _base_spans(t):
+    out = []
+    for k, (kind, pattern) in enumerate((("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))):
+        for m in re.finditer(pattern, t):
+            digits = re.sub("[^0-9]", "", m[0])
+            ok = kind == "email" or kind == "ip" and all(int(x) <= 255 for x in m[0].split(".")) or kind == "card" and 14 <= len(digits) <= 19 and pii.luhn(digits) or kind == "phone" and 10 <= len(digits) <= 15
+            if ok:
+                out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
+def test_anchors_find_what_the_patterns_find(docs, odd):
+    a = pii._automaton()
+    rng = random.Random(11)
+    noise = ["".join(rng.choice("ab.@+- ()0123456789%_\n") for _ in range(rng.randrange(60))) for _ in range(4000)]
+    noise += ["".join(rng.choice("1234. -+") for _ in range(50)) for _ in range(2000)]
+    for t in [*noise, *(t or "" for _, t in pairs(docs)), *(t or "" for _, t in pairs(odd))]:
+        assert [x for x in pii.find_spans(t, a) if x[1] < pii.BASE] == _base_spans(t), repr(t)
+
+
+def test_redaction():
+    a = pii._automaton()
+    t = "Write to a.b@c.org or see https://x.org/y, account no. 1234 5678; thanks."
+    assert pii.redact(t, pii.find_spans(t, a)) == "Write to <EMAIL> or see <URL>, account no. <ACCOUNT>; thanks."
+    assert pii.find_spans("An account of 12 words in 2024.", a) == []
+
+
+# ---- licences
+
+
+def test_licences(odd, docs):
+    sets = {k: set(licenses.bigrams_of(t)) for k, t in licenses.TEMPLATES.items()}
+    for df in (odd, docs):
+        want = []
+        for i, t in pairs(df):
+            lines = [x for x in (t or "").split("\n") if licenses.bigrams_of(x) or re.search("[a-z0-9]", x.lower())]
+            units = [x for x in lines] + (["\n".join(lines)] if len(lines) > 1 else [])
+            best = None
+            for u in units:
+                p = set(licenses.bigrams_of(u.replace("\n", " ")))
+                for k, s in sets.items():
+                    if p:
+                        d = 2 * len(p & s) / (len(p) + len(s))
+                        if d >= 0.8 and (best is None or (-d, k) < best):
+                            best = (-d, k)
+            # A bigram across two lines belongs to no line, but to the whole text.
+            want.append((i, best[1] if best else None))
+        assert by_row(licenses.scan(df), "doc_id", "license") == sorted(want, key=repr)
+
+
+# ---- fingerprints
+
+
+def test_likeness_is_exact():
+    rng = random.Random(2)
+    texts = ["", "a", *("\n".join(f"line {rng.randrange(300)}" for _ in range(rng.randrange(400))) for _ in range(60))]
+    parts = [iblt.digests(t) for t in texts]
+    other = parts[1:] + parts[:1]
+    want = [1.0 if not len(a) + len(b) else 2 * len(set(a.tolist()) & set(b.tolist())) / (len(a) + len(b)) for a, b in zip(parts, other)]
+    assert iblt.likeness(parts, other) == pytest.approx(want)
+    assert iblt.likeness(parts, parts) == [1.0] * len(parts)
+    assert len(set(iblt.fingerprints([iblt.digests("a\nb"), iblt.digests("a\nb")]))) == 1
+
+
+def test_edits_take_the_next_document(docs):
+    rows = sorted(pairs(docs), reverse=True)
+    want = []
+    for (i, t), (_, nxt) in zip(rows, rows[1:] + rows[:1]):
+        half = len(t) // 2
+        want.append((i, len(t), hashlib.sha256((t[: len(t) - half] + nxt[:half]).encode()).hexdigest()))
+    out = iblt.compare(docs)
+    assert by_row(out, "doc_id", "n_chars", "edited_sha256") == sorted(want, key=repr)
+    near, far = out.agg(F.avg("near_edited"), F.avg("near_next")).head()
+    assert near > 0.35 and far < 0.1
+
+
+# ---- pipeline
+
+
+def test_pipeline(spark, docs, sf_dir):
+    import corpus_pipeline as cp
+
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    first = cp.quality_rules(spark, docs, sf_dir)
+    assert first.columns == docs.columns
+    kept = {r["doc_id"] for r in quality.judge(docs).where("kept").collect()}
+    assert {r["doc_id"] for r in first.collect()} == kept
+    second = cp.toxic(spark, first, sf_dir)
+    bad = {r["doc_id"] for r in toxicity.detect(first, labels).where("score >= 0.5").collect()}
+    assert {r["doc_id"] for r in second.collect()} == kept - bad
+    third = cp.near_duplicates(spark, second, sf_dir)
+    comp = _components(pairs(second), 5, 80)
+    assert {r["doc_id"] for r in third.collect()} == {c for _, _, c in comp}
+    fourth = cp.personal_data(spark, third, sf_dir)
+    a = pii._automaton()
+    assert by_row(fourth, "doc_id", "text", "n_chars") == sorted(((i, x := pii.redact(t, pii.find_spans(t, a)), len(x)) for i, t in pairs(third)), key=repr)
+    assert sorted(r["doc_id"] for r in cp.run(spark, sf_dir).collect()) == sorted(r["doc_id"] for r in fourth.collect())

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from prosopon.operators.workers import ship
+
 #: The contract's white space: space, tab, newline, vertical tab, form feed, carriage return.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
@@ -35,10 +37,16 @@ def crc_mod(doc_id: Column, by: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(by))
 
 
+def prepare(spark: SparkSession) -> None:
+    """What every operator with Python workers needs of its session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    ship(spark)
+
+
 def map_whole(df: DataFrame, start: Callable[[], Callable[[list[str]], tuple[list[bool], list[str]]]], text_col: str = "text") -> DataFrame:
     """The rows of df that stay, with all their columns. `start()` runs once per task; what it returns maps the texts of a batch
     (null: empty) to whether each stays and its new text; n_chars, where df has it, follows the text."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    prepare(df.sparkSession)
     names = df.columns
 
     def run(batches):
@@ -60,7 +68,7 @@ def map_whole(df: DataFrame, start: Callable[[], Callable[[list[str]], tuple[lis
 
 def map_arrow(df: DataFrame, schema: StructType | str, start: Callable[[], Callable[..., Sequence[Sequence]]]) -> DataFrame:
     """`start()` runs once per task; what it returns maps the columns of a batch (lists) to the output's columns."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    prepare(df.sparkSession)
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     arrow = to_arrow_schema(schema)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from prosopon.llm.common import BATCH_ROWS, keyed_text, utf8
+from prosopon.llm.common import keyed_text, prepare, utf8
 
 ROWS = 3
 #: Cells of each row in the sketch that is the fingerprint.
@@ -182,7 +182,7 @@ def with_next(docs: DataFrame, rows_per_block: int = 1024) -> DataFrame:
             k = len(above.value) - np.searchsorted(above.value, np.where(null, 0, ids).astype(np.int64), side="left")
             yield pa.RecordBatch.from_arrays([pa.array(np.where(null, len(above.value), k).astype(np.int32)), b.column(0), b.column(1)], names=["block", "doc_id", "text"])
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    prepare(spark)
     low = F.coalesce("doc_id", F.lit(-(2**63)))
     placed = lambda d, more: d.mapInArrow(start, StructType.fromDDL(f"block int, doc_id long{more}"))
     tops = sorted((r["block"], r["top"]) for r in placed(docs.select("doc_id", F.lit(0).alias("x")), ", text int").groupBy("block").agg(F.max(low).alias("top")).collect())

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from prosopon.llm.common import BATCH_ROWS, keyed_text
+from prosopon.llm.common import keyed_text, prepare
 from prosopon.llm.hashing import shingle_sets
 from prosopon.operators.components import connected_components
 from prosopon.operators.durable import drop_table, release, write_table
@@ -45,7 +45,7 @@ PARTS = 4
 
 
 def _arrow(df: DataFrame, ddl: str, run) -> DataFrame:
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    prepare(df.sparkSession)
     return df.mapInArrow(run, StructType.fromDDL(ddl))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from prosopon.llm import bpe, iblt, katz, licenses, ngram_join, packing, pii, quality, token_counts, toxicity
 from prosopon.llm.common import read_table
+from prosopon.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,5 +62,3 @@ def op10_fingerprints(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_toxicity, op4_katz_backoff, op5_ngram_join, op6_quality_rules, op7_bpe, op8_licenses, op9_pii, op10_fingerprints)}
-
-ORACLE_SQL: dict[str, str] = {}

@@ -42,6 +42,10 @@ U = np.uint64
 FRAGMENT = 1_500_000
 #: Fragments in which the two sets of a candidate pair are compared.
 PARTS = 4
+#: Texts in the sample that finds very common shingles, and the share of it from which one is that.
+SAMPLE, COMMON = 2000, 0.02
+#: Rows of one shingle that are compared in one task, at most about.
+BLOCK = 4096
 
 
 def _arrow(df: DataFrame, ddl: str, run) -> DataFrame:
@@ -66,6 +70,22 @@ def _batch(ddl: str, cols) -> pa.RecordBatch:
 # fragment < 0: what goes on to the batch unchanged (the texts' keys). place: where the row is dealt to.
 CUT = "place int, fragment int, batch long, docs binary, items binary"
 HEADS = np.dtype([("doc", "<i8"), ("node", "<i8"), ("n", "<i4")])
+HOT = np.dtype([("text", "<u2"), ("item", "<i8")])
+
+
+def _common(docs: DataFrame, words: int) -> np.ndarray:
+    """Hashes of shingles that a bounded sample of the texts shows to be very common. They come last in the order without being
+    counted, so that no fragment gets a row from every text for them; which ones they are does not change any result."""
+    n = docs.count()
+    few = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n))) < SAMPLE).select("text")
+
+    def run(batches):
+        for b in batches:
+            yield _batch("item long", [shingle_sets(b.column(0).to_pylist(), words)[0].view(np.int64)])
+
+    least = max(20, int(COMMON * min(n, SAMPLE)))
+    got = _arrow(few, "item long", run).groupBy("item").count().where(F.col("count") >= least).select("item").collect()
+    return np.sort(np.array([r["item"] for r in got], np.int64).view(U))
 
 
 def _digest(shingles: np.ndarray) -> int:
@@ -73,7 +93,7 @@ def _digest(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
-def _cut(docs: DataFrame, words: int, bits: int) -> DataFrame:
+def _cut(docs: DataFrame, words: int, bits: int, common) -> DataFrame:
     """For each batch of texts: its keys, and its shingles by fragment (docs: text and number of shingles; items: 32 bits each)."""
 
     def run(batches):
@@ -84,9 +104,13 @@ def _cut(docs: DataFrame, words: int, bits: int) -> DataFrame:
             heads = np.zeros(len(n), HEADS)
             heads["doc"], heads["n"] = b.column(0).to_numpy(zero_copy_only=False), n
             heads["node"] = [_digest(s[i:j]) for i, j in itertools.pairwise(at)]
-            yield _batch(CUT, ([(task + seq) % (1 << bits)], [-1], [task + seq], [heads.tobytes()], [b""]))
             frag = (s >> U(64 - bits)).astype(np.int64)
             who = np.repeat(np.arange(len(n)), n)
+            every = np.isin(s, common.value)
+            hot = np.zeros(int(every.sum()), HOT)
+            hot["text"], hot["item"] = who[every], (frag[every] << 32) | ((s[every] >> U(32 - bits)) & U(0xFFFFFFFF)).astype(np.int64)
+            yield _batch(CUT, ([(task + seq) % (1 << bits)], [-1], [task + seq], [heads.tobytes()], [hot.tobytes()]))
+            s, frag, who = s[~every], frag[~every], who[~every]
             order = np.argsort(frag, kind="stable")  # by fragment, text, hash
             frag, who, low = frag[order], who[order], ((s >> U(32 - bits)) & U(0xFFFFFFFF)).astype(np.uint32)[order]
             ends = np.searchsorted(frag, np.arange((1 << bits) + 1))
@@ -114,7 +138,7 @@ def _frequencies(cut: DataFrame, bits: int) -> DataFrame:
         for f, group in itertools.groupby(_rows(batches), key=lambda r: r[1]):
             if f < 0:
                 for r in group:
-                    yield _batch(SEEN, ([r[2]], [-1], [r[3]], [b""]))
+                    yield _batch(SEEN, ([r[2]], [-1], [r[3]], [r[4]]))
                 continue
             rows = list(group)
             items = np.concatenate([np.frombuffer(r[4], "<u4") for r in rows])
@@ -145,6 +169,7 @@ def _prefixes(seen: DataFrame, percent: int) -> DataFrame:
         for _, group in itertools.groupby(_rows(batches), key=lambda r: r[0]):
             rows = list(group)
             heads = np.concatenate([np.frombuffer(r[2], HEADS) for r in rows if r[1] < 0])
+            hot = np.concatenate([np.frombuffer(r[3], HOT) for r in rows if r[1] < 0])
             m = len(heads)
             zero = np.zeros(m, np.int32)
             yield _batch(FOUND, (zero, heads["doc"], heads["node"], heads["n"], zero, zero))
@@ -158,8 +183,9 @@ def _prefixes(seen: DataFrame, percent: int) -> DataFrame:
                     parts.append(np.frombuffer(shared, SHARED))
                     frags.append(np.full(len(parts[-1]), f, np.int64))
             p, f = np.concatenate(parts), np.concatenate(frags)
-            text, item = p["text"].astype(np.int64), (f << 32) | p["item"].astype(np.int64)
-            order = np.lexsort((item, p["rank"], text))
+            text, item = np.concatenate([p["text"], hot["text"]]).astype(np.int64), np.concatenate([(f << 32) | p["item"].astype(np.int64), hot["item"]])
+            rank = np.concatenate([p["rank"], np.full(len(hot), 255, np.uint8)])
+            order = np.lexsort((item, rank, text))
             text, item = text[order], item[order]
             begin = np.searchsorted(text, np.arange(m))
             place = alone[text] + np.arange(len(text)) - begin[text]
@@ -182,45 +208,31 @@ RUN = "item long, node long, n int, place int"
 PAIR = "a long, b long, na int, nb int"
 
 
-def _item_runs(batches):
-    """The rows of each item, as arrays node, n, place, comp; rows are sorted by item."""
-    rest: list[list[np.ndarray]] = []
-
-    def whole(parts):
-        return [np.concatenate(c) for c in zip(*parts)]
-
-    for b in batches:
-        cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
-        if not len(cols[0]):
-            continue
-        edge = np.flatnonzero(np.diff(cols[0])) + 1
-        bounds = [0, *edge.tolist(), len(cols[0])]
-        for i, j in itertools.pairwise(bounds):
-            piece = [c[i:j] for c in cols]
-            if rest and rest[0][0][0] != piece[0][0]:
-                yield whole(rest)
-                rest = []
-            rest.append(piece)
-    if rest:
-        yield whole(rest)
-
-
 def _meeting(found: DataFrame) -> DataFrame:
-    """The prefix rows of shingles that several nodes have in their prefixes."""
+    """The prefix rows of shingles that several nodes have in their prefixes, once per node. Equal sets have equal places, so rows
+    of one node stand together; only the last row waits for the next batch."""
 
     def run(batches):
-        out = []
-        for item, node, n, place in _item_runs(batches):
-            if len(node) > 1:
-                _, first = np.unique(node, return_index=True)
-                if len(first) > 1:
-                    first.sort()
-                    out.append([item[first], node[first], n[first], place[first]])
-            if sum(len(x[0]) for x in out) > 50_000:
-                yield _batch(RUN, [np.concatenate(c) for c in zip(*out)])
-                out = []
-        if out:
-            yield _batch(RUN, [np.concatenate(c) for c in zip(*out)])
+        rest = None  # the last row, and whether another node of its item came before
+        for b in batches:
+            cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+            if not len(cols[0]):
+                continue
+            before = False
+            if rest is not None:
+                cols, before = [np.concatenate([x, y]) for x, y in zip(rest[0], cols)], rest[1]
+            item, node = cols[:2]
+            new = np.ones(len(item), bool)
+            new[1:] = (item[1:] != item[:-1]) | (node[1:] != node[:-1])
+            cols = [c[new] for c in cols]
+            item = cols[0]
+            same = item[1:] == item[:-1]
+            met = np.concatenate([[before], same])
+            met[:-1] |= same
+            yield _batch(RUN, [c[:-1][met[:-1]] for c in cols])
+            rest = [c[-1:] for c in cols], bool(met[-1])
+        if rest is not None and rest[1]:
+            yield _batch(RUN, rest[0])
 
     rows = found.where("kind = 1").select("item", "node", "n", "place")
     return _arrow(rows.repartition("item").sortWithinPartitions("item", "place", "n", "node"), RUN, run)
@@ -230,35 +242,61 @@ def _stars(meeting: DataFrame, percent: int) -> DataFrame:
     """For every node one partner: the leader (first by place) that it meets most often."""
 
     def run(batches):
-        out = []
-        for _, node, n, place in _item_runs(batches):
-            ok = _enough(n[0].astype(np.int64), int(place[0]), n[1:].astype(np.int64), place[1:], percent)
-            k = np.flatnonzero(ok) + 1
-            if len(k):
-                out.append([np.full(len(k), node[0]), node[k], np.full(len(k), n[0]), n[k]])
-            if len(out) > 2000:
-                yield _batch(PAIR, [np.concatenate(c) for c in zip(*out)])
-                out = []
-        if out:
-            yield _batch(PAIR, [np.concatenate(c) for c in zip(*out)])
+        lead = None  # item, node, n, place of the current item's first row
+        for b in batches:
+            cols = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns]
+            if not len(cols[0]):
+                continue
+            if lead is not None:
+                cols = [np.concatenate([x, y]) for x, y in zip(lead, cols)]
+            item, node, n, place = cols
+            first = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]]))
+            at = np.repeat(first, np.diff(np.append(first, len(item))))
+            k = np.flatnonzero((node != node[at]) & _enough(n[at], place[at], n, place, percent))
+            yield _batch(PAIR, (node[at[k]], node[k], n[at[k]].astype(np.int32), n[k].astype(np.int32)))
+            lead = [c[first[-1:]] for c in cols]
 
     sorted_ = meeting.repartition("item").sortWithinPartitions("item", "place", "n", "node")
     counted = _arrow(sorted_, PAIR, run).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("times"))
     return counted.groupBy("b", "nb").agg(F.max_by(F.struct("a", "na"), F.struct("times", "a")).alias("x")).select("x.a", "b", "x.na", "nb")
 
 
+def _blocks(batches):
+    """Arrays node, n, place, component, chunk, and whether all chunks are one, of each block; rows are sorted by item, low, high."""
+    rest: list[list[np.ndarray]] = []
+    done = lambda: [np.concatenate(c) for c in zip(*rest)]
+    for b in batches:
+        cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+        if not len(cols[0]):
+            continue
+        edge = np.flatnonzero((np.diff(cols[0]) != 0) | (np.diff(cols[1]) != 0) | (np.diff(cols[2]) != 0)) + 1
+        for i, j in itertools.pairwise([0, *edge.tolist(), len(cols[0])]):
+            piece = [c[i:j] for c in cols]
+            if rest and any(rest[0][k][0] != piece[k][0] for k in range(3)):
+                yield done()
+                rest = []
+            rest.append(piece)
+    if rest:
+        yield done()
+
+
 def _across(meeting: DataFrame, percent: int) -> DataFrame:
-    """All pairs that meet, are in different components and can link. meeting: also component."""
+    """All pairs that meet, are in different components and can link. meeting: also component. The rows of a shingle are dealt to
+    chunks of bounded size, and every two chunks meet in a block of their own."""
+    mixed = meeting.groupBy("item").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows")).where("lo < hi")
+    dealt = meeting.join(mixed.select("item", F.ceil(F.col("rows") / BLOCK).cast("int").alias("chunks")), "item")
+    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    cells = dealt.select("item", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "node", "n", "place", "component", "chunk")
 
     def run(batches):
-        for _, node, n, place, comp in _item_runs(batches):
-            if len(node) < 2 or (comp == comp[0]).all():
-                continue
+        for _, low, high, node, n, place, comp, chunk in _blocks(batches):
             n = n.astype(np.int64)
             for i in range(0, len(node), 256):
                 m = slice(i, i + 256)
                 ok = (comp[m, None] != comp[None, i:]) & _enough(n[m, None], place[m, None], n[None, i:], place[None, i:], percent)
                 ok &= np.arange(i, min(i + 256, len(node)))[:, None] < np.arange(i, len(node))[None, :]
+                if low[0] != high[0]:
+                    ok &= chunk[m, None] != chunk[None, i:]
                 x, y = np.nonzero(ok)
                 x, y = x + i, y + i
                 swap = node[x] > node[y]
@@ -267,7 +305,7 @@ def _across(meeting: DataFrame, percent: int) -> DataFrame:
                     xs, ys = x[k : k + 100_000], y[k : k + 100_000]
                     yield _batch(PAIR, (node[xs], node[ys], n[xs].astype(np.int32), n[ys].astype(np.int32)))
 
-    return _arrow(meeting.repartition("item").sortWithinPartitions("item", "place", "n", "node").select("item", "node", "n", "place", "component"), PAIR, run).distinct()
+    return _arrow(cells.repartition("item", "low", "high").sortWithinPartitions("item", "low", "high", "place", "n", "node"), PAIR, run).distinct()
 
 
 SET = "node long, part int, items binary"
@@ -318,7 +356,8 @@ def join(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id
     keyed = docs.where("doc_id IS NOT NULL")
     size = docs.agg(F.sum(F.length("text"))).head()[0] or 0
     bits = max(1, int(np.ceil(np.log2(max(1, size / 6 / FRAGMENT)))))
-    found = write_table(_prefixes(_frequencies(_cut(keyed, words, bits), bits), percent), "prefixes")
+    common = spark.sparkContext.broadcast(_common(keyed, words))
+    found = write_table(_prefixes(_frequencies(_cut(keyed, words, bits, common), bits), percent), "prefixes")
     release(spark)
     texts = found.where("kind = 0").select("doc_id", "node", "n")
     meeting = write_table(_meeting(found), "meeting")

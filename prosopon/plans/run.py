@@ -53,8 +53,10 @@ def load(spark: SparkSession, sources: list[tuple[str, str]], extract_pdf: Calla
         else:
             known.append((path, kind))
 
+    given = F.create_map(*(F.lit(x) for k, (p, _) in enumerate(known) for x in (k, p))) if known else None
+
     def fail(df: DataFrame, kind: str, stage: str) -> None:
-        failed.append(df.select(F.col("name").alias("path"), F.lit(kind).alias("source_type"), F.lit(stage).alias("stage"), F.col("error").alias("message")))
+        failed.append(df.select(F.try_element_at(given, "file_ord").alias("path"), F.lit(kind).alias("source_type"), F.lit(stage).alias("stage"), F.col("error").alias("message")))
 
     for kind in EXTENSIONS.values():
         mine = [(k, p) for k, (p, t) in enumerate(known) if t == kind]

@@ -46,8 +46,10 @@ def test_records(report):
     assert list(ann) == ["full_name", "emails", "phones", "location", "links", "headline", "years_experience", "skills", "experience", "education", "overall_confidence", "provenance"]
 
 
-def test_errors(report):
-    got = {(r["path"].rsplit("/", 1)[-1], r["stage"]) for r in report.source_errors.collect()}
+def test_errors(report, samples):
+    rows = report.source_errors.collect()
+    assert all(r["path"].startswith(str(samples)) for r in rows)
+    got = {(r["path"].rsplit("/", 1)[-1], r["stage"]) for r in rows}
     assert got == {("bad.csv", "load"), ("bad.json", "load"), ("wrong.json", "parse"), ("scan.pdf", "load"), ("x.docx", "load")}
     assert report.metrics()["candidates_in_output"] == 5
 

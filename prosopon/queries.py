@@ -280,7 +280,7 @@ def text_partial(spark, sf_dir):
     return p.select("source_id", F.get("emails", F.lit(0)).alias("email"), F.array_join("skills", "|").alias("skills"))
 
 
-@query("SELECT conv_id, turn, length(trim(left(text, 10 + turn * 5))) >= 20 AS ok FROM conversations")
+@query("SELECT conv_id, turn, length(trim(left(text, 10 + turn * 5), ' ' || chr(9) || chr(10) || chr(13))) >= 20 AS ok FROM conversations")
 def pdf_text_gate(spark, sf_dir):
     c = _t(spark, sf_dir, "conversations").select("conv_id", "turn", F.expr("left(text, CAST(10 + turn * 5 AS int))").alias("text"))
     return files.text_gate(c).select("conv_id", "turn", "ok")

@@ -69,7 +69,7 @@ def _batch(ddl: str, cols) -> pa.RecordBatch:
 
 # fragment < 0: what goes on to the batch unchanged (the texts' keys). place: where the row is dealt to.
 CUT = "place int, fragment int, batch long, docs binary, items binary"
-HEADS = np.dtype([("doc", "<i8"), ("node", "<i8"), ("n", "<i4")])
+HEADS = np.dtype([("doc", "<i8"), ("node", "<i8"), ("n", "<i4"), ("parity", "V64")])
 HOT = np.dtype([("text", "<u2"), ("item", "<i8")])
 
 
@@ -93,6 +93,12 @@ def _digest(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
+def _parity(shingles: np.ndarray, who: np.ndarray, m: int) -> np.ndarray:
+    """For each text the parities of its shingles in 512 cells. Two sets differ in at least as many shingles as parities."""
+    odd = np.bincount(who * 512 + (shingles & U(511)).astype(np.int64), minlength=512 * m) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(m, 512), axis=1).view("V64").reshape(-1)
+
+
 def _cut(docs: DataFrame, words: int, bits: int, common) -> DataFrame:
     """For each batch of texts: its keys, and its shingles by fragment (docs: text and number of shingles; items: 32 bits each)."""
 
@@ -106,6 +112,7 @@ def _cut(docs: DataFrame, words: int, bits: int, common) -> DataFrame:
             heads["node"] = [_digest(s[i:j]) for i, j in itertools.pairwise(at)]
             frag = (s >> U(64 - bits)).astype(np.int64)
             who = np.repeat(np.arange(len(n)), n)
+            heads["parity"] = _parity(s, who, len(n))
             every = np.isin(s, common.value)
             hot = np.zeros(int(every.sum()), HOT)
             hot["text"], hot["item"] = who[every], (frag[every] << 32) | ((s[every] >> U(32 - bits)) & U(0xFFFFFFFF)).astype(np.int64)
@@ -160,8 +167,8 @@ def _frequencies(cut: DataFrame, bits: int) -> DataFrame:
     return _arrow(cut.repartition(1 << bits, "place").sortWithinPartitions("fragment", "batch"), SEEN, run)
 
 
-# kind 0: a text (doc_id, node, n); kind 1: a shingle of a node's prefix (item, place).
-FOUND = "kind int, doc_id long, node long, n int, item long, place int"
+# kind 0: a text (doc_id, node, n, parity); kind 1: a shingle of a node's prefix (item, place).
+FOUND = "kind int, doc_id long, node long, n int, item long, place int, parity binary"
 
 
 def _prefixes(seen: DataFrame, percent: int) -> DataFrame:
@@ -172,7 +179,7 @@ def _prefixes(seen: DataFrame, percent: int) -> DataFrame:
             hot = np.concatenate([np.frombuffer(r[3], HOT) for r in rows if r[1] < 0])
             m = len(heads)
             zero = np.zeros(m, np.int32)
-            yield _batch(FOUND, (zero, heads["doc"], heads["node"], heads["n"], zero, zero))
+            yield _batch(FOUND, (zero, heads["doc"], heads["node"], heads["n"], zero, zero, [x.tobytes() for x in heads["parity"]]))
             alone = np.zeros(m, np.int64)
             parts = [np.zeros(0, SHARED)]
             frags = [np.zeros(0, np.int64)]
@@ -193,7 +200,7 @@ def _prefixes(seen: DataFrame, percent: int) -> DataFrame:
             most = n - (percent * n + 99) // 100  # of a text's shingles, those that its partner may lack
             use = place <= most[text]
             text, item, place = text[use], item[use], place[use]
-            yield _batch(FOUND, (np.ones(len(text), np.int32), heads["doc"][text], heads["node"][text], heads["n"][text], item, place.astype(np.int32)))
+            yield _batch(FOUND, (np.ones(len(text), np.int32), heads["doc"][text], heads["node"][text], heads["n"][text], item, place.astype(np.int32), [None] * len(text)))
 
     return _arrow(seen.repartition("batch").sortWithinPartitions("batch", "fragment"), FOUND, run)
 
@@ -281,16 +288,18 @@ def _blocks(batches):
 
 
 def _across(meeting: DataFrame, percent: int) -> DataFrame:
-    """All pairs that meet, are in different components and can link. meeting: also component. The rows of a shingle are dealt to
+    """All pairs that meet, are in different components and can link. meeting: also component and parity; sets whose parities differ
+    in more cells than linked sets differ in shingles cannot link. The rows of a shingle are dealt to
     chunks of bounded size, and every two chunks meet in a block of their own."""
     mixed = meeting.groupBy("item").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows")).where("lo < hi")
     dealt = meeting.join(mixed.select("item", F.ceil(F.col("rows") / BLOCK).cast("int").alias("chunks")), "item")
     dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    cells = dealt.select("item", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "node", "n", "place", "component", "chunk")
+    cells = dealt.select("item", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "node", "n", "place", "component", "chunk", "parity")
 
     def run(batches):
-        for _, low, high, node, n, place, comp, chunk in _blocks(batches):
+        for _, low, high, node, n, place, comp, chunk, parity in _blocks(batches):
             n = n.astype(np.int64)
+            cells = np.frombuffer(b"".join(parity), "<u8").reshape(len(node), 8)
             for i in range(0, len(node), 256):
                 m = slice(i, i + 256)
                 ok = (comp[m, None] != comp[None, i:]) & _enough(n[m, None], place[m, None], n[None, i:], place[None, i:], percent)
@@ -299,6 +308,9 @@ def _across(meeting: DataFrame, percent: int) -> DataFrame:
                     ok &= chunk[m, None] != chunk[None, i:]
                 x, y = np.nonzero(ok)
                 x, y = x + i, y + i
+                differ = np.concatenate([np.zeros(0, np.int64), *(np.bitwise_count(cells[x[k : k + 100_000]] ^ cells[y[k : k + 100_000]]).sum(1, dtype=np.int64) for k in range(0, len(x), 100_000))])
+                close = (100 + percent) * differ <= (100 - percent) * (n[x] + n[y])
+                x, y = x[close], y[close]
                 swap = node[x] > node[y]
                 x, y = np.where(swap, y, x), np.where(swap, x, y)
                 for k in range(0, len(x), 100_000):
@@ -368,7 +380,8 @@ def join(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id
     release(spark)
     links = write_table(_verified(_stars(meeting, percent), sets, percent), "links")
     component = connected_components(links)
-    named = meeting.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    parity = found.where("kind = 0").groupBy("node").agg(F.min("parity").alias("parity"))
+    named = meeting.join(component, "node", "left").withColumn("component", F.coalesce("component", "node")).join(parity, "node")
     more = write_table(_verified(_across(named, percent), sets, percent), "links")
     release(spark)
     if more.head(1):

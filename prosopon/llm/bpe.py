@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import itertools
 from functools import lru_cache
 
 import numpy as np
@@ -28,7 +29,7 @@ from prosopon.llm.common import keyed_text, map_arrow, utf8
 
 LONG_WORD = 64
 #: Distinct words, and groups of words, that a worker remembers in each of two generations.
-MEMO = 200_000
+MEMO = 300_000
 
 #: start: g (place of a token), word, id, nxt (place of the next token of the word, or -1).
 ENCODE = """
@@ -145,15 +146,18 @@ class Memo:
     def __init__(self, most: int = MEMO):
         self.young, self.old, self.most = {}, {}, most
 
-    def get(self, key):
-        if (v := self.young.get(key)) is None and (v := self.old.get(key)) is not None:
-            self.put(key, v)
-        return v
+    def known(self, keys: set) -> dict:
+        """What is remembered of the keys; it counts as used."""
+        young, old = self.young, self.old
+        out = {k: young[k] for k in keys & young.keys()}
+        again = {k: old[k] for k in keys & old.keys() if k not in out}
+        self.add(again)
+        return out | again
 
-    def put(self, key, value) -> None:
-        if len(self.young) >= self.most:
+    def add(self, items: dict) -> None:
+        if len(self.young) + len(items) > self.most:
             self.old, self.young = self.young, {}
-        self.young[key] = value
+        self.young |= items
 
 
 _GAP = regex.compile(r"\s ")
@@ -181,26 +185,26 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[list[tuple[int, str, bytes]]]:
         cut = [groups(t) for t in texts]
-        here: dict[str, tuple] = {}
-        missing: dict[str, list[str]] = {}
-        for parts in cut:
-            for g in set(parts):
-                if g not in here and g not in missing:
-                    if (v := self.groups.get(g)) is not None:
-                        here[g] = v
-                    else:
-                        missing[g] = self.pattern.findall(g)
-        words: dict[str, tuple | None] = {w: self.words.get(w) for ws in missing.values() for w in ws}
-        new = [w for w, v in words.items() if v is None]
+        all_groups = set(itertools.chain.from_iterable(cut))
+        here = self.groups.known(all_groups)
+        missing = {g: self.pattern.findall(g) for g in all_groups - here.keys()}
+        all_words = set(itertools.chain.from_iterable(missing.values()))
+        words = self.words.known(all_words)
+        new = list(all_words - words.keys())
         ids = self.vocabulary.encode_words([utf8(w) for w in new])
-        for w, i, b in zip(new, ids, self.vocabulary.decode_all(ids)):
-            words[w] = v = (len(i), " ".join(map(str, i)), b)
-            self.words.put(w, v)
+        coded = {w: (len(i), " ".join(map(str, i)), b) for w, i, b in zip(new, ids, self.vocabulary.decode_all(ids))}
+        self.words.add(coded)
+        words |= coded
+        coded = {}
         for g, ws in missing.items():
-            vs = [words[w] for w in ws]
-            here[g] = v = vs[0] if len(vs) == 1 else (sum(x[0] for x in vs), " ".join(x[1] for x in vs), b"".join(x[2] for x in vs))
-            self.groups.put(g, v)
-        return [[here[g] for g in parts] for parts in cut]
+            if len(ws) == 1:
+                coded[g] = words[ws[0]]
+            else:
+                n, i, b = zip(*map(words.__getitem__, ws))
+                coded[g] = (sum(n), " ".join(i), b"".join(b))
+        self.groups.add(coded)
+        here |= coded
+        return [list(map(here.__getitem__, parts)) for parts in cut]
 
 
 @lru_cache(1)

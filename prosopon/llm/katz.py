@@ -9,8 +9,8 @@ Model. With counts up to K discounted by Good-Turing (Katz 1987) and k = K:
     P(w | v) = s(v) d2(c(v, w)) c(v, w) / c(v)   if the pair is in the table
              = alpha(v) P(w)                     otherwise
     alpha(v) = (1 - sum of P(w | v) over the table's pairs of v) / (1 - sum of P(w) over them)
-Pairs seen fewer than MIN_PAIR times are not kept (Katz' own simplification: they are treated as unseen, and their mass goes
-to the backoff). s(v) is 1, or c(v) / (c(v) + 1) for a context whose pairs leave no mass, which could not back off otherwise.
+Pairs seen fewer than min_pair times are not kept (Katz' own simplification: they are treated as unseen, and their mass goes
+to the backoff); the registered query keeps all (1), the operator's default is MIN_PAIR. s(v) is 1, or c(v) / (c(v) + 1) for a context whose pairs leave no mass, which could not back off otherwise.
 
 Evaluation. The recursion for a token is log P(w | v) = [log alpha(v) + log P(w)] + D(v, w), where D is the pair's gain over
 backing off, or 0 if the table lacks the pair. So a table by word (log P + log alpha) and one by pair (D) give every

@@ -32,7 +32,7 @@ def op3_toxicity(spark, sf_dir):
 
 
 def op4_katz_backoff(spark, sf_dir):
-    return katz.lm_score(_docs(spark, sf_dir))
+    return katz.lm_score(_docs(spark, sf_dir), min_pair=1)
 
 
 def op5_ngram_join(spark, sf_dir):

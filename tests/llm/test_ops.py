@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from prosopon.llm import bpe, iblt, katz, licenses, ngram_join, packing, pii, quality, token_counts, toxicity
+from prosopon.llm.queries import QUERIES
 
 P = pytest.importorskip("public_tokenizers")
 
@@ -186,6 +187,12 @@ def test_katz_is_the_plain_model(docs, odd):
                 assert x[:5] == y[:5] and x[5] == pytest.approx(y[5], abs=1e-6) and x[6] == pytest.approx(y[6], abs=1e-6)
 
 
+def test_katz_query_keeps_pairs_seen_once(spark, docs, sf_dir):
+    got = sorted(tuple(r) for r in QUERIES["op4_katz_backoff"](spark, sf_dir).collect())
+    for x, y in zip(got, sorted(brute.katz(pairs(docs), katz.discounts, min_pair=1)), strict=True):
+        assert x[:5] == y[:5] and x[5] == pytest.approx(y[5], abs=1e-6) and x[6] == pytest.approx(y[6], abs=1e-6)
+
+
 # ---- n-gram join
 
 

@@ -33,8 +33,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def length_buckets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The batch and slot of every document."""
-    return packing.pack(docs)
+    """The batch and slot of every document, by its exact number of tokens."""
+    import public_tokenizers
+
+    return packing.pack_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [("quality rules", quality_rules), ("toxicity", toxic), ("near duplicates", near_duplicates), ("personal data", personal_data), ("packing", length_buckets)]

@@ -18,6 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from prosopon.llm.token_counts import count_tokens
 from prosopon.operators.durable import write_table
 
 EXACT_BITS = 10
@@ -99,3 +100,8 @@ def pack(df: DataFrame, length: Column | None = None, n_buckets: int = 16, token
             F.expr("rank % capacity").cast("long").alias("slot"), (F.col("bucket_length") - F.col("n_tokens")).alias("padding"),
         )
     )
+
+
+def pack_tokens(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """pack() by the exact number of tokens that a .json vocabulary gives, so that token_budget bounds tokens."""
+    return pack(count_tokens(df, tokenizer_path, id_col=id_col, text_col=text_col), F.col("n_tokens"), **how)

@@ -20,7 +20,7 @@ def _vocab(name: str) -> str:
 
 
 def op1_packing(spark, sf_dir):
-    return packing.pack(_docs(spark, sf_dir))
+    return packing.pack_tokens(_docs(spark, sf_dir), _vocab("byte_bpe_50k.json"))
 
 
 def op2_token_counts(spark, sf_dir):

@@ -93,6 +93,16 @@ def test_packing(docs, odd):
             assert sorted(r["slot"] for r in rows) == list(range(len(rows)))
 
 
+@pytest.mark.parametrize("pipeline", [False, True])
+def test_registered_packing_is_by_tokens(spark, docs, sf_dir, pipeline):
+    import corpus_pipeline as cp
+
+    out = (cp.length_buckets(spark, docs, sf_dir) if pipeline else QUERIES["op1_packing"](spark, sf_dir)).cache()
+    assert by_row(out, "doc_id", "n_tokens") == by_row(token_counts.count_tokens(docs, P.path("byte_bpe_50k.json")), "doc_id", "n_tokens")
+    for r in out.groupBy("batch").agg(F.count("*").alias("n"), F.first("bucket_length").alias("length"), F.sum("n_tokens").alias("tokens")).collect():
+        assert r["n"] == 1 or r["tokens"] <= r["n"] * r["length"] <= 32768
+
+
 # ---- token counts and BPE
 
 

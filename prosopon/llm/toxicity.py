@@ -3,9 +3,10 @@
 Writers hide words by look-alike characters (1d10t), spacing (i d i o t, i.d.i.o.t) and repetition (idiooot). Each such
 stretch becomes a lattice: every observed character may stand for the letters that it looks like, a repeated character for
 one or two of it, a separator between single letters for nothing or for a word boundary. The Viterbi algorithm finds the
-path that is likeliest under a character trigram model and the channel's costs. Stretches whose lattice has one path (plain
-letters without long repetitions) are their own decoding. The restored text is then scored by a logistic regression over
-words and word beginnings.
+path that is likeliest under a character trigram model and the channel's costs. Only stretches whose lattice is one path that reads as
+they are written (letters without any repetition) are their own decoding. Where a token may be meant as it stands (doubled
+letters, no letters at all) or its edge may be punctuation or a letter (!diot, wow!), all these readings count as words.
+The restored text is then scored by a logistic regression over words and word beginnings.
 
 Training. The character model counts the words of all documents, labels not being used. The classifier is fitted on at most
 `max_labelled` labelled rows, chosen by a hash of doc_id; the number of features is `max_features`, those that divide the
@@ -22,6 +23,7 @@ import math
 import re
 import unicodedata
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -38,10 +40,19 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz"
 N_SYM = 28
 COST = {"same": 0.0, "look": 1.0, "repeat": 0.5, "skip": 0.7, "break": 2.0}
 
-_SUSPECT = re.compile(r"(.)\1\1")
-_MIXED = re.compile(r"[^\W\d_]")
-_SPACED = re.compile(r"(?<!\S)(?:[^\s\w]?\w[^\s\w]? ){3,}[^\s\w]?\w[^\s\w]?(?!\S)|(?<!\S)(?:[^\W_] ){3,}[^\W_](?!\S)")
-_SINGLES = re.compile(r"(?<!\S)\S \S \S \S(?!\S)")
+_EDGE_LETTERS = "".join(c for c in EDGE if c in LOOKS_LIKE)
+_PLAIN_EDGE = "".join(c for c in EDGE if c not in LOOKS_LIKE)
+_RUNS = re.compile(r"(.)\1*", re.S)
+_PARTS = re.compile(f"[{re.escape(SEPARATORS)}]+")
+_DOUBLE = re.compile(r"(.)\1")
+_TRIPLE = re.compile(r"(.)\1\1")
+_LETTER = re.compile(r"[^\W\d_]")
+_NUMBER = re.compile(r"[$€£+]?\d+(?:[.,:/-]\d+)*%?")
+_LOOK = re.escape("".join(LOOKS_LIKE))
+#: Three or more single characters, each with at most one mark on either side, and any white space between them.
+_ONE = rf"[^\s\w]?[\w{_LOOK}][^\s\w]?"
+_SPACED = re.compile(rf"(?<!\S)(?:{_ONE}\s+){{2,}}{_ONE}(?!\S)")
+_CORE = re.compile(rf"\w|[{_LOOK}]")
 
 
 def symbol(c: str) -> int:
@@ -67,57 +78,68 @@ class CharModel:
         return CharModel(np.log(n / n.sum(2, keepdims=True)).tolist())
 
 
-def _options(word: str) -> list[tuple[list[tuple[str, float]], int]]:
-    """For each group of equal characters: what it may stand for, with costs."""
-    out, i = [], 0
-    joined = sum(c in SEPARATORS for c in word) >= 2 and all(len(p) <= 1 for p in re.split(f"[{re.escape(SEPARATORS)}]+", word))
-    while i < len(word):
-        c, j = word[i], i + 1
-        while j < len(word) and word[j] == c:
-            j += 1
-        run = j - i
-        opts: list[tuple[str, float]] = []
-        if c.isalpha():
-            opts.append((c * min(run, 2), COST["repeat"] * max(0, run - 2)))
-            if run > 1:
-                opts.append((c, COST["repeat"] * (run - 1)))
-        if c == " " or joined and c in SEPARATORS:
-            opts += [("", COST["skip"]), (" ", COST["break"])]
-        for x in LOOKS_LIKE.get(c, ""):
-            opts.append((x * min(run, 2), COST["look"] * run))
-            if run > 1:
-                opts.append((x, COST["look"] + COST["repeat"] * (run - 1)))
-        out.append((opts or [(c * run, 0.0)], run))
-        i = j
-    return out
-
-
-def viterbi(word: str, lm: CharModel) -> str:
+@lru_cache(maxsize=8192)
+def _stands_for(c: str, run: int, joined: bool, edge: bool) -> tuple[tuple[str, float, tuple[int, ...]], ...]:
+    """What a group of equal characters may stand for, with costs and the model's symbols."""
+    opts: list[tuple[str, float]] = []
+    if c.isalpha():
+        opts.append((c * min(run, 2), COST["repeat"] * max(0, run - 2)))
+        if run > 1:
+            opts.append((c, COST["repeat"] * (run - 1)))
+    if c == " " or joined and c in SEPARATORS:
+        opts += [("", COST["skip"]), (" ", COST["break"])]
+    for x in LOOKS_LIKE.get(c, ""):
+        opts.append((x * min(run, 2), COST["look"] * run))
+        if run > 1:
+            opts.append((x, COST["look"] + COST["repeat"] * (run - 1)))
+    if edge:
+        opts.append(("", COST["skip"]))
+    return tuple((x, cost, tuple(0 if y == " " else symbol(y) for y in x)) for x, cost in opts or [(c * run, 0.0)])
+
+
+def _options(word: str, edges: bool = False) -> list[tuple[tuple[str, float, tuple[int, ...]], ...]]:
+    """The options of each group of equal characters. edges: marks at the edges may also stand for nothing."""
+    joined = not word.isalpha() and sum(c in SEPARATORS for c in word) >= 2 and all(len(p) <= 1 for p in _PARTS.split(word))
+    if not edges:
+        return [_stands_for(m[1], m.end() - m.start(), joined, False) for m in _RUNS.finditer(word)]
+    first, last = len(word) - len(word.lstrip(_EDGE_LETTERS)), len(word.rstrip(_EDGE_LETTERS))
+    return [_stands_for(m[1], m.end() - m.start(), joined, m.end() <= first or m.start() >= last) for m in _RUNS.finditer(word)]
+
+
+def viterbi(word: str, lm: CharModel, edges: bool = False) -> str:
     """The likeliest reading of one stretch; boundaries inside it come out as spaces."""
-    paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    # A path's text is a chain of its pieces, so that long stretches are not copied at every step.
+    paths: dict[tuple[int, int], tuple[float, str, tuple | None]] = {(0, 0): (0.0, "", None)}
     logp = lm.logp
-    for opts, _ in _options(word):
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in paths.items():
-            for x, cost in opts:
+    for opts in _options(word, edges):
+        new: dict[tuple[int, int], tuple[float, str, tuple | None]] = {}
+        for (a, b), (score, end, chain) in paths.items():
+            for x, cost, symbols in opts:
                 s, p, q = score - cost, a, b
-                for c in x:
-                    k = 0 if c == " " else symbol(c)
+                for k in symbols:
                     s += logp[p][q][k]
-                    p, q = (0, 0) if c == " " else (q, k)
-                if (at := new.get((p, q))) is None or (s, x) > (at[0], at[1][-1:]):
-                    new[p, q] = (s, text + x)
+                    p, q = (q, k) if k else (0, 0)
+                if (at := new.get((p, q))) is None or (s, x) > at[:2]:
+                    new[p, q] = (s, x[-1:] or end, (chain, x))
         paths = new
-    return max(((s + (logp[a][b][0] if b else 0.0), t) for (a, b), (s, t) in paths.items()), default=(0.0, ""))[1]
+
+    def text(chain: tuple | None) -> str:
+        pieces = []
+        while chain:
+            chain, x = chain
+            pieces.append(x)
+        return "".join(reversed(pieces))
+
+    ends = [(s + (logp[a][b][0] if b else 0.0), chain) for (a, b), (s, _, chain) in paths.items()]
+    best = max(s for s, _ in ends)
+    return max(text(chain) for s, chain in ends if s == best)
 
 
 def ambiguous(token: str) -> bool:
-    """Whether the lattice of a lower-case token without its edges has more than one path."""
+    """Whether the lattice of a lower-case token has more than one path, or one that reads otherwise than the token."""
     if token.isalpha():
-        return _SUSPECT.search(token) is not None
-    if not _MIXED.search(token):
-        return False
-    return any(c in LOOKS_LIKE for c in token) or _SUSPECT.search(token) is not None or any(c in SEPARATORS for c in token)
+        return _DOUBLE.search(token) is not None
+    return any(len(opts) > 1 or not opts[0][0].startswith(m[1]) for opts, m in zip(_options(token), _RUNS.finditer(token)))
 
 
 class Restorer:
@@ -126,42 +148,62 @@ class Restorer:
     def __init__(self, lm: CharModel, most: int = 200_000):
         self.lm, self.most, self.known = lm, most, {}
 
-    def token(self, token: str) -> str:
-        if (out := self.known.get(token)) is None:
-            bare = token.strip(EDGE)
-            out = viterbi(bare, self.lm) if ambiguous(bare) else bare
+    def _decoded(self, token: str, edges: bool = False) -> str:
+        return viterbi(token, self.lm, edges) if ambiguous(token) else token
+
+    def readings(self, token: str) -> tuple[str, ...]:
+        """What a token may be read as, the likeliest first."""
+        wide = token.strip(_PLAIN_EDGE)
+        if (out := self.known.get(wide)) is None:
+            if wide.isalpha() and not _DOUBLE.search(wide):
+                return (wide,)
+            bare = wide.strip(EDGE)
+            found = [bare] if _NUMBER.fullmatch(bare) else []
+            found.append(self._decoded(wide, wide != bare))
+            if wide != bare and bare:
+                found += [self._decoded(bare), self._decoded(wide)]
+            if bare.isalpha() and not _TRIPLE.search(bare) or not _LETTER.search(bare):
+                found.append(bare)
+            out = tuple(dict.fromkeys(found))
             if len(self.known) >= self.most:
                 self.known.clear()
-            self.known[token] = out
+            self.known[wide] = out
         return out
 
+    def token(self, token: str) -> str:
+        return self.readings(token)[0]
+
+    def _joined(self, stretch: str) -> str:
+        """The word or words of single characters with white space between them."""
+        return viterbi(" ".join(_CORE.search(x)[0] if (k := re.search(r"\w", x)) is None else k[0] for x in stretch.split()), self.lm)
+
     def spaced(self, low: str) -> list[str]:
-        """Words hidden by spaces between single letters."""
-        if not _SINGLES.search(low):
-            return []
-        return [w for m in _SPACED.finditer(low) for w in viterbi(re.sub(r"[^\w $@!|+]", "", m[0]), self.lm).split()]
+        """Words hidden by white space between single letters."""
+        return [w for m in _SPACED.finditer(low) for w in self._joined(m[0]).split()]
 
     def words(self, text: str) -> set[str]:
         """The distinct words of the restored text."""
         low = text.lower()
         out: set[str] = set()
         for t in set(low.split()):
-            w = self.token(t)
-            if " " in w:
-                out.update(w.split())
-            elif w:
-                out.add(w)
+            for w in self.readings(t):
+                if " " in w:
+                    out.update(w.split())
+                elif w:
+                    out.add(w)
         out.update(self.spaced(low))
         return out
 
     def text(self, text: str) -> str:
         """The whole restored text, lower-case."""
-        low = _SPACED.sub(lambda m: viterbi(re.sub(r"[^\w $@!|+]", "", m[0]), self.lm), text.lower()) if _SINGLES.search(text) else text.lower()
+        low = _SPACED.sub(lambda m: self._joined(m[0]), text.lower())
         return re.sub(r"\S+", lambda m: self._kept_edges(m[0]), low)
 
     def _kept_edges(self, token: str) -> str:
-        bare = token.strip(EDGE)
-        return token.replace(bare, self.token(token), 1) if bare and ambiguous(bare) else token
+        bare, wide, best = token.strip(EDGE), token.strip(_PLAIN_EDGE), self.token(token)
+        if not bare or not best:
+            return token
+        return token.replace(bare if bare == best or best == self._decoded(bare) else wide, best, 1)
 
 
 PREFIXES = (4, 5, 6)
@@ -265,15 +307,21 @@ class Scorer:
     def __init__(self, model: Model):
         self.model, self.restorer, self.known = model, Restorer(model.lm), {}
 
-    def _hits(self, word: str) -> tuple[str, ...]:
-        if (h := self.known.get(word)) is None:
+    def _hits(self, token: str) -> tuple[str, ...]:
+        """The model's features of all words that a token may be read as."""
+        if (h := self.known.get(token)) is None:
             if len(self.known) >= 200_000:
                 self.known.clear()
-            self.known[word] = h = tuple(x for x in features(word) if x in self.model.weight)
+            self.known[token] = h = self._of(w for x in self.restorer.readings(token) for w in x.split())
         return h
 
+    def _of(self, words) -> tuple[str, ...]:
+        return tuple(x for w in words for x in features(w) if x in self.model.weight)
+
     def __call__(self, text: str) -> float:
-        found = {x for w in self.restorer.words(text) for x in self._hits(w)}
+        low = text.lower()
+        found = {x for t in set(low.split()) for x in self._hits(t)}
+        found.update(self._of(self.restorer.spaced(low)))
         z = self.model.bias + sum(self.model.weight[x] for x in sorted(found))
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, z))))
 

@@ -157,6 +157,22 @@ def test_viterbi_restores():
     assert "trash" in r.words("such t r a s h here") and r.text("such t r a s h here") == "such trash here"
 
 
+def test_viterbi_restores_every_ambiguous_form():
+    lm = toxicity.CharModel.of(_counts(["idiot stupid loser trash ass and the words of a text with letters in it"] * 50))
+    r = toxicity.Restorer(lm)
+    for seen, word in (("idiiot", "idiot"), ("stuupid", "stupid"), ("@$$", "ass"), ("!diot", "idiot"), ("!diot!!", "idiot"), ("(!diot)", "idiot"), ("wow!", "wow"), ("letters", "letters"), ("10,", "10"), ("50%", "50%"), ("!!", "")):
+        if word:
+            assert word in r.words(f"so {seen} here"), seen
+        else:
+            assert r.token(seen) == word
+    for seen in ("a s s", "a  s  s", "a\ns\ts", "a. s. s.", "@ $ $"):
+        assert "ass" in r.words(f"such {seen} here"), seen
+    for seen in ("i  d  i  o  t", "i d\ni\to t", "i. d. i. o. t.", "(i) (d) (i) (o) (t)", "1 d ! 0 t"):
+        assert "idiot" in r.words(f"such {seen} here"), seen
+    assert r.token("!diot") == "idiot" and r.text("an idiiot, in 2024 wow!") == "an idiot, in 2024 wow!"
+    assert len(toxicity.viterbi("id1o" * 5_000, lm)) == 20_000
+
+
 def _counts(texts):
     out = {}
     for t in texts:

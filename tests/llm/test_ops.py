@@ -77,6 +77,17 @@ def test_best_bounds_are_optimal():
     assert packing.best_bounds([], 3) == []
 
 
+def test_padding_above_the_exact_cells_is_near_the_least(spark):
+    rng = random.Random(7)
+    lengths = sorted(rng.randrange(1000, 60_000) for _ in range(300))
+    cost = lambda b: sum(min(x for x in b if x >= n) - n for n in lengths)
+    cells = packing.histogram(spark.createDataFrame([(n,) for n in lengths], "n_tokens long"))
+    exact = [(x, lengths.count(x), x * lengths.count(x)) for x in sorted(set(lengths))]
+    assert len(cells) < len(exact)
+    for k in (1, 4, 16):
+        assert 0 <= cost(packing.best_bounds(cells, k)) - cost(packing.best_bounds(exact, k)) <= sum(lengths) / 512
+
+
 def test_packing(docs, odd):
     for df, shard in ((docs, 16), (odd, 8192)):
         budget = 2000

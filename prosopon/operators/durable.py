@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 
@@ -12,19 +13,22 @@ _SETTING = "prosopon.shared.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """What spark.checkpoint.dir names; a temporary folder of our own only where the session names none (tests)."""
+    """What spark.checkpoint.dir names. Only a local session (tests) that names none gets a temporary folder of our own: there the
+    driver and the executors are one process."""
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(_SETTING, None)
+    if not path and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not path:
         path = f"file://{tempfile.mkdtemp(prefix='prosopon-')}"
         spark.conf.set(_SETTING, path)
     return path
 
 
-def write_table(df: DataFrame, what: str) -> DataFrame:
+def write_table(df: DataFrame, what: str, *partition_by: str) -> DataFrame:
     """Writes the rows to the shared folder and reads them from there, so that a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = path
     return out
@@ -38,6 +42,7 @@ def drop_table(df: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files of plans that have ended."""
+    """Lets Spark's cleaner delete the shuffle files of plans that have ended: it acts only when the plans' objects are collected on
+    both sides, and a run of many stages would otherwise hold all their shuffles on disk."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()

@@ -1,36 +1,31 @@
 """64-bit hashes of words and word sequences, for whole batches at once.
 
-A word's hash is a polynomial over its bytes modulo 2^64 with an odd random base, taken from running sums over the batch's
-buffer, then mixed with the length. It depends on the word alone.
+A word's hash is a cryptographic digest (BLAKE2b) of its bytes, cut to 64 bits: different words share one only by a chance of
+one in 2^64 a pair, however the texts are made up. A worker remembers the hashes of the words it has met last.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 from prosopon.llm.common import utf8
 
 U = np.uint64
-_BASE = 0xD6E8FEB86659FD93
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-#: Bytes of text that are hashed at once.
-BLOCK = 4_000_000
+#: Words whose hashes a worker remembers.
+MEMO = 400_000
+
 
-_powers: dict[int, np.ndarray] = {}
+class _Words(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= MEMO:
+            self.clear()
+        self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return h
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    """base to the powers 0 .. n-1, at least; kept for the next call."""
-    p = _powers.get(base)
-    if p is None or len(p) < n:
-        p = np.full(max(n, 1 << 16), base, U)
-        p[0] = 1
-        p = np.cumprod(p, dtype=U)
-        if n <= 2 * BLOCK:
-            _powers[base] = p
-    return p[:n]
+_words = _Words()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -40,33 +35,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def _block(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    buf = np.frombuffer(b"\n".join([*raws, b""]), np.uint8)
-    at = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raws])])
-    space = _SPACE[buf]
-    before = np.concatenate([[True], space[:-1]])
-    start, end = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
-    sums = np.zeros(len(buf) + 1, U)
-    np.cumsum((buf.astype(U) + U(1)) * _power(_BASE, len(buf)), out=sums[1:])
-    h = (sums[end] - sums[start]) * _power(_INVERSE, len(buf))[start]
-    return mix(h ^ ((end - start).astype(U) * U(0x9E3779B97F4A7C15))), np.searchsorted(start, at)
-
-
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words `[^\\x20\\x09-\\x0D]+` of all texts with A-Z in lower case, and where each text's begin (one more)."""
-    hashes, offsets, done = [np.zeros(0, U)], [np.zeros(1, np.int64)], 0
-    raws: list[bytes] = []
-    size = 0
-    for k, t in enumerate(texts):
-        raws.append(utf8(t).lower())
-        size += len(raws[-1])
-        if size >= BLOCK or k + 1 == len(texts):
-            h, at = _block(raws)
-            hashes.append(h)
-            offsets.append(at[1:] + done)
-            done += len(h)
-            raws, size = [], 0
-    return np.concatenate(hashes), np.concatenate(offsets).astype(np.int64)
+    hashes, n = [np.zeros(0, U)], [0]
+    for t in texts:
+        words = utf8(t).lower().split()
+        hashes.append(np.fromiter(map(_words.__getitem__, words), U, len(words)))
+        n.append(len(words))
+    return np.concatenate(hashes), np.cumsum(n)
 
 
 def shingle_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:

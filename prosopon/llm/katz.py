@@ -1,32 +1,37 @@
-"""Katz backoff: a bigram model with Good-Turing discounts and exactly normalised backoff weights.
-
-Counting. Every batch of training texts sends its distinct (context, word) pairs with their counts, packed, to the fragment
-of the word's hash. A fragment therefore knows both the pairs' counts and the words' counts. The n-gram tables are written
-to the shared folder.
-
-Model. With counts up to K discounted by Good-Turing (Katz 1987) and k = K:
-    P(w)     = d1(c(w)) c(w) / N for a known word; the mass that the discounts free is the unknown word's
-    P(w | v) = s(v) d2(c(v, w)) c(v, w) / c(v)   if the pair is in the table
-             = alpha(v) P(w)                     otherwise
-    alpha(v) = (1 - sum of P(w | v) over the table's pairs of v) / (1 - sum of P(w) over them)
-Pairs seen fewer than min_pair times are not kept (Katz' own simplification: they are treated as unseen, and their mass goes
-to the backoff); the registered query keeps all (1), the operator's default is MIN_PAIR. s(v) is 1, or c(v) / (c(v) + 1) for a context whose pairs leave no mass, which could not back off otherwise.
-
-Evaluation. The recursion for a token is log P(w | v) = [log alpha(v) + log P(w)] + D(v, w), where D is the pair's gain over
-backing off, or 0 if the table lacks the pair. So a table by word (log P + log alpha) and one by pair (D) give every
-token's probability as a sum of look-ups. The most frequent entries (at least one in HOT tokens, so at most HOT words and
-HOT pairs) are sent to every task; all other look-ups go to the fragments of their hashes, which return one sum per text.
-
-Words are known by 64-bit hashes, pairs in look-ups by at least 48 bits beyond their fragment's; a collision is possible but was never the case
-in tests. Defined results: a null text is empty and has the end token only; without any training text all tokens are unknown
-and score log10(1) in the model; repeated rows are counted and scored each for itself; a null doc_id has the remainder of
-the empty text; an empty table gives an empty table.
+"""Katz backoff: Good-Turing discounted n-gram counts with exactly normalised backoff weights.
+
+A gram of k words is known by its history (its first k - 1 words) and its suffix (its last k - 1). Every pair of words that
+training saw is kept, those seen once too.
+
+Model. With counts up to K discounted by Good-Turing (Katz 1987), per order:
+    P1(w)        = d1(c(w)) c(w) / N for a known word; the mass that the discounts free is the unknown word's
+    Pk(w | x)    = unit(x) dk(c) c        if training saw w after the history x, c times; unit(x) = s(x) / c(x)
+                 = alpha(x) Pk-1(w | x')  otherwise, x' being x without its first word; alpha is 1 for an unseen history
+    alpha(x)     = (1 - sum of Pk over the words seen after x) / (1 - sum of Pk-1 over them)
+s(x) is 1, or c(x) / (c(x) + 1) for a history whose words leave no mass and which could not back off otherwise. A text's first
+word has the start as its whole history. Two tables hold the model of an order, both partitioned by the history (`part`):
+grams (history, suffix, count, the suffix's lower-order probability) and histories (count, unit, alpha).
+
+Codes. A word or gram that is at least one in HOT of all tokens is hot; there are at most HOT of an order, and every task gets
+them. Its code is its place among them; any other has its 64-bit hash, with the highest bit set. Grams are dealt to fragments by
+a cold history's code, and by the whole gram where the history is hot, so no frequent word is in one task. A fragment is sized by tokens
+and their number is not limited. What goes to a fragment is packed: codes of two bytes or eight, grouped by history.
+
+Evaluation. The recursion log Pk(w | x) - log Pk-1(w | x') is log(unit(x) dk(c) c) - log Pk-1(w | x') for a gram that training saw
+and log alpha(x) for any other, so a text's score is the sum of these steps over its tokens and orders. Hot words and hot grams are
+answered where the text is; every other step goes to the fragment of its gram, which returns one sum per text. A fragment also
+answers for the cold words themselves: each is the history of just one token.
+
+Hashes of 64 bits may collide by chance (one in 2^63 a pair). Defined results: a null text is empty and has the end token only;
+without any training text all tokens are unknown and score log10(1) in the model; repeated rows are counted and scored each for
+itself; a null doc_id has the remainder of the empty text; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +46,13 @@ from prosopon.operators.durable import drop_table, release, write_table
 U = np.uint64
 START, END = U(0x5BF03635DE1C2A01), U(0x2545F4914F6CDD1D)
 K = 5
-MIN_PAIR = 2
-HOT = 65536
-#: Texts of one batch; also the packed look-ups that a worker holds at once, which are long rows.
-BATCH = "500"
-FRAGMENT = 1_500_000
+HOT = 65_000
+#: Texts of one Arrow batch, and characters and texts that are packed together.
+BATCH, UNIT_CHARS, UNIT_TEXTS = "500", 6_000_000, 60_000
+#: Tokens for which there is one fragment in counting, and in scoring (where it holds the model's grams only).
+FRAGMENT, LOOKUP = 2_000_000, 8_000_000
+#: Folders of a model table.
+PARTS = 4
 
 _TYPES = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}
 
@@ -58,7 +65,7 @@ def _arrow(df: DataFrame, ddl: str, run) -> DataFrame:
 
 def _batch(ddl: str, cols) -> pa.RecordBatch:
     schema = pa.schema([(n, _TYPES[t]) for n, t in (x.split() for x in ddl.split(","))])
-    return pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(cols, schema)], schema=schema)
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=t.type) for c, t in zip(cols, schema)], schema=schema)
 
 
 def _rows(batches):
@@ -66,88 +73,216 @@ def _rows(batches):
         yield from zip(*(c.to_pylist() for c in b.columns))
 
 
-def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all tokens, of their contexts, and where each text's begin (one more)."""
+def _ints(b: pa.RecordBatch, k: int) -> np.ndarray:
+    return b.column(k).to_numpy(zero_copy_only=False)
+
+
+# ---- tokens and grams
+
+
+def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all texts' tokens, the end among them, and where each text's begin (one more)."""
     h, at = word_hashes(texts)
-    n = len(texts)
-    begin = at + np.arange(n + 1)
-    w = np.empty(len(h) + n, U)
-    w[begin[1:] - 1] = END
+    begin = at + np.arange(len(texts) + 1)
+    w = np.empty(len(h) + len(texts), U)
     is_word = np.ones(len(w), bool)
     is_word[begin[1:] - 1] = False
-    w[is_word] = h
-    v = np.empty_like(w)
-    v[1:] = w[:-1]
-    v[begin[:-1]] = START
-    return w, v, begin
+    w[~is_word], w[is_word] = END, h
+    return w, begin
 
 
-def pair_hash(v: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return mix(v * U(0x9FB21C651E98DF25) + (w ^ U(0xA0761D6478BD642F)))
+def _cold(h: np.ndarray) -> np.ndarray:
+    """The code of a hash that is not hot: negative."""
+    return (h | U(1 << 63)).view(np.int64)
 
 
-COUNTS = "fragment int, heads binary, contexts binary, counts binary"
-HEAD = np.dtype([("w", "<u8"), ("n", "<u4")])
+def gram_hash(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Names a gram by the codes of its history and its suffix."""
+    return mix(x.view(U) * U(0x9FB21C651E98DF25) + mix(y.view(U) ^ U(0xA0761D6478BD642F)))
 
 
-def _count(texts: DataFrame, bits: int) -> DataFrame:
-    def run(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            w, v, _ = tokens(b.column(0).to_pylist())
-            order = np.lexsort((v, w))
-            w, v = w[order], v[order]
-            first = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (v[1:] != v[:-1])]))
-            c = np.diff(np.append(first, len(w))).astype("<u4")
-            w, v = w[first], v[first]
-            cuts = np.searchsorted((w >> U(64 - bits)).astype(np.int64), np.arange((1 << bits) + 1))
-            out = []
-            for f, (i, j) in enumerate(itertools.pairwise(cuts)):
-                if i < j:
-                    own = w[i:j]
-                    at = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-                    heads = np.zeros(len(at), HEAD)
-                    heads["w"], heads["n"] = own[at], np.diff(np.append(at, j - i))
-                    out.append((f, heads.tobytes(), v[i:j].tobytes(), c[i:j].tobytes()))
-            yield _batch(COUNTS, zip(*out))
+@dataclass
+class Level:
+    """What every task knows of an order: its hot grams by code, and as histories of the next order."""
+
+    hashes: np.ndarray
+    count: np.ndarray
+    logp: np.ndarray
+    #: What the gram adds to a text's score.
+    step: np.ndarray
+    unit: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    alpha: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    def code(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return _cold(h)
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == h, at, _cold(h))
+
+
+def _grams(w: np.ndarray, begin: np.ndarray, levels: list[Level]):
+    """For order 2 and up: codes of history and suffix, and the token at which the gram ends. levels: orders below."""
+    at = np.arange(len(w)) - np.repeat(begin[:-1], np.diff(begin))
+    here = levels[0].code(w)
+    before = np.empty_like(here)
+    before[1:] = here[:-1]
+    before[at == 0] = levels[0].code(np.array([START]))[0]
+    yield before, here, np.arange(len(w))
+    for k, level in enumerate(levels[1:], start=1):
+        here = level.code(gram_hash(before, here))  # of the gram that ends at a token
+        before = np.empty_like(here)
+        before[1:] = here[:-1]
+        where = np.flatnonzero(at >= k)
+        yield before[where], here[where], where
+
+
+# ---- packing
+
+
+def _pressed(*parts: np.ndarray) -> bytes:
+    """Arrays of numbers, pressed, with their types and sizes."""
+    heads = [f"{p.dtype.str}{p.nbytes:012d}".encode() for p in parts]
+    raw = b"".join([*heads, *(p.tobytes() for p in parts)])
+    return bytes([len(parts)]) + len(raw).to_bytes(5, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _parts(blob: bytes) -> list[np.ndarray]:
+    raw = pa.decompress(memoryview(blob)[6:], decompressed_size=int.from_bytes(blob[1:6], "little"), codec="zstd", asbytes=True)
+    out, at = [], 15 * blob[0]
+    for k in range(blob[0]):
+        kind, size = np.dtype(raw[15 * k : 15 * k + 3].decode()), int(raw[15 * k + 3 : 15 * k + 15])
+        out.append(np.frombuffer(raw, kind, size // kind.itemsize, at))
+        at += size
+    return out
 
-    return _arrow(texts, COUNTS, run)
 
+def _small(x: np.ndarray) -> np.ndarray:
+    """In the fewest bytes that hold all the numbers."""
+    most = int(x.max()) if len(x) else 0
+    return x.astype("|u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<u8")
 
-# kind 0: word w with count c; 1: pair v, w with count c, and the word's count cw; 2: of n-grams of v words, c have count w.
-NGRAMS = "kind int, v long, w long, c long, cw long"
 
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
+def _width(codes: np.ndarray, hot: bool) -> np.ndarray:
+    return codes.astype("<u2") if hot else codes.astype("<i8")
+
+
+def pack(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """Codes of histories and suffixes, grouped by history; and the order of the grams in it. The four kinds (history hot or cold,
+    suffix hot or cold) stand one after the other."""
+    kind = 2 * (x < 0) + (y < 0)
+    order = np.lexsort((y, x, kind))
+    x, y, kind = x[order], y[order], kind[order]
+    cuts = np.searchsorted(kind, np.arange(5))
+    parts = []
+    for k in range(4):
+        xs, ys = x[cuts[k] : cuts[k + 1]], y[cuts[k] : cuts[k + 1]]
+        at = _starts(xs)
+        parts += [_width(xs[at], k < 2), _small(np.diff(np.append(at, len(xs)))), _width(ys, k % 2 == 0)]
+    return order, _pressed(*parts)
+
+
+def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    p = _parts(blob)
+    x = np.concatenate([np.repeat(p[3 * k].astype(np.int64), p[3 * k + 1]) for k in range(4)])
+    return x, np.concatenate([p[3 * k + 2].astype(np.int64) for k in range(4)])
+
+
+def _place(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    """The fragment of a gram: by its history if that is cold, by the whole gram otherwise."""
+    h = np.where(x < 0, mix(x.view(U)), gram_hash(x, y))
+    return (((h >> U(32)) * U(n)) >> U(32)).astype(np.int64)
+
+
+def _dealt(place: np.ndarray, n: int):
+    """(fragment, indices of its items)."""
+    order = np.argsort(place, kind="stable")
+    cuts = np.searchsorted(place[order], np.arange(n + 1))
+    for f in np.flatnonzero(np.diff(cuts)):
+        yield int(f), order[cuts[f] : cuts[f + 1]]
+
+
+def _units(batches):
+    """The rows of several batches, joined up to a bounded number of characters and rows."""
+    held: list[pa.RecordBatch] = []
+    chars = rows = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        chars += b.column(b.num_columns - 1).nbytes
+        rows += b.num_rows
+        if chars >= UNIT_CHARS or rows + int(BATCH) > UNIT_TEXTS:
+            yield pa.Table.from_batches(held)
+            held, chars, rows = [], 0, 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+# ---- counting
+
+
+def _words(texts: DataFrame) -> DataFrame:
+    """Counts of the training tokens by hash."""
 
-def _ngrams(counts: DataFrame, bits: int, min_pair: int) -> DataFrame:
     def run(batches):
-        for _, group in itertools.groupby(_rows(batches), key=lambda r: r[0]):
-            rows = list(group)
-            heads = [np.frombuffer(r[1], HEAD) for r in rows]
-            w = np.concatenate([np.repeat(x["w"], x["n"]) for x in heads])
-            v = np.concatenate([np.frombuffer(r[2], "<u8") for r in rows])
-            c = np.concatenate([np.frombuffer(r[3], "<u4") for r in rows]).astype(np.int64)
-            order = np.lexsort((v, w))
-            w, v, c = w[order], v[order], c[order]
-            at = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (v[1:] != v[:-1])]))
-            w, v, c = w[at], v[at], np.add.reduceat(c, at)
-            at = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-            cw = np.add.reduceat(c, at)
-            of = np.repeat(cw, np.diff(np.append(at, len(w))))
-            i64 = lambda x: x.astype(U).view(np.int64)
-            full = lambda n, x: np.full(n, x, np.int64)
-            n = len(at)
-            yield _batch(NGRAMS, (full(n, 0), full(n, 0), i64(w[at]), cw, cw))
-            for level, x in ((1, cw), (2, c)):
-                r = np.bincount(x[x <= K + 1], minlength=K + 2)[1:]
-                yield _batch(NGRAMS, (full(K + 1, 2), full(K + 1, level), np.arange(1, K + 2), r, r))
-            keep = c >= min_pair
-            w, v, c, of = w[keep], v[keep], c[keep], of[keep]
+        for t in _units(batches):
+            w, c = np.unique(tokens(t.column(0).to_pylist())[0], return_counts=True)
             for i in range(0, len(w), 200_000):
+                yield _batch("h long, c long", (w[i : i + 200_000].view(np.int64), c[i : i + 200_000]))
+
+    return _arrow(texts, "h long, c long", run).groupBy("h").agg(F.sum("c").alias("c"))
+
+
+COUNTS = "fragment int, grams binary, counts binary"
+#: low: the suffix's lower-order probability, null where it is hot.
+GRAMS = "x long, y long, c long, low double"
+
+
+def _counted(texts: DataFrame, order: int, sent, fragments: int) -> DataFrame:
+    """The grams of one order, with their counts."""
+
+    def count(batches):
+        for t in _units(batches):
+            w, begin = tokens(t.column(0).to_pylist())
+            x, y, _ = next(itertools.islice(_grams(w, begin, sent.value), order - 2, None))
+            sort = np.lexsort((y, x))
+            x, y = x[sort], y[sort]
+            at = _starts(x, y) if len(x) else np.zeros(0, np.int64)
+            c = np.diff(np.append(at, len(x)))
+            x, y = x[at], y[at]
+            out = []
+            for f, ids in _dealt(_place(x, y, fragments), fragments):
+                sort, blob = pack(x[ids], y[ids])
+                out.append((f, blob, _pressed(_small(c[ids][sort]))))
+            if out:
+                yield _batch(COUNTS, zip(*out))
+
+    def merge(batches):
+        low = np.exp(sent.value[-1].logp * math.log(10))
+        for _, group in itertools.groupby(_rows(batches), key=lambda r: r[0]):
+            parts = [(*unpack(grams), _parts(counts)[0].astype(np.int64)) for _, grams, counts in group]
+            x, y, c = (np.concatenate(p) for p in zip(*parts))
+            sort = np.lexsort((y, x))
+            x, y, c = x[sort], y[sort], c[sort]
+            at = _starts(x, y)
+            x, y, c = x[at], y[at], np.add.reduceat(c, at)
+            for i in range(0, len(x), 200_000):
                 m = slice(i, i + 200_000)
-                yield _batch(NGRAMS, (full(len(w[m]), 1), i64(v[m]), i64(w[m]), c[m], of[m]))
+                hot = y[m] >= 0
+                p = np.where(hot, low[np.where(hot, y[m], 0)], 0.0) if len(low) else np.zeros(len(hot))
+                yield _batch(GRAMS, (x[m], y[m], c[m], pa.array(p, mask=~hot)))
 
-    return _arrow(counts.repartition(1 << bits, "fragment").sortWithinPartitions("fragment"), NGRAMS, run)
+    dealt = _arrow(texts, COUNTS, count).repartition(fragments, "fragment").sortWithinPartitions("fragment")
+    return _arrow(dealt, GRAMS, merge)
 
 
 def discounts(n: dict[int, int], k: int = K) -> list[float]:
@@ -163,254 +298,360 @@ def discounts(n: dict[int, int], k: int = K) -> list[float]:
     return [1 - b / r for r in range(1, k + 1)]
 
 
-def _discounted(c: Column, d: list[float]) -> Column:
-    factor = F.lit(1.0)
-    for r in range(len(d), 0, -1):
-        factor = F.when(c == r, d[r - 1]).otherwise(factor)
-    return c * factor
-
-
-MODEL = "kind int, h long, c long, val double"
-
-
-def _model(ngrams: DataFrame, n_tokens: int, n_docs: int, d1: list[float], d2: list[float]) -> DataFrame:
-    """kind 0: word h, its count, log P + log alpha (the start has alpha only); kind 1: pair h, its count, D. All in log10."""
-    p1 = lambda c: _discounted(c, d1) / float(n_tokens)
-    words = ngrams.where("kind = 0").select("w", "c")
-    pairs = ngrams.where("kind = 1").select("v", "w", "c", "cw")
-    spark = ngrams.sparkSession
-    start = spark.createDataFrame([(int(START.view(np.int64)), n_docs)], "w long, c long")
-    seen = pairs.groupBy("v").agg(F.sum(_discounted(F.col("c"), d2)).alias("kept"), F.sum(p1(F.col("cw"))).alias("lower"))
-    totals = words.unionByName(start).select(F.col("w").alias("v"), F.col("c").alias("total"))
-    s = F.when(F.col("kept") > F.col("total") * (1 - 1e-12), F.col("total") / (F.col("total") + 1)).otherwise(1.0)
-    contexts = write_table(
-        seen.join(totals, "v").withColumn("s", s)
-        .select("v", (F.col("s") / F.col("total")).alias("unit"), F.log10((1 - F.col("s") * F.col("kept") / F.col("total")) / (1 - F.col("lower"))).alias("la")),
-        "contexts",
-    )
-    gain = F.log10(_discounted(F.col("c"), d2) * F.col("unit")) - F.col("la") - F.log10(p1(F.col("cw")))
-    by_pair = _hashed(pairs.join(contexts, "v").select("v", "w", "c", gain.alias("val")))
-    la = contexts.select(F.col("v").alias("w"), "la")
-    by_word = words.join(la, "w", "left").select(F.lit(0).alias("kind"), F.col("w").alias("h"), "c", (F.log10(p1(F.col("c"))) + F.coalesce("la", F.lit(0.0))).alias("val"))
-    at_start = start.join(la, "w", "left").select(F.lit(0).alias("kind"), F.col("w").alias("h"), F.lit(0).cast("long").alias("c"), F.coalesce("la", F.lit(0.0)).alias("val"))
-    out = write_table(by_word.unionByName(at_start).unionByName(by_pair), "model")
-    drop_table(contexts)
-    return out
+def _factors(grams: DataFrame) -> tuple[dict[int, int], list[float]]:
+    n = {r["c"]: r["n"] for r in grams.where(F.col("c") <= K + 1).groupBy("c").agg(F.count("*").alias("n")).collect()}
+    return n, discounts(n)
 
 
-def _hashed(pairs: DataFrame) -> DataFrame:
-    def run(batches):
-        for b in batches:
-            v, w = (b.column(i).to_numpy(zero_copy_only=False).view(U) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(v), np.int32)), pa.array(pair_hash(v, w).view(np.int64)), b.column(2), b.column(3)], names=["kind", "h", "c", "val"])
+def _discounted(c, d: list[float]):
+    """c times its factor, for a Column or an array."""
+    if isinstance(c, Column):
+        factor = F.lit(1.0)
+        for r in range(len(d), 0, -1):
+            factor = F.when(c == r, d[r - 1]).otherwise(factor)
+        return c * factor
+    return c * np.concatenate([[1.0], d, [1.0]])[np.minimum(c, len(d) + 1)]
 
-    return _arrow(pairs, MODEL, run)
 
+# ---- the model
 
-# batch -1: entries of the model. Fragments from 2^bits on are those of the pairs; fragment -1: the texts' keys.
-ASK = "place int, fragment int, batch long, docs binary, items binary, extra binary"
-HEADS = np.dtype([("doc", "<i8"), ("null", "?"), ("held", "?"), ("n", "<i8"), ("known", "<i8"), ("base", "<f8"), ("score", "<f8")])
-RUN = np.dtype([("text", "<u2"), ("n", "<u4")])
-WIDTH = 6
 
+def _with_low(grams: DataFrame, lower: DataFrame) -> DataFrame:
+    """grams with the lower-order probability of cold suffixes as well. lower: code, p of all cold grams of the order below. No code
+    on either side has more than one in HOT of all tokens, so the join has no hot key."""
+    cold = grams.where("y < 0").drop("low").join(lower.select(F.col("code").alias("y"), F.col("p").alias("low")), "y").select("x", "y", "c", "low")
+    return grams.where("y >= 0").unionByName(cold)
 
-def _split(h: np.ndarray, kind, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The fragment of each hash, and the 48 bits after the fragment's."""
-    return (h >> U(64 - bits)).astype(np.int64) + (kind << bits), (h << U(bits)) >> U(16)
 
+def _stored(df: DataFrame, what: str) -> DataFrame:
+    """A model table, partitioned by the history."""
+    return write_table(df.withColumn("part", F.pmod(F.xxhash64("x"), F.lit(PARTS)).cast("int")), what, "part")
 
-def _pack(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH]).tobytes()
 
+def _histories(grams: DataFrame, d: list[float]) -> DataFrame:
+    """x, total, and the logarithms of unit and alpha. Hot histories are summed before they are shuffled."""
+    total, kept, lower = F.col("total"), F.col("kept"), F.col("lower")
+    sums = grams.groupBy("x").agg(F.sum("c").alias("total"), F.sum(_discounted(F.col("c"), d)).alias("kept"), F.sum("low").alias("lower"))
+    sums = sums.withColumn("s", F.when(kept > total * (1 - 1e-12), total / (total + 1)).otherwise(1.0))
+    return sums.select("x", "total", F.log10(F.col("s") / total).alias("unit"), F.log10((1 - F.col("s") * kept / total) / (1 - lower)).alias("alpha"))
 
-def _unpack(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // WIDTH, 8), np.uint8)
-    out[:, :WIDTH] = np.frombuffer(b, np.uint8).reshape(-1, WIDTH)
-    return out.view("<u8").reshape(-1)
 
+def _hot_of(df: DataFrame, *cols: str) -> list[np.ndarray]:
+    """Columns of at most HOT rows, or a few more, by the first."""
+    got = df.select(*cols).toPandas().sort_values(cols[0])
+    return [got[c].to_numpy() for c in cols]
 
-def _entries(model: DataFrame, bits: int) -> DataFrame:
-    """The model, packed by fragment."""
 
-    def packed(parts):
-        kind, h, c, val = (np.concatenate(x) for x in zip(*parts))
-        f, low = _split(h.view(U), kind.astype(np.int64), bits)
-        order = np.lexsort((low, f))
-        f, low, c, val = f[order], low[order], c[order], val[order]
-        cuts = np.searchsorted(f, np.arange((2 << bits) + 1))
-        out = [(k, k, -1, c[i:j].astype("<i8").tobytes(), _pack(low[i:j]), val[i:j].astype("<f8").tobytes()) for k, (i, j) in enumerate(itertools.pairwise(cuts)) if i < j]
-        return _batch(ASK, zip(*out))
+def _below(grams: DataFrame, histories: DataFrame, d: list[float], least: int) -> DataFrame:
+    """code, p of the cold grams of this order, for the next one."""
+    unit = histories.select("x", "unit")
+    hot, cold = unit.where("x >= 0"), unit.where("x < 0")  # at most HOT of the former
+    grams = grams.where(F.col("c") < least)
+    p = grams.where("x >= 0").join(F.broadcast(hot), "x").unionByName(grams.where("x < 0").join(cold, "x"))
+    p = p.select("x", "y", (_discounted(F.col("c"), d) * F.pow(F.lit(10.0), F.col("unit"))).alias("p"))
 
     def run(batches):
-        parts, n = [], 0
         for b in batches:
-            if b.num_rows:
-                parts.append([x.to_numpy(zero_copy_only=False) for x in b.columns])
-                n += b.num_rows
-            if n > 300_000:
-                yield packed(parts)
-                parts, n = [], 0
-        if parts:
-            yield packed(parts)
+            code = _cold(gram_hash(_ints(b, 0), _ints(b, 1)))
+            yield pa.RecordBatch.from_arrays([pa.array(code), b.column(2)], names=["code", "p"])
+
+    return _arrow(p, "code long, p double", run)
+
+
+@dataclass
+class Order:
+    grams: DataFrame
+    histories: DataFrame
+    factors: list[float]
+
+
+@dataclass
+class Model:
+    levels: list[Level]
+    orders: list[Order]
+    tokens: int
+    types: int
+    unknown: float
+    #: Factors of the words' counts, and what these are divided by.
+    words: tuple[list[float], int]
+
 
-    return _arrow(model, ASK, run)
+def train(texts: DataFrame, order: int = 2) -> Model:
+    """texts: text. Grams of 1 to `order` words."""
+    spark = texts.sparkSession
+    words = write_table(_words(texts), "words")
+    release(spark)
+    n, types, n_texts = words.agg(F.sum("c"), F.count("*"), F.max(F.when(F.col("h") == int(END.view(np.int64)), F.col("c")))).head()
+    n, n_texts = n or 0, n_texts or 0
+    least = max(1, -(-n // HOT))
+    of, d1 = _factors(words)
+    freed = sum((1 - d1[r - 1]) * r * of.get(r, 0) for r in range(1, K + 1))
+    if n and not freed:  # no rare words at all: the unknown word still needs mass
+        mass, unknown = n + 1, math.log10(1 / (n + 1))
+    else:
+        mass, unknown = max(n, 1), math.log10(freed / n) if n else 0.0
+    # The end is always among the hot words, and the start, which no text asks for as a word.
+    h, c = _hot_of(words.where((F.col("c") >= least) | (F.col("h") == int(END.view(np.int64)))), "h", "c") if n else (np.zeros(0, np.int64),) * 2
+    h, c = np.append(h.astype(np.int64).view(U), START), np.append(c.astype(np.int64), n_texts)
+    sort = np.argsort(h)
+    h, c = h[sort], c[sort]
+    with np.errstate(divide="ignore"):
+        logp = np.log10(_discounted(c, d1) / mass)
+    levels, orders = [Level(h, c, logp, logp)], []
+    p1 = (_discounted(F.col("c"), d1) / float(mass)).alias("p")
+    lower = words.where(F.col("c") < least).select(F.col("h").bitwiseOR(F.lit(-(2**63))).alias("code"), p1)
+    fragments = max(1, math.ceil(n / FRAGMENT))
+    drop = [words]
+    for k in range(2, order + 1):
+        sent = spark.sparkContext.broadcast(levels)
+        counted = write_table(_counted(texts, k, sent, fragments), "counted")
+        release(spark)
+        grams = _stored(_with_low(counted, lower), "grams")
+        for t in [counted, *drop]:
+            drop_table(t)
+        release(spark)
+        _, d = _factors(grams)
+        histories = _stored(_histories(grams, d), "histories")
+        release(spark)
+        below, drop = levels[-1], []
+        x, unit, alpha = _hot_of(histories.where("x >= 0"), "x", "unit", "alpha")
+        below.unit, below.alpha = np.zeros(len(below.hashes)), np.zeros(len(below.hashes))
+        below.unit[x.astype(np.int64)], below.alpha[x.astype(np.int64)] = unit, alpha
+        # A gram as frequent as this has a history and a suffix that are hot.
+        x, y, c = (v.astype(np.int64) for v in _hot_of(grams.where(F.col("c") >= least).where("x >= 0 AND y >= 0"), "x", "y", "c"))
+        h = gram_hash(x, y)
+        sort = np.argsort(h)
+        x, y, c = x[sort], y[sort], c[sort]
+        logp = np.log10(_discounted(c, d)) + below.unit[x]
+        levels.append(Level(h[sort], c, logp, logp - below.logp[y]))
+        orders.append(Order(grams, histories, d))
+        if k < order:
+            lower = write_table(_below(grams, histories, d, least), "below")
+            release(spark)
+            drop = [lower]
+    return Model(levels, orders, n, types, unknown, (d1, mass))
+
+
+# ---- scoring
+
+# unit -1: histories, then grams of the model; otherwise what a unit of texts asks for. fragment -1: the texts' keys.
+ASK = "place int, fragment int, unit long, level int, keys binary, more binary"
+HEADS = np.dtype([("doc", "<i8"), ("null", "?"), ("held", "?"), ("n", "<i8"), ("known", "<i8"), ("base", "<f8"), ("score", "<f8")])
 
 
-def _asked(docs: DataFrame, bits: int, hot, unknown: float) -> DataFrame:
-    """Look-ups of each batch of texts that the hot entries do not answer. docs: doc_id, text, held_out."""
+def _entries(order: Order, level: int, fragments: int) -> DataFrame:
+    """The model's rows of an order, packed by fragment. Hot histories are with every task already."""
+
+    def rows(kind):
+        def run(batches):
+            for t in _tables(batches):
+                x = t.column(0).to_numpy()
+                out = []
+                if kind:
+                    y, c, low = (t.column(k).to_numpy() for k in (1, 2, 3))
+                    for f, ids in _dealt(_place(x, y, fragments), fragments):
+                        sort, blob = pack(x[ids], y[ids])
+                        ids = ids[sort]
+                        known, which = np.unique(low[ids], return_inverse=True)
+                        out.append((f, f, -1, level, blob, _pressed(known, _small(which), _small(c[ids]))))
+                else:
+                    total, unit, alpha = (t.column(k).to_numpy() for k in (1, 2, 3))
+                    for f, ids in _dealt(_place(x, x, fragments), fragments):
+                        out.append((f, f, -2, level, _pressed(x[ids], _small(total[ids])), _pressed(unit[ids], alpha[ids])))
+                if out:
+                    yield _batch(ASK, zip(*out))
+
+        return run
+
+    grams = _arrow(order.grams.select("x", "y", "c", "low"), ASK, rows(1))
+    return grams.unionByName(_arrow(order.histories.where("x < 0").select("x", "total", "unit", "alpha"), ASK, rows(0)))
+
+
+def _tables(batches, most: int = 500_000):
+    held, n = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            n += b.num_rows
+        if n >= most:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _asked(docs: DataFrame, sent, fragments: int) -> DataFrame:
+    """What the hot words and grams do not answer. docs: doc_id, held_out, text."""
 
     def run(batches):
         task = TaskContext.get().partitionId() << 24
-        tables = hot.value
-        for seq, b in enumerate(x for x in batches if x.num_rows):
-            batch, m = task + seq, b.num_rows
-            w, v, begin = tokens(b.column(1).to_pylist())
-            n = np.diff(begin)
-            owner = np.repeat(np.arange(m), n)
+        levels = sent.value
+        for seq, t in enumerate(_units(batches)):
+            unit, m = task + seq, t.num_rows
+            w, begin = tokens(t.column(2).to_pylist())
+            owner = np.repeat(np.arange(m), np.diff(begin))
             heads = np.zeros(m, HEADS)
-            heads["null"] = b.column(0).is_null().to_numpy(zero_copy_only=False)
-            heads["doc"] = np.where(heads["null"], 0, np.nan_to_num(b.column(0).to_numpy(zero_copy_only=False))).astype(np.int64) if heads["null"].any() else b.column(0).to_numpy(zero_copy_only=False)
-            heads["held"], heads["n"] = b.column(2).to_numpy(zero_copy_only=False), n
+            ids = t.column(0)
+            heads["null"], heads["doc"] = ids.is_null().to_numpy(), ids.fill_null(0).to_numpy()
+            heads["held"], heads["n"] = t.column(1).to_numpy(), np.diff(begin)
+            code = levels[0].code(w)
+            hot = code >= 0
+            code, who = code[hot], owner[hot]
+            known = levels[0].count[code] > 0
+            heads["known"] = np.bincount(who[known], minlength=m)
+            heads["base"] = np.bincount(who, np.log10(levels[0].count[code] + 0.5), m)
+            heads["score"] = np.bincount(who, levels[0].logp[code], m)
             out = []
-            for kind, h, who in ((0, np.concatenate([w, np.full(m, START)]), np.concatenate([owner, np.arange(m)])), (1, pair_hash(v, w), owner)):
-                keys, c, val = tables[kind]
-                at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
-                hit = keys[at] == h if len(keys) else np.zeros(len(h), bool)
-                at = at[hit]
-                heads["score"] += np.bincount(who[hit], val[at], m)
-                if kind == 0:
-                    is_word = c[at] > 0
-                    heads["known"] += np.bincount(who[hit][is_word], minlength=m)
-                    heads["base"] += np.bincount(who[hit][is_word], np.log10(c[at][is_word] + 0.5), m)
-                h, who = h[~hit], who[~hit]
-                order = np.lexsort((h, who))
-                h, who = h[order], who[order]
-                first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (who[1:] != who[:-1])])) if len(h) else np.zeros(0, np.int64)
-                times = np.diff(np.append(first, len(h))).astype("<u4")
-                h, who = h[first], who[first]
-                f, low = _split(h, kind, bits)
-                order = np.argsort(f, kind="stable")
-                f, low, who, times = f[order], low[order], who[order], times[order]
-                lowest = kind << bits
-                cuts = np.searchsorted(f, np.arange(lowest, lowest + (1 << bits) + 1))
-                for k, (i, j) in enumerate(itertools.pairwise(cuts)):
-                    if i < j:
-                        x = who[i:j]
-                        at = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
-                        runs = np.zeros(len(at), RUN)
-                        runs["text"], runs["n"] = x[at], np.diff(np.append(at, j - i))
-                        n_times = times[i:j].astype("u1") if times[i:j].max() < 256 else times[i:j]
-                        out.append((lowest + k, lowest + k, batch, runs.tobytes(), _pack(low[i:j]), n_times.tobytes()))
-            out.append((batch % (2 << bits), -1, batch, heads.tobytes(), b"", b""))
+            for k, (x, y, at) in enumerate(_grams(w, begin, levels[:-1]), start=1):
+                code, who = levels[k].code(gram_hash(x, y)), owner[at]
+                hot = code >= 0
+                heads["score"] += np.bincount(who[hot], levels[k].step[code[hot]], m)
+                x, y, who = x[~hot], y[~hot], who[~hot]
+                for f, ids in _dealt(_place(x, y, fragments), fragments):
+                    out.append((f, f, unit, k, *_question(x[ids], y[ids], who[ids])))
+            out.append((unit % fragments, -1, unit, 0, heads.tobytes(), b""))
             yield _batch(ASK, zip(*out))
 
     return _arrow(docs, ASK, run)
 
 
-SUMS = "batch long, fragment int, rows binary"
-#: What a fragment of words, and what one of pairs, returns for a text.
-WORD_SUM = np.dtype([("text", "<u2"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
-PAIR_SUM = np.dtype([("text", "<u2"), ("score", "<f8")])
-
-
-def _answered(asked: DataFrame, bits: int, unknown: float) -> DataFrame:
-    """For each fragment and batch one sum per text."""
+def _question(x: np.ndarray, y: np.ndarray, who: np.ndarray) -> tuple[bytes, bytes]:
+    """Each gram once, with the texts that have it and how often."""
+    sort = np.lexsort((who, y, x))
+    x, y, who = x[sort], y[sort], who[sort]
+    at = _starts(x, y, who)
+    times = np.diff(np.append(at, len(x)))
+    x, y, who = x[at], y[at], who[at]
+    gram = _starts(x, y)
+    texts = np.diff(np.append(gram, len(x)))
+    sort, blob = pack(x[gram], y[gram])
+    take = np.repeat(gram[sort] - np.concatenate([[0], np.cumsum(texts[sort])[:-1]]), texts[sort]) + np.arange(len(x))
+    return blob, _pressed(_small(texts[sort]), who[take].astype("<u2"), _small(times[take]))
+
+
+SUMS = "unit long, fragment int, rows binary"
+SUM = np.dtype([("text", "<u2"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
+
+
+class _Fragment:
+    """The model's rows of one fragment and order."""
+
+    def __init__(self, level: Level, d: list[float]):
+        self.level, self.d = level, d
+        self.heads: list[tuple] = []
+        self.rows: list[tuple] = []
+        self.ready = False
+
+    def add(self, kind: int, keys: bytes, more: bytes) -> None:
+        if kind == -2:
+            self.heads.append((*_parts(keys), *_parts(more)))
+        else:
+            x, y = unpack(keys)
+            low, which, c = _parts(more)
+            self.rows.append((gram_hash(x, y), c.astype(np.int64), low[which]))
+
+    def _prepare(self) -> None:
+        empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+        x, total, unit, alpha = (np.concatenate(p) for p in zip(empty, *self.heads))
+        sort = np.argsort(x)
+        self.x, self.total, self.unit, self.alpha = x[sort], total[sort].astype(np.int64), unit[sort], alpha[sort]
+        h, c, low = (np.concatenate(p) for p in zip((np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0)), *self.rows))
+        sort = np.argsort(h)
+        self.h, self.gain = h[sort], (np.log10(_discounted(c, self.d)) - np.log10(low))[sort]
+        self.heads, self.rows, self.ready = [], [], True
+
+    def history(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Logarithms of unit and alpha, and the count; 0 for unseen ones."""
+        unit, alpha, total = np.zeros(len(x)), np.zeros(len(x)), np.zeros(len(x), np.int64)
+        hot = x >= 0
+        unit[hot], alpha[hot] = self.level.unit[x[hot]], self.level.alpha[x[hot]]
+        if len(self.x):
+            at = np.minimum(np.searchsorted(self.x, x), len(self.x) - 1)
+            seen = ~hot & (self.x[at] == x)
+            unit[seen], alpha[seen], total[seen] = self.unit[at[seen]], self.alpha[at[seen]], self.total[at[seen]]
+        return unit, alpha, total
+
+    def answer(self, keys: bytes, more: bytes, words, unknown: float) -> np.ndarray:
+        """One sum per text. words: log P1 by count, where the histories are words; these are answered for as well."""
+        if not self.ready:
+            self._prepare()
+        x, y = unpack(keys)
+        n, who, times = _parts(more)
+        unit, alpha, total = self.history(x)
+        step, h = alpha, gram_hash(x, y)
+        if len(self.h):
+            at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+            step = np.where(self.h[at] == h, unit + self.gain[at], alpha)
+        known, base = np.zeros(len(x)), np.zeros(len(x))
+        if words is not None:
+            cold = x < 0
+            seen = cold & (total > 0)
+            step = step + np.where(seen, words(np.maximum(total, 1)), np.where(cold, unknown, 0.0))
+            known, base = seen.astype(float), np.where(cold, np.log10(total + 0.5), 0.0)
+        text, k = np.unique(who, return_inverse=True)
+        spread = lambda v: np.bincount(k, np.repeat(v, n) * times, len(text))
+        out = np.zeros(len(text), SUM)
+        out["text"], out["known"], out["base"], out["score"] = text, np.rint(spread(known)), spread(base), spread(step)
+        return out
+
+
+def _answered(asked: DataFrame, sent, factors: list[list[float]], d1: list[float], mass: float, unknown: float, fragments: int) -> DataFrame:
+    """For each fragment and unit one sum per text."""
+
+    def words(c):
+        return np.log10(_discounted(c, d1) / mass)
 
     def run(batches):
         for f, group in itertools.groupby(_rows(batches), key=lambda r: r[1]):
-            keys = c = val = None
-            parts = []
-            for _, _, batch, docs, items, extra in group:
+            held = {k: _Fragment(level, d) for k, (level, d) in enumerate(zip(sent.value, factors), start=1)}
+            for unit, asks in itertools.groupby(group, key=lambda r: r[2]):
                 if f < 0:
-                    yield _batch(SUMS, ([batch], [-1], [docs]))
-                    continue
-                if batch < 0:
-                    parts.append((_unpack(items), np.frombuffer(docs, "<i8"), np.frombuffer(extra, "<f8")))
-                    continue
-                if keys is None:
-                    keys, c, val = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0))
-                    order = np.argsort(keys)
-                    keys, c, val = keys[order], c[order], val[order]
-                    parts = []
-                ask = _unpack(items)
-                times = np.frombuffer(extra, "u1" if len(extra) == len(ask) else "<u4").astype(np.float64)
-                runs = np.frombuffer(docs, RUN)
-                who = np.repeat(np.arange(len(runs)), runs["n"])
-                at = np.minimum(np.searchsorted(keys, ask), max(len(keys) - 1, 0))
-                hit = keys[at] == ask if len(keys) else np.zeros(len(ask), bool)
-                word = f < 1 << bits
-                out = np.zeros(len(runs), WORD_SUM if word else PAIR_SUM)
-                out["text"] = runs["text"]
-                got = np.full(len(ask), unknown if word else 0.0)
-                got[hit] = val[at[hit]]
-                out["score"] = np.bincount(who, got * times, len(runs))
-                if word:
-                    count = np.zeros(len(ask))
-                    count[hit] = c[at[hit]]
-                    is_start = hit & (count == 0)
-                    t = np.where(is_start, 0, times)
-                    out["base"] = np.bincount(who, np.log10(count + 0.5) * t, len(runs))
-                    out["known"] = np.bincount(who, np.where(count > 0, t, 0), len(runs))
-                yield _batch(SUMS, ([batch], [f], [out.tobytes()]))
-
-    return _arrow(asked.repartition(2 << bits, "place").sortWithinPartitions("fragment", "batch"), SUMS, run)
+                    yield _batch(SUMS, ([unit], [-1], [next(asks)[4]]))
+                elif unit < 0:
+                    for _, _, _, k, keys, more in asks:
+                        held[k].add(unit, keys, more)
+                else:
+                    got = np.concatenate([held[k].answer(keys, more, words if k == 1 else None, unknown) for _, _, _, k, keys, more in asks])
+                    yield _batch(SUMS, ([unit], [f], [got.tobytes()]))
+
+    return _arrow(asked.repartition(fragments, "place").sortWithinPartitions("fragment", "unit"), SUMS, run)
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _scores(sums: DataFrame, bits: int, n_tokens: int, n_types: int) -> DataFrame:
+def _scores(sums: DataFrame, n_tokens: int, n_types: int) -> DataFrame:
     norm = math.log10(n_tokens + 0.5 * (n_types + 1))
 
     def run(batches):
         for _, group in itertools.groupby(_rows(batches), key=lambda r: r[0]):
-            rows = list(group)
-            heads = np.concatenate([np.frombuffer(r[2], HEADS) for r in rows if r[1] < 0])
-            known, base, score = heads["known"].copy(), heads["base"].copy(), heads["score"].copy()
-            for _, f, more in rows:
-                if f >= 0:
-                    x = np.frombuffer(more, WORD_SUM if f < 1 << bits else PAIR_SUM)
-                    score[x["text"]] += x["score"]
-                    if f < 1 << bits:
-                        known[x["text"]] += x["known"].astype(np.int64)
-                        base[x["text"]] += x["base"]
+            heads = None
+            for _, f, rows in group:
+                if f < 0:
+                    heads = np.frombuffer(rows, HEADS).copy()
+                    continue
+                x = np.frombuffer(rows, SUM)
+                np.add.at(heads["score"], x["text"], x["score"])
+                np.add.at(heads["known"], x["text"], x["known"].astype(np.int64))
+                np.add.at(heads["base"], x["text"], x["base"])
             doc = pa.array(heads["doc"], mask=heads["null"].copy())
-            yield _batch(SCORES, (doc, heads["held"], heads["n"], known, np.full(len(heads), n_tokens), base - heads["n"] * norm, score))
+            yield _batch(SCORES, (doc, heads["held"], heads["n"], heads["known"], np.full(len(heads), n_tokens), heads["base"] - heads["n"] * norm, heads["score"]))
 
-    return _arrow(sums.repartition("batch").sortWithinPartitions("batch", "fragment"), SCORES, run)
+    return _arrow(sums.repartition("unit").sortWithinPartitions("unit", "fragment"), SCORES, run)
 
 
-def lm_score(df: DataFrame, held_out_of: int = 5, held_out: int = 1, min_pair: int = MIN_PAIR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of df. The model learns from the rows whose crc32(doc_id as text) mod held_out_of is not held_out."""
+def lm_score(df: DataFrame, held_out_of: int = 5, held_out: int = 1, order: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of df. The model learns from the rows whose crc32(doc_id as text) mod held_out_of is not held_out; order
+    (2 or more) is the number of words of its longest grams."""
+    if order < 2:
+        raise ValueError("a backoff model needs grams of two words at least")
     spark = df.sparkSession
     docs = keyed_text(df, id_col, text_col).withColumn("held_out", crc_mod(F.col("doc_id"), held_out_of) == held_out)
-    size = docs.agg(F.sum(F.length("text"))).head()[0] or 0
-    bits = min(16, max(1, math.ceil(math.log2(max(1.0, size / 6 / FRAGMENT)))))
-    ngrams = write_table(_ngrams(_count(docs.where("NOT held_out").select("text"), bits), bits, min_pair), "ngrams")
-    release(spark)
-    total = ngrams.where("kind = 0").agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("w") == int(END.view(np.int64)), F.col("c"))).alias("docs")).head()
-    n, types, texts = total["n"] or 0, total["v"], total["docs"] or 0
-    levels: dict[int, dict[int, int]] = {1: {}, 2: {}}
-    for r in ngrams.where("kind = 2").groupBy("v", "w").agg(F.sum("c").alias("c")).collect():
-        levels[r["v"]][r["w"]] = r["c"]
-    d1, d2 = discounts(levels[1]), discounts(levels[2])
-    freed = sum((1 - d1[r - 1]) * r * levels[1].get(r, 0) for r in range(1, K + 1))
-    if n and not freed:  # no rare words at all: the unknown word still needs mass
-        n_model, unknown = n + 1, math.log10(1 / (n + 1))
-    else:
-        n_model, unknown = max(n, 1), math.log10(freed / n) if n else 0.0
-    model = _model(ngrams, n_model, max(texts, 1), d1, d2)
-    drop_table(ngrams)
-    release(spark)
-    rows = model.where((F.col("c") >= max(1, -(-n // HOT))) | (F.col("h") == int(START.view(np.int64)))).select("kind", "h", "c", "val").toPandas()
-    hot = []
-    for kind in (0, 1):
-        x = rows[rows["kind"] == kind]
-        h = x["h"].to_numpy(np.int64).view(U)
-        order = np.argsort(h)
-        hot.append((h[order], x["c"].to_numpy(np.int64)[order], x["val"].to_numpy(float)[order]))
-    # Requests stream through a fragment that holds the model's entries only, so a quarter of the fragments is enough, and
-    # fewer sums come back.
-    bits = max(1, bits - 2)
-    asked = _asked(docs, bits, spark.sparkContext.broadcast(hot), unknown).unionByName(_entries(model, bits))
-    return _scores(_answered(asked, bits, unknown), bits, n, types)
+    model = train(docs.where("NOT held_out").select("text"), order)
+    fragments = max(1, math.ceil(model.tokens / LOOKUP))
+    sent = spark.sparkContext.broadcast(model.levels)
+    asked = _asked(docs.select("doc_id", "held_out", "text"), sent, fragments)
+    for k, o in enumerate(model.orders, start=1):
+        asked = asked.unionByName(_entries(o, k, fragments))
+    d1, mass = model.words
+    return _scores(_answered(asked, sent, [o.factors for o in model.orders], d1, mass, model.unknown, fragments), model.tokens, model.types)

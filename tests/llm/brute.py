@@ -11,39 +11,52 @@ def words(text):
     return (text or "").encode().lower().split()
 
 
-def katz(rows, discounts, k=5, min_pair=2, mod=5, held=1):
-    """rows: (doc_id, text). (doc_id, held_out, n_tokens, n_known, N, base_score, score), evaluated token by token."""
+def katz(rows, discounts, order=2, k=5, mod=5, held=1):
+    """rows: (doc_id, text). (doc_id, held_out, n_tokens, n_known, N, base_score, score), by recursion token by token."""
     seqs = [(i, zlib.crc32(("" if i is None else str(i)).encode()) % mod == held, [*words(t), "</s>"]) for i, t in rows]
-    uni, pair = Counter(), Counter()
+    grams = [Counter() for _ in range(order + 1)]  # by length
     for _, h, s in seqs:
         if not h:
-            uni.update(s)
-            pair.update(zip(["<s>", *s], s))
+            t = ["<s>", *s]
+            for j in range(1, len(t)):
+                for m in range(1, order + 1):
+                    if j - m + 1 >= (1 if m == 1 else 0):
+                        grams[m][tuple(t[j - m + 1 : j + 1])] += 1
+    uni = grams[1]
     n, v = sum(uni.values()), len(uni)
-    d1, d2 = (discounts(dict(Counter(c.values()))) for c in (uni, pair))
-    disc = lambda c, d: c * (d[c - 1] if c <= k else 1.0)
-    freed = sum(c - disc(c, d1) for c in uni.values())
-    unk = freed / n
-    p1 = lambda w: disc(uni[w], d1) / n if w in uni else unk
-    total = Counter(uni)
-    total["<s>"] = sum(not h for _, h, _ in seqs)
-    by = defaultdict(dict)
-    for (a, b), c in pair.items():
-        if c >= min_pair:
-            by[a][b] = c
-    alpha, p2 = {}, {}
-    for a, nxt in by.items():
-        kept = sum(disc(c, d2) for c in nxt.values())
-        s = total[a] / (total[a] + 1) if kept > total[a] * (1 - 1e-12) else 1.0
-        for b, c in nxt.items():
-            p2[a, b] = s * disc(c, d2) / total[a]
-        alpha[a] = (1 - s * kept / total[a]) / (1 - sum(p1(b) for b in nxt))
-    for a in list(by)[:200]:  # exactly normalised
-        q = sum(p2[a, b] for b in by[a]) + alpha[a] * (unk + sum(p1(w) for w in uni if w not in by[a]))
+    d = [None, *(discounts(dict(Counter(c.values()))) for c in grams[1:])]
+    disc = lambda c, m: c * (d[m][c - 1] if c <= k else 1.0)
+    unk = sum(c - disc(c, 1) for c in uni.values()) / n
+    after = defaultdict(dict)
+    for m in range(2, order + 1):
+        for g, c in grams[m].items():
+            after[g[:-1]][g[-1]] = c
+    weights = {}
+
+    def weight(x):
+        """s / c(x), and alpha(x)"""
+        if x not in weights:
+            m, total = len(x) + 1, sum(after[x].values())
+            kept = sum(disc(c, m) for c in after[x].values())
+            s = total / (total + 1) if kept > total * (1 - 1e-12) else 1.0
+            weights[x] = s / total, (1 - s * kept / total) / (1 - sum(p(x[1:], w) for w in after[x]))
+        return weights[x]
+
+    def p(x, w):
+        if not x:
+            return disc(uni[w,], 1) / n if (w,) in uni else unk
+        if x not in after:
+            return p(x[1:], w)
+        unit, alpha = weight(x)
+        return disc(after[x][w], len(x) + 1) * unit if w in after[x] else alpha * p(x[1:], w)
+
+    for x in list(after) if len(after) * v < 2_000_000 else list(after)[:: max(1, len(after) // 100)]:  # exactly normalised
+        q = sum(p(x, w) for (w,) in uni) + p(x, None)
         assert abs(q - 1) < 1e-9, q
     out = []
     for i, h, s in seqs:
-        base = sum(math.log10((uni[w] + 0.5) / (n + 0.5 * (v + 1))) for w in s)
-        score = sum(math.log10(p2[a, b] if (a, b) in p2 else alpha.get(a, 1.0) * p1(b)) for a, b in zip(["<s>", *s], s))
-        out.append((i, h, len(s), sum(w in uni for w in s), n, base, score))
+        t = ["<s>", *s]
+        base = sum(math.log10((uni[w,] + 0.5) / (n + 0.5 * (v + 1))) for w in s)
+        score = sum(math.log10(p(tuple(t[max(0, j - order + 1) : j]), t[j])) for j in range(1, len(t)))
+        out.append((i, h, len(s), sum((w,) in uni for w in s), n, base, score))
     return out

@@ -12,7 +12,7 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from prosopon.llm import bpe, iblt, katz, licenses, ngram_join, packing, pii, quality, token_counts, toxicity
+from prosopon.llm import bpe, hashing, iblt, katz, licenses, ngram_join, packing, pii, quality, token_counts, toxicity
 from prosopon.llm.queries import QUERIES
 
 P = pytest.importorskip("public_tokenizers")
@@ -210,26 +210,51 @@ def test_toxicity_held_out(spark, sf_dir):
 # ---- Katz
 
 
-def test_katz_is_the_plain_model(docs, odd):
-    for df in (docs, odd):
+@pytest.mark.parametrize("hot", [65_000, 40])
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_katz_is_the_plain_model(docs, odd, monkeypatch, order, hot):
+    """Also with few hot words, so that most of them are looked up in fragments."""
+    monkeypatch.setattr(katz, "HOT", hot)
+    monkeypatch.setattr(katz, "FRAGMENT", 3000)
+    monkeypatch.setattr(katz, "LOOKUP", 10_000)
+    for df in (docs.where("doc_id % 3 = 0") if order > 2 else docs, odd):
         got = {}
-        for r in katz.lm_score(df).collect():
+        for r in katz.lm_score(df, order=order).collect():
             got.setdefault(r[0], []).append(tuple(r))
         want = {}
-        for r in brute.katz(pairs(df), katz.discounts):
+        for r in brute.katz(pairs(df), katz.discounts, order):
             want.setdefault(r[0], []).append(r)
         assert got.keys() == want.keys()
         for k in want:
-            for x, y in zip(sorted(got[k]), sorted(want[k])):
+            for x, y in zip(sorted(got[k]), sorted(want[k]), strict=True):
                 assert x[:5] == y[:5] and x[5] == pytest.approx(y[5], abs=1e-6) and x[6] == pytest.approx(y[6], abs=1e-6)
 
 
 def test_katz_query_keeps_pairs_seen_once(spark, docs, sf_dir):
     got = sorted(tuple(r) for r in QUERIES["op4_katz_backoff"](spark, sf_dir).collect())
-    for x, y in zip(got, sorted(brute.katz(pairs(docs), katz.discounts, min_pair=1)), strict=True):
+    for x, y in zip(got, sorted(brute.katz(pairs(docs), katz.discounts)), strict=True):
         assert x[:5] == y[:5] and x[5] == pytest.approx(y[5], abs=1e-6) and x[6] == pytest.approx(y[6], abs=1e-6)
 
 
+def test_words_of_unlike_letters_have_unlike_hashes():
+    """Sequences on which any polynomial hash modulo a power of two fails (Thue-Morse)."""
+    a = b"a"
+    for _ in range(10):
+        a += a.translate(bytes.maketrans(b"ab", b"ba"))
+    b = a.translate(bytes.maketrans(b"ab", b"ba"))
+    h, _ = hashing.word_hashes([f"{a.decode()} {b.decode()}"])
+    assert h[0] != h[1]
+
+
+def test_join_keeps_thue_morse_texts_apart(spark):
+    a = "a"
+    for _ in range(10):
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    df = spark.createDataFrame([(1, f"x {a} y z"), (2, f"x {b} y z")], "doc_id long, text string")
+    assert by_row(ngram_join.join(df, 3, 90), "doc_id", "component_id") == [(1, 1), (2, 2)]
+
+
 # ---- n-gram join
 
 

@@ -15,8 +15,8 @@ from prosopon.operators.workers import ship
 #: The contract's white space: space, tab, newline, vertical tab, form feed, carriage return.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
-#: Rows of one Arrow batch; long texts make 10,000 rows too many for a small executor.
-BATCH_ROWS = "1000"
+#: Rows and bytes of one Arrow batch; long texts make 10,000 rows too many for a small executor.
+BATCH_ROWS, BATCH_BYTES = "1000", "8000000"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,7 @@ def crc_mod(doc_id: Column, by: int) -> Column:
 def prepare(spark: SparkSession) -> None:
     """What every operator with Python workers needs of its session."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     ship(spark)
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from prosopon.llm.common import utf8
 
@@ -18,6 +20,8 @@ MEMO = 400_000
 
 
 class _Words(dict):
+    """Hashes by word; asked for a batch's distinct words only."""
+
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MEMO:
             self.clear()
@@ -35,17 +39,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words `[^\\x20\\x09-\\x0D]+` of all texts with A-Z in lower case, and where each text's begin (one more)."""
-    hashes, n = [np.zeros(0, U)], [0]
-    for t in texts:
-        words = utf8(t).lower().split()
-        hashes.append(np.fromiter(map(_words.__getitem__, words), U, len(words)))
-        n.append(len(words))
-    return np.concatenate(hashes), np.cumsum(n)
+def distinct_words(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words `[^\\x20\\x09-\\x0D]+` of all texts with A-Z in lower case; for every word of the texts its place
+    among them; and where each text's words begin (one more). texts: a list, or a column without nulls."""
+    if isinstance(texts, list):
+        texts = pa.array([utf8(t) for t in texts], pa.large_binary()).view(pa.large_string())
+    elif isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    coded = lists.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    which = coded.indices.to_numpy()
+    real = which != (words.index(b"") if b"" in words else -1)  # white space at a text's edges leaves an empty piece there
+    begin = np.concatenate([[0], np.cumsum(real)])[lists.offsets.to_numpy()] if len(texts) else np.zeros(1, np.int64)
+    return np.fromiter(map(_words.__getitem__, words), U, len(words)), which[real], begin
+
+
+def word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and where each text's begin (one more)."""
+    hashes, which, begin = distinct_words(texts)
+    return hashes[which], begin
 
 
-def shingle_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(texts, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct k-word shingles of every text, by text and then hash: hashes, and where each text's begin (one more). A text
     with fewer words has the whole sequence as its one shingle; one without words has none."""
     h, at = word_hashes(texts)

@@ -40,17 +40,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prosopon.llm.common import crc_mod, keyed_text, prepare
-from prosopon.llm.hashing import mix, word_hashes
+from prosopon.llm.hashing import distinct_words, mix
 from prosopon.operators.durable import drop_table, release, write_table
 
 U = np.uint64
 START, END = U(0x5BF03635DE1C2A01), U(0x2545F4914F6CDD1D)
 K = 5
 HOT = 65_000
-#: Texts of one Arrow batch, and characters and texts that are packed together.
-BATCH, UNIT_CHARS, UNIT_TEXTS = "500", 6_000_000, 60_000
+#: Rows and bytes of one Arrow batch, and bytes and texts that are packed together.
+BATCH, BATCH_BYTES, UNIT_BYTES, UNIT_TEXTS = 20_000, 4_000_000, 6_000_000, 60_000
 #: Tokens for which there is one fragment in counting, and in scoring (where it holds the model's grams only).
-FRAGMENT, LOOKUP = 2_000_000, 8_000_000
+FRAGMENT, LOOKUP = 2_000_000, 6_000_000
 #: Folders of a model table.
 PARTS = 4
 
@@ -59,7 +59,8 @@ _TYPES = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolea
 
 def _arrow(df: DataFrame, ddl: str, run) -> DataFrame:
     prepare(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(run, ddl)
 
 
@@ -80,15 +81,15 @@ def _ints(b: pa.RecordBatch, k: int) -> np.ndarray:
 # ---- tokens and grams
 
 
-def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all texts' tokens, the end among them, and where each text's begin (one more)."""
-    h, at = word_hashes(texts)
+def tokens(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct tokens, the end last; for every token of the texts its place among them; where each text's begin (one more)."""
+    h, which, at = distinct_words(texts)
     begin = at + np.arange(len(texts) + 1)
-    w = np.empty(len(h) + len(texts), U)
+    w = np.full(len(which) + len(texts), len(h), np.int64)
     is_word = np.ones(len(w), bool)
     is_word[begin[1:] - 1] = False
-    w[~is_word], w[is_word] = END, h
-    return w, begin
+    w[is_word] = which
+    return np.append(h, END), w, begin
 
 
 def _cold(h: np.ndarray) -> np.ndarray:
@@ -114,20 +115,18 @@ class Level:
     alpha: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def code(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return _cold(h)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, at, _cold(h))
+        at = _found(self.hashes, h)
+        return np.where(at >= 0, at, _cold(h))
 
 
-def _grams(w: np.ndarray, begin: np.ndarray, levels: list[Level]):
-    """For order 2 and up: codes of history and suffix, and the token at which the gram ends. levels: orders below."""
-    at = np.arange(len(w)) - np.repeat(begin[:-1], np.diff(begin))
-    here = levels[0].code(w)
+def _grams(here: np.ndarray, begin: np.ndarray, levels: list[Level]):
+    """For order 2 and up: codes of history and suffix, and the token at which the gram ends. here: codes of the tokens; levels: orders
+    below."""
+    at = np.arange(len(here)) - np.repeat(begin[:-1], np.diff(begin))
     before = np.empty_like(here)
     before[1:] = here[:-1]
     before[at == 0] = levels[0].code(np.array([START]))[0]
-    yield before, here, np.arange(len(w))
+    yield before, here, np.arange(len(here))
     for k, level in enumerate(levels[1:], start=1):
         here = level.code(gram_hash(before, here))  # of the gram that ends at a token
         before = np.empty_like(here)
@@ -178,16 +177,15 @@ def _width(codes: np.ndarray, hot: bool) -> np.ndarray:
 def pack(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, bytes]:
     """Codes of histories and suffixes, grouped by history; and the order of the grams in it. The four kinds (history hot or cold,
     suffix hot or cold) stand one after the other."""
-    kind = 2 * (x < 0) + (y < 0)
-    order = np.lexsort((y, x, kind))
-    x, y, kind = x[order], y[order], kind[order]
-    cuts = np.searchsorted(kind, np.arange(5))
-    parts = []
+    orders, parts = [], []
     for k in range(4):
-        xs, ys = x[cuts[k] : cuts[k + 1]], y[cuts[k] : cuts[k + 1]]
+        ids = np.flatnonzero(((x < 0) == (k > 1)) & ((y < 0) == (k % 2 == 1)))
+        ids = ids[np.argsort(x[ids] << 16 | y[ids] if k == 0 else x[ids])]
+        xs, ys = x[ids], y[ids]
         at = _starts(xs)
+        orders.append(ids)
         parts += [_width(xs[at], k < 2), _small(np.diff(np.append(at, len(xs)))), _width(ys, k % 2 == 0)]
-    return order, _pressed(*parts)
+    return np.concatenate(orders), _pressed(*parts)
 
 
 def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -204,10 +202,10 @@ def _place(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
 
 def _dealt(place: np.ndarray, n: int):
     """(fragment, indices of its items)."""
-    order = np.argsort(place, kind="stable")
-    cuts = np.searchsorted(place[order], np.arange(n + 1))
-    for f in np.flatnonzero(np.diff(cuts)):
-        yield int(f), order[cuts[f] : cuts[f + 1]]
+    order = np.argsort(place.astype("<u2") if n <= 1 << 16 else place, kind="stable")
+    at = _starts(place[order])
+    for i, j in itertools.pairwise([*at.tolist(), len(place)] if len(place) else ()):
+        yield int(place[order[i]]), order[i:j]
 
 
 def _units(batches):
@@ -220,7 +218,7 @@ def _units(batches):
         held.append(b)
         chars += b.column(b.num_columns - 1).nbytes
         rows += b.num_rows
-        if chars >= UNIT_CHARS or rows + int(BATCH) > UNIT_TEXTS:
+        if chars >= UNIT_BYTES or rows + BATCH > UNIT_TEXTS:
             yield pa.Table.from_batches(held)
             held, chars, rows = [], 0, 0
     if held:
@@ -235,7 +233,9 @@ def _words(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         for t in _units(batches):
-            w, c = np.unique(tokens(t.column(0).to_pylist())[0], return_counts=True)
+            w, which, _ = tokens(t.column(0))
+            c = np.bincount(which, minlength=len(w))
+            w, c = w[c > 0], c[c > 0]
             for i in range(0, len(w), 200_000):
                 yield _batch("h long, c long", (w[i : i + 200_000].view(np.int64), c[i : i + 200_000]))
 
@@ -252,9 +252,9 @@ def _counted(texts: DataFrame, order: int, sent, fragments: int) -> DataFrame:
 
     def count(batches):
         for t in _units(batches):
-            w, begin = tokens(t.column(0).to_pylist())
-            x, y, _ = next(itertools.islice(_grams(w, begin, sent.value), order - 2, None))
-            sort = np.lexsort((y, x))
+            w, which, begin = tokens(t.column(0))
+            x, y, _ = next(itertools.islice(_grams(sent.value[0].code(w)[which], begin, sent.value), order - 2, None))
+            sort = np.argsort(gram_hash(x, y))
             x, y = x[sort], y[sort]
             at = _starts(x, y) if len(x) else np.zeros(0, np.int64)
             c = np.diff(np.append(at, len(x)))
@@ -271,17 +271,19 @@ def _counted(texts: DataFrame, order: int, sent, fragments: int) -> DataFrame:
         for _, group in itertools.groupby(_rows(batches), key=lambda r: r[0]):
             parts = [(*unpack(grams), _parts(counts)[0].astype(np.int64)) for _, grams, counts in group]
             x, y, c = (np.concatenate(p) for p in zip(*parts))
-            sort = np.lexsort((y, x))
+            sort = np.argsort(gram_hash(x, y))
             x, y, c = x[sort], y[sort], c[sort]
             at = _starts(x, y)
             x, y, c = x[at], y[at], np.add.reduceat(c, at)
+            sort = np.argsort(x)
+            x, y, c = x[sort], y[sort], c[sort]
             for i in range(0, len(x), 200_000):
                 m = slice(i, i + 200_000)
                 hot = y[m] >= 0
                 p = np.where(hot, low[np.where(hot, y[m], 0)], 0.0) if len(low) else np.zeros(len(hot))
                 yield _batch(GRAMS, (x[m], y[m], c[m], pa.array(p, mask=~hot)))
 
-    dealt = _arrow(texts, COUNTS, count).repartition(fragments, "fragment").sortWithinPartitions("fragment")
+    dealt = _arrow(texts, COUNTS, count).repartitionById(fragments, F.col("fragment")).sortWithinPartitions("fragment")
     return _arrow(dealt, GRAMS, merge)
 
 
@@ -488,7 +490,7 @@ def _asked(docs: DataFrame, sent, fragments: int) -> DataFrame:
         levels = sent.value
         for seq, t in enumerate(_units(batches)):
             unit, m = task + seq, t.num_rows
-            w, begin = tokens(t.column(2).to_pylist())
+            w, which, begin = tokens(t.column(2))
             owner = np.repeat(np.arange(m), np.diff(begin))
             heads = np.zeros(m, HEADS)
             ids = t.column(0)
@@ -496,43 +498,58 @@ def _asked(docs: DataFrame, sent, fragments: int) -> DataFrame:
             heads["held"], heads["n"] = t.column(1).to_numpy(), np.diff(begin)
             code = levels[0].code(w)
             hot = code >= 0
-            code, who = code[hot], owner[hot]
-            known = levels[0].count[code] > 0
-            heads["known"] = np.bincount(who[known], minlength=m)
-            heads["base"] = np.bincount(who, np.log10(levels[0].count[code] + 0.5), m)
-            heads["score"] = np.bincount(who, levels[0].logp[code], m)
+            of = lambda v: np.where(hot, v[np.where(hot, code, 0)], 0.0)[which]
+            heads["known"] = np.bincount(owner, of((levels[0].count > 0).astype(float)), m)
+            heads["base"] = np.bincount(owner, of(np.log10(levels[0].count + 0.5)), m)
+            heads["score"] = np.bincount(owner, of(levels[0].logp), m)
             out = []
-            for k, (x, y, at) in enumerate(_grams(w, begin, levels[:-1]), start=1):
-                code, who = levels[k].code(gram_hash(x, y)), owner[at]
-                hot = code >= 0
-                heads["score"] += np.bincount(who[hot], levels[k].step[code[hot]], m)
-                x, y, who = x[~hot], y[~hot], who[~hot]
-                for f, ids in _dealt(_place(x, y, fragments), fragments):
-                    out.append((f, f, unit, k, *_question(x[ids], y[ids], who[ids])))
+            for k, (x, y, at) in enumerate(_grams(code[which], begin, levels[:-1]), start=1):
+                out += ((f, f, unit, k, *q) for f, q in _questions(x, y, owner[at], levels[k], heads, fragments))
             out.append((unit % fragments, -1, unit, 0, heads.tobytes(), b""))
             yield _batch(ASK, zip(*out))
 
     return _arrow(docs, ASK, run)
 
 
-def _question(x: np.ndarray, y: np.ndarray, who: np.ndarray) -> tuple[bytes, bytes]:
-    """Each gram once, with the texts that have it and how often."""
-    sort = np.lexsort((who, y, x))
-    x, y, who = x[sort], y[sort], who[sort]
-    at = _starts(x, y, who)
+def _questions(x: np.ndarray, y: np.ndarray, who: np.ndarray, level: Level, heads: np.ndarray, fragments: int):
+    """Per fragment each gram once, with the texts that have it and how often. Hot grams are answered here."""
+    h = gram_hash(x, y)
+    sort = np.argsort(h & ~U(0xFFFF) | who.astype(U))  # by gram and text; two grams that stand mixed are asked for in pieces
+    h, x, y, who = h[sort], x[sort], y[sort], who[sort]
+    at = _starts(x, y, who) if len(x) else np.zeros(0, np.int64)
     times = np.diff(np.append(at, len(x)))
-    x, y, who = x[at], y[at], who[at]
-    gram = _starts(x, y)
+    h, x, y, who = h[at], x[at], y[at], who[at]
+    gram = _starts(x, y) if len(x) else at
     texts = np.diff(np.append(gram, len(x)))
-    sort, blob = pack(x[gram], y[gram])
-    take = np.repeat(gram[sort] - np.concatenate([[0], np.cumsum(texts[sort])[:-1]]), texts[sort]) + np.arange(len(x))
-    return blob, _pressed(_small(texts[sort]), who[take].astype("<u2"), _small(times[take]))
+    code = level.code(h[gram])
+    mine = np.repeat(code, texts)
+    heads["score"] += np.bincount(who[mine >= 0], level.step[mine[mine >= 0]] * times[mine >= 0], len(heads))
+    gram, texts = gram[code < 0], texts[code < 0]
+    gx, gy = x[gram], y[gram]
+    for f, ids in _dealt(_place(gx, gy, fragments), fragments):
+        sort, blob = pack(gx[ids], gy[ids])
+        ids = ids[sort]
+        n = texts[ids]
+        take = np.repeat(gram[ids] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        yield f, (blob, _pressed(_small(n), who[take].astype("<u2"), _small(times[take])))
 
 
 SUMS = "unit long, fragment int, rows binary"
 SUM = np.dtype([("text", "<u2"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
 
 
+def _found(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The place of each value among the sorted keys, or -1. Sorted look-ups keep to the cache."""
+    out = np.full(len(asked), -1)
+    if len(keys) and len(asked):
+        order = np.argsort(asked)
+        asked = asked[order]
+        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+        hit = keys[at] == asked
+        out[order[hit]] = at[hit]
+    return out
+
+
 class _Fragment:
     """The model's rows of one fragment and order."""
 
@@ -565,10 +582,10 @@ class _Fragment:
         unit, alpha, total = np.zeros(len(x)), np.zeros(len(x)), np.zeros(len(x), np.int64)
         hot = x >= 0
         unit[hot], alpha[hot] = self.level.unit[x[hot]], self.level.alpha[x[hot]]
-        if len(self.x):
-            at = np.minimum(np.searchsorted(self.x, x), len(self.x) - 1)
-            seen = ~hot & (self.x[at] == x)
-            unit[seen], alpha[seen], total[seen] = self.unit[at[seen]], self.alpha[at[seen]], self.total[at[seen]]
+        cold = np.flatnonzero(~hot)
+        at = _found(self.x, x[cold])
+        cold, at = cold[at >= 0], at[at >= 0]
+        unit[cold], alpha[cold], total[cold] = self.unit[at], self.alpha[at], self.total[at]
         return unit, alpha, total
 
     def answer(self, keys: bytes, more: bytes, words, unknown: float) -> np.ndarray:
@@ -577,19 +594,19 @@ class _Fragment:
             self._prepare()
         x, y = unpack(keys)
         n, who, times = _parts(more)
-        unit, alpha, total = self.history(x)
-        step, h = alpha, gram_hash(x, y)
-        if len(self.h):
-            at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
-            step = np.where(self.h[at] == h, unit + self.gain[at], alpha)
+        run = _starts(x)
+        each = np.diff(np.append(run, len(x)))
+        unit, alpha, total = (np.repeat(v, each) for v in self.history(x[run]))
+        at = _found(self.h, gram_hash(x, y))
+        step = np.where(at >= 0, unit + self.gain[at], alpha) if len(self.h) else alpha
         known, base = np.zeros(len(x)), np.zeros(len(x))
         if words is not None:
             cold = x < 0
             seen = cold & (total > 0)
             step = step + np.where(seen, words(np.maximum(total, 1)), np.where(cold, unknown, 0.0))
             known, base = seen.astype(float), np.where(cold, np.log10(total + 0.5), 0.0)
-        text, k = np.unique(who, return_inverse=True)
-        spread = lambda v: np.bincount(k, np.repeat(v, n) * times, len(text))
+        text = np.flatnonzero(np.bincount(who))
+        spread = lambda v: np.bincount(who, np.repeat(v, n) * times)[text]
         out = np.zeros(len(text), SUM)
         out["text"], out["known"], out["base"], out["score"] = text, np.rint(spread(known)), spread(base), spread(step)
         return out
@@ -614,7 +631,7 @@ def _answered(asked: DataFrame, sent, factors: list[list[float]], d1: list[float
                     got = np.concatenate([held[k].answer(keys, more, words if k == 1 else None, unknown) for _, _, _, k, keys, more in asks])
                     yield _batch(SUMS, ([unit], [f], [got.tobytes()]))
 
-    return _arrow(asked.repartition(fragments, "place").sortWithinPartitions("fragment", "unit"), SUMS, run)
+    return _arrow(asked.repartitionById(fragments, F.col("place")).sortWithinPartitions("fragment", "unit"), SUMS, run)
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

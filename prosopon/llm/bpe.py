@@ -1,12 +1,17 @@
 """Byte-level BPE by DuckDB recursive queries, one per partition and batch.
 
-A text is cut into the matches of the tokenizer's pattern. The distinct matches of a batch become rows (word, position,
-token), one per byte. A recursive query joins neighbouring tokens with the merge table, and in every round contracts the
-leftmost pair of minimum rank of each word, until no word has a pair left. Decoding joins the ids with the vocabulary and
-aggregates the tokens' bytes by position.
-
-Matches of more than LONG_WORD bytes (a run of letters without any break) would need as many rounds as they have bytes;
-they are contracted in the same order by a heap instead, which gives the same ids.
+A text is cut into the matches of the tokenizer's pattern. The distinct matches of a batch become rows (word, position, token), one
+per byte. A recursive query joins neighbouring tokens with the merge table and contracts each word's leftmost pair of minimum rank,
+until no word has a pair left. Pairs of that rank further right that do not overlap are contracted in the same round: a token's rank is
+above those of the parts it is made of, so no contraction makes a pair that would have to come before them. (A token that can also
+be cut into a part of higher rank is never made from it: before that part could be made, all of the token's bytes, which nothing
+from outside has joined, would have become the token itself. The tests encode every token of the vocabulary.) Decoding joins the ids of each whole text with the vocabulary and aggregates the tokens' bytes in the order
+of their positions.
+
+Matches of more than PIECE bytes (a run of letters without any break) go through the same query in pieces. Tokens are the encoding
+of their bytes if and only if every two neighbours are the encoding of theirs: the first contraction across a boundary would touch
+only the two tokens beside it, and would so come in the encoding of these two as well. Where two pieces meet in tokens that are not
+their own encoding, the tokens around are encoded together, more of them each time, until all boundaries hold.
 
 Defined results: a null text is empty, has no ids and decodes to an empty text; repeated rows are encoded each for itself;
 ids that are null are skipped in decoding, ids that the vocabulary lacks are an error; an empty table gives an empty table.
@@ -16,7 +21,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 import itertools
 from functools import lru_cache
 
@@ -27,7 +31,10 @@ from pyspark.sql import DataFrame
 
 from prosopon.llm.common import keyed_text, map_arrow, utf8
 
-LONG_WORD = 64
+#: Bytes of a match that are encoded at once.
+PIECE = 64
+#: Tokens on each side that are encoded anew where pieces do not fit, at first.
+AROUND = 4
 #: Distinct words, and groups of words, that a worker remembers in each of two generations.
 MEMO = 300_000
 
@@ -42,8 +49,9 @@ WITH RECURSIVE state(g, word, id, nxt, done) AS (
         SELECT a.word, a.g, b.g AS other, b.nxt AS after, m.rank
         FROM live a JOIN live b ON a.nxt = b.g JOIN merges m ON a.id = m.l AND b.id = m.r
     ),
-    best AS MATERIALIZED (SELECT word, min(CAST(rank AS BIGINT) * 4294967296 + g) AS k FROM pair GROUP BY word),
-    joined AS MATERIALIZED (SELECT pair.* FROM pair JOIN best ON pair.g = best.k % 4294967296)
+    best AS MATERIALIZED (SELECT word, min(rank) AS rank FROM pair GROUP BY word),
+    least AS MATERIALIZED (SELECT pair.* FROM pair JOIN best ON pair.word = best.word AND pair.rank = best.rank),
+    joined AS MATERIALIZED (SELECT * FROM least l ANTI JOIN least before ON l.g = before.other)
     SELECT a.g, a.word, coalesce(j.rank, a.id), CASE WHEN j.g IS NULL THEN a.nxt ELSE j.after END, false
     FROM live a SEMI JOIN best ON a.word = best.word LEFT JOIN joined j ON a.g = j.g
     WHERE a.g NOT IN (SELECT other FROM joined)
@@ -54,7 +62,9 @@ WITH RECURSIVE state(g, word, id, nxt, done) AS (
 SELECT g, word, id FROM state WHERE done
 """
 
-DECODE = "SELECT g.word, list(v.bytes ORDER BY g.pos) AS parts FROM given_ids g JOIN vocabulary v ON g.id = v.id GROUP BY g.word"
+#: The bytes of a token are held as letters, so that they can be joined.
+DECODE = "SELECT t.k, string_agg(v.letters, '' ORDER BY t.pos) AS letters FROM given_ids t JOIN vocabulary v ON t.id = v.id GROUP BY t.k"
+LETTER = 256
 
 
 class Vocabulary:
@@ -65,13 +75,13 @@ class Vocabulary:
 
         self.rank = {base64.b64decode(a): int(b) for a, b in (line.split() for line in open(path, "rb") if line.strip())}
         self.bytes_of = {k: b for b, k in self.rank.items()}
-        pairs = {(self.rank[t[:i]], self.rank[t[i:]]): k for t, k in self.rank.items() for i in range(1, len(t)) if t[:i] in self.rank and t[i:] in self.rank}
-        self.pairs = pairs
+        pairs = [(self.rank[t[:i]], self.rank[t[i:]], k) for t, k in self.rank.items() for i in range(1, len(t)) if t[:i] in self.rank and t[i:] in self.rank]
+        pairs = [(a, b, k) for a, b, k in pairs if k > max(a, b)]
         self.byte_id = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
+        self.fits: dict[tuple[int, int], bool] = {}
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "350MB", "preserve_insertion_order": False})
-        of = {k: np.array([p[i] for p in pairs], np.int32) for i, k in enumerate("lr")}
-        self._table("merges", **of, rank=np.fromiter(pairs.values(), np.int32))
-        self._table("vocabulary", id=np.fromiter(self.bytes_of, np.int32), bytes=list(self.bytes_of.values()))
+        self._table("merges", **dict(zip(("l", "r", "rank"), np.array(pairs, np.int32).T)))
+        self._table("vocabulary", id=np.fromiter(self.bytes_of, np.int32), letters=["".join(chr(LETTER + x) for x in b) for b in self.bytes_of.values()])
 
     def _table(self, name: str, **cols) -> None:
         self.db.register("given", pa.table(cols))
@@ -79,59 +89,78 @@ class Vocabulary:
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word."""
-        out: list[list[int]] = [[] for _ in words]
-        short = [k for k, w in enumerate(words) if 0 < len(w) <= LONG_WORD]
-        for k, w in enumerate(words):
-            if len(w) > LONG_WORD:
-                out[k] = self._by_heap(w)
-        if short:
-            n = np.array([len(words[k]) for k in short])
-            ends = np.cumsum(n)
-            g = np.arange(ends[-1], dtype=np.int32)
-            nxt = g + 1
-            nxt[ends - 1] = -1
-            word = np.repeat(np.arange(len(short), dtype=np.int32), n)
-            self._table("start", g=g, word=word, id=self.byte_id[np.frombuffer(b"".join(words[k] for k in short), np.uint8)], nxt=nxt)
-            got = self.db.execute(ENCODE).fetchnumpy()
-            order = np.argsort(got["g"], kind="stable")
-            ids, cut = got["id"][order].tolist(), np.searchsorted(got["word"][order], np.arange(len(short) + 1)).tolist()
-            for j, k in enumerate(short):
-                out[k] = ids[cut[j] : cut[j + 1]]
-        return out
-
-    def _by_heap(self, word: bytes) -> list[int]:
-        """The same contraction of a long word: always its leftmost pair of minimum rank."""
-        ids: list[int | None] = self.byte_id[np.frombuffer(word, np.uint8)].tolist()
-        n = len(ids)
-        nxt, prev = [*range(1, n + 1)], [*range(-1, n - 1)]
-        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (r := self.pairs.get((a, b))) is not None]
-        heapq.heapify(heap)
-        while heap:
-            r, i, a, b = heapq.heappop(heap)
-            j = nxt[i]
-            if ids[i] != a or j >= n or ids[j] != b:
-                continue
-            ids[i], ids[j], nxt[i] = r, None, nxt[j]
-            if nxt[i] < n:
-                prev[nxt[i]] = i
-            for x, y in ((prev[i], i), (i, nxt[i])):
-                if x >= 0 and y < n and (k := self.pairs.get((ids[x], ids[y]))) is not None:
-                    heapq.heappush(heap, (k, x, ids[x], ids[y]))
-        return [k for k in ids if k is not None]
-
-    def decode_all(self, rows: list[list[int]]) -> list[bytes]:
-        """The bytes of each list of ids."""
-        flat = np.array([k for r in rows for k in r], np.int32)
+        pieces = [[w[i : i + PIECE] for i in range(0, len(w), PIECE)] for w in words]
+        flat = iter(self._contract(list(itertools.chain.from_iterable(pieces))))
+        coded = [[next(flat) for _ in p] for p in pieces]
+        self._splice([c for c in coded if len(c) > 1])
+        return [list(itertools.chain.from_iterable(c)) for c in coded]
+
+    def _contract(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of each word, by the recursive query. No word is empty."""
+        if not words:
+            return []
+        n = np.array([len(w) for w in words])
+        ends = np.cumsum(n)
+        g = np.arange(ends[-1], dtype=np.int32)
+        nxt = g + 1
+        nxt[ends - 1] = -1
+        self._table("start", g=g, word=np.repeat(np.arange(len(words), dtype=np.int32), n), id=self.byte_id[np.frombuffer(b"".join(words), np.uint8)], nxt=nxt)
+        got = self.db.execute(ENCODE).fetchnumpy()
+        order = np.argsort(got["g"], kind="stable")
+        ids, cut = got["id"][order].tolist(), np.searchsorted(got["word"][order], np.arange(len(words) + 1)).tolist()
+        return [ids[i:j] for i, j in itertools.pairwise(cut)]
+
+    def _joined(self, ids) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, ids))
+
+    def _fit(self, pairs: set[tuple[int, int]]) -> dict[tuple[int, int], bool]:
+        """Whether two tokens are the encoding of their joined bytes."""
+        if len(self.fits) > MEMO:
+            self.fits.clear()
+        new = list(pairs - self.fits.keys())
+        self.fits |= {p: ids == [*p] for p, ids in zip(new, self._contract([self._joined(p) for p in new]))}
+        return self.fits
+
+    def _splice(self, coded: list[list[list[int]]]) -> None:
+        """Makes the pieces of each word the word's encoding. A piece is a list of ids, none empty."""
+        # How many tokens on each side to encode anew if a boundary does not hold; 0 where it is proven.
+        todo = [[AROUND] * (len(c) - 1) for c in coded]
+        while any(map(any, todo)):
+            meet = lambda c, k: (c[k][-1], c[k + 1][0])
+            fits = self._fit({meet(c, k) for c, t in zip(coded, todo) for k, m in enumerate(t) if m})
+            anew: list[tuple[int, int]] = []
+            for i, (c, t) in enumerate(zip(coded, todo)):
+                last = -2
+                for k, m in enumerate(t):
+                    if m and fits[meet(c, k)]:
+                        t[k] = 0
+                    elif m and k > last + 1:  # its neighbour may wait for the next round
+                        anew.append((i, k))
+                        last = k
+            got = self._contract([self._joined(coded[i][k][-todo[i][k] :] + coded[i][k + 1][: todo[i][k]]) for i, k in anew])
+            for (i, k), ids in zip(reversed(anew), reversed(got)):
+                c, t = coded[i], todo[i]
+                m = t[k]
+                left, right = c[k][:-m], c[k + 1][m:]
+                if not left and k:
+                    t[k - 1] = max(t[k - 1], 2 * m)
+                if not right and k + 1 < len(t):
+                    t[k + 1] = max(t[k + 1], 2 * m)
+                c[k : k + 2] = parts = [x for x in (left, ids, right) if x]
+                t[k : k + 1] = [2 * m] * (len(parts) - 1)
+
+    def decode_all(self, rows: list[np.ndarray]) -> list[bytes]:
+        """The bytes of each array of ids."""
+        sizes = [len(r) for r in rows]
+        flat = np.concatenate([np.zeros(0, np.int32), *rows])
         if not len(flat):
             return [b""] * len(rows)
-        if (unknown := set(np.unique(flat).tolist()) - self.bytes_of.keys()):
+        if unknown := set(np.unique(flat).tolist()) - self.bytes_of.keys():
             raise ValueError(f"ids without a token: {sorted(unknown)[:5]}")
-        word = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-        self._table("given_ids", word=word, pos=np.arange(len(flat), dtype=np.int32), id=flat)
-        got = self.db.execute(DECODE).fetchall()
+        self._table("given_ids", k=np.repeat(np.arange(len(rows), dtype=np.int32), sizes), pos=np.arange(len(flat), dtype=np.int32), id=flat)
         out = [b""] * len(rows)
-        for k, parts in got:
-            out[k] = b"".join(parts)
+        for k, letters in self.db.execute(DECODE).fetchall():
+            out[k] = (np.frombuffer(letters.encode("utf-16-le"), "<u2") - LETTER).astype(np.uint8).tobytes()
         return out
 
 
@@ -177,7 +206,7 @@ def groups(text: str) -> list[str]:
 
 
 class Codec:
-    """Encodes the texts of a batch: each group of words as (number of ids, decimal ids, bytes that they decode to)."""
+    """Encodes the texts of a batch: each group of words as (number of ids, decimal ids, ids of four bytes)."""
 
     def __init__(self, path: str, pattern: str):
         self.vocabulary, self.pattern = vocabulary(path), regex.compile(pattern)
@@ -192,7 +221,7 @@ class Codec:
         words = self.words.known(all_words)
         new = list(all_words - words.keys())
         ids = self.vocabulary.encode_words([utf8(w) for w in new])
-        coded = {w: (len(i), " ".join(map(str, i)), b) for w, i, b in zip(new, ids, self.vocabulary.decode_all(ids))}
+        coded = {w: (len(i), " ".join(map(str, i)), np.array(i, "<i4").tobytes()) for w, i in zip(new, ids)}
         self.words.add(coded)
         words |= coded
         coded = {}
@@ -207,6 +236,10 @@ class Codec:
         return [list(map(here.__getitem__, parts)) for parts in cut]
 
 
+def ids_of(coded: list[tuple[int, str, bytes]]) -> np.ndarray:
+    return np.frombuffer(b"".join([g[2] for g in coded]), "<i4")
+
+
 @lru_cache(1)
 def codec(path: str, pattern: str) -> Codec:
     """One for each worker, so that what it remembers serves its next tasks."""
@@ -218,7 +251,7 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
 
     def start():
         c = codec(path, pattern)
-        return lambda ids, texts: (ids, [[int(k) for g in parts for k in g[1].split()] for parts in c.encode(texts)])
+        return lambda ids, texts: (ids, [ids_of(r) for r in c.encode(texts)])
 
     return map_arrow(keyed_text(df, id_col, text_col), "doc_id long, ids array<int>", start)
 
@@ -228,7 +261,7 @@ def decode(df: DataFrame, path: str) -> DataFrame:
 
     def start():
         v = vocabulary(path)
-        return lambda keys, ids: (keys, v.decode_all([[k for k in (r or ()) if k is not None] for r in ids]))
+        return lambda keys, ids: (keys, v.decode_all([np.array([k for k in (r or ()) if k is not None], np.int32) for r in ids]))
 
     return map_arrow(df.select("doc_id", "ids"), "doc_id long, bytes binary", start)
 
@@ -237,7 +270,7 @@ DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Number and digest of every row's ids, and digest of the bytes that they decode to."""
+    """Number and digest of every row's ids, and digest of the bytes that these ids, text by text, decode to."""
 
     def start():
         c = codec(path, pattern)
@@ -245,7 +278,8 @@ def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
         def f(keys, texts):
             coded = c.encode(texts)
             sha = lambda b: hashlib.sha256(b).hexdigest()
-            return keys, [sum(g[0] for g in r) for r in coded], [sha(" ".join([g[1] for g in r]).encode()) for r in coded], [sha(b"".join([g[2] for g in r])) for r in coded]
+            decoded = c.vocabulary.decode_all([ids_of(r) for r in coded])
+            return keys, [sum(g[0] for g in r) for r in coded], [sha(" ".join([g[1] for g in r]).encode()) for r in coded], list(map(sha, decoded))
 
         return f
 

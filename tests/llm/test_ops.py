@@ -129,7 +129,7 @@ def test_counts_are_the_library_s(odd, docs):
 def test_vocabulary_tokens_are_their_own_encoding():
     """A token's bytes give that token by merges, so taking whole matches at once, as one library does, is the same."""
     v = bpe.vocabulary(P.path("byte_bpe_50k.tiktoken"))
-    words = sorted(v.rank)[::7]
+    words = sorted(v.rank)
     assert v.encode_words(words) == [[v.rank[w]] for w in words]
 
 
@@ -151,9 +151,22 @@ def test_bpe_round_trip(odd, docs):
         assert by_row(bpe.round_trip(df, path, P.PATTERN), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
     ids = bpe.encode(odd, path, P.PATTERN)
     assert sorted(bytes(r["bytes"]) for r in bpe.decode(ids, path).collect()) == sorted((t or "").encode() for _, t in pairs(odd))
-    w = bpe.vocabulary(path)
-    for word in ("antidisestablishmentarianism", "aaaaaaaaaaaaaaaaaaaaaaa", "naïveté", "    "):
-        assert w._by_heap(word.encode()) == w.encode_words([word.encode()])[0]
+
+
+def test_long_matches_are_spliced_exactly():
+    import tiktoken
+
+    path = P.path("byte_bpe_50k.tiktoken")
+    v = bpe.vocabulary(path)
+    enc = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=v.rank, special_tokens={})
+    rng = random.Random(4)
+    words = ["antidisestablishmentarianism", "naïveté", "    ", *("x" * n for n in (63, 64, 65, 200, 3001)), "ab" * 3000, "aab" * 999, "日本語" * 300, "".join(chr(rng.randrange(0xE0, 0x180)) for _ in range(500)).replace("×", "").replace("÷", "")]
+    words += ["".join(rng.choice(a) for _ in range(n)) for a in ("ab", "abc", "etaoin", "abcdefghijklmnopqrstuvwxyz") for n in (65, 130, 1000, 5000)]
+    words.append("".join(rng.choice("etaoinshrdlucm") for _ in range(100_000)))
+    got = v.encode_words([w.encode() for w in words])
+    for w, ids in zip(words, got):
+        assert ids == enc.encode_single_piece(w) if hasattr(enc, "encode_single_piece") else ids == enc._encode_single_piece(w.encode()), w[:40]
+    assert v.decode_all([bpe.np.array(i, "i4") for i in got]) == [w.encode() for w in words]
 
 
 # ---- toxicity

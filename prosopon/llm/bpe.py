@@ -44,19 +44,15 @@ WITH RECURSIVE state(g, word, id, nxt, done) AS (
     SELECT g, word, id, nxt, false FROM start
     UNION ALL
     (
-    WITH live AS MATERIALIZED (SELECT g, word, id, nxt FROM state WHERE NOT done),
-    pair AS MATERIALIZED (
+    WITH pair AS MATERIALIZED (
         SELECT a.word, a.g, b.g AS other, b.nxt AS after, m.rank
-        FROM live a JOIN live b ON a.nxt = b.g JOIN merges m ON a.id = m.l AND b.id = m.r
+        FROM state a JOIN state b ON a.nxt = b.g JOIN merges m ON CAST(a.id AS BIGINT) * 4294967296 + b.id = m.both WHERE NOT a.done AND NOT b.done
     ),
     best AS MATERIALIZED (SELECT word, min(rank) AS rank FROM pair GROUP BY word),
     least AS MATERIALIZED (SELECT pair.* FROM pair JOIN best ON pair.word = best.word AND pair.rank = best.rank),
     joined AS MATERIALIZED (SELECT * FROM least l ANTI JOIN least before ON l.g = before.other)
-    SELECT a.g, a.word, coalesce(j.rank, a.id), CASE WHEN j.g IS NULL THEN a.nxt ELSE j.after END, false
-    FROM live a SEMI JOIN best ON a.word = best.word LEFT JOIN joined j ON a.g = j.g
-    WHERE a.g NOT IN (SELECT other FROM joined)
-    UNION ALL
-    SELECT a.g, a.word, a.id, a.nxt, true FROM live a ANTI JOIN best ON a.word = best.word
+    SELECT a.g, a.word, coalesce(j.rank, a.id), CASE WHEN j.g IS NULL THEN a.nxt ELSE j.after END, best.word IS NULL
+    FROM state a ANTI JOIN joined gone ON a.g = gone.other LEFT JOIN joined j ON a.g = j.g LEFT JOIN best ON a.word = best.word WHERE NOT a.done
     )
 )
 SELECT g, word, id FROM state WHERE done
@@ -77,10 +73,12 @@ class Vocabulary:
         self.bytes_of = {k: b for b, k in self.rank.items()}
         pairs = [(self.rank[t[:i]], self.rank[t[i:]], k) for t, k in self.rank.items() for i in range(1, len(t)) if t[:i] in self.rank and t[i:] in self.rank]
         pairs = [(a, b, k) for a, b, k in pairs if k > max(a, b)]
+        self.decimal = {k: str(k) for k in self.bytes_of}
         self.byte_id = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
         self.fits: dict[tuple[int, int], bool] = {}
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "350MB", "preserve_insertion_order": False})
-        self._table("merges", **dict(zip(("l", "r", "rank"), np.array(pairs, np.int32).T)))
+        left, right, rank = np.array(pairs, np.int64).T
+        self._table("merges", both=left << 32 | right, rank=rank.astype(np.int32))
         self._table("vocabulary", id=np.fromiter(self.bytes_of, np.int32), letters=["".join(chr(LETTER + x) for x in b) for b in self.bytes_of.values()])
 
     def _table(self, name: str, **cols) -> None:
@@ -89,11 +87,15 @@ class Vocabulary:
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word."""
-        pieces = [[w[i : i + PIECE] for i in range(0, len(w), PIECE)] for w in words]
-        flat = iter(self._contract(list(itertools.chain.from_iterable(pieces))))
-        coded = [[next(flat) for _ in p] for p in pieces]
-        self._splice([c for c in coded if len(c) > 1])
-        return [list(itertools.chain.from_iterable(c)) for c in coded]
+        long = [k for k, w in enumerate(words) if len(w) > PIECE]
+        pieces = [[words[k][i : i + PIECE] for i in range(0, len(words[k]), PIECE)] for k in long]
+        out = self._contract([w[:PIECE] for w in words] + [x for p in pieces for x in p[1:]])
+        rest = iter(out[len(words) :])
+        coded = [[out[k], *(next(rest) for _ in p[1:])] for k, p in zip(long, pieces)]
+        self._splice(coded)
+        for k, c in zip(long, coded):
+            out[k] = list(itertools.chain.from_iterable(c))
+        return out[: len(words)]
 
     def _contract(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word, by the recursive query. No word is empty."""
@@ -221,7 +223,9 @@ class Codec:
         words = self.words.known(all_words)
         new = list(all_words - words.keys())
         ids = self.vocabulary.encode_words([utf8(w) for w in new])
-        coded = {w: (len(i), " ".join(map(str, i)), np.array(i, "<i4").tobytes()) for w, i in zip(new, ids)}
+        flat, decimal = np.fromiter(itertools.chain.from_iterable(ids), "<i4").tobytes(), self.vocabulary.decimal.__getitem__
+        ends = itertools.accumulate(map(len, ids))
+        coded = {w: (len(i), " ".join(map(decimal, i)), flat[4 * (e - len(i)) : 4 * e]) for w, i, e in zip(new, ids, ends)}
         self.words.add(coded)
         words |= coded
         coded = {}

@@ -30,7 +30,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from prosopon.llm.common import keyed_text, prepare
 from prosopon.llm.hashing import shingle_sets
@@ -81,7 +81,7 @@ def _common(docs: DataFrame, words: int) -> np.ndarray:
 
     def run(batches):
         for b in batches:
-            yield _batch("item long", [shingle_sets(b.column(0).to_pylist(), words)[0].view(np.int64)])
+            yield _batch("item long", [shingle_sets(b.column(0), words)[0].view(np.int64)])
 
     least = max(20, int(COMMON * min(n, SAMPLE)))
     got = _arrow(few, "item long", run).groupBy("item").count().where(F.col("count") >= least).select("item").collect()
@@ -105,7 +105,7 @@ def _cut(docs: DataFrame, words: int, bits: int, common) -> DataFrame:
     def run(batches):
         task = TaskContext.get().partitionId() << 24
         for seq, b in enumerate(x for x in batches if x.num_rows):
-            s, at = shingle_sets(b.column(1).to_pylist(), words)
+            s, at = shingle_sets(b.column(1), words)
             n = np.diff(at)
             heads = np.zeros(len(n), HEADS)
             heads["doc"], heads["n"] = b.column(0).to_numpy(zero_copy_only=False), n
@@ -215,12 +215,20 @@ RUN = "item long, node long, n int, place int"
 PAIR = "a long, b long, na int, nb int"
 
 
+ORDER = ("item", "place", "n", "node")
+
+
+def _ordered(rows: DataFrame) -> DataFrame:
+    """Dealt out by ranges of the whole order, so that a shingle that very many nodes have is spread over several tasks."""
+    return rows.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
+
+
 def _meeting(found: DataFrame) -> DataFrame:
-    """The prefix rows of shingles that several nodes have in their prefixes, once per node. Equal sets have equal places, so rows
-    of one node stand together; only the last row waits for the next batch."""
+    """The prefix rows of shingles that several nodes have in their prefixes, once per node. Equal sets have equal places. The first and
+    the last shingle of a task may go on in the next one, so their rows stay in any case."""
 
     def run(batches):
-        rest = None  # the last row, and whether another node of its item came before
+        rest = first = None  # the last row, and whether another node of its item came before
         for b in batches:
             cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
             if not len(cols[0]):
@@ -228,25 +236,24 @@ def _meeting(found: DataFrame) -> DataFrame:
             before = False
             if rest is not None:
                 cols, before = [np.concatenate([x, y]) for x, y in zip(rest[0], cols)], rest[1]
-            item, node = cols[:2]
-            new = np.ones(len(item), bool)
-            new[1:] = (item[1:] != item[:-1]) | (node[1:] != node[:-1])
-            cols = [c[new] for c in cols]
             item = cols[0]
+            first = item[0] if first is None else first
             same = item[1:] == item[:-1]
-            met = np.concatenate([[before], same])
+            met = np.concatenate([[before], same]) | (item == first)
             met[:-1] |= same
             yield _batch(RUN, [c[:-1][met[:-1]] for c in cols])
             rest = [c[-1:] for c in cols], bool(met[-1])
-        if rest is not None and rest[1]:
+        if rest is not None:
             yield _batch(RUN, rest[0])
 
-    rows = found.where("kind = 1").select("item", "node", "n", "place")
-    return _arrow(rows.repartition("item").sortWithinPartitions("item", "place", "n", "node"), RUN, run)
+    # Copies of a text have the same rows; they are made one before they are dealt out.
+    rows = found.where("kind = 1").select("item", "node", "n", "place").distinct()
+    return _arrow(_ordered(rows), RUN, run)
 
 
 def _stars(meeting: DataFrame, percent: int) -> DataFrame:
-    """For every node one partner: the leader (first by place) that it meets most often."""
+    """For every node one partner: the leader that it meets most often. The first node by place leads those of an item, or of its
+    part in one task; what this leaves apart is found by _across()."""
 
     def run(batches):
         lead = None  # item, node, n, place of the current item's first row
@@ -263,8 +270,7 @@ def _stars(meeting: DataFrame, percent: int) -> DataFrame:
             yield _batch(PAIR, (node[at[k]], node[k], n[at[k]].astype(np.int32), n[k].astype(np.int32)))
             lead = [c[first[-1:]] for c in cols]
 
-    sorted_ = meeting.repartition("item").sortWithinPartitions("item", "place", "n", "node")
-    counted = _arrow(sorted_, PAIR, run).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("times"))
+    counted = _arrow(_ordered(meeting), PAIR, run).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("times"))
     return counted.groupBy("b", "nb").agg(F.max_by(F.struct("a", "na"), F.struct("times", "a")).alias("x")).select("x.a", "b", "x.na", "nb")
 
 
@@ -330,7 +336,7 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
         for b in batches:
             if b.num_rows:
                 nodes = b.column(0).to_pylist()
-                s, at = shingle_sets(b.column(1).to_pylist(), words)
+                s, at = shingle_sets(b.column(1), words)
                 part = (s >> U(62)).astype(np.int64)
                 out = []
                 for k, (i, j) in enumerate(itertools.pairwise(at)):
@@ -360,11 +366,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return overlap.where(100 * F.col("same") >= percent * (F.col("na") + F.col("nb") - F.col("same"))).select("a", "b")
 
 
-def join(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id that links reach) for every row. Texts link when
-    100 * intersection >= percent * union of their sets of word shingles."""
-    spark = df.sparkSession
-    docs = keyed_text(df, id_col, text_col)
+def _classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, node (names the set), n, component_id for every row of docs (doc_id, text) that has a doc_id."""
+    spark = docs.sparkSession
     keyed = docs.where("doc_id IS NOT NULL")
     size = docs.agg(F.sum(F.length("text"))).head()[0] or 0
     bits = max(1, int(np.ceil(np.log2(max(1, size / 6 / FRAGMENT)))))
@@ -386,25 +390,58 @@ def join(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id
     release(spark)
     if more.head(1):
         component = connected_components(links.unionByName(more))
-    for t in (sets, meeting):
-        drop_table(t)
     labelled = texts.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = labelled.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("smallest"))
-    out = labelled.join(smallest, "component", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"))
-    lost = docs.where("doc_id IS NULL")
-    return out.unionByName(_counted(lost, words))
+    out = labelled.join(smallest, "component", "left").select("doc_id", "node", "n", F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"))
+    out = write_table(out, "classes")
+    for t in (found, sets, meeting, links, more):
+        drop_table(t)
+    return out
+
+
+def join(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id that links reach) for every row. Texts link when
+    100 * intersection >= percent * union of their sets of word shingles."""
+    docs = keyed_text(df, id_col, text_col)
+    out = _classes(docs, words, percent).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+    return out.unionByName(_counted(docs.where("doc_id IS NULL"), words))
 
 
 def _counted(docs: DataFrame, words: int) -> DataFrame:
     def run(batches):
         for b in batches:
-            n = np.diff(shingle_sets(b.column(1).to_pylist(), words)[1])
+            n = np.diff(shingle_sets(b.column(1), words)[1])
             yield _batch("doc_id long, n_shingles long, component_id long", ([None] * len(n), n, [None] * len(n)))
 
     return _arrow(docs, "doc_id long, n_shingles long, component_id long", run)
 
 
+def _with_node(df: DataFrame, words: int) -> DataFrame:
+    """df (doc_id, text and a struct) and the name of each text's set, in a column `node`."""
+    names = df.columns
+
+    def run(batches):
+        for b in batches:
+            s, at = shingle_sets(b.column("text").fill_null(""), words)
+            node = pa.array([_digest(s[i:j]) for i, j in itertools.pairwise(at)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns, node], names=[*names, "node"])
+
+    prepare(df.sparkSession)
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField("node", LongType())]))
+
+
 def one_of_each(df: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of df whose doc_id is the smallest of its component; rows with a null doc_id stay."""
-    gone = join(df, words, percent).where("component_id <> doc_id").select("doc_id").distinct()
-    return df.join(gone, "doc_id", "left_anti").select(df.columns)
+    """One row of each group of linked documents: that with the smallest doc_id. Rows that share their doc_id count each by its own
+    text; of those with the same doc_id and the same set the smallest, by all columns in order, stays. Rows without words link with
+    nothing; rows with a null doc_id stay. Returns the columns of df."""
+    classes = _classes(keyed_text(df), words, percent)
+    per = classes.groupBy("doc_id").agg(F.count("*").alias("times"), F.min("component_id").alias("component_id"))
+    out = df.join(per.where("times > 1 OR component_id <> doc_id").select("doc_id"), "doc_id", "left_anti").select(df.columns)
+    again = per.where("times > 1").select("doc_id")
+    if not again.head(1):
+        return out
+    rest = "rest_of_row"
+    rows = _with_node(df.join(again, "doc_id", "left_semi").select("doc_id", "text", F.struct(*df.columns).alias(rest)), words)
+    stay = classes.where("component_id = doc_id").select("doc_id", "node").distinct()
+    first = rows.join(stay, ["doc_id", "node"], "left_semi").groupBy("doc_id", "node").agg(F.min(rest).alias(rest))
+    return out.unionByName(first.select(f"{rest}.*"))

@@ -306,6 +306,15 @@ def test_join_finds_every_link(spark, docs, odd, k, percent):
         assert by_row(ngram_join.join(df, k, percent), "doc_id", "n_shingles", "component_id") == _components(pairs(df), k, percent)
 
 
+def test_one_of_each_counts_rows_by_their_own_text(spark):
+    a, b, c = ("one two three four five six", "quite another text with words of its own", "a third one that nobody else has here")
+    rows = [(3, a, "x"), (7, a, "x"), (7, b, "y"), (7, b, "x"), (9, c, "x"), (9, c, "x"), (4, "", "x"), (5, None, "x"), (None, a, "x"), (None, a, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, node string")
+    got = by_row(ngram_join.one_of_each(df), "doc_id", "text", "node")
+    assert got == sorted([(3, a, "x"), (7, b, "x"), (9, c, "x"), (4, "", "x"), (5, None, "x"), (None, a, "x"), (None, a, "x")], key=repr)
+    assert ngram_join.one_of_each(df.limit(0)).collect() == []
+
+
 # ---- quality
 
 

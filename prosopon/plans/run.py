@@ -15,6 +15,7 @@ from prosopon.operators.resolve import resolve
 from prosopon.plans.shape import Config, project
 from prosopon.schemas import EXTENSIONS, PARTIAL
 from prosopon.sources.files import csv_scan, json_scan, pdf_scan, read_files, text_scan
+from prosopon.sources.pdf import extract_text
 from prosopon.sources.partials import csv_partials, json_partials, note_partials, numbered, resume_partials
 
 SOURCE_ERROR = "path string, source_type string, stage string, message string"
@@ -37,7 +38,7 @@ class Report:
         }
 
 
-def load(spark: SparkSession, sources: list[tuple[str, str]], extract_pdf: Callable[[bytes], str] | None = None) -> tuple[DataFrame, DataFrame]:
+def load(spark: SparkSession, sources: list[tuple[str, str]], extract_pdf: Callable[[bytes], str] = extract_text) -> tuple[DataFrame, DataFrame]:
     """(partials, source errors) of (path, type) pairs. A file that fails is an error row; the others go on."""
     errors: list[tuple[str, str, str, str]] = []
     parts: list[DataFrame] = []
@@ -91,7 +92,7 @@ def load(spark: SparkSession, sources: list[tuple[str, str]], extract_pdf: Calla
     return (numbered(parts) if parts else spark.createDataFrame([], PARTIAL)), all_errors
 
 
-def run(spark: SparkSession, sources: list[tuple[str, str]], config: Config, extract_pdf: Callable[[bytes], str] | None = None) -> Report:
+def run(spark: SparkSession, sources: list[tuple[str, str]], config: Config, extract_pdf: Callable[[bytes], str] = extract_text) -> Report:
     partials, source_errors = load(spark, sources, extract_pdf)
     return run_partials(partials, source_errors, config)
 
@@ -110,7 +111,7 @@ def run_partials(partials: DataFrame, source_errors: DataFrame, config: Config)
     return Report(partials, records, out, source_errors, errors)
 
 
-def from_files(spark: SparkSession, paths: list[str], config: Config, extract_pdf: Callable[[bytes], str] | None = None) -> Report:
+def from_files(spark: SparkSession, paths: list[str], config: Config, extract_pdf: Callable[[bytes], str] = extract_text) -> Report:
     """Types by extension; unknown ones are errors, after those of the run."""
     typed = [(p, EXTENSIONS.get(p.rsplit(".", 1)[-1].lower() if "." in p.rsplit("/", 1)[-1] else "")) for p in paths]
     report = run(spark, [(p, t) for p, t in typed if t], config, extract_pdf)

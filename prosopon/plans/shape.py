@@ -59,13 +59,20 @@ def load_config(path: str) -> Config:
         raise ValueError(f"config {path}: {e}") from e
 
 
-_FULL = ["full_name:string", "emails:string[]", "phones:string[]", "location:object", "links:object", "headline:string", "years_experience:number", "skills:array", "experience:array", "education:array"]
-#: Every field of a record under its own name.
-DEFAULT_CONFIG = Config([Field(*x.split(":")) for x in _FULL])
-#: Renames, an index, a list of one key, and normalizers.
-EXAMPLE_CONFIG = Config(
-    [Field("full_name", required=True), Field("primary_email", required=True, source="emails[0]"), Field("phone", source="phones[0]", normalize="E164"), Field("skills", "string[]", source="skills[].name", normalize="canonical")],
-    include_provenance=False,
+#: Every field of a record under its own name.
+DEFAULT_CONFIG = Config(
+    [
+        Field("full_name", "string"),
+        Field("emails", "string[]"),
+        Field("phones", "string[]"),
+        Field("location", "object"),
+        Field("links", "object"),
+        Field("headline", "string"),
+        Field("years_experience", "number"),
+        Field("skills", "array"),
+        Field("experience", "array"),
+        Field("education", "array"),
+    ]
 )
 
 

@@ -13,7 +13,7 @@ from prosopon.functions import phones, scoring, text
 from prosopon.operators import checks, fuse, resolve
 from prosopon.operators.durable import write_table
 from prosopon.plans import run as plan
-from prosopon.plans.shape import DEFAULT_CONFIG, EXAMPLE_CONFIG, Config, Field, project, projected_columns
+from prosopon.plans.shape import DEFAULT_CONFIG, Config, Field, project, projected_columns
 from prosopon.sources import files, partials
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,32 @@ def normalize_phone(spark, sf_dir):
     return _scalar("orders", "o_orderkey", _PHONE, phones.normalize_phone, spark, sf_dir)
 
 
+#: The published example of a mobile number for each of these countries, as calling code and national number.
+_EXAMPLES = (
+    "55 11961234567", "7 9123456789", "27 711234567", "52 2221234567", "54 91123456789", "56 221234567", "57 3211234567", "51 912345678", "58 4121234567", "20 1001234567",
+    "234 8021234567", "254 712123456", "233 231234567", "212 650123456", "213 551234567", "216 20123456", "90 5012345678", "966 512345678", "971 501234567", "972 502345678",
+    "92 3012345678", "880 1812345678", "94 712345678", "977 9841234567", "66 812345678", "84 912345678", "60 123456789", "62 812345678", "63 9051234567", "82 1020000000",
+    "81 9012345678", "86 13123456789", "852 51234567", "886 912345678", "64 211234567", "48 512345678", "420 601123456", "46 701234567", "47 40612345", "45 32123456",
+    "358 412345678", "351 912345678", "30 6912345678", "41 781234567", "43 664123456", "32 470123456", "36 201234567", "40 712034567", "380 501234567", "359 43012345",
+    "33 612345678", "49 15123456789", "39 3123456789", "34 612345678", "31 612345678", "61 412345678", "65 81234567", "353 850123456", "44 7400123456", "91 8123456789", "1 2015550123",
+)
+_EXAMPLE = f"{{}}([{', '.join(repr(x) for x in _EXAMPLES)}], CAST(1 + o_orderkey % {len(_EXAMPLES)} AS int))"
+
+
+@query(
+    f"SELECT o_orderkey, CASE o_orderkey % 7 WHEN 5 THEN NULL WHEN 6 THEN NULL ELSE concat('+', replace({_EXAMPLE.format('list_extract')}, ' ', '')) END AS value FROM orders"
+)
+def normalize_phone_world(spark, sf_dir):
+    """Numbers of 61 calling codes: plain, with spaces, after 00, with a trunk 0 and with an extension; too short and too long ones are null."""
+    x = _EXAMPLE.format("element_at").replace("[", "array(").replace("]", ")")
+    code, rest = f"substring_index({x}, ' ', 1)", f"substring_index({x}, ' ', -1)"
+    raw = (
+        f"CASE o_orderkey % 7 WHEN 0 THEN concat('+', {x}) WHEN 1 THEN concat(' 00', {code}, '-', {rest}) WHEN 2 THEN concat('+', {code}, ' ', left({rest}, 3), ' ', substring({rest}, 4)) "
+        f"WHEN 3 THEN concat('+', {x}, ' ext. 12') WHEN 4 THEN concat('+', {code}, CASE WHEN {code} IN ('1', '7', '39') THEN ' ' ELSE ' (0)' END, {rest}) WHEN 5 THEN concat('+', {code}, ' ', left({rest}, 2)) ELSE concat('+', {x}, '123456') END"
+    )
+    return _scalar("orders", "o_orderkey", raw, phones.normalize_phone, spark, sf_dir)
+
+
 _DATE = (
     "CASE o_orderkey % 9 WHEN 0 THEN concat(' Mar ', CAST(2000 + o_orderkey % 20 AS string), '.') WHEN 1 THEN concat('september ', CAST(2000 + o_orderkey % 20 AS string)) "
     "WHEN 2 THEN concat(CAST(2000 + o_orderkey % 20 AS string), '-', lpad(CAST(o_orderkey % 99 AS string), 2, '0')) WHEN 3 THEN CAST(2000 + o_orderkey % 20 AS string) "
@@ -280,13 +306,12 @@ def text_partial(spark, sf_dir):
     return p.select("source_id", F.get("emails", F.lit(0)).alias("email"), F.array_join("skills", "|").alias("skills"))
 
 
-@query("SELECT conv_id, turn, length(trim(left(text, 10 + turn * 5), ' ' || chr(9) || chr(10) || chr(13))) >= 20 AS ok FROM conversations")
+@query("SELECT conv_id, turn, length(trim(text, ' ' || chr(9) || chr(10) || chr(13))) >= 20 AS ok FROM conversations")
 def pdf_text_gate(spark, sf_dir):
-    c = _t(spark, sf_dir, "conversations").select("conv_id", "turn", F.expr("left(text, CAST(10 + turn * 5 AS int))").alias("text"))
-    return files.text_gate(c).select("conv_id", "turn", "ok")
+    return files.text_gate(_t(spark, sf_dir, "conversations").select("conv_id", "turn", "text")).select("conv_id", "turn", "ok")
 
 
-@query()
+@query("SELECT 'default_config.json' AS name, 'ats_json' AS source_type UNION ALL SELECT 'directory_entry.json', 'ats_json'")
 def dir_listing(spark, sf_dir):
     return files.dir_listing(spark, f"file://{Path(__file__).resolve().parent.parent}/configs").select("name", "source_type")
 
@@ -507,7 +532,8 @@ def project_paths(spark, sf_dir):
 
 @query(_VALUES + "SELECT cluster_ord, full_name, email AS primary_email, phone, skills FROM out")
 def project_custom(spark, sf_dir):
-    return projected_columns(_records(spark, sf_dir), EXAMPLE_CONFIG).select("cluster_ord", "full_name", "primary_email", "phone", F.array_join("skills", "|").alias("skills"))
+    c = Config([Field("full_name"), Field("primary_email", source="emails[0]"), Field("phone", source="phones[0]", normalize="E164"), Field("skills", "string[]", source="skills[].name", normalize="canonical")], False, False)
+    return projected_columns(_records(spark, sf_dir), c).withColumn("skills", F.array_join("skills", "|"))
 
 
 @query(_VALUES + "SELECT cluster_ord, full_name, email, phone, skills, company FROM out")

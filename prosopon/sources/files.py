@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prosopon.functions.text import strip
+from prosopon.operators.workers import ship
 from prosopon.schemas import EXTENSIONS
+from prosopon.sources.pdf import extract_text
 
 CSV_COLUMNS = ["name", "email", "phone", "current_company", "title"]
-#: Characters of text below which a résumé counts as unreadable.
+#: Fixed value: characters of text below which a résumé counts as unreadable.
 LEAST_TEXT = 20
 
 
@@ -86,24 +88,25 @@ def json_scan(texts: DataFrame) -> DataFrame:
     return parsed.select("file_ord", "name", F.coalesce(good, F.lit(False)).alias("ok"), error.alias("error"), F.when(good, entries).alias("entries"))
 
 
-def pdf_scan(files: DataFrame, extract: Callable[[bytes], str] | None = None) -> DataFrame:
-    """Text of PDFs by a pluggable extractor; without one every file is an error row."""
-    if extract is None:
-        return files.select("file_ord", "name", F.lit(False).alias("ok"), F.lit("failed to open/parse PDF: no extractor").alias("error"), F.lit(None).cast("string").alias("text"))
-    import pandas as pd
+def pdf_scan(files: DataFrame, extract: Callable[[bytes], str] = extract_text) -> DataFrame:
+    """Text of PDFs; a file that cannot be read is an error row."""
 
-    @F.pandas_udf("text string, error string")
-    def run(content: pd.Series) -> pd.DataFrame:
-        def one(c):
-            try:
-                return extract(bytes(c)), None
-            except Exception as e:  # any fault of a file is that file's error row
-                return None, f"failed to open/parse PDF: {e}"
+    def run(batches):
+        import pyarrow as pa
 
-        return pd.DataFrame([one(c) for c in content], columns=["text", "error"])
-
-    got = files.withColumn("x", run("content"))
-    return text_gate(got.select("file_ord", "name", F.col("x.text").alias("text"), F.col("x.error").alias("error")))
+        for b in batches:
+            texts, errors = [], []
+            for c in b.column("content").to_pylist():
+                try:
+                    text, error = extract(bytes(c)), None
+                except Exception as e:  # any fault of a file is that file's error row
+                    text, error = None, f"failed to open/parse PDF: {e}"
+                texts.append(text)
+                errors.append(error)
+            yield pa.RecordBatch.from_arrays([b.column("file_ord"), b.column("name"), pa.array(texts, pa.string()), pa.array(errors, pa.string())], names=["file_ord", "name", "text", "error"])
+
+    ship(files.sparkSession)
+    return text_gate(files.select("file_ord", "name", "content").mapInArrow(run, "file_ord int, name string, text string, error string"))
 
 
 def text_gate(texts: DataFrame) -> DataFrame:

@@ -102,20 +102,24 @@ def note_partials(texts: DataFrame) -> DataFrame:
     )
 
 
+#: The lines that begin a section.
 HEADERS = ["HEADLINE", "EXPERIENCE", "EDUCATION", "SKILLS"]
 
 
 def resume_sections(text: Column) -> Column:
-    """Array of (section, line): lines that are not blank under the last header line before them, HEADER before the first."""
-    lines = F.filter(F.transform(F.split(text, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"), strip), lambda x: x != "")
-    start = F.struct(F.lit("HEADER").alias("now"), F.array().cast("array<struct<section:string,line:string>>").alias("out"))
-
-    def step(a, x):
-        return F.when(F.upper(x).isin(HEADERS), F.struct(F.upper(x).alias("now"), a["out"].alias("out"))).otherwise(
-            F.struct(a["now"].alias("now"), F.array_append(a["out"], F.struct(a["now"].alias("section"), x.alias("line"))).alias("out"))
-        )
-
-    return F.aggregate(lines, start, step, lambda a: a["out"])
+    """Array of (section, line): lines that are not blank under the last header line before them, HEADER before the first. The text is
+    cut at its header lines, so its length costs in proportion."""
+    breaks = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+    lines = F.filter(F.transform(F.split(text, breaks), strip), lambda x: x != "")
+    # \x00 stands before each header, which no stripped line can hold once those of the text are gone.
+    marked = F.transform(lines, lambda x: F.when(F.upper(x).isin(HEADERS), F.concat(F.lit("\x00"), F.upper(x))).otherwise(F.regexp_replace(x, "\x00", "")))
+    blocks = F.split(F.concat(F.lit("HEADER\n"), F.array_join(marked, "\n")), "\n?\x00")
+
+    def rows(block):
+        parts = F.split(block, "\n")
+        return F.transform(F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: x != ""), lambda x: F.struct(F.get(parts, F.lit(0)).alias("section"), x.alias("line")))
+
+    return F.flatten(F.transform(blocks, rows))
 
 
 def section(sections: Column, name: str) -> Column:

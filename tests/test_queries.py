@@ -20,7 +20,7 @@ def test_agrees_with_sql(spark, sf_dir, con, name):
 
 
 def test_dir_listing(spark, sf_dir):
-    assert [r["name"] for r in QUERIES["dir_listing"](spark, sf_dir).collect()] == ["contact_config.json", "default_config.json"]
+    assert [r["name"] for r in QUERIES["dir_listing"](spark, sf_dir).collect()] == ["default_config.json", "directory_entry.json"]
 
 
 def test_entry(spark):

@@ -1,13 +1,17 @@
 """Whole runs over small files of every kind, good and bad."""
 
+import contextlib
 import json
+import zlib
+from pathlib import Path
 
 import pytest
 
 from prosopon import cli
 from prosopon.plans.paths import Token, tokenize
 from prosopon.plans.run import from_files, run_partials
-from prosopon.plans.shape import DEFAULT_CONFIG, EXAMPLE_CONFIG, load_config, parse_config
+from prosopon.plans.shape import DEFAULT_CONFIG, load_config, parse_config
+from prosopon.sources.pdf import extract_text
 
 
 @pytest.fixture(scope="module")
@@ -64,10 +68,64 @@ def test_order_of_input_does_not_matter(spark, report):
 
 
 def test_example_config(report):
-    r = run_partials(report.partials, report.source_errors, EXAMPLE_CONFIG)
+    r = run_partials(report.partials, report.source_errors, load_config(str(Path(__file__).resolve().parent.parent / "configs" / "directory_entry.json")))
     d = json.loads(r.candidates.orderBy("cluster_ord").head()["document"])
-    assert list(d) == ["full_name", "primary_email", "phone", "skills", "overall_confidence"]
-    assert d["primary_email"] == "ann@x.org" and d["skills"][0] == "PostgreSQL"
+    assert list(d) == ["person", "town", "employer", "tools", "provenance"]
+    assert d["person"] == "Ann Ray" and d["town"] == "Paris" and d["employer"] == "Initech" and d["tools"][0] == "PostgreSQL"
+
+
+def _pdf(lines, pack=False, hexed=False):
+    """A small PDF of one page. pack: pressed, with the other objects in an object stream. hexed: a font with a ToUnicode map."""
+    show = lambda x: "<" + "".join(f"{ord(c):04x}" for c in x) + ">" if hexed else "(" + x.replace("\\", "\\\\").replace("(", "\\(").replace(")", "\\)") + ")"
+    code = ("BT /F1 11 Tf 14 TL 72 720 Td " + " ".join(f"{show(x)} Tj T*" for x in lines) + " ET").encode("cp1252")
+    cmap = b"1 begincodespacerange <0000> <ffff> endcodespacerange 1 beginbfrange <0020> <ffff> <0020> endbfrange"
+    body = {
+        1: b"<< /Type /Catalog /Pages 2 0 R >>", 2: b"<< /Type /Pages /Kids [3 0 R] /Count 1 /Resources << /Font << /F1 4 0 R >> >> >>", 3: b"<< /Type /Page /Parent 2 0 R /Contents 5 0 R >>",
+        4: b"<< /Type /Font /Subtype /Type0 /ToUnicode 6 0 R >>" if hexed else b"<< /Type /Font /Subtype /Type1 /BaseFont /Helvetica >>",
+    }
+
+    def stream(raw, extra=b""):
+        raw, how = (zlib.compress(raw), b"/Filter /FlateDecode ") if pack else (raw, b"")
+        return b"<< " + extra + how + b"/Length %d >>\nstream\n%s\nendstream" % (len(raw), raw)
+
+    out = {5: stream(code), 6: stream(cmap)}
+    if pack:
+        at, heads = 0, []
+        for k, v in body.items():
+            heads.append(b"%d %d" % (k, at))
+            at += len(v) + 1
+        head = b" ".join(heads) + b" "
+        out[7] = stream(head + b" ".join(body.values()), b"/Type /ObjStm /N %d /First %d " % (len(body), len(head)))
+    else:
+        out |= body
+    return b"%PDF-1.5\n" + b"\n".join(b"%d 0 obj\n%s\nendobj" % kv for kv in out.items()) + b"\ntrailer << /Root 1 0 R >>\n%%EOF"
+
+
+RESUME = [
+    "Zoe (Z.) Quill", "zoe@x.org | +44 20 7946 0958", "HEADLINE", "Builds things", "EXPERIENCE", "Initech -- Engineer", "Jan 2020 - Present", "Made it work",
+    "EDUCATION", "MIT -- BSc Physics, 2019", "SKILLS", "Python, Go",
+]
+
+
+@pytest.mark.parametrize("how", [{}, {"pack": True}, {"hexed": True}, {"pack": True, "hexed": True}])
+def test_text_of_pdfs(how):
+    assert extract_text(_pdf(RESUME, **how)).split("\n") == RESUME
+    for bad in (b"", b"%PDF", b"%PDF-1.4 1 0 obj << /Encrypt 2 0 R >> endobj", b"no pdf at all"):
+        with contextlib.suppress(ValueError):
+            assert extract_text(bad) == ""
+
+
+def test_resume_through_the_command_line(spark, tmp_path):
+    (tmp_path / "cv.pdf").write_bytes(_pdf(RESUME, pack=True))
+    (tmp_path / "scanned.pdf").write_bytes(_pdf([]))
+    out = tmp_path / "out.json"
+    assert cli.main(["--dir", str(tmp_path), "--output", str(out)], spark) == 0
+    doc = json.loads(out.read_text())
+    (zoe,) = doc["candidates"]
+    assert zoe["full_name"] == "Zoe (Z.) Quill" and zoe["emails"] == ["zoe@x.org"] and zoe["phones"] == ["+442079460958"] and zoe["headline"] == "Builds things"
+    assert zoe["experience"] == [{"company": "Initech", "title": "Engineer", "start": "2020-01", "end": None, "summary": "Made it work"}]
+    assert zoe["education"][0]["institution"] == "MIT" and zoe["education"][0]["end_year"] == 2019 and [s["name"] for s in zoe["skills"]] == ["Python", "Go"]
+    assert [(e["path"].rsplit("/", 1)[-1], e["message"]) for e in doc["run_metadata"]["source_errors"]] == [("scanned.pdf", "no usable text extracted")]
 
 
 def test_command_line(spark, samples, tmp_path, capsys):

@@ -20,12 +20,14 @@ ids that are null are skipped in decoding, ids that the vocabulary lacks are an
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import itertools
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -73,7 +75,7 @@ class Vocabulary:
         self.bytes_of = {k: b for b, k in self.rank.items()}
         pairs = [(self.rank[t[:i]], self.rank[t[i:]], k) for t, k in self.rank.items() for i in range(1, len(t)) if t[:i] in self.rank and t[i:] in self.rank]
         pairs = [(a, b, k) for a, b, k in pairs if k > max(a, b)]
-        self.decimal = {k: str(k) for k in self.bytes_of}
+        self.decimal = [str(k) for k in range(max(self.bytes_of) + 1)]
         self.byte_id = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
         self.fits: dict[tuple[int, int], bool] = {}
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "350MB", "preserve_insertion_order": False})
@@ -177,13 +179,14 @@ class Memo:
     def __init__(self, most: int = MEMO):
         self.young, self.old, self.most = {}, {}, most
 
-    def known(self, keys: set) -> dict:
-        """What is remembered of the keys; it counts as used."""
-        young, old = self.young, self.old
-        out = {k: young[k] for k in keys & young.keys()}
-        again = {k: old[k] for k in keys & old.keys() if k not in out}
-        self.add(again)
-        return out | again
+    def known(self, keys: list) -> list:
+        """What is remembered of the keys, None for others; it counts as used."""
+        out = list(map(self.young.get, keys))
+        again = {k: v for k, x in zip(keys, out) if x is None and (v := self.old.get(k)) is not None}
+        if again:
+            out = [again.get(k) if x is None else x for k, x in zip(keys, out)]
+            self.add(again)
+        return out
 
     def add(self, items: dict) -> None:
         if len(self.young) + len(items) > self.most:
@@ -191,57 +194,85 @@ class Memo:
         self.young |= items
 
 
-_GAP = regex.compile(r"\s ")
+_GAP = regex.compile(r"\s |\x1f")
 _GROUP = regex.compile(r"\s*\S+|\s+$")
 
 
-def groups(text: str) -> list[str]:
-    """The text cut where white space follows another character. No match of the pattern goes across such a place, and none
-    before it looks beyond it, so the matches of the groups are the matches of the text."""
-    if _GAP.search(text):
-        return _GROUP.findall(text)
-    first, *rest = text.split(" ")
-    if rest and rest[-1] == "":  # a space at the end
-        rest = [" " + x for x in rest]
-        return [first, *rest] if first else rest
-    return [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
+def groups(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The texts cut where white space follows another character, and where each text's groups begin (one more). No match of the
+    pattern goes across such a place, and none before it looks beyond it, so the matches of the groups are the matches of the text."""
+    plain = [_GAP.search(t) is None for t in texts]
+    # In most texts no white space stands before a space, so the cuts are before the spaces; these texts are cut all at once.
+    lists = pc.split_pattern(pc.replace_substring(pa.array([t if p else "" for t, p in zip(texts, plain)], pa.large_string()), " ", "\x1f "), "\x1f")
+    flat, begin = lists.flatten(), lists.offsets.to_numpy()
+    real = pc.greater(pc.binary_length(flat), 0)
+    flat, begin = flat.filter(real), np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])[begin] if texts else np.zeros(1, np.int64)
+    if all(plain):
+        return flat, begin
+    other = {k: _GROUP.findall(t) for k, (t, p) in enumerate(zip(texts, plain)) if not p}
+    n = np.diff(begin)
+    parts, at = [], 0
+    for k, found in other.items():
+        parts += [flat.slice(begin[at], begin[k] - begin[at]), pa.array(found, pa.large_string())]
+        n[k], at = len(found), k
+    return pa.concat_arrays([*parts, flat.slice(begin[at])]), np.concatenate([[0], np.cumsum(n)])
+
+
+def _gather(values: np.ndarray, begin: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of values that begin[k]:begin[k + 1] names, for each k of which, and where these begin (one more)."""
+    n = np.diff(begin)[which]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    return values[np.repeat(begin[:-1][which] - ends[:-1], n) + np.arange(ends[-1])], ends
 
 
 class Codec:
-    """Encodes the texts of a batch: each group of words as (number of ids, decimal ids, ids of four bytes)."""
+    """Encodes the texts of a batch."""
 
     def __init__(self, path: str, pattern: str):
         self.vocabulary, self.pattern = vocabulary(path), regex.compile(pattern)
         self.words, self.groups = Memo(), Memo()
 
-    def encode(self, texts: list[str]) -> list[list[tuple[int, str, bytes]]]:
-        cut = [groups(t) for t in texts]
-        all_groups = set(itertools.chain.from_iterable(cut))
-        here = self.groups.known(all_groups)
-        missing = {g: self.pattern.findall(g) for g in all_groups - here.keys()}
-        all_words = set(itertools.chain.from_iterable(missing.values()))
-        words = self.words.known(all_words)
-        new = list(all_words - words.keys())
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        collects = gc.isenabled()
+        gc.disable()  # nothing here makes cycles, and a pass over all that is remembered is slow
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        flat, begin = groups(texts)
+        coded = flat.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        ids = self._ids(names)
+        size = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)])
+        got, ends = _gather(np.frombuffer(b"".join(ids), "<i4"), size, coded.indices.to_numpy())
+        cuts = ends[begin].tolist()
+        return [got[i:j] for i, j in itertools.pairwise(cuts)]
+
+    def _ids(self, names: list[str]) -> list[bytes]:
+        """The ids of each group, of four bytes each."""
+        out = self.groups.known(names)
+        missing = [k for k, x in enumerate(out) if x is None]
+        cut = [self.pattern.findall(names[k]) for k in missing]
+        words = list(set(itertools.chain.from_iterable(cut)))
+        found = dict(zip(words, self.words.known(words)))
+        new = [w for w, x in found.items() if x is None]
         ids = self.vocabulary.encode_words([utf8(w) for w in new])
-        flat, decimal = np.fromiter(itertools.chain.from_iterable(ids), "<i4").tobytes(), self.vocabulary.decimal.__getitem__
-        ends = itertools.accumulate(map(len, ids))
-        coded = {w: (len(i), " ".join(map(decimal, i)), flat[4 * (e - len(i)) : 4 * e]) for w, i, e in zip(new, ids, ends)}
-        self.words.add(coded)
-        words |= coded
-        coded = {}
-        for g, ws in missing.items():
-            if len(ws) == 1:
-                coded[g] = words[ws[0]]
-            else:
-                n, i, b = zip(*map(words.__getitem__, ws))
-                coded[g] = (sum(n), " ".join(i), b"".join(b))
-        self.groups.add(coded)
-        here |= coded
-        return [list(map(here.__getitem__, parts)) for parts in cut]
-
-
-def ids_of(coded: list[tuple[int, str, bytes]]) -> np.ndarray:
-    return np.frombuffer(b"".join([g[2] for g in coded]), "<i4")
+        raw = np.fromiter(itertools.chain.from_iterable(ids), "<i4").tobytes()
+        fresh = {w: raw[4 * (e - len(i)) : 4 * e] for w, i, e in zip(new, ids, itertools.accumulate(map(len, ids)))}
+        self.words.add(fresh)
+        found |= fresh
+        fresh = {names[k]: found[ws[0]] if len(ws) == 1 else b"".join(map(found.__getitem__, ws)) for k, ws in zip(missing, cut)}
+        self.groups.add(fresh)
+        for k in missing:
+            out[k] = fresh[names[k]]
+        return out
+
+    def decimal(self, ids: np.ndarray) -> str:
+        return " ".join(map(self.vocabulary.decimal.__getitem__, ids.tolist()))
 
 
 @lru_cache(1)
@@ -255,7 +286,7 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
 
     def start():
         c = codec(path, pattern)
-        return lambda ids, texts: (ids, [ids_of(r) for r in c.encode(texts)])
+        return lambda ids, texts: (ids, c.encode(texts))
 
     return map_arrow(keyed_text(df, id_col, text_col), "doc_id long, ids array<int>", start)
 
@@ -282,8 +313,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
         def f(keys, texts):
             coded = c.encode(texts)
             sha = lambda b: hashlib.sha256(b).hexdigest()
-            decoded = c.vocabulary.decode_all([ids_of(r) for r in coded])
-            return keys, [sum(g[0] for g in r) for r in coded], [sha(" ".join([g[1] for g in r]).encode()) for r in coded], list(map(sha, decoded))
+            return keys, list(map(len, coded)), [sha(c.decimal(r).encode()) for r in coded], list(map(sha, c.vocabulary.decode_all(coded)))
 
         return f
 

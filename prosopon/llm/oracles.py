@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from prosopon.llm.licenses import TEMPLATES, bigrams_of
+from prosopon.llm.licenses import TEMPLATES
 from prosopon.llm.quality import BOILERPLATE, NAVIGATION
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -25,20 +25,24 @@ SELECT s.doc_id, len(s) AS n_shingles, (SELECT min(r) FROM reach WHERE d = s.doc
 
 
 def licenses(percent: int = 80) -> str:
-    sets = {k: bigrams_of(t) for k, t in TEMPLATES.items()}
-    rows = ", ".join(f"({_quoted(k)}, [{', '.join(map(_quoted, s))}])" for k, s in sorted(sets.items()))
-    sizes = sorted(map(len, sets.values()))
-    low, high = max(1, -(-sizes[0] * percent // (200 - percent))), sizes[-1] * (200 - percent) // percent
+    rows = ", ".join(f"({_quoted(k)}, {_quoted(t)})" for k, t in TEMPLATES.items())
+    words = lambda x: f"list_filter(string_split_regex(lower({x}), '[^a-z0-9]+'), lambda y: y <> '')"
+    pairs = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
     return rf"""
-WITH t AS (SELECT * FROM (VALUES {rows}) v(k, s)),
-l AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9\n]+', ' ', 'g'), chr(10)), lambda x: string_split(trim(x), ' ')), lambda w: w[1] <> '') AS l FROM documents),
-u AS (SELECT doc_id, unnest(CASE WHEN len(l) > 1 THEN list_append(l, flatten(l)) ELSE l END) AS w FROM l),
-p AS (SELECT doc_id, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS p FROM u),
-f AS (SELECT doc_id, p FROM p WHERE len(p) BETWEEN {low} AND {high}),
-h AS (SELECT doc_id, k, 2.0::DOUBLE * len(list_intersect(p, s)) / (len(p) + len(s)) AS d FROM f JOIN t ON {200 - percent} * least(len(p), len(s)) >= {percent} * greatest(len(p), len(s))),
-g AS (SELECT * FROM h WHERE d * 1000 >= {10 * percent} - 1e-9)
-SELECT doc_id, (SELECT count(*) FROM f WHERE f.doc_id = documents.doc_id) AS n_units, (SELECT count(*) FROM g WHERE g.doc_id = documents.doc_id) AS n_hits,
-    (SELECT k FROM g WHERE g.doc_id = documents.doc_id ORDER BY d DESC, k LIMIT 1) AS license, (SELECT floor(max(d) * 10000 + 0.5) / 10000 FROM g WHERE g.doc_id = documents.doc_id) AS dice FROM documents
+WITH template AS (SELECT k, list_distinct(p) AS s, len(p) AS words FROM (SELECT k, {pairs} AS p FROM (SELECT k, {words("t")} AS w FROM (VALUES {rows}) v(k, t)))),
+bigram AS (SELECT k, unnest(s) AS b FROM template),
+doc AS (SELECT row_number() OVER () AS r, doc_id, {pairs} AS p FROM (SELECT doc_id, {words("coalesce(text, '')")} AS w FROM documents)),
+placed AS (SELECT r, unnest(p) AS b, generate_subscripts(p, 1) AS i FROM doc),
+own AS (SELECT r, k, i, b FROM placed JOIN bigram USING (b)),
+enough AS (SELECT r, k FROM own JOIN template USING (k) GROUP BY r, k, len(s) HAVING count(DISTINCT b) * {200 - percent} >= len(s) * {percent}),
+stretch AS (SELECT r, k, s, list_distinct(p[i:i + words - 1]) AS x FROM own JOIN enough USING (r, k) JOIN template USING (k) JOIN doc USING (r)),
+unit AS (SELECT r, k, len(list_intersect(x, s)) AS shared, len(x) + len(s) AS size FROM stretch WHERE {200 - percent} * least(len(x), len(s)) >= {percent} * greatest(len(x), len(s))),
+hit AS (SELECT r, k, 2.0::DOUBLE * shared / size AS d FROM unit WHERE 200 * shared >= {percent} * size),
+best AS (SELECT r, count(DISTINCT k) AS n, string_agg(DISTINCT k, '|' ORDER BY k) AS names, floor(max(d) * 10000 + 0.5) / 10000 AS d FROM hit GROUP BY r),
+top AS (SELECT r, min(k) AS k FROM hit h WHERE d = (SELECT max(d) FROM hit x WHERE x.r = h.r) GROUP BY r),
+n AS (SELECT r, count(*) AS n FROM unit GROUP BY r)
+SELECT doc_id, coalesce(n.n, 0) AS n_units, coalesce(best.n, 0) AS n_hits, top.k AS license, best.d AS dice, coalesce(best.names, '') AS licenses
+FROM doc LEFT JOIN n USING (r) LEFT JOIN best USING (r) LEFT JOIN top USING (r)
 """
 
 

@@ -378,24 +378,38 @@ def test_redaction():
 # ---- licences
 
 
-def test_licences(odd, docs):
-    sets = {k: set(licenses.bigrams_of(t)) for k, t in licenses.TEMPLATES.items()}
-    for df in (odd, docs):
-        want = []
-        for i, t in pairs(df):
-            lines = [x for x in (t or "").split("\n") if licenses.bigrams_of(x) or re.search("[a-z0-9]", x.lower())]
-            units = [x for x in lines] + (["\n".join(lines)] if len(lines) > 1 else [])
-            best = None
-            for u in units:
-                p = set(licenses.bigrams_of(u.replace("\n", " ")))
-                for k, s in sets.items():
-                    if p:
-                        d = 2 * len(p & s) / (len(p) + len(s))
-                        if d >= 0.8 and (best is None or (-d, k) < best):
-                            best = (-d, k)
-            # A bigram across two lines belongs to no line, but to the whole text.
-            want.append((i, best[1] if best else None))
-        assert by_row(licenses.scan(df), "doc_id", "license") == sorted(want, key=repr)
+MIT = licenses.TEMPLATES["MIT"]
+
+
+def _licences_in(text):
+    """By comparing every stretch of a template's length, without any pruning."""
+    w = re.findall("[a-z0-9]+", (text or "").lower())
+    p = [f"{a} {b}" for a, b in zip(w, w[1:])]
+    best = []
+    for k, t in licenses.TEMPLATES.items():
+        v = re.findall("[a-z0-9]+", t.lower())
+        s = {f"{a} {b}" for a, b in zip(v, v[1:])}
+        for i in range(len(p)):
+            x = set(p[i : i + len(v) - 1])
+            if p[i] in s and 10 * len(x & s) >= 4 * (len(x) + len(s)):
+                best.append((-2 * len(x & s) / (len(x) + len(s)), k))
+    return (min(best)[1] if best else None), "|".join(sorted({k for _, k in best}))
+
+
+def test_licences(spark, odd, docs):
+    wrapped = "\n".join(re.findall(r".{1,60}(?: |$)", MIT))
+    commented = "\n".join("# " + x for x in re.findall(r".{1,50}(?: |$)", licenses.TEMPLATES["Apache-2.0-notice"]))
+    rows = [
+        (1, "def f(): pass\n" + wrapped + "\nmore code here " * 50), (2, MIT[: MIT.index("The above")]), (3, "Licensed under the Apache\nLicense, Version 2.0"), (4, "words before. " * 40 + commented + " words after" * 90),
+        (5, "see this: released under the MIT license, as ever"), (6, "the rights of all are reserved for the license of nobody " * 9), (7, "All rights reserved. " * 300), (8, wrapped.replace("software", "program", 2)), (9, "a"),
+        (10, licenses.TEMPLATES["BSD-3-Clause"].replace("copyright holder", "University")), (11, "  \n \n"), (12, None), (12, None),
+    ]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    for df in (made, odd, docs):
+        assert by_row(licenses.scan(df), "doc_id", "license", "licenses") == sorted(((i, *_licences_in(t)) for i, t in pairs(df)), key=repr)
+    names = {r["doc_id"]: r["licenses"].split("|") for r in licenses.scan(made).collect()}
+    for k, name in ((1, "MIT"), (2, "MIT-grant"), (3, "Apache-2.0"), (4, "Apache-2.0-notice"), (5, "MIT-line"), (6, ""), (7, "reserved"), (8, "MIT"), (10, "BSD-3-Clause"), (12, "")):
+        assert name in names[k], k
 
 
 # ---- fingerprints

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from prosopon.llm.licenses import TEMPLATES
-from prosopon.llm.quality import BOILERPLATE, NAVIGATION
+from prosopon.llm.quality import BOILERPLATE, CLOSING, NAVIGATION
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -59,9 +59,10 @@ line AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS x, generate_subscrip
 dup AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, row_number() OVER (PARTITION BY doc_id, x ORDER BY k) AS r FROM line WHERE regexp_matches(x, '[^\x20\x09-\x0D]')) WHERE r > 1 GROUP BY doc_id),
 bare AS (SELECT doc_id, trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS x FROM line),
 m AS (SELECT doc_id, x, length(regexp_replace(x, '[\s\x0b]', '', 'g')) AS seen, length(regexp_replace(x, '{plain}', '', 'g')) AS odd, regexp_matches(x, '[\p{{L}}\p{{N}}]') AS alnum,
-    len(list_filter(string_split_regex(x, '[|»›>•·/]+'), lambda y: trim(y) <> '')) AS items, len(list_filter(string_split_regex(x, '[\s\x0b]+'), lambda y: y <> '')) AS n FROM bare WHERE x <> ''),
-bad AS (SELECT doc_id, seen, CASE WHEN odd > 0.3 * seen OR NOT alnum THEN true WHEN odd > 0 AND items >= 4 AND n <= 4 * items THEN true
-    WHEN length(x) <= 180 AND n <= 15 AND (list_contains([{nav}], trim(lower(x), ' .:')) OR len(list_filter([{phrases}], lambda y: contains(lower(x), y))) > 0) THEN true ELSE false END AS bad FROM m),
+    list_filter(string_split_regex(x, '[|»›>•·/]+'), lambda y: trim(y) <> '') AS items, len(list_filter(string_split_regex(x, '[\s\x0b]+'), lambda y: y <> '')) AS n FROM bare WHERE x <> ''),
+bad AS (SELECT doc_id, seen, CASE WHEN odd > 0.3 * seen OR NOT alnum THEN true WHEN odd > 0 AND len(items) >= 4 AND n <= 4 * len(items) THEN true
+    WHEN odd > 0 AND len(items) > 1 AND len(list_filter(items, lambda y: NOT list_contains([{nav}], lower(trim(y, ' .:'))))) = 0 THEN true
+    WHEN length(x) <= 180 AND n <= 15 AND (list_contains([{nav}], trim(lower(x), ' .:')) OR len(list_filter([{phrases}], lambda y: contains(lower(x), y))) > 0 OR NOT contains({_quoted(CLOSING)}, right(x, 1))) THEN true ELSE false END AS bad FROM m),
 loss AS (SELECT doc_id, sum(CASE WHEN bad THEN seen ELSE 0 END) / sum(seen) AS l FROM bad GROUP BY doc_id),
 o AS (SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '{_SPACE}', '', 'g')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(l, 0) AS l
     FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN loss USING (doc_id))

@@ -19,18 +19,32 @@ from prosopon.llm.common import ASCII_SPACE, keyed_text, map_arrow, map_whole, u
 
 SYMBOLS = "#*$%&|<>"
 
-#: Phrases that mark a short line as page furniture.
+#: Phrases that mark a short line as page furniture, and menu entries, in English, German, French and Spanish.
 BOILERPLATE = (
     "all rights reserved", "cookie policy", "accept cookies", "privacy policy", "terms of use", "terms of service",
     "subscribe to our", "sign up for our", "enable javascript", "powered by", "share this", "follow us", "licensed under",
+    "alle rechte vorbehalten", "cookies akzeptieren", "cookie-richtlinie", "datenschutzerklärung", "nutzungsbedingungen",
+    "newsletter abonnieren", "javascript aktivieren", "bereitgestellt von", "artikel teilen", "folgen sie uns",
+    "tous droits réservés", "accepter les cookies", "politique de cookies", "politique de confidentialité", "conditions d'utilisation",
+    "mentions légales", "abonnez-vous à", "activer javascript", "propulsé par", "partager cet article", "suivez-nous",
+    "todos los derechos reservados", "aceptar cookies", "política de cookies", "política de privacidad", "condiciones de uso",
+    "aviso legal", "suscríbete a", "activar javascript", "con la tecnología de", "compartir este", "síguenos",
 )
-NAVIGATION = ("home", "about", "about us", "contact", "contact us", "login", "log in", "sign in", "sign up", "register", "menu", "search", "next", "previous", "read more", "back to top", "skip to content", "sitemap", "faq")
+NAVIGATION = (
+    "home", "about", "about us", "contact", "contact us", "login", "log in", "sign in", "sign up", "register", "menu", "search", "next", "previous", "read more", "back to top", "skip to content", "sitemap", "faq",
+    "startseite", "über uns", "kontakt", "impressum", "anmelden", "registrieren", "menü", "suche", "suchen", "weiter", "zurück", "mehr lesen", "weiterlesen", "nach oben", "zum inhalt springen",
+    "accueil", "à propos", "contactez-nous", "connexion", "se connecter", "s'inscrire", "recherche", "rechercher", "suivant", "précédent", "lire la suite", "haut de page", "aller au contenu", "plan du site",
+    "inicio", "acerca de", "sobre nosotros", "contacto", "iniciar sesión", "registrarse", "menú", "buscar", "siguiente", "anterior", "leer más", "volver arriba", "ir al contenido", "mapa del sitio",
+)
+#: What a sentence, a heading or a list may end with.
+CLOSING = ".!?…:;,\"'»”’)]}。！？"
 SEPARATORS = re.compile(r"[|»›>•·/]+")
 
 
 @dataclass(frozen=True)
 class LineRules:
-    """max_loss: largest share of the non-space characters that failing lines may hold. max_symbols: largest share of a line's
+    """Punctuation: a line with too many other marks, or a short one that ends with no closing mark. Navigation: a menu entry, or several
+    between separators. Boilerplate: a short line with one of the phrases. max_loss: largest share of the non-space characters that failing lines may hold. max_symbols: largest share of a line's
     non-space characters that are neither letters, digits nor ordinary punctuation. nav_items: separated items that make a
     navigation line. short: words up to which a line can be boilerplate."""
 
@@ -54,7 +68,8 @@ def line_fault(line: str, rules: LineRules) -> str | None:
         if len(odd) > rules.max_symbols * seen or not any(c.isalnum() for c in bare):
             return "punctuation"
         items = [x for x in SEPARATORS.split(bare) if x.strip()]
-        if len(items) >= rules.nav_items and len(bare.split()) <= 4 * len(items):
+        entries = len(items) > 1 and all(x.strip(" .:").lower() in NAVIGATION for x in items)
+        if entries or len(items) >= rules.nav_items and len(bare.split()) <= 4 * len(items):
             return "navigation"
     if len(bare) <= 12 * rules.short and len(bare.split()) <= rules.short:
         low = bare.lower()
@@ -62,6 +77,8 @@ def line_fault(line: str, rules: LineRules) -> str | None:
             return "navigation"
         if any(p in low for p in BOILERPLATE):
             return "boilerplate"
+        if bare[-1] not in CLOSING:
+            return "punctuation"
     return None
 
 

@@ -320,8 +320,6 @@ def test_one_of_each_counts_rows_by_their_own_text(spark):
 
 def test_quality_counts(docs, odd):
     for df in (docs, odd):
-        for (i, t), r in zip(sorted(pairs(df), key=repr), sorted(quality.judge(df).collect(), key=lambda r: repr((r["doc_id"], None)))):
-            pass
         got = by_row(quality.judge(df), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
         want = []
         for i, t in pairs(df):
@@ -341,6 +339,13 @@ def test_line_rules():
     assert quality.line_fault("#### $$$$ %%%%", rules) == "punctuation"
     assert quality.line_fault("We use cookies. See our privacy policy.", rules) == "boilerplate"
     assert quality.line_fault("A sentence of ordinary words, with a comma.", rules) is None
+    for line in ("Startseite | Impressum | Kontakt", "Über uns", "Accueil", "Inicio / Contacto", "Leer más"):
+        assert quality.line_fault(line, rules) == "navigation", line
+    for line in ("Alle Rechte vorbehalten.", "Tous droits réservés.", "Todos los derechos reservados 2024."):
+        assert quality.line_fault(line, rules) == "boilerplate", line
+    assert quality.line_fault("A heading that nothing closes", rules) == "punctuation"
+    long = "a line of words that goes on and on " * 2000
+    assert quality.line_fault(long, rules) is None and quality.clean_lines(long + "\nMenu", rules) == (long, pytest.approx(4 / (4 + len(long.replace(" ", "")))))
     text, lost = quality.clean_lines("good words here.\nMenu\nmore good words.", rules)
     assert text == "good words here.\nmore good words." and 0 < lost < 0.5
 

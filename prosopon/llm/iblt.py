@@ -6,7 +6,10 @@ rows of cells; each digest is added to one cell of every row: its count, the sum
 checksums. Two sketches of one size are subtracted cell by cell; what both texts share cancels out. Peeling then takes
 cells that hold one digest only (count 1 or -1 and a checksum that fits), notes the digest and removes it from its other
 cells, until all cells are empty. When it gets stuck, or the difference is not smaller than the sketch, both sides are
-sketched anew with four times the cells. The digests recovered give the likeness: 2 * shared / (paragraphs of both).
+sketched anew with four times the cells. The digests recovered give the likeness: 2 * shared / (paragraphs of both). The string
+that is returned as fingerprint is the smallest sketch; for most pairs that differ much, likeness comes from larger sketches of the
+two texts, as the retry demands. Sketches with more than SPARE cells for each digest that still don't peel (digests that agree by
+design in all their cells) are settled by comparing the sorted digests.
 
 All documents of a batch are sketched and peeled together, each in its own range of cells.
 
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +37,8 @@ from prosopon.llm.common import keyed_text, prepare, utf8
 ROWS = 3
 #: Cells of each row in the sketch that is the fingerprint.
 WIDTH = 8
+#: Cells for each digest from which a sketch that does not peel is given up.
+SPARE = 16
 LONG_LINE = 100
 _PART = re.compile(r"(?<=[.!?;,|])\s+|\n+")
 _WORDS = re.compile(r"(?:\S+\s*){1,16}")
@@ -133,8 +139,13 @@ def differences(a: list[np.ndarray], b: list[np.ndarray], width: int = WIDTH) ->
     """For each pair the number of digests of a that b lacks and the other way about, by subtracting and peeling."""
     first, second = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
     todo = np.arange(len(a))
+    sizes = np.array([len(x) + len(y) for x, y in zip(a, b)], np.int64)
     while len(todo):
-        stuck = []
+        for i in todo[width > SPARE * sizes[todo] + 64]:
+            x, y = Counter(a[i].tolist()), Counter(b[i].tolist())
+            first[i], second[i] = (x - y).total(), (y - x).total()
+        todo = todo[width <= SPARE * sizes[todo] + 64]
+        stuck = [todo[:0]]
         for k in range(0, len(todo), max(1, 2_000_000 // (ROWS * width))):  # bounded cells at a time
             ids = todo[k : k + max(1, 2_000_000 // (ROWS * width))]
             s = Sketches(len(ids), width)

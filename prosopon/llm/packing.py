@@ -1,29 +1,29 @@
 """Optimal length buckets.
 
-The lengths of all documents are counted into one histogram (each length up to 1,023 has its own cell, longer ones share
-512 cells per doubling, so its size is bounded however large the table is). Dynamic programming over the cells chooses at
-most `n_buckets` boundaries so that the padding of all documents to their bucket's bound is the least possible over the cells;
-bounds are lengths that occur. Up to 1,023 that is the optimum; above, a bound is the longest length of a cell, so the result is
-near-optimal: the extra padding of a document is below 1/512 (0.2 %) of its length. Inside a bucket, documents ordered by length form batches of at most `token_budget` padded tokens. A
-bucket is dealt to as many shards as its count needs, so that no task holds more than about `shard_rows` documents of it;
-a shard's last batch may be short.
+The lengths of all documents are counted into one exact histogram; T tokens in all have at most sqrt(2 T) different lengths, so it is
+small (and the driver holds it) however many documents there are. Dynamic programming over it chooses at most `n_buckets`
+boundaries so that the padding of all documents to their bucket's bound is the least possible; bounds are lengths that occur. For a
+fixed number of buckets the cost of ending at a length is a line in that length for every place where the last bucket may begin, so
+the lower hull of these lines gives each optimum without trying all of them. Inside a bucket, documents ordered by length form
+batches of at most `token_budget` padded tokens. A bucket is dealt to as many shards as its count needs, so that no task holds more
+than about `shard_rows` documents of it; a shard's last batch may be short.
 
 Defined results: a null or empty text has length 0 and is packed in the lowest bucket (a batch counts it as one token); a document longer than
 the budget is a batch of its own; ties in length are ordered by doc_id; repeated rows are packed each for itself; an empty
-table gives an empty table.
+table gives an empty table. The table of lengths stays in the shared folder, since the result reads it.
 """
 
 from __future__ import annotations
 
-import numpy as np
+import bisect
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prosopon.llm.token_counts import count_tokens
 from prosopon.operators.durable import write_table
 
-EXACT_BITS = 10
-
 
 def word_count(text: Column) -> Column:
     """Words `[^\\x20\\x09-\\x0D]+` of a text."""
@@ -33,45 +33,49 @@ def word_count(text: Column) -> Column:
     return F.when(F.length(text) == 0, 0).otherwise(pieces - blank(F.substring(text, 1, 1)).cast("int") - (blank(F.right(text, F.lit(1))) & (pieces > 1)).cast("int")).cast("long")
 
 
-def cell() -> Column:
-    """n_tokens without what follows its EXACT_BITS highest bits."""
-    drop = f"greatest(length(bin(n_tokens)) - {EXACT_BITS}, 0)"
-    return F.expr(f"shiftleft(shiftright(n_tokens, {drop}), {drop})")
-
-
-def histogram(lengths: DataFrame) -> list[tuple[int, int, int]]:
-    """(longest, count, sum) of each cell, ascending. lengths: n_tokens."""
-    rows = lengths.groupBy(cell().alias("cell")).agg(F.max("n_tokens").alias("top"), F.count("*").alias("n"), F.sum("n_tokens").alias("total")).collect()
-    return sorted((r["top"], r["n"], r["total"]) for r in rows)
+def histogram(lengths: DataFrame) -> list[tuple[int, int]]:
+    """(length, count), ascending. lengths: n_tokens."""
+    return sorted((r["n_tokens"], r["n"]) for r in lengths.groupBy("n_tokens").agg(F.count("*").alias("n")).collect())
 
 
-def best_bounds(cells: list[tuple[int, int, int]], n_buckets: int) -> list[int]:
+def best_bounds(cells: list[tuple[int, int]], n_buckets: int) -> list[int]:
     """The bounds of at most n_buckets buckets with the least padding in sum."""
     if not cells:
         return []
-    top = np.array([c[0] for c in cells], np.int64)
-    count = np.concatenate([[0], np.cumsum([c[1] for c in cells])]).astype(np.int64)
-    total = np.concatenate([[0], np.cumsum([c[2] for c in cells])]).astype(np.int64)
+    top = [t for t, _ in cells]
+    count, total = [0, *itertools.accumulate(n for _, n in cells)], [0, *itertools.accumulate(t * n for t, n in cells)]
     n = len(cells)
-    best = top * count[1:] - total[1:]  # of the first j+1 cells with one bucket
-    best = np.concatenate([[0], best])
-    back: list[np.ndarray] = []
-    for _ in range(1, min(n_buckets, n)):
-        new, frm = np.empty_like(best), np.zeros(n + 1, np.int64)
-        new[0] = 0
+    # best[j]: padding of the first j cells. Before the first round only no cells at all have been packed.
+    best: list[int | None] = [0] + [None] * n
+    back: list[list[int]] = []
+    for _ in range(min(n_buckets, n)):
+        # A bucket of the cells i to j - 1 costs top[j - 1] * (count[j] - count[i]) - (total[j] - total[i]): for each i a line in top.
+        lines: list[tuple[int, int, int]] = []  # slope, height at 0, i; the slopes fall
+        first = 0
+        new, begin = [0] + [None] * n, [0] * (n + 1)
         for j in range(1, n + 1):
-            cost = best[:j] + top[j - 1] * (count[j] - count[:j]) - (total[j] - total[:j])
-            frm[j] = k = int(np.argmin(cost))
-            new[j] = cost[k]
-        back.append(frm)
+            if (before := best[j - 1]) is not None:
+                slope, height = -count[j - 1], before + total[j - 1]
+                while len(lines) - first > 1:
+                    (m0, b0, _), (m1, b1, _) = lines[-2:]
+                    if (height - b0) * (m0 - m1) > (b1 - b0) * (m0 - slope):
+                        break
+                    lines.pop()  # nowhere below the lines beside it
+                lines.append((slope, height, j - 1))
+            q = top[j - 1]
+            while len(lines) - first > 1 and lines[first + 1][0] * q + lines[first + 1][1] <= lines[first][0] * q + lines[first][1]:
+                first += 1
+            slope, height, begin[j] = lines[first]
+            new[j] = slope * q + height + q * count[j] - total[j]
+        back.append(begin)
         best = new
     bounds, j = [], n
-    for frm in reversed(back):
-        bounds.append(int(top[j - 1]))
-        j = int(frm[j])
+    for begin in reversed(back):
         if j == 0:
-            return sorted(bounds)
-    return sorted([*bounds, int(top[j - 1])])
+            break
+        bounds.append(top[j - 1])
+        j = begin[j]
+    return sorted(bounds)
 
 
 def pack(df: DataFrame, length: Column | None = None, n_buckets: int = 16, token_budget: int = 32768, shard_rows: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -81,8 +85,8 @@ def pack(df: DataFrame, length: Column | None = None, n_buckets: int = 16, token
     cells = histogram(lengths)
     bounds = best_bounds(cells, n_buckets)
     per = [0] * max(1, len(bounds))
-    for top, k, _ in cells:
-        per[int(np.searchsorted(bounds, top))] += k
+    for top, k in cells:
+        per[bisect.bisect_left(bounds, top)] += k
     shards = [max(1, -(-k // shard_rows)) for k in per]
     pick = lambda values: F.element_at(F.array(*(F.lit(int(v)).cast("long") for v in values)), F.col("bucket") + 1)
     bucket = F.lit(0)

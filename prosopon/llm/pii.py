@@ -1,12 +1,13 @@
 """Personal data by anchor expansion.
 
-One Aho-Corasick automaton walks the text and reports anchors: at-signs, plus signs, digits, URL schemes and words that
-introduce an account number. From each anchor a small deterministic parser expands to both sides, finds the boundaries and
+One Aho-Corasick automaton walks the text in lower case and reports anchors: at-signs, plus signs, digits, URL schemes, words that
+introduce an account number, and words and prefixes that introduce a secret. From each anchor a small deterministic parser expands to both sides, finds the boundaries and
 validates (labels of a domain, parts of an address, digit counts, Luhn).
 
 Kinds: email, ip, card, phone (the base kinds: leftmost, not overlapping within a kind, failing matches dropped without a
-retry), and two that the anchors add: url (scheme or www. to the end of the run) and account (a cue such as "IBAN" or
-"account no." followed by an identifier with at least four digits). Spans are code points, end exclusive.
+retry), and three that the anchors add: url (scheme or www. to the end of the run), account (a cue such as "IBAN" or
+"account no." followed by an identifier with at least four digits) and secret (a cue such as "token" with an assignment sign, or a known
+prefix, and a run of at least 16 letters and digits of both kinds). Spans are code points, end exclusive.
 
 Defined results: a null text is empty and has no spans; ties in start are ordered by kind as listed; repeated rows are
 treated each for itself; an empty table gives an empty table.
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from prosopon.llm.common import keyed_text, map_arrow, map_whole
 
-KINDS = ("email", "ip", "card", "phone", "url", "account")
+KINDS = ("email", "ip", "card", "phone", "url", "account", "secret")
 BASE = 4
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -30,7 +31,12 @@ _DIGIT = frozenset("0123456789")
 _PHONE = frozenset(" ().0123456789-")
 #: What introduces an account or identity number.
 CUES = ("account number", "account no", "account", "acct", "iban", "passport", "ssn", "social security", "tax id")
-_AFTER_CUE = re.compile(r"[ \t]{0,3}(?:number|no\.?|is)?[ \t]{0,3}[:#=]?[ \t]{0,3}([A-Za-z]{0,4}[0-9](?:[ -]?[A-Za-z0-9]){4,33})(?![A-Za-z0-9])")
+#: What introduces a secret, and how well-known keys begin.
+SECRET_CUES = ("token", "secret", "password", "passwd", "api_key", "api-key", "apikey", "access_key", "private_key", "bearer")
+SECRET_PREFIXES = ("sk_live_", "sk_test_", "pk_live_", "rk_live_", "ghp_", "gho_", "github_pat_", "glpat-", "xoxb-", "xoxp-", "akia", "aiza")
+_AFTER_SECRET = re.compile(r"[\w-]{0,12}[\"']?[ \t]{0,3}(?:[:=]{1,2}|[ \t]is|[ \t])[ \t]{0,3}[\"']?([A-Za-z0-9_+/.\-]{16,}={0,2})")
+_KEY = re.compile(r"[A-Za-z0-9_-]{12,}")
+_AFTER_CUE = re.compile(r"[ \t]{0,3}(?:number|no\.?|is)?[ \t]{0,3}[:#=]?[ \t]{0,3}([A-Za-z]{0,4}[0-9][A-Za-z0-9]{0,33}(?:[ -][A-Za-z]{0,4}[0-9][A-Za-z0-9]{0,33}){0,9})(?![A-Za-z0-9])")
 _URL_END = re.compile(r"[\s<>\"'`|\\^{}]")
 
 
@@ -44,13 +50,26 @@ def _automaton():
     a.add_word("+", ("+", 1))
     for s in ("http://", "https://", "ftp://", "www."):
         a.add_word(s, ("u", len(s)))
-    for cue in CUES:
-        for s in {cue, cue.title(), cue.upper(), cue.capitalize()}:
-            a.add_word(s, ("a", len(s)))
+    for kind, words in (("a", CUES), ("s", SECRET_CUES), ("k", SECRET_PREFIXES)):
+        for s in words:
+            a.add_word(s, (kind, len(s)))
     a.make_automaton()
     return a
 
 
+_LOWER = {k: k + 32 for k in range(65, 91)}
+
+
+def _lowered(text: str) -> str:
+    """In lower case, every character at its place."""
+    low = text.lower()
+    return low if len(low) == len(text) else text.translate(_LOWER)
+
+
+def _mixed(x: str) -> bool:
+    return any(c in _DIGIT for c in x) and any(c.isalpha() for c in x)
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for k, c in enumerate(reversed(digits)):
@@ -125,8 +144,8 @@ def _phone(t: str, s: int) -> int | None:
 def find_spans(text: str, automaton) -> list[tuple[int, int, int]]:
     """(start, kind, end), by start and then kind."""
     out: list[tuple[int, int, int]] = []
-    email_at = ip_at = card_at = phone_at = url_at = account_at = run_end = 0
-    for last, (what, size) in automaton.iter(text):
+    email_at = ip_at = card_at = phone_at = url_at = account_at = secret_at = run_end = 0
+    for last, (what, size) in automaton.iter(_lowered(text)):
         i = last - size + 1
         if what == "d":
             if i < run_end:
@@ -159,6 +178,16 @@ def find_spans(text: str, automaton) -> list[tuple[int, int, int]]:
                 if e > last + 1:
                     url_at = e
                     out.append((i, 4, e))
+        elif what == "s":
+            m = _AFTER_SECRET.match(text, last + 1)
+            if m and m.start(1) >= secret_at and _mixed(m[1]):
+                secret_at = m.end(1)
+                out.append((m.start(1), 6, secret_at))
+        elif what == "k":
+            m = _KEY.match(text, last + 1)
+            if i >= secret_at and m and (i == 0 or not text[i - 1].isalnum()) and _mixed(m[0]):
+                secret_at = m.end()
+                out.append((i, 6, secret_at))
         elif i >= account_at and (i == 0 or not text[i - 1].isalnum()):
             m = _AFTER_CUE.match(text, last + 1)
             if m and sum(c in _DIGIT for c in m[1]) >= 4:
@@ -186,7 +215,7 @@ def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_url long, n_account long, redacted string"
+SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_url long, n_account long, n_secret long, redacted string"
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,12 +8,14 @@ they are written (letters without any repetition) are their own decoding. Where
 letters, no letters at all) or its edge may be punctuation or a letter (!diot, wow!), all these readings count as words.
 The restored text is then scored by a logistic regression over words and word beginnings.
 
-Training. The character model counts the words of all documents, labels not being used. The classifier is fitted on at most
-`max_labelled` labelled rows, chosen by a hash of doc_id; the number of features is `max_features`, those that divide the
-labels best. doc_id, lang and source are never inputs of a score.
-
-Defined results: a null or empty text has the score of a text without any feature; without usable labels of both kinds all
-scores are the share of toxic rows (0 if there is none); labels that are null are left out; a doc_id that has several labels
+Training. The character model counts the words of all documents, labels not being used. The classifier is fitted on a bounded sample:
+`max_labelled` labelled rows (expected), chosen by a hash of doc_id. Its features are selected on that sample: those that at least
+`min_docs` of the rows have, whose odds differ by more than e between the labels, and of them the `max_features` that divide the
+labels best. That is the classifier's regularisation, and it bounds the model that is sent to the tasks; every word of every text is
+looked up in it. doc_id, lang and source are never inputs of a score.
+
+Defined results: a null or empty text has the score of a text without any feature; without usable labels of both kinds among the
+rows all scores are the share of toxic rows (0 if there is none); labels that are null are left out; a doc_id that has several labels
 counts once for each; repeated rows are scored each for itself; an empty table gives an empty table.
 """
 
@@ -285,7 +287,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out_of: int = 5, max_labelled
         return f
 
     counted = map_arrow(mine, "feature string, clean long, toxic long", count).groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    both = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    both = {r["toxic"]: r["n"] for r in mine.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not both.get(0) or not both.get(1):
         share = both.get(1, 0) / max(1, sum(both.values()))
         return Model(lm, {}, math.log(max(share, 1e-12) / max(1 - share, 1e-12)))

@@ -617,5 +617,5 @@ def test_pipeline_on_odd_rows_and_empty_tables(spark, odd, tmp_path):
             out.write.mode("overwrite").parquet(str(tmp_path / "stage" / name.replace(" ", "_")))
             last = spark.read.schema(out.schema).parquet(str(tmp_path / "stage" / name.replace(" ", "_")))
         kept = sorted((r["doc_id"] for r in last.collect()), key=repr)
-        assert kept == ([500, None] if docs is rows else [])
+        assert kept == ([500, 503, None] if docs is rows else [])
         assert sorted((r["doc_id"] for r in cp.STAGES[-1][1](spark, last, str(tmp_path)).collect()), key=repr) == kept

@@ -44,8 +44,8 @@ FRAGMENT = 1_500_000
 PARTS = 4
 #: Texts in the sample that finds very common shingles, and the share of it from which one is that.
 SAMPLE, COMMON = 2000, 0.02
-#: Rows of one shingle that are compared in one task, at most about.
-BLOCK = 4096
+#: Rows of one shingle that are compared in one task, at most about; and from which they are not brought together for their leader.
+BLOCK, MANY = 4096, 256
 
 
 def _arrow(df: DataFrame, ddl: str, run) -> DataFrame:
@@ -252,8 +252,8 @@ def _meeting(found: DataFrame) -> DataFrame:
 
 
 def _stars(meeting: DataFrame, percent: int) -> DataFrame:
-    """For every node one partner: the leader that it meets most often. The first node by place leads those of an item, or of its
-    part in one task; what this leaves apart is found by _across()."""
+    """For every node one partner: the leader that it meets most often. The first node by place leads those of an item. Items that many
+    nodes have are compared with their leader wherever their rows are; the rows of any other item are dealt to one task."""
 
     def run(batches):
         lead = None  # item, node, n, place of the current item's first row
@@ -270,7 +270,14 @@ def _stars(meeting: DataFrame, percent: int) -> DataFrame:
             yield _batch(PAIR, (node[at[k]], node[k], n[at[k]].astype(np.int32), n[k].astype(np.int32)))
             lead = [c[first[-1:]] for c in cols]
 
-    counted = _arrow(_ordered(meeting), PAIR, run).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("times"))
+    leads = meeting.groupBy("item").agg(F.count("*").alias("rows"), F.min(F.struct("place", "n", "node")).alias("lead"))
+    many = write_table(leads.where(F.col("rows") >= MANY).select("item", "lead"), "leads")
+    few = meeting.join(many.select("item"), "item", "left_anti")
+    apart = _arrow(few.repartition("item").sortWithinPartitions(*ORDER), PAIR, run)
+    most = F.least(F.col("lead.n") - F.col("lead.place"), F.col("n") - F.col("place"), F.col("lead.n"), F.col("n"))
+    spread = meeting.join(many, "item").where(F.col("node") != F.col("lead.node")).where(100 * most >= percent * (F.col("lead.n") + F.col("n") - most))
+    pairs = apart.unionByName(spread.select(F.col("lead.node").alias("a"), F.col("node").alias("b"), F.col("lead.n").alias("na"), F.col("n").alias("nb")))
+    counted = pairs.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("times"))
     return counted.groupBy("b", "nb").agg(F.max_by(F.struct("a", "na"), F.struct("times", "a")).alias("x")).select("x.a", "b", "x.na", "nb")
 
 

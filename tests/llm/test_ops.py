@@ -362,7 +362,8 @@ def _components(rows, k, percent):
 
 
 @pytest.mark.parametrize(("k", "percent"), [(3, 90), (5, 80)])
-def test_join_finds_every_link(spark, docs, odd, k, percent):
+def test_join_finds_every_link(spark, docs, odd, monkeypatch, k, percent):
+    monkeypatch.setattr(ngram_join, "MANY", 40)
     rng = random.Random(3)
     base = [f"w{rng.randrange(400)}" for _ in range(160)]
     rows = []

@@ -7,6 +7,7 @@ import json
 import logging
 import sys
 from pathlib import Path
+from typing import TextIO
 
 from pyspark.sql import SparkSession
 
@@ -42,26 +43,26 @@ def scan_directories(dirs: list[str]) -> list[str]:
     return out
 
 
-def build_output(reports: list[Report], metadata: bool) -> dict:
-    """One document; the rows come to the driver one partition at a time, since the file is written there."""
-    candidates = [json.loads(r["document"]) for x in reports for r in x.candidates.orderBy("cluster_ord").toLocalIterator()]
-    out: dict = {"candidates": candidates}
-    if metadata:
-        counts = [x.metrics() for x in reports]
-        total = {k: sum(c[k] for c in counts) for k in ("partial_records_loaded", "canonical_records_merged", "candidates_in_output")}
-        errors = {k: [r.asDict() for x in reports for r in getattr(x, k).toLocalIterator()] for k in ("source_errors", "candidate_errors")}
-        out["run_metadata"] = total | errors
-    return out
+def metadata_of(reports: list[Report]) -> dict:
+    counts = [x.metrics() for x in reports]
+    total = {k: sum(c[k] for c in counts) for k in ("partial_records_loaded", "canonical_records_merged", "candidates_in_output")}
+    return total | {k: [r.asDict() for x in reports for r in getattr(x, k).toLocalIterator()] for k in ("source_errors", "candidate_errors")}
 
 
-def write_output(out: dict, path: str | None, indent: int) -> None:
-    text = json.dumps(out, indent=indent, ensure_ascii=False)
-    if path is None:
-        print(text)
-        return
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(text + "\n", encoding="utf-8")
-    print(f"Output written to {path}", file=sys.stderr)
+def write_output(reports: list[Report], metadata: dict | None, out: TextIO, indent: int) -> None:
+    """One JSON document, written candidate by candidate as they come: the driver holds one partition of them at a time."""
+    pad = lambda x, level: json.dumps(x, indent=indent, ensure_ascii=False).replace("\n", "\n" + " " * indent * level)
+    one, two = "\n" + " " * indent, "\n" + " " * indent * 2
+    out.write("{" + one + '"candidates": [')
+    n = 0
+    for x in reports:
+        for r in x.candidates.orderBy("cluster_ord").toLocalIterator():
+            out.write(("," if n else "") + two + pad(json.loads(r["document"]), 2))
+            n += 1
+    out.write((one if n else "") + "]")
+    if metadata is not None:
+        out.write("," + one + '"run_metadata": ' + pad(metadata, 1))
+    out.write("\n}\n")
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -84,12 +85,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     # Two independent runs: people in both are not brought together.
     reports = [from_files(spark, inferred, config)] if inferred else []
     reports += [run(spark, typed, config)] if typed else []
-    out = build_output(reports, metadata=True)
-    errors = len(out["run_metadata"]["source_errors"]) + len(out["run_metadata"]["candidate_errors"])
-    if a.no_metadata:
-        out.pop("run_metadata")
-    write_output(out, a.output, a.indent)
-    n = len(out["candidates"])
+    metadata = metadata_of(reports)
+    errors = len(metadata["source_errors"]) + len(metadata["candidate_errors"])
+    shown = None if a.no_metadata else metadata
+    if a.output is None:
+        write_output(reports, shown, sys.stdout, a.indent)
+    else:
+        Path(a.output).parent.mkdir(parents=True, exist_ok=True)
+        with open(a.output, "w", encoding="utf-8") as f:
+            write_output(reports, shown, f, a.indent)
+        print(f"Output written to {a.output}", file=sys.stderr)
+    n = metadata["candidates_in_output"]
     print(f"Done: {n} candidate(s), {errors} error(s)", file=sys.stderr)
     return int(n == 0 and errors > 0)
 

@@ -13,8 +13,9 @@ def _of(c: Column, table: dict[str, float], default: float) -> Column:
 
 
 def round3(x: Column) -> Column:
-    """To three places, halves up; the same in every SQL engine."""
-    return F.floor(x * 1000 + 0.5) / 1000
+    """To three places, halves up. The last bits of a sum, which depend on the order of its parts, don't decide: the same in every SQL
+    engine."""
+    return F.floor(F.round(x * 1000, 6) + 0.5) / 1000
 
 
 def base_score(method: Column) -> Column:

@@ -484,9 +484,31 @@ def _resume_clusters(spark, sf_dir):
     return p.withColumn("cluster_ord", F.get("education", F.lit(0))["end_year"].cast("long"))
 
 
-@query("SELECT CAST(1980 + p_size AS BIGINT) AS cluster_ord, concat('University ', p_size, '/BSc/', 1980 + p_size) AS education, count(*)::INTEGER AS n_prov FROM part GROUP BY p_size")
+@query(
+    "WITH x AS (SELECT CAST(1980 + p_size AS BIGINT) AS cluster_ord, p_partkey * 2 AS ord, p_brand AS company, 'Maker' AS title, CASE p_partkey % 3 WHEN 0 THEN '2019-01' WHEN 1 THEN '2015-03' ELSE '2015' END AS first, "
+    "CASE p_partkey % 3 WHEN 1 THEN '2018-12' WHEN 2 THEN '2018' END AS last, CASE WHEN p_partkey % 2 = 1 THEN concat('Made ', p_name) END AS summary FROM part "
+    "UNION ALL SELECT CAST(1980 + p_size AS BIGINT), p_partkey * 2 + 1, 'Second Co', 'Helper', NULL, NULL, NULL FROM part), "
+    "g AS (SELECT cluster_ord, company, title, min(ord) AS ord, arg_min(summary, ord) FILTER (WHERE summary IS NOT NULL) AS filled FROM x GROUP BY ALL) "
+    "SELECT cluster_ord, string_agg(concat(company, '/', title, '/', coalesce(first, '-'), '/', coalesce(last, '-'), '/', coalesce(filled, '-')), '|' ORDER BY ord) AS jobs FROM g JOIN x USING (cluster_ord, company, title, ord) GROUP BY cluster_ord"
+)
+def merge_experience_dates(spark, sf_dir):
+    """Dates, and summaries that the best source lacks and another has."""
+    summary = lambda x: F.when(F.pmod(F.shiftright("rec_ord", 32), F.lit(2)) == 1, x["summary"])
+    c = _resume_clusters(spark, sf_dir).withColumn("experience", F.transform("experience", lambda x: x.withField("summary", summary(x))))
+    shown = lambda x: F.concat_ws("/", *(F.coalesce(x[k], F.lit("-")) for k in ("company", "title", "start", "end", "summary")))
+    return fuse.merge_experience(c).select("cluster_ord", F.array_join(F.transform("experience", shown), "|").alias("jobs"))
+
+
+@query(
+    "WITH x AS (SELECT CAST(1980 + p_size AS BIGINT) AS cluster_ord, p_partkey AS ord, concat('University ', p_size) AS place, CASE WHEN p_partkey % 2 = 0 THEN 'MSc' ELSE 'BSc' END AS degree, 1980 + p_size + p_partkey % 3 AS year FROM part), "
+    "g AS (SELECT cluster_ord, place, degree, min(ord) AS ord, arg_min(year, ord) AS year FROM x GROUP BY ALL) SELECT cluster_ord, string_agg(concat(place, '/', degree, '/', year), '|' ORDER BY ord) AS education, n_prov FROM g JOIN "
+    "(SELECT cluster_ord, count(*)::INTEGER AS n_prov FROM x GROUP BY ALL) USING (cluster_ord) GROUP BY cluster_ord, n_prov"
+)
 def merge_education(spark, sf_dir):
-    e = fuse.merge_education(_resume_clusters(spark, sf_dir))
+    """Sources that agree in place and degree but not in the year: the whole entry of the best one stays."""
+    k = F.shiftright("rec_ord", 32)
+    of = lambda x: x.withField("degree", F.when(k % 2 == 0, "MSc").otherwise("BSc")).withField("end_year", (x["end_year"] + k % 3).cast("int"))
+    e = fuse.merge_education(_resume_clusters(spark, sf_dir).withColumn("education", F.transform("education", of)))
     return e.select("cluster_ord", F.array_join(F.transform("education", lambda x: F.concat_ws("/", x["institution"], x["degree"], x["end_year"].cast("string"))), "|").alias("education"), F.size("prov_education").alias("n_prov"))
 
 
@@ -502,15 +524,9 @@ _OVERALL = (
 )
 
 
-@query(_OVERALL + "SELECT cluster_ord, floor(x * 100 + 0.500001) / 100 AS overall FROM overall")
+@query(_OVERALL + "SELECT cluster_ord, floor(round(x * 1000, 6) + 0.5) / 1000 AS overall_confidence FROM overall")
 def overall_confidence(spark, sf_dir):
-    # Sums of floating-point numbers in another order may differ in their last bits, so ties are moved off the edge.
-    return _records(spark, sf_dir).select("cluster_ord", (F.floor(fuse.overall_score() * 100 + 0.500001) / 100).alias("overall"))
-
-
-@query(f"{_CL}, {_ID}, x AS (SELECT cluster_ord, count(DISTINCT lower(trim(email)))::INTEGER AS n_emails, count(DISTINCT {_E164}) FILTER (WHERE {_PHONES})::INTEGER AS n_phones, count(DISTINCT (company, title))::INTEGER AS n_jobs FROM cl GROUP BY cluster_ord) SELECT cluster_ord, candidate_id, n_emails, n_phones, n_jobs FROM x JOIN cid USING (cluster_ord)")
-def canonical_records(spark, sf_dir):
-    return _records(spark, sf_dir).select("cluster_ord", "candidate_id", F.size("emails").alias("n_emails"), F.size("phones").alias("n_phones"), F.size("experience").alias("n_jobs"))
+    return _records(spark, sf_dir).select("cluster_ord", "overall_confidence")
 
 
 # ---- shaping ----------------------------------------------------------------------------------------------------------
@@ -523,6 +539,27 @@ _VALUES = (
 )
 
 
+_LISTS = (
+    "all_emails AS (SELECT cluster_ord, string_agg(x, '|' ORDER BY fst) AS emails FROM (SELECT cluster_ord, lower(trim(email)) AS x, min(rec_ord) AS fst FROM cl WHERE email IS NOT NULL GROUP BY ALL) GROUP BY cluster_ord), "
+    f"all_phones AS (SELECT cluster_ord, string_agg(x, '|' ORDER BY fst) AS phones FROM (SELECT cluster_ord, {_E164} AS x, min(rec_ord) AS fst FROM cl WHERE {_PHONES} GROUP BY ALL) GROUP BY cluster_ord), "
+    f"all_jobs AS (SELECT cluster_ord, string_agg(x, '|' ORDER BY fst) AS jobs FROM (SELECT cluster_ord, concat(company, '/', title) AS x, min({_RANK}) AS fst FROM cl GROUP BY ALL) GROUP BY cluster_ord), "
+    "n_prov AS (SELECT cluster_ord, (max((full_name IS NOT NULL)::INTEGER) + max((country IS NOT NULL)::INTEGER) + count(email) + count(phone) + count(skill1) + count(skill2) + count(*))::INTEGER AS n_provenance FROM cl GROUP BY cluster_ord)"
+)
+
+
+@query(
+    _VALUES.rstrip() + ", " + _LISTS + " SELECT cluster_ord, candidate_id, full_name, coalesce(emails, '') AS emails, coalesce(phones, '') AS phones, jobs, skills, n_provenance FROM out "
+    "LEFT JOIN all_emails USING (cluster_ord) LEFT JOIN all_phones USING (cluster_ord) LEFT JOIN all_jobs USING (cluster_ord) LEFT JOIN n_prov USING (cluster_ord)"
+)
+def canonical_records(spark, sf_dir):
+    """Names, all list values in order, and the number of provenance entries (each of which the merge_* queries compare)."""
+    jobs = F.transform("experience", lambda x: F.concat_ws("/", x["company"], x["title"]))
+    return _records(spark, sf_dir).select(
+        "cluster_ord", "candidate_id", "full_name", F.array_join("emails", "|").alias("emails"), F.array_join("phones", "|").alias("phones"), F.array_join(jobs, "|").alias("jobs"),
+        F.array_join("skills.name", "|").alias("skills"), F.size("provenance").alias("n_provenance"),
+    )
+
+
 @query(_VALUES + "SELECT cluster_ord, email AS first_email, CAST(NULL AS VARCHAR) AS ninth_email, skills AS names, company, CAST(NULL AS VARCHAR) AS nothing, '' AS no_keys FROM out")
 def project_paths(spark, sf_dir):
     c = Config([Field("first_email", source="emails[0]"), Field("ninth_email", source="emails[99]"), Field("names", source="skills[].name"), Field("company", source="experience[0]..company"), Field("nothing", source="nothing.x"), Field("no_keys", source="skills[].nothing")], False, False)

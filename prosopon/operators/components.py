@@ -29,7 +29,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         parent = write_table(both.groupBy("a").agg(F.least("a", F.min("b")).alias("p")).select(F.col("a").alias("u"), "p"), "parents")
         moving = True
         while moving:
-            new = write_table(_follow(parent), "parents")
+            new = write_table(_follow(_follow(parent)), "parents")  # two doublings in one plan: half as many jobs
             moving = bool(new.where("moved").head(1))
             drop_table(parent)
             parent = new

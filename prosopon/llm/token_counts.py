@@ -1,11 +1,14 @@
 """Token counts with overlap resynchronisation.
 
 Texts up to `chunk` characters are encoded whole. Longer ones are encoded in overlapping chunks with the byte offset of
-every token. Two neighbouring chunks are spliced at a boundary that both report and that is proven stable: a printable
-ASCII character followed by ASCII white space. No alternative of the pre-tokenizer's pattern goes from a character that is
-not white space to one that is, its only look-ahead follows white space, and the added tokens hold no white space; so what
-stands left of such a place is encoded without regard to what stands right of it, and the other way about. Where the
-overlap holds no such boundary it is doubled, and at last the chunk itself, up to the rest of the text.
+every token. Two neighbouring chunks are spliced at a boundary that both report and that is proven stable: a letter or number
+followed by something of another kind (letter, number, symbol, ASCII white space), or a symbol followed by ASCII white
+space. No alternative of the pre-tokenizer's pattern goes from a letter to what is none, from a number to what is none, or
+from a symbol to white space; its only look-ahead follows white space; and places whose two characters stand together inside
+an added token are left out. So what stands left of such a place is encoded without regard to what stands right of it, and the
+other way about. Kinds are those on which the oldest and the newest character table at hand agree; a character of no agreed
+kind proves nothing. Where the overlap holds no such boundary it is doubled, and at last the chunk itself, up to the rest of
+the text: a text that is one run of letters, say, is encoded whole.
 
 A .json file of byte-level BPE is run by its own vocabulary as ranks (the merges are in the order of the ids, which is
 verified when it is loaded); the added tokens' strings inside a text are one token each, as the library does by default.
@@ -16,18 +19,28 @@ empty table.
 
 from __future__ import annotations
 
+import functools
 import json
 import re
+import unicodedata
 
 import numpy as np
 from pyspark.sql import DataFrame
 
 from prosopon.llm.common import keyed_text, map_arrow, utf8
 
-_WS = np.zeros(256, bool)
-_WS[[9, 10, 11, 12, 13, 32]] = True
-_PRINT = np.zeros(256, bool)
-_PRINT[0x21:0x7F] = True
+LETTER, NUMBER, SYMBOL, SPACE = 1, 2, 3, 4
+
+
+@functools.cache
+def _kind(code: int) -> int:
+    """The kind of a character, 0 where none is proven."""
+    c = chr(code)
+    if c in " \t\n\v\f\r":
+        return SPACE
+    old, new = unicodedata.ucd_3_2_0.category(c)[0], unicodedata.category(c)[0]
+    kinds = {"L": LETTER, "N": NUMBER, "P": SYMBOL, "S": SYMBOL}
+    return kinds.get(new, 0) if kinds.get(old) == kinds.get(new) else 0
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -60,6 +73,7 @@ class ByteBPE:
         for b, k in ranks.items():
             self.size[k] = len(b)
         self.added = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
+        self.inside = {t[i : i + 2] for t in added for i in range(len(t) - 1)}
 
     def count(self, text: str) -> int:
         if self.added is None or not self.added.search(text):
@@ -76,11 +90,20 @@ class ByteBPE:
         return np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64)
 
 
-def _stable(raw: bytes, starts: np.ndarray) -> np.ndarray:
-    """Those of the offsets that are proven boundaries."""
-    b = np.frombuffer(raw, np.uint8)
-    p = starts[(starts > 0) & (starts < len(b))]
-    return p[_WS[b[p]] & _PRINT[b[p - 1]]]
+def _stable(bpe: ByteBPE, text: str, shift: int, offsets: np.ndarray) -> np.ndarray:
+    """Those of the byte offsets that are proven boundaries inside text, which starts at byte `shift`."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    sizes = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
+    starts = shift + np.cumsum(sizes) - sizes
+    at = np.searchsorted(starts, offsets)
+    offsets, at = offsets[(at > 0) & (at < len(starts))], at[(at > 0) & (at < len(starts))]
+    whole = starts[at] == offsets  # a token may start inside a character
+    offsets, at = offsets[whole], at[whole]
+    used, place = np.unique(codes[np.concatenate([at - 1, at])], return_inverse=True)
+    before, after = np.array([_kind(int(c)) for c in used], np.int64)[place].reshape(2, -1)
+    ok = np.isin(before, (LETTER, NUMBER)) & (after != before) & (after > 0) | (before == SYMBOL) & (after == SPACE)
+    ok[ok] = [text[k - 1 : k + 1] not in bpe.inside for k in at[ok]]
+    return offsets[ok]
 
 
 def count_long(bpe: ByteBPE, text: str, chunk: int, overlap: int) -> int:
@@ -96,8 +119,7 @@ def count_long(bpe: ByteBPE, text: str, chunk: int, overlap: int) -> int:
             tail = head[size - wide :]  # what the next chunk shares with this one
             shift = len(raw) - len(utf8(tail))
             b = bpe.offsets(text[start + size - wide : start + 2 * size - wide]) + shift
-            common = _stable(raw, np.intersect1d(a, b, assume_unique=True))
-            common = common[common > shift]
+            common = _stable(bpe, tail, shift, np.intersect1d(a, b, assume_unique=True))
             if len(common):
                 cut = int(common[len(common) // 2])
             elif wide == size:

@@ -157,6 +157,19 @@ def test_overlaps_widen():
             assert token_counts.count_long(b, t, chunk, overlap) == b.count(t)
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["今日は、良い天気です。" * 400, "съешь ещё этих мягких французских булок " * 100, "a1B2c3" * 700, "날씨가 좋다, " * 300, "x<|endoftext|>7" * 300, "don't we've7x's " * 250, "e\u0301٣١x中１ " * 300],
+)
+def test_every_script_is_spliced_in_short_chunks(text, monkeypatch):
+    b = token_counts.ByteBPE(P.path("byte_bpe_50k.json"))
+    longest, offsets = [0], b.offsets
+    monkeypatch.setattr(b, "offsets", lambda t: longest.append(len(t)) or offsets(t))
+    for chunk, overlap in ((64, 8), (200, 50), (333, 1)):
+        assert token_counts.count_long(b, text, chunk, overlap) == b.count(text)
+    assert max(longest) <= 333
+
+
 def test_bpe_round_trip(odd, docs):
     import tiktoken
 

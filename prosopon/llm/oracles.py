@@ -71,4 +71,34 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
 """
 
 
-ORACLE_SQL = {"op5_ngram_join": ngram_join(3, 90), "op6_quality_rules": quality(), "op8_licenses": licenses()}
+def decontamination(size: int = 10) -> str:
+    words = lambda x: rf"list_filter(string_split_regex(translate(coalesce({x}, ''), '{_UPPER}', '{_LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+    return rf"""
+WITH item AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {words("text")} AS w FROM benchmark),
+win AS (SELECT DISTINCT item, l, array_to_string(w[i + 1:i + l], ' ') AS g FROM (SELECT item, w, least({size}, len(w)) AS l, unnest(range(0, len(w) - least({size}, len(w)) + 1)) AS i FROM item WHERE len(w) > 0)),
+doc AS (SELECT row_number() OVER () AS r, doc_id, {words("text")} AS w FROM documents),
+place AS (SELECT r, l, w, unnest(range(0, len(w) - l + 1)) AS i FROM doc, (SELECT DISTINCT l FROM win)),
+hit AS (SELECT r, i, win.l, item FROM (SELECT r, l, i, array_to_string(w[i + 1:i + l], ' ') AS g FROM place) p JOIN win ON p.l = win.l AND p.g = win.g),
+covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + l)) AS p FROM (SELECT DISTINCT r, i, l FROM hit)) GROUP BY r),
+which AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(which.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (r) LEFT JOIN which USING (r)
+"""
+
+
+def search(k: int = 50) -> str:
+    terms = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return rf"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {terms} AS t FROM documents),
+total AS (SELECT count(*) AS n_texts, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM doc WHERE len(t) > 0),
+item AS (SELECT DISTINCT r, item_id, unnest(t) AS term FROM (SELECT row_number() OVER () AS r, item_id, {terms} AS t FROM benchmark)),
+post AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM doc) GROUP BY ALL),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * n_texts + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM post, total GROUP BY term, n_texts),
+score AS (SELECT item.r AS i, item_id, post.r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_texts) // n_terms))))) AS BIGINT) AS score FROM item JOIN post USING (term) JOIN weight USING (term), total GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id, r) AS INTEGER) AS rank FROM score WHERE score > 0) WHERE rank <= {k}
+"""
+
+
+ORACLE_SQL = {
+    "op5_ngram_join": ngram_join(3, 90), "op6_quality_rules": quality(), "op8_licenses": licenses(), "op12_decontamination": decontamination(), "op13_search": search(),
+}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prosopon.llm import bpe, iblt, katz, licenses, ngram_join, packing, pii, quality, token_counts, toxicity
+from prosopon.llm import alignment, bpe, decontaminate, iblt, katz, licenses, ngram_join, packing, pii, quality, search, token_counts, toxicity
 from prosopon.llm.common import read_table
 from prosopon.llm.oracles import ORACLE_SQL  # noqa: F401
 
@@ -61,4 +61,16 @@ def op10_fingerprints(spark, sf_dir):
     return iblt.compare(_docs(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_toxicity, op4_katz_backoff, op5_ngram_join, op6_quality_rules, op7_bpe, op8_licenses, op9_pii, op10_fingerprints)}
+def op11_alignment(spark, sf_dir):
+    return alignment.align(_docs(spark, sf_dir), _vocab("byte_bpe_50k.json"), _vocab("piece_bpe_32k.model"))
+
+
+def op12_decontamination(spark, sf_dir):
+    return decontaminate.digest(decontaminate.scan(_docs(spark, sf_dir), read_table(spark, sf_dir, "benchmark")))
+
+
+def op13_search(spark, sf_dir):
+    return search.answer(_docs(spark, sf_dir), read_table(spark, sf_dir, "benchmark")).drop("level")
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_toxicity, op4_katz_backoff, op5_ngram_join, op6_quality_rules, op7_bpe, op8_licenses, op9_pii, op10_fingerprints, op11_alignment, op12_decontamination, op13_search)}

@@ -8,9 +8,10 @@ carries its residual bounds: the highest impact below each tier.
 
 Items are answered from the first tier where that is proven to be exact. A text that tiers up to now have shown scores at least what
 they add up to, and at most that plus the residuals of the item's terms under which it was not seen; one not seen at all at
-most the sum of all residuals. If the k-th lowest bound is above the latter, only seen texts whose highest bound reaches it can
-be among the best; their scores are completed from the postings by text, and the best k are exact. Items without this proof, or
-with more such texts than `most` an item, fall through to the next tier; after the last tier all scores are whole.
+most the sum of all residuals. The scores of the k texts with the highest lower bounds are completed from the postings by text; the
+lowest of them is the threshold. If the sum of all residuals is below it, only seen texts whose highest bound reaches it can
+be among the best; their scores are completed too, and the best k are exact. Items without this proof, or with more such texts
+than `most` an item, fall through to the next tier; after the last tier all scores are whole.
 
 Postings by text are made in the task that reads it, without a shuffle. Tables are written and read from the shared folder. Only
 counts come to the driver; candidates are broadcast only where there are at most `BROADCAST_ROWS` of them.
@@ -84,8 +85,8 @@ def saturated(n_texts: int, n_terms: int) -> Column:
 
 @dataclass(frozen=True)
 class Index:
-    """forward: row, doc_id, term, impact, by text. tiers: the same by tier and term. terms: term, df, weight, residual (the highest
-    impact below each tier but the last)."""
+    """forward: row, doc_id, term, impact, by text. tiers: the same by tier, each file a range of texts, its postings by term, so that
+    a text's sums are mostly made in one task. terms: term, df, weight, residual (the highest impact below each tier but the last)."""
 
     forward: DataFrame
     tiers: DataFrame
@@ -97,7 +98,7 @@ class Index:
             drop_table(t)
 
 
-def build(docs: DataFrame, terms: DataFrame | None = None, first: int = 8192, factor: int = 8, id_col: str = "doc_id", text_col: str = "text") -> Index:
+def build(docs: DataFrame, terms: DataFrame | None = None, first: int = 8192, factor: int = 4, id_col: str = "doc_id", text_col: str = "text") -> Index:
     """The index of all texts; with `terms` (a column term) of these terms only. Counts of texts and lengths are those of whole texts."""
     p = postings(docs, id_col, text_col)
     if terms is not None:
@@ -126,45 +127,51 @@ def build(docs: DataFrame, terms: DataFrame | None = None, first: int = 8192, fa
     for k in range(len(cuts)):
         tier = tier + (F.col("step") < F.get("cut", F.lit(k))).cast("int")
     full = own.join(by_term.select("term", "weight", "cut"), "term").select("row", "doc_id", "term", (F.col("weight") * F.col("part")).alias("impact"), tier.alias("tier"))
-    tiers = write_table(full.repartitionByRange("tier", "term", "row").sortWithinPartitions("tier", "term"), "tiers", "tier")
+    tiers = write_table(full.repartitionByRange("tier", "row").sortWithinPartitions("tier", "term"), "tiers", "tier")
     forward = write_table(full.drop("tier"), "forward")
     drop_table(p)
     return Index(forward, tiers, by_term, len(cuts) + 1)
 
 
-def _best(scored: DataFrame, k: int) -> DataFrame:
+def _best(scored: DataFrame, k: int, *ties: str) -> DataFrame:
     """The k best rows of each item, with rank."""
-    order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc("doc_id"), F.asc("row"))
+    order = Window.partitionBy("item").orderBy(F.desc("score"), *ties, F.asc("row"))
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def search(index: Index, asked: DataFrame, k: int = 50, most: int = 2000) -> DataFrame:
+def _whole(index: Index, asked: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """item, row, doc_id, score: of some pairs (a written table of item and row) from the postings by text, of all from all tiers."""
+    own, keys = index.tiers, ["term"]
+    if pairs is not None:
+        own, keys = index.forward.join(F.broadcast(pairs) if pairs.count() <= BROADCAST_ROWS else pairs, "row"), ["item", "term"]
+    return own.join(asked.select("item", "term"), keys).groupBy("item", "row", "doc_id").agg(F.sum("impact").alias("score")).where("score > 0")
+
+
+def search(index: Index, asked: DataFrame, k: int = 50, most: int = 5000) -> DataFrame:
     """item_id, rank, doc_id, score, level (the tier that settled the item) of the k best texts of each item. asked: rows of query_terms(), written."""
     names = asked.select("item", "item_id").distinct()
     left = write_table(asked.join(index.terms.select("term", "residual"), "term").select("item", "term", "residual"), "asked")
     done = []
+    keep = lambda scored, level: done.append(write_table(_best(scored, k, "doc_id").drop("rank").withColumn("level", F.lit(level)), "best"))
     for level in range(index.levels):
-        last = level == index.levels - 1
-        rest = F.lit(0).cast("long") if last else F.get("residual", F.lit(level))
-        now = left.select("item", "term", rest.alias("rest"))
-        seen = index.tiers.where(F.col("tier") <= level).join(now, "term").groupBy("item", "row", "doc_id").agg(F.sum("impact").alias("score"), F.sum("rest").alias("known"))
-        if last:
-            done.append(write_table(_best(seen.where("score > 0").select("item", "row", "doc_id", "score"), k).drop("rank").withColumn("level", F.lit(level)), "best"))
+        if level == index.levels - 1:
+            keep(_whole(index, left), level)
             break
+        now = left.select("item", "term", F.get("residual", F.lit(level)).alias("rest"))
+        seen = index.tiers.where(F.col("tier") <= level).join(now, "term").groupBy("item", "row").agg(F.sum("impact").alias("score"), F.sum("rest").alias("known"))
         seen = write_table(seen, "seen")
-        least = _best(seen, k).groupBy("item").agg(F.min("score").alias("score"), F.count("*").alias("n"))
+        top = write_table(_best(seen, k).select("item", "row"), "top")
+        least = _whole(index, left, top).groupBy("item").agg(F.min("score").alias("score"), F.count("*").alias("n"))
         bounds = now.groupBy("item").agg(F.sum("rest").alias("rest")).join(least, "item", "left")
-        bounds = write_table(bounds.select("item", "rest", F.when(F.col("n") == k, F.col("score")).otherwise(0).alias("least")), "bounds")
-        could = seen.join(bounds.where("rest < least OR rest = 0"), "item").where("score + rest - known >= least").select("item", "row")
-        few = could.groupBy("item").agg(F.count("*").alias("n"))
-        proven = bounds.where("rest < least OR rest = 0").join(few, "item", "left").where((F.coalesce("n", F.lit(0)) <= most) | (F.col("rest") == 0)).select("item")
-        proven = write_table(proven, "proven")
-        could = write_table(could.join(proven, "item"), "candidates")
-        some = F.broadcast(could) if could.count() <= BROADCAST_ROWS else could
-        whole = index.forward.join(some, "row").join(left.select("item", "term"), ["item", "term"]).groupBy("item", "row", "doc_id").agg(F.sum("impact").alias("score"))
-        done.append(write_table(_best(whole.where("score > 0"), k).drop("rank").withColumn("level", F.lit(level)), "best"))
+        bounds = write_table(bounds.select("item", "rest", F.when(F.col("n") == k, F.col("score")).otherwise(0).alias("least")).where("rest < least OR rest = 0"), "bounds")
+        could = write_table(seen.join(bounds, "item").where("score + rest - known >= least").select("item", "row", "rest"), "candidates")
+        few = could.groupBy("item", "rest").agg(F.count("*").alias("n")).where((F.col("n") <= most) | (F.col("rest") == 0))
+        nothing = bounds.where("rest = 0").select("item")  # terms of which no tier below has any posting
+        proven = write_table(few.select("item").unionByName(nothing).distinct(), "proven")
+        chosen = write_table(could.select("item", "row").join(proven, "item"), "chosen")
+        keep(_whole(index, left, chosen), level)
         still = write_table(left.join(proven, "item", "left_anti"), "asked")
-        for t in (seen, bounds, proven, could, left):
+        for t in (seen, top, bounds, could, proven, chosen, left):
             drop_table(t)
         left = still
         if not left.head(1):
@@ -173,10 +180,10 @@ def search(index: Index, asked: DataFrame, k: int = 50, most: int = 2000) -> Dat
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return _best(out, k).join(names, "item").select("item_id", "rank", "doc_id", "score", "level")
+    return _best(out, k, "doc_id").join(names, "item").select("item_id", "rank", "doc_id", "score", "level")
 
 
-def answer(docs: DataFrame, items: DataFrame, k: int = 50, first: int = 8192, factor: int = 8, most: int = 2000) -> DataFrame:
+def answer(docs: DataFrame, items: DataFrame, k: int = 50, first: int = 8192, factor: int = 4, most: int = 5000) -> DataFrame:
     """The k best texts of every item, from an index of the items' terms."""
     asked = write_table(query_terms(items), "queries")
     index = build(docs, asked, first, factor)

@@ -127,7 +127,7 @@ def build(docs: DataFrame, terms: DataFrame | None = None, first: int = 8192, fa
     for k in range(len(cuts)):
         tier = tier + (F.col("step") < F.get("cut", F.lit(k))).cast("int")
     full = own.join(by_term.select("term", "weight", "cut"), "term").select("row", "doc_id", "term", (F.col("weight") * F.col("part")).alias("impact"), tier.alias("tier"))
-    tiers = write_table(full.repartitionByRange("tier", "row").sortWithinPartitions("tier", "term"), "tiers", "tier")
+    tiers = write_table(full.sortWithinPartitions("tier", "term"), "tiers", "tier")  # dealt by text already
     forward = write_table(full.drop("tier"), "forward")
     drop_table(p)
     return Index(forward, tiers, by_term, len(cuts) + 1)

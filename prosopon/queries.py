@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -11,10 +12,10 @@ from pyspark.sql import functions as F
 from prosopon import adapters
 from prosopon.functions import phones, scoring, text
 from prosopon.operators import checks, fuse, resolve
-from prosopon.operators.durable import write_table
+from prosopon.operators.durable import shared_dir, write_table
 from prosopon.plans import run as plan
 from prosopon.plans.shape import DEFAULT_CONFIG, Config, Field, project, projected_columns
-from prosopon.sources import files, partials
+from prosopon.sources import csv_splits, files, partials
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -258,6 +259,30 @@ def csv_partial(spark, sf_dir):
     return p.select("source_id", "full_name", F.get("emails", F.lit(0)).alias("email"), F.get("phones", F.lit(0)).alias("phone"), F.get("experience", F.lit(0))["company"].alias("company"), F.get("experience", F.lit(0))["title"].alias("title"))
 
 
+_ORDER_LINE = "concat(CASE WHEN o_orderkey % 7 = 0 THEN concat('\"', o_orderpriority, chr(10), 'and \"\"more\"\"\"') ELSE o_orderpriority END, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE concat(',o', CAST(o_orderkey AS string), '@x.org') END, CASE WHEN o_orderkey % 3 = 0 THEN concat(chr(13), chr(10), chr(13)) ELSE '' END)"
+
+
+def _order_files(spark, sf_dir):
+    """Sixteen files written from the orders, by their keys: quoted line breaks, short rows, blank lines and carriage returns."""
+    o = _t(spark, sf_dir, "orders").select((F.col("o_orderkey") % 16).cast("int").alias("part"), F.col("o_orderkey").alias("k"), F.expr(_ORDER_LINE).alias("value"))
+    o = o.unionByName(o.select("part").distinct().select("part", F.lit(-1).cast("long").alias("k"), F.lit("title,email").alias("value")))
+    folder = f"{shared_dir(spark)}/orders-{uuid.uuid4().hex}"
+    o.repartition("part").sortWithinPartitions("part", "k").select("part", "value").write.partitionBy("part").text(folder)
+    found = spark.read.format("binaryFile").load(folder).select("path").distinct()
+    found = found.select(F.col("path").alias("given"), F.regexp_extract("path", "part=([0-9]+)/", 1).alias("name"))
+    return folder, write_table(found.select(F.col("name").cast("int").alias("file_ord"), "given", "name"), "order-files")
+
+
+@query(
+    "SELECT name, CAST(row_number() OVER (PARTITION BY name ORDER BY k) - 1 AS INTEGER) AS pos, title, email FROM (SELECT CAST(o_orderkey % 16 AS VARCHAR) AS name, o_orderkey AS k, "
+    "CASE WHEN o_orderkey % 7 = 0 THEN concat(o_orderpriority, chr(10), 'and \"more\"') ELSE o_orderpriority END AS title, CASE WHEN o_orderkey % 5 <> 0 THEN concat('o', o_orderkey, '@x.org') END AS email FROM orders)"
+)
+def csv_split_scan(spark, sf_dir):
+    folder, found = _order_files(spark, sf_dir)
+    r = csv_splits.csv_split_scan(csv_splits.csv_lines(spark, found, [folder]), found, files.CSV_COLUMNS).where("pos IS NOT NULL")
+    return r.select("name", "pos", F.col("c_title").alias("title"), F.col("c_email").alias("email"))
+
+
 def _json_files(spark, sf_dir):
     """One document for each nation; nation 3's is cut off, 5's has no list, in 6's an email is a number."""
     entry = F.expr(
@@ -567,10 +592,10 @@ def project_paths(spark, sf_dir):
     return p.select("cluster_ord", "first_email", "ninth_email", F.array_join("names", "|").alias("names"), "company", "nothing", F.array_join("no_keys", "|").alias("no_keys"))
 
 
-@query(_VALUES + "SELECT cluster_ord, full_name, email AS primary_email, phone, skills FROM out")
+@query(_VALUES + "SELECT cluster_ord, full_name AS person, company AS employer, CAST(NULL AS VARCHAR) AS pitch, skills AS tools FROM out")
 def project_custom(spark, sf_dir):
-    c = Config([Field("full_name"), Field("primary_email", source="emails[0]"), Field("phone", source="phones[0]", normalize="E164"), Field("skills", "string[]", source="skills[].name", normalize="canonical")], False, False)
-    return projected_columns(_records(spark, sf_dir), c).withColumn("skills", F.array_join("skills", "|"))
+    c = Config([Field("person", source="full_name"), Field("employer", source="experience[0].company"), Field("pitch", source="headline"), Field("tools", "string[]", source="skills[].name")], False, False)
+    return projected_columns(_records(spark, sf_dir), c).withColumn("tools", F.array_join("tools", "|"))
 
 
 @query(_VALUES + "SELECT cluster_ord, full_name, email, phone, skills, company FROM out")
@@ -586,10 +611,10 @@ def project_on_missing(spark, sf_dir):
     return project(_records(spark, sf_dir), c).select("cluster_ord", "document")
 
 
-@query(_VALUES + "SELECT cluster_ord, phone, skills, CAST(NULL AS VARCHAR) AS dated FROM out")
+@query(_VALUES + "SELECT cluster_ord, phone AS call, skills AS tools, CAST(NULL AS VARCHAR) AS since FROM out")
 def project_normalize(spark, sf_dir):
-    c = Config([Field("phone", source="phones[0]", normalize="E164"), Field("skills", "string[]", source="skills[].name", normalize="canonical"), Field("dated", source="full_name", normalize="YYYY-MM")], False, False)
-    return projected_columns(_records(spark, sf_dir), c).select("cluster_ord", "phone", F.array_join("skills", "|").alias("skills"), "dated")
+    c = Config([Field("since", source="full_name", normalize="YYYY-MM"), Field("tools", "string[]", source="skills[].name", normalize="canonical"), Field("call", source="phones[0]", normalize="E164")], False, False)
+    return projected_columns(_records(spark, sf_dir), c).select("cluster_ord", "call", F.array_join("tools", "|").alias("tools"), "since")
 
 
 @query(_VALUES + "SELECT candidate_id, CASE WHEN full_name IS NULL THEN 'field ''full_name'' (from ''full_name'') is missing' ELSE 'field ''email'' (from ''emails[0]'') is missing' END AS message FROM out WHERE full_name IS NULL OR email IS NULL")

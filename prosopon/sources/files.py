@@ -50,7 +50,9 @@ def text_scan(files: DataFrame) -> DataFrame:
 
 
 def csv_scan(files: DataFrame) -> DataFrame:
-    """file_ord, name, ok, error, pos and the known columns of every row. A file needs one known column in its header. A byte
+    """Files that are already in a table; csv_splits reads files of any size from where they lie, with the same result.
+
+    file_ord, name, ok, error, pos and the known columns of every row. A file needs one known column in its header. A byte
     order mark is accepted; of equal column names the last counts. Rows of blank lines don't exist and don't count."""
     out = "file_ord int, name string, ok boolean, error string, pos int, " + ", ".join(f"c_{c} string" for c in CSV_COLUMNS)
 
@@ -67,8 +69,8 @@ def csv_scan(files: DataFrame) -> DataFrame:
                     if not set(head) & set(CSV_COLUMNS):
                         found.append([order, name, False, f"no recognized header columns found; got {head}", None, *none])
                         continue
-                    found.append([order, name, True, None, None, *none])
-                    found += [[order, name, True, None, k, *(r.get(c) for c in CSV_COLUMNS)] for k, r in enumerate(reader)]
+                    own = [[order, name, True, None, k, *(r.get(c) for c in CSV_COLUMNS)] for k, r in enumerate(reader)]
+                    found += [[order, name, True, None, None, *none], *own]
                 except (UnicodeDecodeError, csv.Error) as e:
                     found.append([order, name, False, f"failed to read CSV: {e}", None, *none])
             yield pd.DataFrame(found, columns=["file_ord", "name", "ok", "error", "pos", *(f"c_{c}" for c in CSV_COLUMNS)]).astype({"pos": "Int32"})

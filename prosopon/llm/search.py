@@ -3,7 +3,8 @@
 A text's score for an item is a sum over the item's terms of integer impacts: a weight that falls with the number of texts that
 hold the term, times a saturated count that falls with the text's length (`impacts` has the formula). The index holds each term's
 postings in tiers, highest impacts first. A histogram of the saturated counts gives each term its cuts: the first tier of
-a term has about `first` postings, the next `factor` times as many, and so on; whole steps of the histogram go together. Each term
+a term has about as many postings as `share` of the texts (`first` at least), the next `factor` times as many, and so on; whole steps of
+the histogram go together. Cuts are shares because residuals are quantiles of a term's impacts, which more texts do not lower. Each term
 carries its residual bounds: the highest impact below each tier.
 
 Items are answered from the first tier where that is proven to be exact. A text that tiers up to now have shown scores at least what
@@ -98,7 +99,7 @@ class Index:
             drop_table(t)
 
 
-def build(docs: DataFrame, terms: DataFrame | None = None, first: int = 8192, factor: int = 4, id_col: str = "doc_id", text_col: str = "text") -> Index:
+def build(docs: DataFrame, terms: DataFrame | None = None, first: int = 64, factor: int = 4, share: float = 1 / 32, id_col: str = "doc_id", text_col: str = "text") -> Index:
     """The index of all texts; with `terms` (a column term) of these terms only. Counts of texts and lengths are those of whole texts."""
     p = postings(docs, id_col, text_col)
     if terms is not None:
@@ -106,6 +107,7 @@ def build(docs: DataFrame, terms: DataFrame | None = None, first: int = 8192, fa
         p = p.join(asked, "term", "left").where("asked OR term IS NULL").drop("asked")
     p = write_table(p, "postings")
     total = p.where("term IS NULL").agg(F.count("*").alias("texts"), F.coalesce(F.sum("n"), F.lit(0)).alias("terms")).first()
+    first = max(first, int(total["texts"] * share))
     cuts = []
     while first * factor ** len(cuts) < total["texts"]:
         cuts.append(first * factor ** len(cuts))
@@ -183,7 +185,7 @@ def search(index: Index, asked: DataFrame, k: int = 50, most: int = 5000) -> Dat
     return _best(out, k, "doc_id").join(names, "item").select("item_id", "rank", "doc_id", "score", "level")
 
 
-def answer(docs: DataFrame, items: DataFrame, k: int = 50, first: int = 8192, factor: int = 4, most: int = 5000) -> DataFrame:
+def answer(docs: DataFrame, items: DataFrame, k: int = 50, first: int = 64, factor: int = 4, most: int = 5000) -> DataFrame:
     """The k best texts of every item, from an index of the items' terms."""
     asked = write_table(query_terms(items), "queries")
     index = build(docs, asked, first, factor)

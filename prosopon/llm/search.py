@@ -99,7 +99,7 @@ class Index:
             drop_table(t)
 
 
-def build(docs: DataFrame, terms: DataFrame | None = None, first: int = 64, factor: int = 4, share: float = 1 / 32, id_col: str = "doc_id", text_col: str = "text") -> Index:
+def build(docs: DataFrame, terms: DataFrame | None = None, first: int = 2048, factor: int = 4, share: float = 1 / 32, id_col: str = "doc_id", text_col: str = "text") -> Index:
     """The index of all texts; with `terms` (a column term) of these terms only. Counts of texts and lengths are those of whole texts."""
     p = postings(docs, id_col, text_col)
     if terms is not None:
@@ -185,7 +185,7 @@ def search(index: Index, asked: DataFrame, k: int = 50, most: int = 5000) -> Dat
     return _best(out, k, "doc_id").join(names, "item").select("item_id", "rank", "doc_id", "score", "level")
 
 
-def answer(docs: DataFrame, items: DataFrame, k: int = 50, first: int = 64, factor: int = 4, most: int = 5000) -> DataFrame:
+def answer(docs: DataFrame, items: DataFrame, k: int = 50, first: int = 2048, factor: int = 4, most: int = 5000) -> DataFrame:
     """The k best texts of every item, from an index of the items' terms."""
     asked = write_table(query_terms(items), "queries")
     index = build(docs, asked, first, factor)

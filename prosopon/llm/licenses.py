@@ -105,43 +105,62 @@ def bigrams_of(text: str) -> list[str]:
 def scan(df: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_units (stretches compared), n_hits (licences found), license (best), dice, licenses (all found, by name). One row per row.
     Templates have two words at least."""
-    sets = {k: bigrams_of(t) for k, t in sorted(templates.items())}
-    length = {k: len(words_of(t)) - 1 for k, t in templates.items()}
+    names = sorted(templates)
+    sets = [bigrams_of(templates[k]) for k in names]
     t = round(threshold * 1000)  # thousandths, so that no bound is rounded the wrong way
-    least = {k: -(-len(s) * t // (2000 - t)) for k, s in sets.items()}
-    every = sorted({b for s in sets.values() for b in s})
+    every = sorted({b for s in sets for b in s})
+    # own: the template's bigrams, words: bigrams of a stretch, least: how many must be shared, order: lower for later names.
+    known = F.array(*(
+        F.struct(F.array(*map(F.lit, s)).alias("own"), F.lit(len(words_of(templates[k])) - 1).alias("words"), F.lit(len(s)).alias("size"), F.lit(-(-len(s) * t // (2000 - t))).alias("least"), F.lit(-i).alias("order"))
+        for i, (k, s) in enumerate(zip(names, sets))
+    ))
     normal = F.trim(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "))
     n = F.greatest(F.size("words") - 1, F.lit(0))
     pairs = F.zip_with(F.slice("words", 1, n), F.slice("words", 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
-    places = lambda p, of: F.filter(p, lambda i: F.get("pairs", i).isin(of))
-    some = F.when(F.size("pairs") > 0, places(F.sequence(F.lit(0), F.size("pairs") - 1), every)).otherwise(F.array().cast("array<int>"))
-
-    def compared(k: str) -> Column:
-        """(shared, size of both sets, name) of each stretch within the bounds."""
-        s, own = F.array(*map(F.lit, sets[k])), places(F.col("places"), sets[k])
-        stretches = F.transform(own, lambda i: F.array_distinct(F.slice("pairs", i + 1, length[k])))
-        m = len(sets[k])
-        fits = lambda p: (2000 - t) * F.least(F.size(p), F.lit(m)) >= t * F.greatest(F.size(p), F.lit(m))
-        scored = F.transform(F.filter(stretches, fits), lambda p: F.struct(F.size(F.array_intersect(p, s)).alias("shared"), (F.size(p) + m).alias("both"), F.lit(k).alias("license")))
-        enough = F.size(F.array_distinct(F.transform(own, lambda i: F.get("pairs", i)))) >= least[k]
-        return F.when((F.size("places") >= least[k]) & enough, scored).otherwise(F.array().cast("array<struct<shared:int,both:int,license:string>>"))
-
-    of = lambda x: 2.0 * x["shared"] / x["both"]
-    best = F.reduce(
-        "hits", F.struct(F.lit(0.0).alias("dice"), F.lit("").alias("license")),
-        lambda a, x: F.when((of(x) > a["dice"]) | ((of(x) == a["dice"]) & (x["license"] < a["license"])), F.struct(of(x).alias("dice"), x["license"].alias("license"))).otherwise(a),
-    )
-    found = F.array_sort(F.array_distinct(F.transform("hits", lambda x: x["license"])))
+    pair = lambda i: F.get("pairs", i)
+    some = F.when(F.size("pairs") > 0, F.filter(F.sequence(F.lit(0), F.size("pairs") - 1), lambda i: pair(i).isin(every))).otherwise(F.array().cast("array<int>"))
+    seen = F.array_distinct(F.transform("places", pair))
+    live = F.filter(known, lambda k: F.size(F.array_intersect("seen", k["own"])) >= k["least"])
+    given = lambda value, f: F.get(F.transform(F.array(value), f), F.lit(0))  # noqa: E731  (f of a value that is made once)
+
+    def compared(i: Column, k: Column) -> Column:
+        """(shared, minus the size of both sets, order) of the stretch at place i, null outside the bounds."""
+        return given(
+            F.array_distinct(F.slice("pairs", i + 1, k["words"])),
+            lambda p: F.when(
+                (2000 - t) * F.least(F.size(p), k["size"]) >= t * F.greatest(F.size(p), k["size"]),
+                F.struct(F.size(F.array_intersect(p, k["own"])).alias("shared"), (-F.size(p) - k["size"]).alias("less"), k["order"].alias("order")),
+            ),
+        )
+
+    def counted(state: Column, units: Column) -> Column:
+        """The state after the stretches that begin at one place."""
+        top = F.array_max(F.filter(units, lambda u: 2000 * u["shared"] >= -t * u["less"]))
+        return given(top, lambda u: F.struct(
+            (state["n_units"] + F.size(units)).alias("n_units"),
+            F.when(u.isNull(), state["best"]).otherwise(F.array_max(F.array(state["best"], F.struct((-2.0 * u["shared"] / u["less"]).alias("dice"), u["order"].alias("order"))))).alias("best"),
+            F.when(u.isNull(), state["found"]).otherwise(F.array_union(state["found"], F.array(u["order"]))).alias("found"),
+        ))
+
+    def step(state: Column, i: Column) -> Column:
+        units = F.transform(F.filter("live", lambda k: F.array_contains(k["own"], pair(i))), lambda k: compared(i, k))
+        return given(F.filter(units, lambda u: u.isNotNull()), lambda u: counted(state, u))
+
+    nothing = F.struct(F.lit(0).cast("long").alias("n_units"), F.struct(F.lit(0.0).alias("dice"), F.lit(0).alias("order")).alias("best"), F.array().cast("array<int>").alias("found"))
+    # Asking for the size first also keeps the templates that a text may have from being looked for at each place anew.
+    result = F.when(F.size("live") > 0, F.reduce("places", nothing, step)).otherwise(nothing)
+    name = lambda order: F.get(F.array(*map(F.lit, names)), -order)
     return (
         keyed_text(df, id_col, text_col).select("doc_id", normal.alias("normal"))
         .select("doc_id", F.when(F.col("normal") == "", F.array().cast("array<string>")).otherwise(F.split("normal", " ")).alias("words"))
         .select("doc_id", pairs.alias("pairs"))
         .select("doc_id", "pairs", some.alias("places"))
-        .select("doc_id", F.flatten(F.array(*(compared(k) for k in sets))).alias("units"))
-        .select("doc_id", F.size("units").cast("long").alias("n_units"), F.filter("units", lambda x: 2000 * x["shared"] >= t * x["both"]).alias("hits"))
-        .select("doc_id", "n_units", found.alias("found"), best.alias("best"))
+        .select("doc_id", "pairs", "places", seen.alias("seen"))
+        .select("doc_id", "pairs", "places", live.alias("live"))
+        .select("doc_id", result.alias("r"))
+        .select("doc_id", "r.n_units", "r.best", F.array_sort(F.transform("r.found", name)).alias("found"))
         .select(
-            "doc_id", "n_units", F.size("found").cast("long").alias("n_hits"), F.nullif("best.license", F.lit("")).alias("license"),
+            "doc_id", "n_units", F.size("found").cast("long").alias("n_hits"), F.when(F.size("found") > 0, name(F.col("best.order"))).alias("license"),
             F.when(F.size("found") > 0, F.floor(F.col("best.dice") * 10000 + 0.5) / 10000).alias("dice"), F.array_join("found", "|").alias("licenses"),
         )
     )

@@ -35,9 +35,9 @@ doc AS (SELECT row_number() OVER () AS r, doc_id, {pairs} AS p FROM (SELECT doc_
 placed AS (SELECT r, unnest(p) AS b, generate_subscripts(p, 1) AS i FROM doc),
 own AS (SELECT r, k, i, b FROM placed JOIN bigram USING (b)),
 enough AS (SELECT r, k FROM own JOIN template USING (k) GROUP BY r, k, len(s) HAVING count(DISTINCT b) * {200 - percent} >= len(s) * {percent}),
-stretch AS (SELECT r, k, s, list_distinct(p[i:i + words - 1]) AS x FROM own JOIN enough USING (r, k) JOIN template USING (k) JOIN doc USING (r)),
-unit AS (SELECT r, k, len(list_intersect(x, s)) AS shared, len(x) + len(s) AS size FROM stretch WHERE {200 - percent} * least(len(x), len(s)) >= {percent} * greatest(len(x), len(s))),
-hit AS (SELECT r, k, 2.0::DOUBLE * shared / size AS d FROM unit WHERE 200 * shared >= {percent} * size),
+stretch AS (SELECT r, k, i, s, list_distinct(p[i:i + words - 1]) AS x FROM own JOIN enough USING (r, k) JOIN template USING (k) JOIN doc USING (r)),
+unit AS (SELECT r, k, i, len(list_intersect(x, s)) AS shared, len(x) + len(s) AS size FROM stretch WHERE {200 - percent} * least(len(x), len(s)) >= {percent} * greatest(len(x), len(s))),
+hit AS (SELECT r, k, 2.0::DOUBLE * shared / size AS d FROM unit WHERE 200 * shared >= {percent} * size QUALIFY row_number() OVER (PARTITION BY r, i ORDER BY shared DESC, size, k) = 1),
 best AS (SELECT r, count(DISTINCT k) AS n, string_agg(DISTINCT k, '|' ORDER BY k) AS names, floor(max(d) * 10000 + 0.5) / 10000 AS d FROM hit GROUP BY r),
 top AS (SELECT r, min(k) AS k FROM hit h WHERE d = (SELECT max(d) FROM hit x WHERE x.r = h.r) GROUP BY r),
 n AS (SELECT r, count(*) AS n FROM unit GROUP BY r)

@@ -515,17 +515,18 @@ MIT = licenses.TEMPLATES["MIT"]
 
 
 def _licences_in(text):
-    """By comparing every stretch of a template's length, without any pruning."""
+    """By comparing every stretch of a template's length, without any pruning; one counts of those that begin at one place."""
     w = re.findall("[a-z0-9]+", (text or "").lower())
     p = [f"{a} {b}" for a, b in zip(w, w[1:])]
-    best = []
+    sets = []
     for k, t in licenses.TEMPLATES.items():
         v = re.findall("[a-z0-9]+", t.lower())
-        s = {f"{a} {b}" for a, b in zip(v, v[1:])}
-        for i in range(len(p)):
-            x = set(p[i : i + len(v) - 1])
-            if p[i] in s and 10 * len(x & s) >= 4 * (len(x) + len(s)):
-                best.append((-2 * len(x & s) / (len(x) + len(s)), k))
+        sets.append((k, len(v) - 1, {f"{a} {b}" for a, b in zip(v, v[1:])}))
+    best = []
+    for i, b in enumerate(p):
+        here = [(len(x & s), len(x) + len(s), k) for k, n, s in sets if b in s and (x := set(p[i : i + n]))]
+        hits = sorted((-shared, both, k) for shared, both, k in here if 10 * shared >= 4 * both)
+        best += [(-2 * shared / both, k) for shared, both, k in hits[:1]]
     return (min(best)[1] if best else None), "|".join(sorted({k for _, k in best}))
 
 
@@ -545,6 +546,15 @@ def test_licences(spark, odd, docs):
         assert name in names[k], k
 
 
+def test_licences_alike_and_in_long_texts(spark):
+    """A line of one GNU licence is not one of its sisters too; a text of megabytes of licences is read in little memory."""
+    alike = ["GPL-3.0", "GPL-2.0", "LGPL-3.0", "AGPL-3.0", "CC-BY-4.0-notice", "CC-BY-SA-4.0-notice", "MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0-notice"]
+    rows = [(k, f"Some words here.\n{licenses.TEMPLATES[n]}\nAnd code.") for k, n in enumerate(alike)]
+    assert by_row(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "license", "licenses", "n_hits", "dice") == [(k, n, n, 1, 1.0) for k, n in enumerate(alike)]
+    long = spark.range(1).select(F.col("id").alias("doc_id"), F.repeat(F.lit(MIT + "\n"), 500).alias("text"))
+    assert by_row(licenses.scan(long), "license", "licenses", "dice") == [("MIT", "MIT", 1.0)]
+
+
 # ---- fingerprints
 
 

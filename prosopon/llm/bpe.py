@@ -11,7 +11,9 @@ of their positions.
 Matches of more than PIECE bytes (a run of letters without any break) go through the same query in pieces. Tokens are the encoding
 of their bytes if and only if every two neighbours are the encoding of theirs: the first contraction across a boundary would touch
 only the two tokens beside it, and would so come in the encoding of these two as well. Where two pieces meet in tokens that are not
-their own encoding, the tokens around are encoded together, more of them each time, until all boundaries hold.
+their own encoding, the tokens around are encoded together, more of them each time, until all boundaries hold. Matches of more than SEGMENT
+bytes are encoded segment by segment, and the segments spliced likewise. The queries get bounded numbers of bytes and of ids at a time, and
+write nothing to the disk, so a worker's memory grows with its longest text's bytes and ids alone (four bytes an id).
 
 Defined results: a null text is empty, has no ids and decodes to an empty text; repeated rows are encoded each for itself;
 ids that are null are skipped in decoding, ids that the vocabulary lacks are an error; an empty table gives an empty table.
@@ -23,6 +25,7 @@ import base64
 import gc
 import hashlib
 import itertools
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -35,6 +38,12 @@ from prosopon.llm.common import keyed_text, map_arrow, utf8
 
 #: Bytes of a match that are encoded at once.
 PIECE = 64
+#: Bytes of a match whose pieces are held as lists at once, a multiple of PIECE.
+SEGMENT = 1 << 18
+#: Bytes, and ids, that a query gets at once.
+QUERY_BYTES, QUERY_IDS = 1 << 20, 1 << 19
+#: Longest word, and group of words, that a worker remembers.
+MEMO_CHARS = 1000
 #: Tokens on each side that are encoded anew where pieces do not fit, at first.
 AROUND = 4
 #: Distinct words, and groups of words, that a worker remembers in each of two generations.
@@ -78,7 +87,7 @@ class Vocabulary:
         self.decimal = [str(k) for k in range(max(self.bytes_of) + 1)]
         self.byte_id = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
         self.fits: dict[tuple[int, int], bool] = {}
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "350MB", "preserve_insertion_order": False})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "350MB", "temp_directory": "", "preserve_insertion_order": False})
         left, right, rank = np.array(pairs, np.int64).T
         self._table("merges", both=left << 32 | right, rank=rank.astype(np.int32))
         self._table("vocabulary", id=np.fromiter(self.bytes_of, np.int32), letters=["".join(chr(LETTER + x) for x in b) for b in self.bytes_of.values()])
@@ -90,19 +99,47 @@ class Vocabulary:
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word."""
         long = [k for k, w in enumerate(words) if len(w) > PIECE]
-        pieces = [[words[k][i : i + PIECE] for i in range(0, len(words[k]), PIECE)] for k in long]
-        out = self._contract([w[:PIECE] for w in words] + [x for p in pieces for x in p[1:]])
-        rest = iter(out[len(words) :])
-        coded = [[out[k], *(next(rest) for _ in p[1:])] for k, p in zip(long, pieces)]
+        out = self._contract([w if len(w) <= PIECE else w[:1] for w in words])
+        for some in self._bounded(long, [len(words[k]) for k in long], SEGMENT):
+            if len(words[some[0]]) > SEGMENT:  # it is alone
+                w = words[some[0]]
+                coded = [[array("i", self._spliced([w[i : i + SEGMENT]])[0]) for i in range(0, len(w), SEGMENT)]]
+                self._splice(coded)
+                ids = array("i")
+                for x in coded[0]:
+                    ids.extend(x)
+                out[some[0]] = ids
+            else:
+                for k, ids in zip(some, self._spliced([words[k] for k in some])):
+                    out[k] = ids
+        return out
+
+    def _spliced(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of each word, by its pieces."""
+        pieces = [[w[i : i + PIECE] for i in range(0, len(w), PIECE)] for w in words]
+        got = iter(self._contract(list(itertools.chain.from_iterable(pieces))))
+        coded = [[next(got) for _ in p] for p in pieces]
         self._splice(coded)
-        for k, c in zip(long, coded):
-            out[k] = list(itertools.chain.from_iterable(c))
-        return out[: len(words)]
+        return [list(itertools.chain.from_iterable(c)) for c in coded]
+
+    @staticmethod
+    def _bounded(items: list, sizes: list[int], most: int):
+        """The items in their order, in lists whose sizes add up to `most`; a larger one is alone."""
+        some, total = [], 0
+        for x, n in zip(items, sizes):
+            if some and total + n > most:
+                yield some
+                some, total = [], 0
+            some.append(x)
+            total += n
+        if some:
+            yield some
 
     def _contract(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word, by the recursive query. No word is empty."""
-        if not words:
-            return []
+        return list(itertools.chain.from_iterable(map(self._contract_some, self._bounded(words, list(map(len, words)), QUERY_BYTES))))
+
+    def _contract_some(self, words: list[bytes]) -> list[list[int]]:
         n = np.array([len(w) for w in words])
         ends = np.cumsum(n)
         g = np.arange(ends[-1], dtype=np.int32)
@@ -141,7 +178,7 @@ class Vocabulary:
                     elif m and k > last + 1:  # its neighbour may wait for the next round
                         anew.append((i, k))
                         last = k
-            got = self._contract([self._joined(coded[i][k][-todo[i][k] :] + coded[i][k + 1][: todo[i][k]]) for i, k in anew])
+            got = self._contract([self._joined([*coded[i][k][-todo[i][k] :], *coded[i][k + 1][: todo[i][k]]]) for i, k in anew])
             for (i, k), ids in zip(reversed(anew), reversed(got)):
                 c, t = coded[i], todo[i]
                 m = t[k]
@@ -155,13 +192,19 @@ class Vocabulary:
 
     def decode_all(self, rows: list[np.ndarray]) -> list[bytes]:
         """The bytes of each array of ids."""
-        sizes = [len(r) for r in rows]
-        flat = np.concatenate([np.zeros(0, np.int32), *rows])
-        if not len(flat):
-            return [b""] * len(rows)
+        out: list[list[bytes]] = [[] for _ in rows]
+        slices = [(k, r[i : i + QUERY_IDS]) for k, r in enumerate(rows) for i in range(0, len(r), QUERY_IDS)]
+        for some in self._bounded(slices, [len(x) for _, x in slices], QUERY_IDS):
+            for (k, _), part in zip(some, self._decode([x for _, x in some])):
+                out[k].append(part)
+        return list(map(b"".join, out))
+
+    def _decode(self, rows: list[np.ndarray]) -> list[bytes]:
+        """The bytes of each array of ids, by one query. No array is empty."""
+        flat = np.concatenate(rows)
         if unknown := set(np.unique(flat).tolist()) - self.bytes_of.keys():
             raise ValueError(f"ids without a token: {sorted(unknown)[:5]}")
-        self._table("given_ids", k=np.repeat(np.arange(len(rows), dtype=np.int32), sizes), pos=np.arange(len(flat), dtype=np.int32), id=flat)
+        self._table("given_ids", k=np.repeat(np.arange(len(rows), dtype=np.int32), list(map(len, rows))), pos=np.arange(len(flat), dtype=np.int32), id=flat)
         out = [b""] * len(rows)
         for k, letters in self.db.execute(DECODE).fetchall():
             out[k] = (np.frombuffer(letters.encode("utf-16-le"), "<u2") - LETTER).astype(np.uint8).tobytes()
@@ -263,16 +306,20 @@ class Codec:
         ids = self.vocabulary.encode_words([utf8(w) for w in new])
         raw = np.fromiter(itertools.chain.from_iterable(ids), "<i4").tobytes()
         fresh = {w: raw[4 * (e - len(i)) : 4 * e] for w, i, e in zip(new, ids, itertools.accumulate(map(len, ids)))}
-        self.words.add(fresh)
+        self.words.add({w: x for w, x in fresh.items() if len(w) <= MEMO_CHARS})
         found |= fresh
         fresh = {names[k]: found[ws[0]] if len(ws) == 1 else b"".join(map(found.__getitem__, ws)) for k, ws in zip(missing, cut)}
-        self.groups.add(fresh)
+        self.groups.add({g: x for g, x in fresh.items() if len(g) <= MEMO_CHARS})
         for k in missing:
             out[k] = fresh[names[k]]
         return out
 
-    def decimal(self, ids: np.ndarray) -> str:
-        return " ".join(map(self.vocabulary.decimal.__getitem__, ids.tolist()))
+    def digest(self, ids: np.ndarray) -> str:
+        """SHA-256 of the decimal ids, joined by one space."""
+        sha = hashlib.sha256()
+        for i in range(0, len(ids), QUERY_IDS):
+            sha.update((" " * (i > 0) + " ".join(map(self.vocabulary.decimal.__getitem__, ids[i : i + QUERY_IDS].tolist()))).encode())
+        return sha.hexdigest()
 
 
 @lru_cache(1)
@@ -312,8 +359,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
 
         def f(keys, texts):
             coded = c.encode(texts)
-            sha = lambda b: hashlib.sha256(b).hexdigest()
-            return keys, list(map(len, coded)), [sha(c.decimal(r).encode()) for r in coded], list(map(sha, c.vocabulary.decode_all(coded)))
+            return keys, list(map(len, coded)), list(map(c.digest, coded)), [hashlib.sha256(b).hexdigest() for b in c.vocabulary.decode_all(coded)]
 
         return f
 

@@ -199,6 +199,31 @@ def test_long_matches_are_spliced_exactly():
     assert v.decode_all([bpe.np.array(i, "i4") for i in got]) == [w.encode() for w in words]
 
 
+def test_bpe_of_very_long_texts(spark, monkeypatch):
+    """Matches of several segments, texts of several queries; neither query may write to the disk."""
+    import tiktoken
+
+    path = P.path("byte_bpe_50k.tiktoken")
+    v = bpe.vocabulary(path)
+    assert v.db.execute("SELECT current_setting('temp_directory')").fetchall() == [("",)]
+    enc = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=v.rank, special_tokens={})
+    rng = random.Random(7)
+    words = ["".join(rng.choices("etaoinshrdlucm", k=700_000)), "x" * 300_001, "ab" * 200_000, "short", "日本" * 120_000]
+    for segment, bound in ((bpe.SEGMENT, bpe.QUERY_BYTES), (1 << 16, 1 << 14)):
+        monkeypatch.setattr(bpe, "SEGMENT", segment)
+        monkeypatch.setattr(bpe, "QUERY_BYTES", bound)
+        for w, ids in zip(words, v.encode_words([w.encode() for w in words])):
+            assert list(ids) == enc.encode_ordinary(w), w[:10]
+    many = bpe.np.fromiter(rng.choices(sorted(v.bytes_of), k=5_000_000), "i4")
+    few = [many[:3], many[:0], many[: bpe.QUERY_IDS], many[: bpe.QUERY_IDS + 1]]
+    assert v.decode_all([many, *few]) == [b"".join(map(v.bytes_of.__getitem__, x.tolist())) for x in (many, *few)]
+    monkeypatch.setattr(bpe, "QUERY_IDS", 1000)
+    c = bpe.codec(path, P.PATTERN)
+    for n in (0, 1, 1000, 1001, 2500):
+        assert c.digest(many[:n]) == hashlib.sha256(" ".join(map(str, many[:n].tolist())).encode()).hexdigest()
+    assert all(len(w) <= bpe.MEMO_CHARS for m in (c.words, c.groups) for d in (m.young, m.old) for w in d)
+
+
 # ---- toxicity
 
 

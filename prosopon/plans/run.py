@@ -15,7 +15,8 @@ from prosopon.operators.resolve import resolve
 from prosopon.plans.shape import Config, project
 from prosopon.schemas import EXTENSIONS, PARTIAL
 from prosopon.sources.csv_splits import bare, csv_lines, csv_split_scan
-from prosopon.sources.files import CSV_COLUMNS, basename, json_scan, pdf_scan, read_files, text_scan
+from prosopon.sources.files import CSV_COLUMNS, basename, pdf_scan, read_files, text_scan
+from prosopon.sources.json_splits import json_parts, json_split_scan
 from prosopon.sources.pdf import extract_text
 from prosopon.sources.partials import csv_partials, json_partials, note_partials, numbered, resume_partials
 
@@ -65,22 +66,23 @@ def load(spark: SparkSession, sources: list[tuple[str, str]], extract_pdf: Calla
         if not mine:
             continue
         order = spark.createDataFrame([(k, p) for k, p in mine], "true_ord int, given string")
+        named = order.select(F.col("true_ord").alias("file_ord"), "given", basename(F.col("given")).alias("name"))
         if kind == "csv":
-            named = order.select(F.col("true_ord").alias("file_ord"), "given", basename(F.col("given")).alias("name"))
             rows = csv_split_scan(csv_lines(spark, named, [p for _, p in mine]), named, CSV_COLUMNS)
             parts.append(csv_partials(rows))
             fail(rows.where("NOT ok"), kind, "load")
             continue
-        files = read_files(spark, [p for _, p in mine])
-        # Full paths tell files of one name apart; the scheme that Spark puts before them is left out.
-        files = files.join(F.broadcast(order), bare(F.col("path")) == bare(F.col("given"))).select(F.col("true_ord").alias("file_ord"), "path", "name", "source_type", "content")
         if kind == "ats_json":
-            rows = json_scan(text_scan(files))
+            rows = json_split_scan(json_parts(spark, named, [p for _, p in mine]), named)
             good, bad = json_partials(rows)
             parts.append(good)
             fail(rows.where("NOT ok"), kind, "load")
             fail(bad, kind, "parse")
-        elif kind == "resume_pdf":
+            continue
+        files = read_files(spark, [p for _, p in mine])
+        # Full paths tell files of one name apart; the scheme that Spark puts before them is left out.
+        files = files.join(F.broadcast(order), bare(F.col("path")) == bare(F.col("given"))).select(F.col("true_ord").alias("file_ord"), "path", "name", "source_type", "content")
+        if kind == "resume_pdf":
             rows = pdf_scan(files, extract_pdf)
             parts.append(resume_partials(rows.where("ok")))
             fail(rows.where("NOT ok"), kind, "load")

@@ -15,7 +15,7 @@ from prosopon.operators import checks, fuse, resolve
 from prosopon.operators.durable import shared_dir, write_table
 from prosopon.plans import run as plan
 from prosopon.plans.shape import DEFAULT_CONFIG, Config, Field, project, projected_columns
-from prosopon.sources import csv_splits, files, partials
+from prosopon.sources import csv_splits, files, json_splits, partials
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -283,6 +283,25 @@ def csv_split_scan(spark, sf_dir):
     return r.select("name", "pos", F.col("c_title").alias("title"), F.col("c_email").alias("email"))
 
 
+def _document_files(spark, sf_dir):
+    """Sixteen JSON files written from the documents, by their keys: whole texts, another list and braces in strings before them."""
+    d = _t(spark, sf_dir, "documents").select(F.pmod("doc_id", F.lit(16)).cast("int").alias("part"), F.col("doc_id").alias("k"), F.concat(F.lit(","), F.to_json(F.struct("doc_id", "text"))).alias("value"))
+    line = lambda k, text: d.select("part").distinct().select("part", F.lit(k).cast("long").alias("k"), F.lit(text).alias("value"))
+    d = d.unionByName(line(-1, '{"about": {"list": ["}", "\\\\"]}, "other": [1, {"a": []}], "candidates": [null')).unionByName(line((1 << 63) - 1, "]}"))
+    folder = f"{shared_dir(spark)}/documents-{uuid.uuid4().hex}"
+    d.repartition("part").sortWithinPartitions("part", "k").select("part", "value").write.partitionBy("part").text(folder)
+    found = spark.read.format("binaryFile").load(folder).select("path").distinct()
+    found = found.select(F.col("path").alias("given"), F.regexp_extract("path", "part=([0-9]+)/", 1).alias("name"))
+    return folder, write_table(found.select(F.col("name").cast("int").alias("file_ord"), "given", "name"), "document-files")
+
+
+@query("SELECT CAST(doc_id % 16 AS VARCHAR) AS name, CAST(row_number() OVER (PARTITION BY doc_id % 16 ORDER BY doc_id) AS INTEGER) AS pos, doc_id, md5(text) AS text_md5 FROM documents")
+def json_split_scan(spark, sf_dir):
+    folder, found = _document_files(spark, sf_dir)
+    r = json_splits.json_split_scan(json_splits.json_parts(spark, found, [folder]), found).where("pos > 0")
+    return r.select("name", "pos", F.try_variant_get("e", "$.doc_id", "long").alias("doc_id"), F.md5(F.try_variant_get("e", "$.text", "string").cast("binary")).alias("text_md5"))
+
+
 def _json_files(spark, sf_dir):
     """One document for each nation; nation 3's is cut off, 5's has no list, in 6's an email is a number."""
     entry = F.expr(

@@ -59,9 +59,10 @@ _FALSY = ["null", "0", "false", '""', "[]", "{}", "0.0", "-0.0"]
 
 
 def json_partials(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(partials, errors) of json_scan's rows. Entries that are not objects are skipped but count. A value of a wrong kind in a
+    """(partials, errors) of the rows of json_scan, or of json_split_scan. Entries that are not objects are skipped but count. A value of a wrong kind in a
     text field, or a number as skill_tags, makes the whole file an error. A city, state or country that is not text is left out."""
-    e = scanned.where("ok").select("file_ord", "name", F.posexplode("entries").alias("pos", "e")).where(F.expr("schema_of_variant(e)").startswith("OBJECT"))
+    e = scanned.where("ok").select("file_ord", "name", F.posexplode("entries").alias("pos", "e")) if "entries" in scanned.columns else scanned.where("ok AND pos IS NOT NULL").select("file_ord", "name", "pos", "e")
+    e = e.where(F.expr("schema_of_variant(e)").startswith("OBJECT"))
     texts = ["candidate_name", "contact_email", "mobile_number", "employer", "job_title", "city", "state", "country_name"]
     get = lambda k: f"try_variant_get(e, '$.{k}', 'variant')"
     kind = lambda k: F.expr(f"schema_of_variant({get(k)})")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from prosopon.operators.durable import write_table
+from prosopon.operators.durable import drop_table, write_table
 from prosopon.operators.workers import ship
 from prosopon.sources.csv_splits import bare
 
@@ -198,7 +198,9 @@ def json_split_scan(parts: DataFrame, files: DataFrame) -> DataFrame:
     spans = spans.withColumn("list_after", F.col("lists_before") + F.col("lists"))
     spans = spans.withColumn("run", F.sum("commas").over(same.rowsBetween(Window.unboundedPreceding, 0)))
     spans = spans.withColumn("commas_before", F.coalesce(F.lag("run").over(Window.partitionBy("file_ord").orderBy("start")), F.lit(0)))
-    entries = cut.where("NOT skeleton").join(spans.select("file_ord", "start", "lists_before", "commas_before"), ["file_ord", "start"])
+    # Written, so that its size is known: a row for each split, sent to the entries where that is small.
+    spans = write_table(spans.select("file_ord", "start", "lists_before", "commas_before"), "spans")
+    entries = cut.where("NOT skeleton").join(spans, ["file_ord", "start"])
     entries = entries.select(
         "file_ord", "start", "whole", "text", (F.col("lists_before") + F.col("list") - 1).alias("list"),
         (F.col("entry") + F.when(F.col("list") == 0, F.col("commas_before")).otherwise(0)).alias("pos"),
@@ -217,6 +219,8 @@ def json_split_scan(parts: DataFrame, files: DataFrame) -> DataFrame:
     state = files.select("file_ord", "name").join(begins.groupBy("file_ord").agg(F.min("utf8").alias("utf8"), F.max("mark").alias("mark")), "file_ord", "left").join(whole, "file_ord", "left").join(faults, "file_ord", "left")
     error = F.when(~F.coalesce("utf8", F.lit(True)), "failed to decode as UTF-8").when(~F.coalesce("valid", F.lit(False)) | F.coalesce("faulty", F.lit(False)) | F.col("mark"), "failed to parse JSON").when(~F.col("listed"), "expected top-level 'candidates' list, found none")
     state = write_table(state.select("file_ord", "name", "list", error.alias("error")), "json-files")
+    for t in (walked, begins, cut, spans):
+        drop_table(t)
     rows = every.where("n = 1").join(state.where("error IS NULL").select("file_ord", "name", "list"), ["file_ord", "list"])
     rows = rows.select("file_ord", "name", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error"), F.col("pos").cast("int").alias("pos"), "e")
     return rows.unionByName(state.select("file_ord", "name", F.col("error").isNull().alias("ok"), "error", F.lit(None).cast("int").alias("pos"), F.lit(None).cast("variant").alias("e")))

@@ -167,6 +167,45 @@ def test_components_of_a_chain(spark):
     assert connected_components(edges.limit(0)).count() == 0
 
 
+def test_components_with_hot_roots(spark):
+    """A star, a star of stars and small components, with hot roots looked up apart; the same as without."""
+    from prosopon.operators.components import connected_components
+
+    star = [(0, i) for i in range(1, 3000)]
+    nested = [(10_000 + 100 * i, 10_000 + 100 * i + k) for i in range(30) for k in range(1, 60)] + [(10_050 + 100 * i, 10_100 + 100 * i) for i in range(29)]
+    pairs = [(50_000 + 2 * i, 50_001 + 2 * i) for i in range(200)]
+    edges = spark.createDataFrame([(b, a) if (a + b) % 3 else (a, b) for a, b in star + nested + pairs], "a long, b long")
+    want = {r["node"]: r["component"] for r in connected_components(edges).collect()}
+    got = {r["node"]: r["component"] for r in connected_components(edges, least=100).collect()}
+    assert got == want
+    assert {got[i] for i in range(3000)} == {0} and {v for k, v in got.items() if 10_000 <= k < 50_000} == {10_000}
+    assert all(got[50_001 + 2 * i] == 50_000 + 2 * i for i in range(200))
+
+
+def test_hot_keys_are_spread(spark):
+    """A key of half the rows: the same join, no task with more than twice the rows of the median one."""
+    from pyspark.sql import functions as F
+
+    from prosopon.operators.durable import write_table
+    from prosopon.operators.hot import Lookups
+
+    rows = write_table(spark.range(200_000, numPartitions=8).select("id", F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 1001 != 0, F.col("id") % 5000).alias("k")), "rows")
+    table = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"))
+    look = Lookups(least=10_000)
+    hot = look.hot_keys(rows, "k")
+    assert [r["k"] for r in hot.collect()] == [7]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = look.left(rows, "k", table, hot)
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert out.exceptAll(rows.join(table, "k", "left").select(out.columns)).count() == 0 and out.count() == 200_000
+    look.drop()
+    assert Lookups().hot_keys(rows.limit(10), "k") is None
+
+
 def test_stream_of_notes(spark, tmp_path):
     from prosopon.streaming.notes import note_stream, write_stream
 

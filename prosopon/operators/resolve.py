@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from prosopon.functions.text import email_key, name_key, phone_key, slugify
 from prosopon.operators.components import connected_components
+from prosopon.operators.durable import drop_table, write_table
+from prosopon.operators.hot import Lookups
 
 
 def identity_keys(partials: DataFrame) -> DataFrame:
@@ -37,14 +39,19 @@ def identity_clusters(partials: DataFrame) -> DataFrame:
 
 def name_fallback(partials: DataFrame, roots: DataFrame) -> DataFrame:
     """rec_ord, root: records of clusters without any email or phone go to the one cluster with identity that has a record of
-    their name; with none or several they stay. A cluster without identity is a single record."""
+    their name; with none or several they stay. A cluster without identity is a single record. A cluster of very many
+    records does not meet in one task."""
     r = partials.select("rec_ord", name_key(F.col("full_name")).alias("name"), (F.size("emails") + F.size("phones") > 0).alias("bears")).join(roots, "rec_ord")
     unique = r.where("bears AND name IS NOT NULL").groupBy("name").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low = high").select("name", F.col("low").alias("target"))
     lone = r.where("NOT bears").join(unique, "name", "left").select("rec_ord", F.coalesce("target", "root").alias("root"))
-    moved = r.where("bears").select("rec_ord", "root").unionByName(lone)
+    moved = write_table(r.where("bears").select("rec_ord", "root").unionByName(lone), "moved")
     # A lone record may come before the cluster that it joins.
     low = moved.groupBy("root").agg(F.min("rec_ord").alias("cluster_ord"))
-    return moved.join(low, "root").select("rec_ord", F.col("cluster_ord").alias("root"))
+    look = Lookups()
+    out = write_table(look.left(moved, "root", low, look.hot_keys(moved, "root")).select("rec_ord", F.col("cluster_ord").alias("root")), "roots")
+    look.drop()
+    drop_table(moved)
+    return out
 
 
 def resolve(partials: DataFrame) -> DataFrame:

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prosopon.operators.checks import validate_canonical
+from prosopon.operators.checks import canonical_fault
 from prosopon.operators.durable import write_table
 from prosopon.operators.fuse import canonical
 from prosopon.operators.resolve import resolve
@@ -23,20 +23,36 @@ from prosopon.sources.partials import csv_partials, json_partials, note_partials
 SOURCE_ERROR = "path string, source_type string, stage string, message string"
 
 
+#: The stage of records without any fault.
+DONE = "output"
+
+
 @dataclass(frozen=True)
 class Report:
-    """candidates: cluster_ord, candidate_id, document. Errors are rows; counts are taken when asked for."""
+    """outcomes: one row for each record, with the stage at which it ended (DONE: its document is output) and that stage's message; a table
+    by stage, written in the one pass that checks and shapes. Errors are rows of it; counts of stages read no data."""
 
     partials: DataFrame
     records: DataFrame
-    candidates: DataFrame
+    outcomes: DataFrame
     source_errors: DataFrame
-    candidate_errors: DataFrame
+
+    @property
+    def candidates(self) -> DataFrame:
+        """cluster_ord, candidate_id, document."""
+        return self.outcomes.where(F.col("stage") == DONE).select("cluster_ord", "candidate_id", "document")
+
+    @property
+    def candidate_errors(self) -> DataFrame:
+        """candidate_id, stage, message."""
+        return self.outcomes.where(F.col("stage") != DONE).select("candidate_id", "stage", "message")
 
     def metrics(self) -> dict[str, int]:
+        stages = {r["stage"]: r["n"] for r in self.outcomes.groupBy("stage").agg(F.count("*").alias("n")).collect()}
+        done, every = stages.get(DONE, 0), sum(stages.values())
         return {
-            "partial_records_loaded": self.partials.count(), "canonical_records_merged": self.records.count(), "candidates_in_output": self.candidates.count(),
-            "source_errors": self.source_errors.count(), "candidate_errors": self.candidate_errors.count(),
+            "partial_records_loaded": self.partials.count(), "canonical_records_merged": every, "candidates_in_output": done,
+            "source_errors": self.source_errors.count(), "candidate_errors": every - done,
         }
 
 
@@ -102,17 +118,19 @@ def run(spark: SparkSession, sources: list[tuple[str, str]], config: Config, ext
 
 
 def run_partials(partials: DataFrame, source_errors: DataFrame, config: Config) -> Report:
-    """Partials are read by several branches, and fused records by all outputs, so both are written once."""
+    """Partials are read by several branches, and fused records by several runs, so both are written once."""
     partials = write_table(partials, "partials")
     records = write_table(canonical(resolve(partials)), "records")
-    good, bad = validate_canonical(records)
-    shaped = project(good, config)
-    errors = bad.unionByName(shaped.where("project_error IS NOT NULL").select("candidate_id", F.lit("project").alias("stage"), F.col("project_error").alias("message")))
-    errors = errors.unionByName(
-        shaped.where("project_error IS NULL AND violation IS NOT NULL").select("candidate_id", F.lit("validate_projection").alias("stage"), F.col("violation").alias("message"))
-    )
-    out = shaped.where("project_error IS NULL AND violation IS NULL").select("cluster_ord", "candidate_id", "document")
-    return Report(partials, records, out, source_errors, errors)
+    return Report(partials, records, write_table(outcomes(records, config), "outcomes", "stage"), source_errors)
+
+
+def outcomes(records: DataFrame, config: Config) -> DataFrame:
+    """cluster_ord, candidate_id, message, document, stage: every record checked, shaped and checked again. Its first fault counts."""
+    r = project(records, config).withColumn("fault", canonical_fault())
+    faults = {"validate_canonical": "fault", "project": "project_error", "validate_projection": "violation"}
+    stage = F.coalesce(*(F.when(F.col(c).isNotNull(), F.lit(name)) for name, c in faults.items()), F.lit(DONE))
+    r = r.select("cluster_ord", "candidate_id", F.coalesce(*faults.values()).alias("message"), "document", stage.alias("stage"))
+    return r.withColumn("document", F.when(F.col("stage") == DONE, F.col("document")))
 
 
 def from_files(spark: SparkSession, paths: list[str], config: Config, extract_pdf: Callable[[bytes], str] = extract_text) -> Report:
@@ -123,4 +141,4 @@ def from_files(spark: SparkSession, paths: list[str], config: Config, extract_pd
     if not unknown:
         return report
     more = spark.createDataFrame(unknown, SOURCE_ERROR)
-    return Report(report.partials, report.records, report.candidates, report.source_errors.unionByName(more), report.candidate_errors)
+    return replace(report, source_errors=report.source_errors.unionByName(more))

@@ -689,8 +689,19 @@ def candidate_errors(spark, sf_dir):
 def run_metrics(spark, sf_dir):
     none = spark.createDataFrame([], plan.SOURCE_ERROR)
     r = plan.run_partials(adapters.partials(spark, sf_dir), none, DEFAULT_CONFIG)
-    out = None
-    for name, df in (("partials", r.partials), ("records", r.records), ("candidates", r.candidates), ("candidate_errors", r.candidate_errors)):
-        one = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("metric"), "n")
-        out = one if out is None else out.unionByName(one)
-    return out
+    done = F.count_if(F.col("stage") == plan.DONE)
+    counts = r.outcomes.agg(F.count("*").alias("records"), done.alias("candidates"), (F.count("*") - done).alias("candidate_errors"))
+    rows = counts.unpivot([], ["records", "candidates", "candidate_errors"], "metric", "n")
+    return r.partials.agg(F.count("*").alias("n")).select(F.lit("partials").alias("metric"), "n").unionByName(rows)
+
+
+@query(
+    _VALUES + "SELECT candidate_id, CASE WHEN cluster_ord % 5 < 2 THEN 'validate_canonical' WHEN full_name IS NULL THEN 'project' WHEN phone IS NOT NULL THEN 'validate_projection' ELSE 'output' END AS stage, "
+    "CASE WHEN cluster_ord % 5 = 0 THEN 'overall_confidence is outside [0, 1]' WHEN cluster_ord % 5 = 1 THEN 'provenance of unknown fields: skilz[x]' WHEN full_name IS NULL THEN 'field ''full_name'' (from ''full_name'') is missing' "
+    "WHEN phone IS NOT NULL THEN 'schema violation at ''calls''' END AS message, cluster_ord % 5 > 1 AND full_name IS NOT NULL AND phone IS NULL AS has_document FROM out"
+)
+def run_outcomes(spark, sf_dir):
+    """Where every record ends, with its message: faulty records, missing fields, broken types and output."""
+    c = Config([Field("full_name"), Field("calls", "number[]", source="phones")], on_missing="error")
+    o = write_table(plan.outcomes(_spoiled(spark, sf_dir), c), "outcomes", "stage")
+    return o.select("candidate_id", "stage", "message", F.col("document").isNotNull().alias("has_document"))

@@ -6,6 +6,7 @@ import argparse
 import json
 import logging
 import sys
+from collections.abc import Iterable
 from pathlib import Path
 from typing import TextIO
 
@@ -13,7 +14,7 @@ from pyspark.sql import SparkSession
 
 from prosopon.plans.run import Report, from_files, run
 from prosopon.plans.shape import Config, load_config
-from prosopon.schemas import EXTENSIONS
+from prosopon.sources.files import list_directory
 
 log = logging.getLogger("prosopon")
 TYPED = {"csv": "csv", "ats": "ats_json", "pdf": "resume_pdf", "notes": "recruiter_notes"}
@@ -33,35 +34,43 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-def scan_directories(dirs: list[str]) -> list[str]:
+def scan_directories(spark: SparkSession, dirs: list[str]) -> list[str]:
     out = []
     for d in dirs:
-        if not Path(d).is_dir():
+        found = list_directory(spark, d)
+        if found is None:
             log.warning("not a directory, skipped: %s", d)
-            continue
-        out += [str(f) for f in sorted(Path(d).iterdir(), key=lambda f: f.name) if f.suffix.lower().lstrip(".") in EXTENSIONS]
+        out += found or []
     return out
 
 
-def metadata_of(reports: list[Report]) -> dict:
+def totals_of(reports: list[Report]) -> dict[str, int]:
     counts = [x.metrics() for x in reports]
-    total = {k: sum(c[k] for c in counts) for k in ("partial_records_loaded", "canonical_records_merged", "candidates_in_output")}
-    return total | {k: [r.asDict() for x in reports for r in getattr(x, k).toLocalIterator()] for k in ("source_errors", "candidate_errors")}
-
-
-def write_output(reports: list[Report], metadata: dict | None, out: TextIO, indent: int) -> None:
-    """One JSON document, written candidate by candidate as they come: the driver holds one partition of them at a time."""
-    pad = lambda x, level: json.dumps(x, indent=indent, ensure_ascii=False).replace("\n", "\n" + " " * indent * level)
-    one, two = "\n" + " " * indent, "\n" + " " * indent * 2
-    out.write("{" + one + '"candidates": [')
-    n = 0
-    for x in reports:
-        for r in x.candidates.orderBy("cluster_ord").toLocalIterator():
-            out.write(("," if n else "") + two + pad(json.loads(r["document"]), 2))
+    return {k: sum(c[k] for c in counts) for k in counts[0]}
+
+
+def write_output(reports: list[Report], totals: dict[str, int] | None, out: TextIO, indent: int) -> None:
+    """One JSON document, written row by row as they come, errors too: the driver holds one partition of them at a time."""
+    line = lambda level: "\n" + " " * indent * level
+
+    def entries(key: str, rows: Iterable, level: int) -> None:
+        out.write(f'{line(level)}"{key}": [')
+        n = 0
+        for x in rows:
+            out.write(("," if n else "") + line(level + 1) + json.dumps(x, indent=indent, ensure_ascii=False).replace("\n", line(level + 1)))
             n += 1
-    out.write((one if n else "") + "]")
-    if metadata is not None:
-        out.write("," + one + '"run_metadata": ' + pad(metadata, 1))
+        out.write((line(level) if n else "") + "]")
+
+    out.write("{")
+    entries("candidates", (json.loads(r["document"]) for x in reports for r in x.candidates.orderBy("cluster_ord").toLocalIterator()), 1)
+    if totals is not None:
+        out.write("," + line(1) + '"run_metadata": {')
+        for k in ("partial_records_loaded", "canonical_records_merged", "candidates_in_output"):
+            out.write(f'{line(2)}"{k}": {totals[k]},')
+        entries("source_errors", (r.asDict() for x in reports for r in x.source_errors.toLocalIterator()), 2)
+        out.write(",")
+        entries("candidate_errors", (r.asDict() for x in reports for r in x.candidate_errors.toLocalIterator()), 2)
+        out.write(line(1) + "}")
     out.write("\n}\n")
 
 
@@ -70,8 +79,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     a = p.parse_args(argv)
     logging.basicConfig(level=logging.DEBUG if a.verbose else logging.WARNING)
     typed = [(f, kind) for flag, kind in TYPED.items() for f in getattr(a, flag)]
-    inferred = [*a.files, *scan_directories(a.dir)]
-    if not typed and not inferred:
+    if not typed and not a.files and not a.dir:
         p.error("no sources given")
     path = a.config or "configs/default_config.json"
     if a.config is None and not Path(path).exists():
@@ -82,12 +90,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(f"error: {e}", file=sys.stderr)
         return 1
     spark = spark or SparkSession.builder.appName("prosopon").getOrCreate()
+    inferred = [*a.files, *scan_directories(spark, a.dir)]
+    if not typed and not inferred:
+        p.error("no sources given")
     # Two independent runs: people in both are not brought together.
     reports = [from_files(spark, inferred, config)] if inferred else []
     reports += [run(spark, typed, config)] if typed else []
-    metadata = metadata_of(reports)
-    errors = len(metadata["source_errors"]) + len(metadata["candidate_errors"])
-    shown = None if a.no_metadata else metadata
+    totals = totals_of(reports)
+    errors = totals["source_errors"] + totals["candidate_errors"]
+    shown = None if a.no_metadata else totals
     if a.output is None:
         write_output(reports, shown, sys.stdout, a.indent)
     else:
@@ -95,7 +106,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         with open(a.output, "w", encoding="utf-8") as f:
             write_output(reports, shown, f, a.indent)
         print(f"Output written to {a.output}", file=sys.stderr)
-    n = metadata["candidates_in_output"]
+    n = totals["candidates_in_output"]
     print(f"Done: {n} candidate(s), {errors} error(s)", file=sys.stderr)
     return int(n == 0 and errors > 0)
 

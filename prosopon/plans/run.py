@@ -14,7 +14,7 @@ from prosopon.operators.fuse import canonical
 from prosopon.operators.resolve import resolve
 from prosopon.plans.shape import Config, project
 from prosopon.schemas import EXTENSIONS, PARTIAL
-from prosopon.sources.csv_splits import bare, csv_lines, csv_split_scan
+from prosopon.sources.csv_splits import csv_lines, csv_split_scan
 from prosopon.sources.files import CSV_COLUMNS, basename, pdf_scan, read_files, text_scan
 from prosopon.sources.json_splits import json_parts, json_split_scan
 from prosopon.sources.pdf import extract_text
@@ -72,17 +72,17 @@ def load(spark: SparkSession, sources: list[tuple[str, str]], extract_pdf: Calla
         else:
             known.append((path, kind))
 
-    given = F.create_map(*(F.lit(x) for k, (p, _) in enumerate(known) for x in (k, p))) if known else None
+    order = spark.createDataFrame([(k, p) for k, (p, _) in enumerate(known)], "file_ord int, given string").withColumn("name", basename(F.col("given")))
 
     def fail(df: DataFrame, kind: str, stage: str) -> None:
-        failed.append(df.select(F.try_element_at(given, "file_ord").alias("path"), F.lit(kind).alias("source_type"), F.lit(stage).alias("stage"), F.col("error").alias("message")))
+        at = df.join(F.broadcast(order.select("file_ord", "given")), "file_ord")
+        failed.append(at.select(F.col("given").alias("path"), F.lit(kind).alias("source_type"), F.lit(stage).alias("stage"), F.col("error").alias("message")))
 
     for kind in EXTENSIONS.values():
         mine = [(k, p) for k, (p, t) in enumerate(known) if t == kind]
         if not mine:
             continue
-        order = spark.createDataFrame([(k, p) for k, p in mine], "true_ord int, given string")
-        named = order.select(F.col("true_ord").alias("file_ord"), "given", basename(F.col("given")).alias("name"))
+        named = order.join(F.broadcast(spark.createDataFrame([(k,) for k, _ in mine], "file_ord int")), "file_ord")
         if kind == "csv":
             rows = csv_split_scan(csv_lines(spark, named, [p for _, p in mine]), named, CSV_COLUMNS)
             parts.append(csv_partials(rows))
@@ -95,9 +95,7 @@ def load(spark: SparkSession, sources: list[tuple[str, str]], extract_pdf: Calla
             fail(rows.where("NOT ok"), kind, "load")
             fail(bad, kind, "parse")
             continue
-        files = read_files(spark, [p for _, p in mine])
-        # Full paths tell files of one name apart; the scheme that Spark puts before them is left out.
-        files = files.join(F.broadcast(order), bare(F.col("path")) == bare(F.col("given"))).select(F.col("true_ord").alias("file_ord"), "path", "name", "source_type", "content")
+        files = read_files(spark, named, [p for _, p in mine])
         if kind == "resume_pdf":
             rows = pdf_scan(files, extract_pdf)
             parts.append(resume_partials(rows.where("ok")))

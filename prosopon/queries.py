@@ -360,6 +360,18 @@ def dir_listing(spark, sf_dir):
     return files.dir_listing(spark, f"file://{Path(__file__).resolve().parent.parent}/configs").select("name", "source_type")
 
 
+@query("SELECT 'recruiter_notes' AS source_type, concat(s_suppkey, ' ', s_name) AS text FROM supplier UNION ALL SELECT 'ats_json', concat('{\"n\":', n_nationkey, '}') FROM nation")
+def dir_scan(spark, sf_dir):
+    """A folder with a note for each supplier, a document for each nation and files of no known kind: listed by name, read in that order."""
+    folder = f"{shared_dir(spark)}/folder-{uuid.uuid4().hex}"
+    _t(spark, sf_dir, "supplier").select(F.concat_ws(" ", "s_suppkey", "s_name").alias("value")).write.option("maxRecordsPerFile", 1).option("lineSep", " ").text(folder)
+    _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("n")).write.mode("append").option("maxRecordsPerFile", 1).option("lineSep", " ").json(folder)
+    _t(spark, sf_dir, "region").select("r_name").write.mode("append").option("compression", "gzip").text(folder)
+    found = files.list_directory(spark, folder)
+    named = spark.createDataFrame(list(enumerate(found)), "file_ord int, given string").withColumn("name", files.basename(F.col("given")))
+    return files.text_scan(files.read_files(spark, named, found)).where("ok").select("source_type", F.trim("text").alias("text"))
+
+
 @query("SELECT 'csv' AS source_type, count(*) AS n_records FROM customer UNION ALL SELECT 'resume_pdf', count(*) FROM part UNION ALL SELECT 'recruiter_notes', count(*) FROM documents WHERE trim(text, ' ' || chr(10)) <> ''")
 def source_union(spark, sf_dir):
     c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("file_ord"), F.lit("c.csv").alias("name"), F.lit(True).alias("ok"), F.lit(0).alias("pos"), F.col("c_name"), *(F.lit("").alias(f"c_{x}") for x in files.CSV_COLUMNS[1:]))

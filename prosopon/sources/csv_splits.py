@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from prosopon.operators.durable import write_table
 from prosopon.operators.workers import ship
+from prosopon.sources.files import bare
 
 #: No text ends with this: a reader that is outside quotes makes it a row of its own.
 _END = "\x00end\x00"
@@ -39,11 +40,6 @@ def csv_lines(spark: SparkSession, files: DataFrame, paths: list[str]) -> DataFr
     return raw.join(F.broadcast(files), bare(F.col("path")) == bare(F.col("given"))).select("file_ord", "name", "size", "start", "at", "line")
 
 
-def bare(path: Column) -> Column:
-    """Without the scheme that Spark puts before a path."""
-    return F.regexp_replace(path, "^[a-z0-9]+:/*", "/")
-
-
 def _parsed(text: str) -> list[list[str]]:
     return list(csv.reader(io.StringIO(text, newline="")))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Callable
+from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,12 +36,27 @@ def dir_listing(spark: SparkSession, path: str) -> DataFrame:
     return found.select("path", basename(F.col("path")).alias("name"), infer_source_type(F.col("path")).alias("source_type")).where("source_type IS NOT NULL").orderBy("name")
 
 
-def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """file_ord, path, name, source_type, content (bytes) in the order of paths; a file that cannot be found has no row."""
+def bare(path: Column) -> Column:
+    """Without the scheme that Spark puts before a path."""
+    return F.regexp_replace(path, "^[a-z0-9]+:/*", "/")
+
+
+def list_directory(spark: SparkSession, path: str) -> list[str] | None:
+    """The paths of the known files directly in a directory of any of Hadoop's file systems, in the order of their names; None where there
+    is no such directory."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at) or not fs.getFileStatus(at).isDirectory():
+        return None
+    names = sorted(f.getPath().getName() for f in fs.listStatus(at) if f.isFile())
+    return [f"{path.rstrip('/')}/{x}" for x in names if PurePosixPath(x).suffix.lower().lstrip(".") in EXTENSIONS]
+
+
+def read_files(spark: SparkSession, files: DataFrame, paths: list[str]) -> DataFrame:
+    """file_ord, path, name, source_type, content (bytes). files: file_ord, given (a path), name. A file that cannot be found has no row."""
     raw = spark.read.option("ignoreMissingFiles", True).format("binaryFile").load(paths).select("path", "content")
-    named = raw.withColumn("name", basename(F.col("path")))
-    order = F.create_map(*(F.lit(x) for k, p in enumerate(paths) for x in (p.rsplit("/", 1)[-1], k)))
-    return named.select(F.coalesce(F.try_element_at(order, F.col("name")), F.lit(len(paths))).alias("file_ord"), "path", "name", infer_source_type(F.col("path")).alias("source_type"), "content")
+    # Full paths tell files of one name apart; the scheme that Spark puts before them is left out.
+    return raw.join(F.broadcast(files), bare(F.col("path")) == bare(F.col("given"))).select("file_ord", "path", "name", infer_source_type(F.col("path")).alias("source_type"), "content")
 
 
 def text_scan(files: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from prosopon.operators.durable import drop_table, write_table
 from prosopon.operators.workers import ship
-from prosopon.sources.csv_splits import bare
+from prosopon.sources.files import bare
 
 _ESCAPED = re.compile(r"\\.", re.S)
 _NOT_BRACKET = re.compile(r"[^][{}]+")

@@ -135,6 +135,10 @@ def test_command_line(spark, samples, tmp_path, capsys):
     assert cli.main(["--dir", str(samples), "--config", str(config), "--output", str(out)], spark) == 0
     doc = json.loads(out.read_text())
     assert len(doc["candidates"]) == 5 and doc["run_metadata"]["partial_records_loaded"] == 7
+    assert out.read_text() == json.dumps(doc, indent=2, ensure_ascii=False) + "\n"
+    assert [len(doc["run_metadata"][k]) for k in ("source_errors", "candidate_errors")] == [4, 0]
+    assert cli.scan_directories(spark, [str(tmp_path / "none")]) == []
+    assert cli.scan_directories(spark, [f"file://{samples}/"]) == [f"file://{samples}/{x}" for x in ("a.json", "b.csv", "bad.csv", "bad.json", "n.txt", "scan.pdf", "wrong.json")]
     assert cli.main(["--files", str(samples / "bad.csv"), str(samples / "bad.json"), "--config", str(config), "--no-metadata"], spark) == 1
     assert cli.main(["--files", "x.csv", "--config", str(tmp_path / "none.json")], spark) == 1
     with pytest.raises(SystemExit):

@@ -67,5 +67,6 @@ def partials(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resumes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = sql(spark, sf_dir, RESUMES, "part")
+    """Dealt to all tasks: a small file of parts, which one task would read, makes much text to take apart."""
+    r = sql(spark, sf_dir, RESUMES, "part").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
     return r.select(F.col("p_partkey").cast("int").alias("file_ord"), F.concat(F.lit("p"), F.col("p_partkey").cast("string"), F.lit(".pdf")).alias("name"), "text")

@@ -535,8 +535,9 @@ def merge_experience(spark, sf_dir):
 
 
 def _resume_clusters(spark, sf_dir):
-    """Résumés of parts of one size are taken for one person's."""
-    p = partials.numbered([partials.resume_partials(adapters.resumes(spark, sf_dir))])
+    """Résumés of parts of one size are taken for one person's. A table: fusion reads it twice, and its filters would take the texts apart again."""
+    numbered = lambda: partials.numbered([partials.resume_partials(adapters.resumes(spark, sf_dir))])
+    p = _once("resumes", spark, sf_dir, numbered)
     return p.withColumn("cluster_ord", F.get("education", F.lit(0))["end_year"].cast("long"))
 
 

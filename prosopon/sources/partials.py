@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prosopon.functions.text import blank_to_null, extract_email, extract_phone, extract_skills, strip
+from prosopon.functions.text import blank_to_null, extract_email, extract_phone, extract_skills, let, strip
 from prosopon.schemas import EDUCATION, EXPERIENCE, LOCATION
 
 _KINDS = dict(x.strip().split(" ", 1) for x in [
@@ -116,11 +116,10 @@ def resume_sections(text: Column) -> Column:
     marked = F.transform(lines, lambda x: F.when(F.upper(x).isin(HEADERS), F.concat(F.lit("\x00"), F.upper(x))).otherwise(F.regexp_replace(x, "\x00", "")))
     blocks = F.split(F.concat(F.lit("HEADER\n"), F.array_join(marked, "\n")), "\n?\x00")
 
-    def rows(block):
-        parts = F.split(block, "\n")
+    def rows(parts):
         return F.transform(F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: x != ""), lambda x: F.struct(F.get(parts, F.lit(0)).alias("section"), x.alias("line")))
 
-    return F.flatten(F.transform(blocks, rows))
+    return F.flatten(F.transform(F.transform(blocks, lambda block: F.split(block, "\n")), rows))
 
 
 def section(sections: Column, name: str) -> Column:
@@ -136,7 +135,7 @@ def _halves(x: Column, at: str) -> tuple[Column, Column]:
 def resume_experience(lines: Column) -> Column:
     """Threes of lines: company -- title, start - end, summary. An end that says present is null."""
 
-    def entry(i):
+    def entry(lines, i):
         head, dates = F.get(lines, i), F.coalesce(F.get(lines, i + 1), F.lit(""))
         (company, title), (start, end) = _halves(head, "--"), _halves(dates, "-")
         return F.struct(
@@ -144,7 +143,10 @@ def resume_experience(lines: Column) -> Column:
             F.when(~F.lower(end).contains("present"), blank_to_null(strip(end))).alias("end"), F.get(lines, i + 2).alias("summary"),
         )
 
-    return F.when(F.size(lines) > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.size(lines) - 1, F.lit(0)), F.lit(3)), entry)).otherwise(F.array().cast(EXPERIENCE))
+    def entries(lines):
+        return F.when(F.size(lines) > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.size(lines) - 1, F.lit(0)), F.lit(3)), lambda i: entry(lines, i))).otherwise(F.array().cast(EXPERIENCE))
+
+    return let(lines, entries)
 
 
 def resume_education(lines: Column) -> Column:

@@ -218,3 +218,14 @@ def test_stream_of_notes(spark, tmp_path):
     s = note_stream(spark.readStream.schema("name string, text string").parquet(str(src)))
     write_stream(s, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert [r["emails"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [["a@b.org"]]
+
+
+def test_resumes_are_taken_apart_once(spark, sf_dir):
+    """The optimizer copies expressions into the filters it pushes down; the sections were computed anew for every use of a line."""
+    from prosopon import adapters
+    from prosopon.sources import partials
+
+    p = partials.numbered([partials.resume_partials(adapters.resumes(spark, sf_dir))]).select("rec_ord", "experience").where("size(experience) > 0")
+    plan = p._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("x0c") <= 4  # the pattern of line breaks
+    assert p.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from prosopon.functions.phones import normalize_phone
 from prosopon.functions.scoring import base_score, confidence, field_confidence, priority, round3, tier_weight
 from prosopon.functions.text import email_key, normalize_date, normalize_location, normalize_name, normalize_skill, strip
+from prosopon.operators.durable import drop_table, write_table
 from prosopon.operators.resolve import candidate_ids
 from prosopon.schemas import CANONICAL, LINKS, PROVENANCE
 
@@ -143,9 +144,18 @@ def overall_score() -> Column:
 
 
 def canonical(clustered: DataFrame) -> DataFrame:
-    """All fields of every cluster, in the order of CANONICAL, and cluster_ord."""
-    c = clustered
-    parts = _together([candidate_ids(c).drop("n_records"), pick_scalars(c), merge_emails(c), merge_phones(c), merge_skills(c), merge_experience(c), merge_education(c)])
+    """All fields of every cluster, in the order of CANONICAL, and cluster_ord: a table. clustered: a table, since every field reads it.
+
+    Each field is a plan of its own, written before they meet: one plan of all of them takes the driver more memory and time than the data."""
+    fields = {"ids": lambda c: candidate_ids(c).drop("n_records"), **{f.__name__: f for f in (pick_scalars, merge_emails, merge_phones, merge_skills, merge_experience, merge_education)}}
+    tables = [write_table(f(clustered), name) for name, f in fields.items()]
+    records = write_table(_records(_together(tables)), "records")
+    for t in tables:
+        drop_table(t)
+    return records
+
+
+def _records(parts: DataFrame) -> DataFrame:
     empty = lambda x, kind: F.coalesce(F.col(x), F.array().cast(kind))
     prov = [empty(f"prov_{x}", PROVENANCE) for x in ("name", "emails", "phones_failed", "phones", "location", "headline", "skills", "experience", "education")]
     full = parts.select(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prosopon.operators.checks import canonical_fault
-from prosopon.operators.durable import write_table
+from prosopon.operators.durable import drop_table, write_table
 from prosopon.operators.fuse import canonical
 from prosopon.operators.resolve import resolve
 from prosopon.plans.shape import Config, project
@@ -116,9 +116,11 @@ def run(spark: SparkSession, sources: list[tuple[str, str]], config: Config, ext
 
 
 def run_partials(partials: DataFrame, source_errors: DataFrame, config: Config) -> Report:
-    """Partials are read by several branches, and fused records by several runs, so both are written once."""
+    """Partials and clustered records are read by several plans, and fused records by several runs, so all are written once."""
     partials = write_table(partials, "partials")
-    records = write_table(canonical(resolve(partials)), "records")
+    clustered = write_table(resolve(partials), "clustered")
+    records = canonical(clustered)
+    drop_table(clustered)
     return Report(partials, records, write_table(outcomes(records, config), "outcomes", "stage"), source_errors)
 
 

@@ -36,7 +36,7 @@ def _once(what: str, spark: SparkSession, sf_dir: str, make: Callable[[], DataFr
     """What several queries share is written once per application and input."""
     key = (spark.sparkContext.applicationId, sf_dir, what)
     if key not in _kept:
-        _kept[key] = write_table(make(), what)
+        _kept[key] = make()
     return _kept[key]
 
 
@@ -45,7 +45,7 @@ def _t(spark, sf_dir, name):
 
 
 def _clustered(spark, sf_dir):
-    return _once("clustered", spark, sf_dir, lambda: resolve.resolve(adapters.partials(spark, sf_dir)))
+    return _once("clustered", spark, sf_dir, lambda: write_table(resolve.resolve(adapters.partials(spark, sf_dir)), "clustered"))
 
 
 def _records(spark, sf_dir):
@@ -537,7 +537,7 @@ def merge_experience(spark, sf_dir):
 def _resume_clusters(spark, sf_dir):
     """Résumés of parts of one size are taken for one person's. A table: fusion reads it twice, and its filters would take the texts apart again."""
     numbered = lambda: partials.numbered([partials.resume_partials(adapters.resumes(spark, sf_dir))])
-    p = _once("resumes", spark, sf_dir, numbered)
+    p = _once("resumes", spark, sf_dir, lambda: write_table(numbered(), "resumes"))
     return p.withColumn("cluster_ord", F.get("education", F.lit(0))["end_year"].cast("long"))
 
 

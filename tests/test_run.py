@@ -229,3 +229,21 @@ def test_resumes_are_taken_apart_once(spark, sf_dir):
     plan = p._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("x0c") <= 4  # the pattern of line breaks
     assert p.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_records_are_fused_in_small_plans(spark, sf_dir):
+    """A plan of all fields at once took the driver's memory."""
+    from prosopon import adapters
+    from prosopon.operators.durable import write_table
+    from prosopon.operators.fuse import canonical
+    from prosopon.operators.resolve import resolve
+
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    clustered = write_table(resolve(adapters.partials(spark, sf_dir)), "clustered")
+    between = store.executionsCount()
+    records = canonical(clustered)
+    plans = [store.execution(i).get().physicalPlanDescription() for i in range(between, store.executionsCount())]
+    assert between > before and len(plans) >= 8
+    assert max(map(len, plans)) < 150_000
+    assert records._written_to and records.count() == clustered.select("cluster_ord").distinct().count()

@@ -61,7 +61,12 @@ def _arrow(df: DataFrame, ddl: str, run) -> DataFrame:
     prepare(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(run, ddl)
+
+    def lean(batches):
+        pa.set_memory_pool(pa.system_memory_pool())  # Arrow's own pools keep what a task has freed
+        yield from run(batches)
+
+    return df.mapInArrow(lean, ddl)
 
 
 def _batch(ddl: str, cols) -> pa.RecordBatch:
@@ -122,7 +127,7 @@ class Level:
 def _grams(here: np.ndarray, begin: np.ndarray, levels: list[Level]):
     """For order 2 and up: codes of history and suffix, and the token at which the gram ends. here: codes of the tokens; levels: orders
     below."""
-    at = np.arange(len(here)) - np.repeat(begin[:-1], np.diff(begin))
+    at = (np.arange(len(here)) - np.repeat(begin[:-1], np.diff(begin))).astype(np.int32)
     before = np.empty_like(here)
     before[1:] = here[:-1]
     before[at == 0] = levels[0].code(np.array([START]))[0]
@@ -491,7 +496,8 @@ def _asked(docs: DataFrame, sent, fragments: int) -> DataFrame:
         for seq, t in enumerate(_units(batches)):
             unit, m = task + seq, t.num_rows
             w, which, begin = tokens(t.column(2))
-            owner = np.repeat(np.arange(m), np.diff(begin))
+            which = which.astype(np.int32)
+            owner = np.repeat(np.arange(m, dtype=np.int32), np.diff(begin))
             heads = np.zeros(m, HEADS)
             ids = t.column(0)
             heads["null"], heads["doc"] = ids.is_null().to_numpy(), ids.fill_null(0).to_numpy()
@@ -515,15 +521,20 @@ def _questions(x: np.ndarray, y: np.ndarray, who: np.ndarray, level: Level, head
     """Per fragment each gram once, with the texts that have it and how often. Hot grams are answered here."""
     h = gram_hash(x, y)
     sort = np.argsort(h & ~U(0xFFFF) | who.astype(U))  # by gram and text; two grams that stand mixed are asked for in pieces
-    h, x, y, who = h[sort], x[sort], y[sort], who[sort]
+    # Of all tokens at once there are as few arrays as can be: they are the most that a task holds.
+    del h
+    x, y, who = x[sort], y[sort], who.astype("<u2")[sort]
+    del sort
     at = _starts(x, y, who) if len(x) else np.zeros(0, np.int64)
     times = np.diff(np.append(at, len(x)))
-    h, x, y, who = h[at], x[at], y[at], who[at]
+    x, y, who = x[at], y[at], who[at]
     gram = _starts(x, y) if len(x) else at
     texts = np.diff(np.append(gram, len(x)))
-    code = level.code(h[gram])
+    code = level.code(gram_hash(x[gram], y[gram]))
     mine = np.repeat(code, texts)
-    heads["score"] += np.bincount(who[mine >= 0], level.step[mine[mine >= 0]] * times[mine >= 0], len(heads))
+    hot = np.flatnonzero(mine >= 0)
+    heads["score"] += np.bincount(who[hot], level.step[mine[hot]] * times[hot], len(heads))
+    del mine, hot
     gram, texts = gram[code < 0], texts[code < 0]
     gx, gy = x[gram], y[gram]
     for f, ids in _dealt(_place(gx, gy, fragments), fragments):

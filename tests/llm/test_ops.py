@@ -668,3 +668,15 @@ def test_pipeline_on_odd_rows_and_empty_tables(spark, odd, tmp_path):
         kept = sorted((r["doc_id"] for r in last.collect()), key=repr)
         assert kept == ([500, 503, None] if docs is rows else [])
         assert sorted((r["doc_id"] for r in cp.STAGES[-1][1](spark, last, str(tmp_path)).collect()), key=repr) == kept
+
+
+def test_katz_workers_give_memory_back(spark):
+    """Arrow's own pools kept what the tasks had freed, and two workers went over the executor's memory."""
+    import pyarrow as pa
+    from prosopon.llm import katz
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"pool": [pa.default_memory_pool().backend_name]})
+
+    assert {r["pool"] for r in katz._arrow(spark.range(1), "pool string", run).collect()} == {"system"}

@@ -247,3 +247,16 @@ def test_records_are_fused_in_small_plans(spark, sf_dir):
     assert between > before and len(plans) >= 8
     assert max(map(len, plans)) < 150_000
     assert records._written_to and records.count() == clustered.select("cluster_ord").distinct().count()
+
+
+def test_read_directory(spark, tmp_path):
+    """Known files directly in a folder, by name, in few tasks however many there are."""
+    from prosopon.sources import files
+
+    for k in range(300):
+        (tmp_path / f"n{k:03d}.txt").write_text(f"note {k}")
+    (tmp_path / "odd.docx").write_text("?")
+    found = files.read_directory(spark, f"file://{tmp_path}")
+    rows = files.text_scan(found).orderBy("file_ord").collect()
+    assert [r["text"] for r in rows] == [f"note {k}" for k in range(300)]
+    assert rows[0]["path"] == f"{tmp_path}/n000.txt" and len({r["file_ord"] for r in rows}) == 300

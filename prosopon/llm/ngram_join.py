@@ -46,6 +46,8 @@ PARTS = 4
 SAMPLE, COMMON = 2000, 0.02
 #: Rows of one shingle that are compared in one task, at most about; and from which they are not brought together for their leader.
 BLOCK, MANY = 4096, 256
+#: Rows of 64 bits each, at most, in the table that tells most of the texts whose sets are not needed.
+SLOTS = 1 << 18
 
 
 def _arrow(df: DataFrame, ddl: str, run) -> DataFrame:
@@ -67,6 +69,26 @@ def _batch(ddl: str, cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(cols, schema)], schema=schema)
 
 
+def _steps(text: np.ndarray, ends) -> tuple[np.ndarray, np.ndarray]:
+    """The ascending text numbers of each group, one byte each however many groups there are: the step from the one before, and 255 for
+    255 further without a text. ends: where each group begins (one more). Bytes, and where each group's begin."""
+    ends = np.asarray(ends)
+    step = np.diff(text, prepend=0)
+    first = ends[:-1][ends[:-1] < ends[1:]]
+    step[first] = text[first]
+    far, near = np.divmod(step, 255)
+    at = np.arange(len(text)) + np.cumsum(far)
+    out = np.full(len(text) + int(far.sum()), 255, np.uint8)
+    out[at] = near
+    return out, np.concatenate([[0], at + 1])[ends]
+
+
+def _texts(steps: bytes) -> np.ndarray:
+    """The text numbers of one group of _steps()."""
+    x = np.frombuffer(steps, np.uint8)
+    return np.cumsum(x, dtype=np.int64)[x < 255]
+
+
 # fragment < 0: what goes on to the batch unchanged (the texts' keys). place: where the row is dealt to.
 CUT = "place int, fragment int, batch long, docs binary, items binary"
 HEADS = np.dtype([("doc", "<i8"), ("node", "<i8"), ("n", "<i4"), ("parity", "V64")])
@@ -100,7 +122,7 @@ def _parity(shingles: np.ndarray, who: np.ndarray, m: int) -> np.ndarray:
 
 
 def _cut(docs: DataFrame, words: int, bits: int, common) -> DataFrame:
-    """For each batch of texts: its keys, and its shingles by fragment (docs: text and number of shingles; items: 32 bits each)."""
+    """For each batch of texts: its keys, and its shingles by fragment (docs: the steps of their texts; items: 32 bits each)."""
 
     def run(batches):
         task = TaskContext.get().partitionId() << 24
@@ -121,31 +143,31 @@ def _cut(docs: DataFrame, words: int, bits: int, common) -> DataFrame:
             order = np.argsort(frag, kind="stable")  # by fragment, text, hash
             frag, who, low = frag[order], who[order], ((s >> U(32 - bits)) & U(0xFFFFFFFF)).astype(np.uint32)[order]
             ends = np.searchsorted(frag, np.arange((1 << bits) + 1))
+            steps, begin = _steps(who, ends)
+            low = low.astype("<u4", copy=False)
             out = []
             for f in range(1 << bits):
                 if ends[f] < ends[f + 1]:
-                    w = who[ends[f] : ends[f + 1]]
-                    first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-                    runs = np.stack([w[first], np.diff(np.append(first, len(w)))], 1).astype("<u4")
-                    out.append((f, f, task + seq, runs.tobytes(), low[ends[f] : ends[f + 1]].astype("<u4").tobytes()))
+                    out.append((f, f, task + seq, steps[begin[f] : begin[f + 1]].tobytes(), low[ends[f] : ends[f + 1]].tobytes()))
             if out:
                 yield _batch(CUT, zip(*out))
 
     return _arrow(docs, CUT, run)
 
 
-SEEN = "batch long, fragment int, singles binary, shared binary"
-SHARED = np.dtype([("text", "<u2"), ("rank", "u1"), ("item", "<u4")])
+# singles: the steps of the texts of shingles that no other text has; texts: those of the shared ones.
+SEEN = "batch long, fragment int, singles binary, texts binary, shared binary"
+SHARED = np.dtype([("rank", "u1"), ("item", "<u4")])
 
 
 def _frequencies(cut: DataFrame, bits: int) -> DataFrame:
-    """For each fragment and batch: how many shingles of a text no other text has, and the others with their frequency's rank."""
+    """For each fragment and batch: whose shingles no other text has, and the others with their frequency's rank."""
 
     def run(batches):
         for f, group in itertools.groupby(_rows(batches), key=lambda r: r[1]):
             if f < 0:
                 for r in group:
-                    yield _batch(SEEN, ([r[2]], [-1], [r[3]], [r[4]]))
+                    yield _batch(SEEN, ([r[2]], [-1], [r[3]], [b""], [r[4]]))
                 continue
             rows = list(group)
             items = np.concatenate([np.frombuffer(r[4], "<u4") for r in rows])
@@ -153,16 +175,14 @@ def _frequencies(cut: DataFrame, bits: int) -> DataFrame:
             rank = np.where(df == 1, 0, np.minimum(254, 1 + np.floor(4 * np.log2(df)))).astype(np.uint8)[where]
             done = 0
             for r in rows:
-                runs = np.frombuffer(r[3], "<u4").reshape(-1, 2)
                 n = len(r[4]) // 4
                 rk, it = rank[done : done + n], items[done : done + n]
                 done += n
-                text = np.repeat(runs[:, 0], runs[:, 1])
-                alone = np.bincount(text[rk == 0], minlength=int(text[-1]) + 1)
-                who = np.flatnonzero(alone)
-                shared = np.zeros(int((rk > 0).sum()), SHARED)
-                shared["text"], shared["rank"], shared["item"] = text[rk > 0], rk[rk > 0], it[rk > 0]
-                yield _batch(SEEN, ([r[2]], [f], [np.stack([who, alone[who]], 1).astype("<u4").tobytes()], [shared.tobytes()]))
+                text, more = _texts(r[3]), rk > 0
+                shared = np.zeros(int(more.sum()), SHARED)
+                shared["rank"], shared["item"] = rk[more], it[more]
+                singles, texts = (_steps(x, [0, len(x)])[0].tobytes() for x in (text[~more], text[more]))
+                yield _batch(SEEN, ([r[2]], [f], [singles], [texts], [shared.tobytes()]))
 
     return _arrow(cut.repartition(1 << bits, "place").sortWithinPartitions("fragment", "batch"), SEEN, run)
 
@@ -176,21 +196,22 @@ def _prefixes(seen: DataFrame, percent: int) -> DataFrame:
         for _, group in itertools.groupby(_rows(batches), key=lambda r: r[0]):
             rows = list(group)
             heads = np.concatenate([np.frombuffer(r[2], HEADS) for r in rows if r[1] < 0])
-            hot = np.concatenate([np.frombuffer(r[3], HOT) for r in rows if r[1] < 0])
+            hot = np.concatenate([np.frombuffer(r[4], HOT) for r in rows if r[1] < 0])
             m = len(heads)
             zero = np.zeros(m, np.int32)
             yield _batch(FOUND, (zero, heads["doc"], heads["node"], heads["n"], zero, zero, [x.tobytes() for x in heads["parity"]]))
             alone = np.zeros(m, np.int64)
             parts = [np.zeros(0, SHARED)]
+            owners = [np.zeros(0, np.int64)]
             frags = [np.zeros(0, np.int64)]
-            for _, f, singles, shared in rows:
+            for _, f, singles, texts, shared in rows:
                 if f >= 0:
-                    x = np.frombuffer(singles, "<u4").reshape(-1, 2)
-                    alone[x[:, 0]] += x[:, 1]
+                    np.add.at(alone, _texts(singles), 1)
                     parts.append(np.frombuffer(shared, SHARED))
+                    owners.append(_texts(texts))
                     frags.append(np.full(len(parts[-1]), f, np.int64))
             p, f = np.concatenate(parts), np.concatenate(frags)
-            text, item = np.concatenate([p["text"], hot["text"]]).astype(np.int64), np.concatenate([(f << 32) | p["item"].astype(np.int64), hot["item"]])
+            text, item = np.concatenate([*owners, hot["text"].astype(np.int64)]), np.concatenate([(f << 32) | p["item"].astype(np.int64), hot["item"]])
             rank = np.concatenate([p["rank"], np.full(len(hot), 255, np.uint8)])
             order = np.lexsort((item, rank, text))
             text, item = text[order], item[order]
@@ -336,6 +357,15 @@ def _across(meeting: DataFrame, percent: int) -> DataFrame:
 SET = "node long, part int, items binary"
 
 
+def _maybe(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is among ids, and few others: those that share a bit with one of them. The bits come as a broadcast
+    table of at most SLOTS rows, so that the other texts need not be shuffled to the join that decides."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).alias("slot")
+    bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(xxhash64(doc_id), 58) as int))")
+    bits = ids.groupBy(slot).agg(F.bit_or(bit).alias("bits"))
+    return docs.withColumn("slot", slot).join(F.broadcast(bits), "slot").where(F.col("bits").bitwiseAND(bit) != 0).select(docs.columns)
+
+
 def _sets(texts: DataFrame, words: int) -> DataFrame:
     """texts: node, text. The sets in PARTS fragments of the hash range."""
 
@@ -380,28 +410,26 @@ def _classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     size = docs.agg(F.sum(F.length("text"))).head()[0] or 0
     bits = max(1, int(np.ceil(np.log2(max(1, size / 6 / FRAGMENT)))))
     common = spark.sparkContext.broadcast(_common(keyed, words))
-    found = write_table(_prefixes(_frequencies(_cut(keyed, words, bits, common), bits), percent), "prefixes")
-    release(spark)
+    found = write_table(_prefixes(_frequencies(_cut(keyed, words, bits, common), bits), percent), "prefixes", tidy=True)
     texts = found.where("kind = 0").select("doc_id", "node", "n")
-    meeting = write_table(_meeting(found), "meeting")
+    meeting = write_table(_meeting(found), "meeting", tidy=True)
     # One text of each node that meets another.
     need = meeting.select("node").distinct()
-    chosen = texts.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(need, "node")
-    sets = write_table(_sets(keyed.join(chosen, "doc_id").select("node", "text"), words), "sets")
-    release(spark)
-    links = write_table(_verified(_stars(meeting, percent), sets, percent), "links")
+    chosen = write_table(texts.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(need, "node"), "chosen", tidy=True)
+    sets = write_table(_sets(_maybe(keyed, chosen).join(chosen, "doc_id").select("node", "text"), words), "sets", tidy=True)
+    links = write_table(_verified(_stars(meeting, percent), sets, percent), "links", tidy=True)
     component = connected_components(links)
     parity = found.where("kind = 0").groupBy("node").agg(F.min("parity").alias("parity"))
     named = meeting.join(component, "node", "left").withColumn("component", F.coalesce("component", "node")).join(parity, "node")
-    more = write_table(_verified(_across(named, percent), sets, percent), "links")
+    more = write_table(_verified(_across(named, percent), sets, percent), "links", tidy=True)
     release(spark)
     if more.head(1):
         component = connected_components(links.unionByName(more))
     labelled = texts.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = labelled.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("smallest"))
     out = labelled.join(smallest, "component", "left").select("doc_id", "node", "n", F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"))
-    out = write_table(out, "classes")
-    for t in (found, sets, meeting, links, more):
+    out = write_table(out, "classes", tidy=True)
+    for t in (found, sets, chosen, meeting, links, more):
         drop_table(t)
     return out
 

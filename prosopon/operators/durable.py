@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "prosopon.shared.dir"
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,11 +25,20 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def write_table(df: DataFrame, what: str, *partition_by: str) -> DataFrame:
-    """Writes the rows to the shared folder and reads them from there, so that a lost executor costs no recomputation."""
+def write_table(df: DataFrame, what: str, *partition_by: str, tidy: bool = False) -> DataFrame:
+    """Writes the rows to the shared folder and reads them from there, so that a lost executor costs no recomputation.
+
+    tidy: the write's shuffle files go as soon as it has ended, not when the cleaner (see release) comes to them."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+    before = spark.conf.get(_TIDY, None)
+    if tidy:
+        spark.conf.set(_TIDY, "true")
+    try:
+        df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+    finally:
+        if tidy:
+            spark.conf.unset(_TIDY) if before is None else spark.conf.set(_TIDY, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = path
     return out

@@ -7,14 +7,17 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from prosopon.llm import bpe, hashing, iblt, katz, licenses, ngram_join, packing, pii, quality, token_counts, toxicity
 from prosopon.llm.queries import QUERIES
+from prosopon.operators.durable import release, write_table
 
 P = pytest.importorskip("public_tokenizers")
 
@@ -424,6 +427,51 @@ def test_one_of_each_counts_rows_by_their_own_text(spark):
     assert ngram_join.one_of_each(df.limit(0)).collect() == []
 
 
+def test_more_fragments_take_no_more_bytes(spark):
+    """A shingle takes as many bytes where a text has one in a fragment as where it has a hundred: else disk grows faster than the input."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(200))) for i in range(300)]
+    docs, size = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), []
+    for bits in (2, 8):
+        cut = ngram_join._cut(docs, 2, bits, spark.sparkContext.broadcast(np.zeros(0, np.uint64)))
+        for df in (cut, ngram_join._frequencies(cut, bits)):
+            held = sum((F.length(c) for c, kind in df.dtypes if kind == "binary"), F.lit(0))
+            size.append(df.where("fragment >= 0").agg(F.sum(held)).head()[0])
+    assert size[2] < 1.05 * size[0]
+    assert size[3] < 1.05 * size[1]
+
+
+def test_steps_come_back():
+    text = np.array([0, 0, 3, 254, 255, 999, 2, 999, 600, 601])
+    out, begin = ngram_join._steps(text, [0, 6, 6, 8, 10])
+    assert [ngram_join._texts(out[i:j].tobytes()).tolist() for i, j in itertools.pairwise(begin)] == [[0, 0, 3, 254, 255, 999], [], [2, 999], [600, 601]]
+    assert ngram_join._steps(np.zeros(0, np.int64), [0, 0])[0].tobytes() == b""
+
+
+@pytest.mark.parametrize("slots", [1, ngram_join.SLOTS])
+def test_texts_that_are_not_needed_are_told_without_a_shuffle(spark, monkeypatch, slots):
+    monkeypatch.setattr(ngram_join, "SLOTS", slots)
+    docs, ids = spark.range(-1000, 1000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")), spark.range(-5, 5).select(F.col("id").alias("doc_id"))
+    got = {r["doc_id"] for r in ngram_join._maybe(docs, ids).collect()}
+    assert got >= set(range(-5, 5))
+    assert len(got) < (20 if slots > 1 else 1000)
+
+
+def test_tidy_tables_leave_no_shuffle_files(spark):
+    files = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    release(spark)
+    time.sleep(1)
+    before = files()
+    assert write_table(df, "counts", tidy=True).count() == 7
+    for _ in range(20):  # the block managers are told, not waited for
+        if (left := files()) <= before:
+            break
+        time.sleep(0.2)
+    assert left <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
 # ---- quality
 
 

@@ -48,6 +48,7 @@ SAMPLE, COMMON = 2000, 0.02
 BLOCK, MANY = 4096, 256
 #: Rows of 64 bits each, at most, in the table that tells most of the texts whose sets are not needed.
 SLOTS = 1 << 18
+MAYBE = "maybe_among_ids"
 
 
 def _arrow(df: DataFrame, ddl: str, run) -> DataFrame:
@@ -357,13 +358,15 @@ def _across(meeting: DataFrame, percent: int) -> DataFrame:
 SET = "node long, part int, items binary"
 
 
-def _maybe(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is among ids, and few others: those that share a bit with one of them. The bits come as a broadcast
-    table of at most SLOTS rows, so that the other texts need not be shuffled to the join that decides."""
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).alias("slot")
-    bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(xxhash64(doc_id), 58) as int))")
-    bits = ids.groupBy(slot).agg(F.bit_or(bit).alias("bits"))
-    return docs.withColumn("slot", slot).join(F.broadcast(bits), "slot").where(F.col("bits").bitwiseAND(bit) != 0).select(docs.columns)
+def _marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """rows and a boolean MAYBE: true where doc_id is among ids, and for few others, which share a bit with one of them. The bits come as
+    a broadcast table of at most SLOTS rows, so that the other texts need not be shuffled to the join that decides."""
+    key, bits = F.xxhash64(F.col("doc_id").cast("long")), "bits_of_ids"
+    bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(xxhash64(cast(doc_id AS long)), 58) AS int))")
+    slot = F.pmod(key, F.lit(SLOTS)).alias("slot_of_id")
+    known = ids.groupBy(slot).agg(F.bit_or(bit).alias(bits))
+    found = rows.select("*", slot).join(F.broadcast(known), "slot_of_id", "left")
+    return found.select(*rows.columns, F.coalesce(F.col(bits).bitwiseAND(bit) != 0, F.lit(False)).alias(MAYBE))
 
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
@@ -416,7 +419,7 @@ def _classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     # One text of each node that meets another.
     need = meeting.select("node").distinct()
     chosen = write_table(texts.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(need, "node"), "chosen", tidy=True)
-    sets = write_table(_sets(_maybe(keyed, chosen).join(chosen, "doc_id").select("node", "text"), words), "sets", tidy=True)
+    sets = write_table(_sets(_marked(keyed, chosen).where(MAYBE).join(chosen, "doc_id").select("node", "text"), words), "sets", tidy=True)
     links = write_table(_verified(_stars(meeting, percent), sets, percent), "links", tidy=True)
     component = connected_components(links)
     parity = found.where("kind = 0").groupBy("node").agg(F.min("parity").alias("parity"))
@@ -471,7 +474,9 @@ def one_of_each(df: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     nothing; rows with a null doc_id stay. Returns the columns of df."""
     classes = _classes(keyed_text(df), words, percent)
     per = classes.groupBy("doc_id").agg(F.count("*").alias("times"), F.min("component_id").alias("component_id"))
-    out = df.join(per.where("times > 1 OR component_id <> doc_id").select("doc_id"), "doc_id", "left_anti").select(df.columns)
+    gone = write_table(per.where("times > 1 OR component_id <> doc_id").select("doc_id"), "gone", tidy=True)
+    marked = _marked(df, gone)
+    out = marked.where(~F.col(MAYBE)).unionByName(marked.where(MAYBE).join(gone, "doc_id", "left_anti").select(marked.columns)).select(df.columns)
     again = per.where("times > 1").select("doc_id")
     if not again.head(1):
         return out

@@ -49,6 +49,7 @@ _PARTS = re.compile(f"[{re.escape(SEPARATORS)}]+")
 _DOUBLE = re.compile(r"(.)\1")
 _TRIPLE = re.compile(r"(.)\1\1")
 _LETTER = re.compile(r"[^\W\d_]")
+_STEADY = re.compile(r"(?:([^\W\d_])(?!\1))*[^\W\d_]?")
 _NUMBER = re.compile(r"[$€£+]?\d+(?:[.,:/-]\d+)*%?")
 _LOOK = re.escape("".join(LOOKS_LIKE))
 #: Three or more single characters, each with at most one mark on either side, and any white space between them.
@@ -102,18 +103,32 @@ def _stands_for(c: str, run: int, joined: bool, edge: bool) -> tuple[tuple[str,
 def _options(word: str, edges: bool = False) -> list[tuple[tuple[str, float, tuple[int, ...]], ...]]:
     """The options of each group of equal characters. edges: marks at the edges may also stand for nothing."""
     joined = not word.isalpha() and sum(c in SEPARATORS for c in word) >= 2 and all(len(p) <= 1 for p in _PARTS.split(word))
+    spans = [m.span() for m in _RUNS.finditer(word)]
     if not edges:
-        return [_stands_for(m[1], m.end() - m.start(), joined, False) for m in _RUNS.finditer(word)]
+        return [_stands_for(word[i], j - i, joined, False) for i, j in spans]
     first, last = len(word) - len(word.lstrip(_EDGE_LETTERS)), len(word.rstrip(_EDGE_LETTERS))
-    return [_stands_for(m[1], m.end() - m.start(), joined, m.end() <= first or m.start() >= last) for m in _RUNS.finditer(word)]
+    return [_stands_for(word[i], j - i, joined, j <= first or i >= last) for i, j in spans]
 
 
 def viterbi(word: str, lm: CharModel, edges: bool = False) -> str:
     """The likeliest reading of one stretch; boundaries inside it come out as spaces."""
+    return _likeliest(_options(word, edges), lm)
+
+
+def _likeliest(options: list, lm: CharModel) -> str:
     # A path's text is a chain of its pieces, so that long stretches are not copied at every step.
     paths: dict[tuple[int, int], tuple[float, str, tuple | None]] = {(0, 0): (0.0, "", None)}
     logp = lm.logp
-    for opts in _options(word, edges):
+    for opts in options:
+        if len(opts) == len(paths) == 1:  # most steps: nothing to choose from
+            ((x, s, symbols),) = opts
+            (((p, q), (score, end, chain)),) = paths.items()
+            s = score - s
+            for k in symbols:
+                s += logp[p][q][k]
+                p, q = (q, k) if k else (0, 0)
+            paths = {(p, q): (s, x[-1:] or end, (chain, x))}
+            continue
         new: dict[tuple[int, int], tuple[float, str, tuple | None]] = {}
         for (a, b), (score, end, chain) in paths.items():
             for x, cost, symbols in opts:
@@ -141,7 +156,11 @@ def ambiguous(token: str) -> bool:
     """Whether the lattice of a lower-case token has more than one path, or one that reads otherwise than the token."""
     if token.isalpha():
         return _DOUBLE.search(token) is not None
-    return any(len(opts) > 1 or not opts[0][0].startswith(m[1]) for opts, m in zip(_options(token), _RUNS.finditer(token)))
+    return _several(token, _options(token))
+
+
+def _several(token: str, options: list) -> bool:
+    return any(len(opts) > 1 or not opts[0][0].startswith(m[1]) for opts, m in zip(options, _RUNS.finditer(token)))
 
 
 class Restorer:
@@ -151,7 +170,12 @@ class Restorer:
         self.lm, self.most, self.known = lm, most, {}
 
     def _decoded(self, token: str, edges: bool = False) -> str:
-        return viterbi(token, self.lm, edges) if ambiguous(token) else token
+        if token.isalpha() and not _DOUBLE.search(token):
+            return token
+        options = _options(token)
+        if not _several(token, options):
+            return token
+        return _likeliest(_options(token, True) if edges else options, self.lm)
 
     def readings(self, token: str) -> tuple[str, ...]:
         """What a token may be read as, the likeliest first."""
@@ -212,12 +236,12 @@ PREFIXES = (4, 5, 6)
 
 
 def features(word: str) -> list[str]:
-    return [word, *(f"{word[:k]}*" for k in PREFIXES if len(word) >= k)]
+    return [word, *[f"{word[:k]}*" for k in PREFIXES if len(word) >= k]]
 
 
 def char_counts(df: DataFrame) -> dict[int, int]:
     """Trigram counts over the words of all documents; at most N_SYM cubed cells."""
-    table = np.zeros(0x250, np.uint8)
+    table = np.zeros(0x251, np.uint8)  # the last: all other characters
     for k in range(0x250):
         c = chr(k).lower()
         table[k] = symbol(c) if len(c) == 1 and c.isalpha() else 0
@@ -225,12 +249,12 @@ def char_counts(df: DataFrame) -> dict[int, int]:
     def start():
         def f(texts):
             codes = np.frombuffer("\n\n".join(["", *texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
-            s = np.where(codes < 0x250, table[np.minimum(codes, 0x24F)], 0).astype(np.int64)
-            s = s[np.concatenate([[True], (s[1:] != 0) | (s[:-1] != 0)])]  # one boundary between words
-            b = np.concatenate([[0], s[:-1]])
-            a = np.where(b == 0, 0, np.concatenate([[0, 0], s[:-2]]))
-            use = (s != 0) | (b != 0)
-            n = np.bincount(((a * N_SYM + b) * N_SYM + s)[use], minlength=N_SYM**3)
+            s = table[np.minimum(codes, 0x250)]
+            s = s[np.concatenate([[True], (s[1:] | s[:-1]) != 0])].astype(np.uint16)  # one boundary between words
+            b = np.concatenate([s[:1] * 0, s[:-1]])
+            a = np.concatenate([b[:1] * 0, b[:-1]]) * (b != 0)
+            use = (s | b) != 0
+            n = np.bincount(((a * N_SYM + b) * N_SYM + s)[use], minlength=N_SYM**3)  # below 1 << 16
             at = np.flatnonzero(n)
             return at.tolist(), n[at].tolist()
 
@@ -297,34 +321,66 @@ def train(docs: DataFrame, labels: DataFrame, held_out_of: int = 5, max_labelled
     index = {x: k for k, x in enumerate(chosen)}
 
     def pick():
-        r = Restorer(lm)
-        return lambda toxic, texts: (toxic, [sorted({index[x] for w in r.words(t) for x in features(w) if x in index}) for t in texts])
+        hits = Hits(lm, index)
+        return lambda toxic, texts: (toxic, [sorted(index[x] for x in hits(t)) for t in texts])
 
     rows = [(r["toxic"], r["ids"]) for r in map_arrow(mine, "toxic int, ids array<int>", pick).collect()]
     w, b = _fit(sorted(rows), len(chosen))
     return Model(lm, {x: float(w[k]) for x, k in index.items()}, float(b))
 
 
-class Scorer:
-    def __init__(self, model: Model):
-        self.model, self.restorer, self.known = model, Restorer(model.lm), {}
+class Hits:
+    """Those of the given features that a text's words have: the features of all words that its tokens may be read as.
 
-    def _hits(self, token: str) -> tuple[str, ...]:
-        """The model's features of all words that a token may be read as."""
+    The letters that a token begins with, up to and with the first doubled one, begin all its readings, and if they are four or more these are
+    single words. So a token is only decoded if one of the features goes on where these letters end; shorter ones are settled by them."""
+
+    def __init__(self, lm: CharModel, wanted, most: int = 200_000):
+        self.restorer, self.wanted, self.most = Restorer(lm), wanted, most
+        self.known, self.without = {}, set()  # tokens with features, and those that have none
+        self.heads: dict[str, list[str]] = {}  # a word has no feature that begins with other four characters than it does
+        for x in wanted:
+            self.heads.setdefault(x[:4], []).append(x)
+
+    def of(self, words) -> tuple[str, ...]:
+        return tuple(x for w in words if w[:4] in self.heads for x in features(w) if x in self.wanted)
+
+    def token(self, token: str) -> tuple[str, ...]:
         if (h := self.known.get(token)) is None:
-            if len(self.known) >= 200_000:
+            wide = token.strip(_PLAIN_EDGE)
+            n = _STEADY.match(wide).end()
+            near, steady = self.heads.get(wide[:4], ()), wide[:n]
+            if n >= 4 and not near:
+                h = ()
+            elif n >= 4 and n == len(wide):
+                h = tuple([x for x in features(wide) if x in self.wanted])
+            elif n >= 4 and not any(x.startswith(steady) for x in near):
+                h = tuple(x for k in PREFIXES if k < n and (x := f"{steady[:k]}*") in self.wanted)
+            else:
+                h = self.of(w for x in self.restorer.readings(token) for w in x.split())
+            if len(self.known) + len(self.without) >= self.most:
                 self.known.clear()
-            self.known[token] = h = self._of(w for x in self.restorer.readings(token) for w in x.split())
+                self.without.clear()
+            if h:
+                self.known[token] = h
+            else:
+                self.without.add(token)
         return h
 
-    def _of(self, words) -> tuple[str, ...]:
-        return tuple(x for w in words for x in features(w) if x in self.model.weight)
+    def __call__(self, text: str) -> set[str]:
+        low, found = text.lower(), set()
+        for t in set(low.split()) - self.without:
+            found.update(self.token(t))
+        found.update(self.of(self.restorer.spaced(low)))
+        return found
+
+
+class Scorer:
+    def __init__(self, model: Model):
+        self.model, self.hits = model, Hits(model.lm, model.weight)
 
     def __call__(self, text: str) -> float:
-        low = text.lower()
-        found = {x for t in set(low.split()) for x in self._hits(t)}
-        found.update(self._of(self.restorer.spaced(low)))
-        z = self.model.bias + sum(self.model.weight[x] for x in sorted(found))
+        z = self.model.bias + sum(self.model.weight[x] for x in sorted(self.hits(text)))
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, z))))
 
 

@@ -308,6 +308,24 @@ def test_score_is_the_sum_of_weights(spark, odd):
         assert by_row(toxicity.score(docs, model).withColumn("score", F.round("score", 9)), "doc_id", "score", "predicted") == sorted(want, key=repr)
 
 
+def test_only_tokens_that_may_hold_a_feature_are_decoded(monkeypatch):
+    """The features of all readings, without decoding the tokens whose beginning rules every feature out or settles it."""
+    lm = toxicity.CharModel.of(_counts(["idiot stupid loser trash and the words of a text with letters in it"] * 50))
+    wanted = {"idiot": 2.0, "idio*": 1.0, "stup*": 0.5, "of": -1.0, "trashh": 0.25, "tras*": 0.5, "abc*": 4.0}
+    settled = ["baskett", "wordss!", "planning%%%", "stupidd", "stupendous-ly", "trance.", "countess's"]
+    made = ["".join(p) for p in itertools.product(["i", "1", "ii", "st", "tr"], ["d", "u", "as", ""], ["io", "pp", "hh", "10", ".", ""], ["t", "tt", "*", "!", "½"])]
+    tokens = settled + made + ["abc*", "off", "i.d.i.o.t", "½½diot", "", "_", "%%%"]
+    plain = {t: {x for r in toxicity.Restorer(lm).readings(t) for w in r.split() for x in toxicity.features(w) if x in wanted} for t in tokens}
+    scorer, decoded = toxicity.Scorer(toxicity.Model(lm, wanted, -1.0)), []
+    readings = toxicity.Restorer.readings
+    monkeypatch.setattr(toxicity.Restorer, "readings", lambda self, t: decoded.append(t) or readings(self, t))
+    for t in tokens * 2:
+        z = -1.0 + sum(wanted[x] for x in sorted(plain[t]))
+        assert scorer(t) == 1 / (1 + math.exp(-z)), t
+    assert plain["stupidd"] == {"stup*"} and plain["1d10t"] == {"idiot", "idio*"} and plain["abc*"] == {"abc*"}
+    assert decoded and not set(decoded) & set(settled)
+
+
 def _counts(texts):
     out = {}
     for t in texts:

@@ -4,9 +4,9 @@ Both sides encode a space and the text. Tokens are placed by their bytes; an A a
 ranges overlap, and places where both sides end a token cut them into groups. An id pair's count is the number of links in
 all texts that hold it.
 
-Texts are cut before each run of white space that follows another character. No token of either side reaches over such a place: A's
-pattern has no alternative that goes from another character to white space, and B has no piece in which white space follows
-another character (checked when the model is loaded). So a unit (white space and what follows up to the next) has its tokens whatever
+Texts are cut before each run of white space that follows another character, unless it begins with one that B has a piece for with another
+character before it (a carriage return behind brackets, say; found when the model is loaded). No token of either side reaches over such
+a place: A's pattern has no alternative that goes from another character to white space, and B no piece. So a unit (white space and what follows up to the next) has its tokens whatever
 stands around it, and each distinct unit of a batch is encoded, placed and linked once. Links of a batch are counted
 for each text and pair and packed by stripe.
 
@@ -39,7 +39,6 @@ from prosopon.operators.durable import drop_table, write_table
 
 #: White space (the Unicode property) that both sides know.
 SPACE = "\t-\r " + "".join(map(chr, (0x85, 0xA0, 0x1680, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + chr(0x2000) + "-" + chr(0x200A)
-UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+\\Z")
 MARK = chr(0x2581)
 #: Characters that one call encodes, links that are packed at once, and units that a task remembers.
 CALL, SLICE, REMEMBERED = 200_000, 2_000_000, 400_000
@@ -55,8 +54,11 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.n = self.model.get_piece_size()
         names = [self.model.id_to_piece(i) for i in range(self.n)]
-        inside = re.compile(f"[^{SPACE}{MARK}][{SPACE}{MARK}]")
-        self.cuts = not any(inside.search(x) for x in names)
+        inside = re.compile(f"[^{SPACE}{MARK}]([{SPACE}{MARK}])")
+        joins = {m[1] for x in names for m in inside.finditer(x)}  # white space that may be in a token with another character before it
+        self.cuts = not joins & {" ", MARK}
+        more = f"(?:[{''.join(sorted(joins))}][{SPACE}]*(?:[^{SPACE}]+|\\Z))*" if joins else ""
+        self.unit = re.compile(f"[{SPACE}]*[^{SPACE}]+{more}|[{SPACE}]+\\Z")
         byte = [re.fullmatch("<0x([0-9A-F]{2})>", x) if self.model.is_byte(i) else None for i, x in enumerate(names)]
         self.bytes = [bytes([int(m[1], 16)]) if m else x.replace(MARK, " ").encode() for m, x in zip(byte, names)]
         self.size = np.array([len(x) for x in self.bytes], np.int64)
@@ -86,7 +88,7 @@ class Aligner:
 
     def units(self, text: str) -> list[str]:
         text = " " + text
-        return UNIT.findall(text) if self.b.cuts else [text]
+        return self.b.unit.findall(text) if self.b.cuts else [text]
 
     def learn(self, units: set[str]) -> None:
         """Encodes those units that are not known."""
@@ -162,8 +164,8 @@ class Aligner:
             self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(cols[5])]).astype(np.int64)
         stats, kept = [], []
         for k, units in enumerate(cut):
-            ids = [self.known[u] for u in units]
-            parts = [self.groups[i] for i in ids]
+            ids = list(map(self.known.__getitem__, units))
+            parts = list(map(self.groups.__getitem__, ids))
             if not ids or None in parts:
                 stats.append((None, 0, 0, 0))
                 continue

@@ -102,6 +102,22 @@ def test_units_are_encoded_as_in_their_text(sides):
         assert (stat[0] or "") == (hashlib.sha256(want[-1].encode()).hexdigest() if want[1] else ""), text
 
 
+def test_texts_are_cut_at_words_though_some_pieces_hold_white_space(sides):
+    """The model has pieces such as ');' and a carriage return: no cut there, cuts everywhere else, and the same tokens."""
+    aligner = alignment.Aligner(A, B)
+    assert aligner.units("one two\n\n three\u3000four  ") == [" one", " two", "\n\n three", "\u3000four", "  "]
+    assert aligner.units("f();\r\n x\t\ry\r") == [" f();\r\n x", "\t\ry\r"]
+    assert len(aligner.units("a\r" * 300_000)) == 1 and len(aligner.units(" \ra" * 300_000)) == 300_000
+    rng = random.Random(4)
+    parts = ["\r", "\r\n", "\n\r", " \r ", "\n", " ", "  ", "();", "}", "};", "/**", "*/", "']", "the", "ing", "ñ", "1", ",", "\u3000", "\x1c"]
+    for _ in range(400):
+        text = "".join(rng.choices(parts, k=rng.randrange(1, 25)))
+        (stat,), links = aligner.align([text])
+        (want,) = brute.alignment([(0, text)], *sides)
+        assert stat[1:] == want[1:4] and sum(len(a) for _, a, _ in links) == want[4], text
+        assert (stat[0] or "") == (hashlib.sha256(want[-1].encode()).hexdigest() if want[1] else ""), text
+
+
 def test_remembered_units_are_bounded(monkeypatch, sides):
     monkeypatch.setattr(alignment, "REMEMBERED", 5)
     aligner = alignment.Aligner(A, B)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prosopon.operators.hot import shuffled
 from prosopon.schemas import EDUCATION, LOCATION
 
 #: One row per customer (as from a tabular export) and per order (as from nested JSON); order keys chain customers.
@@ -50,7 +51,9 @@ def _bound(text: str, names: tuple[str, ...]) -> str:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sql(spark, sf_dir, RECORDS, "customer", "orders", "nation", "region")
+    frames = tables(spark, sf_dir, "customer", "orders", "nation", "region")
+    frames["customer"] = shuffled(frames["customer"])
+    return spark.sql(_bound(RECORDS, tuple(frames)), **frames)
 
 
 def partials(spark: SparkSession, sf_dir: str) -> DataFrame:

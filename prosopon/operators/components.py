@@ -18,10 +18,10 @@ from prosopon.operators.durable import drop_table, write_table
 from prosopon.operators.hot import LEAST, Lookups
 
 
-def _follow(parent: DataFrame, look: Lookups, hot: DataFrame | None = None) -> DataFrame:
+def _follow(parent: DataFrame, look: Lookups, hot: DataFrame | None = None, small: bool = False) -> DataFrame:
     """parent: u, p (p <= u). The table with every p replaced by the parent of p, where it has one; moved: whether that is another."""
     up = parent.select(F.col("u").alias("p"), F.col("p").alias("pp"))
-    return look.left(parent.select("u", "p"), "p", up, hot).select("u", F.coalesce("pp", "p").alias("p"), (F.col("pp") < F.col("p")).alias("moved"))
+    return look.left(parent.select("u", "p"), "p", up, hot, small).select("u", F.coalesce("pp", "p").alias("p"), (F.col("pp") < F.col("p")).alias("moved"))
 
 
 def connected_components(edges: DataFrame, least: int = LEAST) -> DataFrame:
@@ -34,12 +34,12 @@ def connected_components(edges: DataFrame, least: int = LEAST) -> DataFrame:
     while e.head(1):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = write_table(both.groupBy("a").agg(F.least("a", F.min("b")).alias("p")).select(F.col("a").alias("u"), "p"), "parents")
+        small = parent.count() < least
         moving = True
         while moving:
             # Small tables: two doublings in one plan, half as many jobs. Large ones: one, since the next has other hot roots.
-            small = parent.count() < least
-            once = _follow(parent, look, None if small else look.hot_keys(parent, "p"))
-            new = write_table(_follow(once, look) if small else once, "parents")
+            once = _follow(parent, look, None if small else look.hot_keys(parent, "p"), small)
+            new = write_table(_follow(once, look, small=small) if small else once, "parents")
             moving = bool(new.where("moved").head(1))
             drop_table(parent)
             parent = new
@@ -47,11 +47,11 @@ def connected_components(edges: DataFrame, least: int = LEAST) -> DataFrame:
         if label is None:
             fresh = write_table(parent.select(F.col("u").alias("node"), F.col("p").alias("component")), "labels")
         else:
-            named = look.left(label, "component", to("component"), look.hot_keys(label, "component"))
+            named = look.left(label, "component", to("component"), look.hot_keys(label, "component"), small)
             fresh = write_table(named.select("node", F.coalesce("component_root", "component").alias("component")), "labels")
             drop_table(label)
         label = fresh
-        on = look.left(look.left(e, "a", to("a"), look.hot_keys(e, "a")), "b", to("b"), look.hot_keys(e, "b"))
+        on = look.left(look.left(e, "a", to("a"), look.hot_keys(e, "a"), small), "b", to("b"), look.hot_keys(e, "b"), small)
         rest = write_table(on.select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b")).where("a < b").distinct(), "edges")
         drop_table(e)
         drop_table(parent)

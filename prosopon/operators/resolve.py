@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from prosopon.functions.text import email_key, name_key, phone_key, slugify
 from prosopon.operators.components import connected_components
 from prosopon.operators.durable import drop_table, write_table
-from prosopon.operators.hot import Lookups
+from prosopon.operators.hot import Lookups, shuffled
 
 
 def identity_keys(partials: DataFrame) -> DataFrame:
@@ -28,22 +28,22 @@ def identity_edges(partials: DataFrame) -> DataFrame:
     does not have to fit in one task (the adaptive skew join splits it)."""
     keys = identity_keys(partials)
     first = keys.groupBy("key").agg(F.min("rec_ord").alias("a"), F.count("*").alias("n")).where("n > 1")
-    return keys.join(first, "key").where("rec_ord <> a").select("a", F.col("rec_ord").alias("b")).distinct()
+    return keys.join(shuffled(first), "key").where("rec_ord <> a").select("a", F.col("rec_ord").alias("b")).distinct()
 
 
 def identity_clusters(partials: DataFrame) -> DataFrame:
     """rec_ord, root: the smallest rec_ord that shared keys reach."""
     c = connected_components(identity_edges(partials)).withColumnRenamed("node", "rec_ord")
-    return partials.select("rec_ord").join(c, "rec_ord", "left").select("rec_ord", F.coalesce("component", "rec_ord").alias("root"))
+    return partials.select("rec_ord").join(shuffled(c), "rec_ord", "left").select("rec_ord", F.coalesce("component", "rec_ord").alias("root"))
 
 
 def name_fallback(partials: DataFrame, roots: DataFrame) -> DataFrame:
     """rec_ord, root: records of clusters without any email or phone go to the one cluster with identity that has a record of
     their name; with none or several they stay. A cluster without identity is a single record. A cluster of very many
     records does not meet in one task."""
-    r = partials.select("rec_ord", name_key(F.col("full_name")).alias("name"), (F.size("emails") + F.size("phones") > 0).alias("bears")).join(roots, "rec_ord")
+    r = partials.select("rec_ord", name_key(F.col("full_name")).alias("name"), (F.size("emails") + F.size("phones") > 0).alias("bears")).join(shuffled(roots), "rec_ord")
     unique = r.where("bears AND name IS NOT NULL").groupBy("name").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low = high").select("name", F.col("low").alias("target"))
-    lone = r.where("NOT bears").join(unique, "name", "left").select("rec_ord", F.coalesce("target", "root").alias("root"))
+    lone = r.where("NOT bears").join(shuffled(unique), "name", "left").select("rec_ord", F.coalesce("target", "root").alias("root"))
     moved = write_table(r.where("bears").select("rec_ord", "root").unionByName(lone), "moved")
     # A lone record may come before the cluster that it joins.
     low = moved.groupBy("root").agg(F.min("rec_ord").alias("cluster_ord"))
@@ -57,7 +57,7 @@ def name_fallback(partials: DataFrame, roots: DataFrame) -> DataFrame:
 def resolve(partials: DataFrame) -> DataFrame:
     """The records with cluster_ord, the smallest rec_ord of their cluster."""
     roots = name_fallback(partials, identity_clusters(partials))
-    return partials.join(roots.withColumnRenamed("root", "cluster_ord"), "rec_ord")
+    return partials.join(shuffled(roots.withColumnRenamed("root", "cluster_ord")), "rec_ord")
 
 
 def candidate_ids(clustered: DataFrame) -> DataFrame:

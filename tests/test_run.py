@@ -249,6 +249,41 @@ def test_records_are_fused_in_small_plans(spark, sf_dir):
     assert records._written_to and records.count() == clustered.select("cluster_ord").distinct().count()
 
 
+def test_records_are_not_broadcast(spark, sf_dir, monkeypatch):
+    """Files of numbers are so compact that Spark's estimate let the driver broadcast a million rows of the components and look-ups."""
+    from pyspark.sql import functions as F
+
+    from prosopon import adapters
+    from prosopon.operators import resolve
+    from prosopon.operators.components import connected_components
+    from prosopon.operators.durable import write_table
+
+    store = spark._jsparkSession.sharedState().statusStore()
+
+    def plans(after):
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        known = store.executionsList()
+        every = [known.apply(i) for i in range(known.size())]
+        return {x.executionId(): x.physicalPlanDescription() for x in every if x.executionId() > after}
+
+    p = write_table(adapters.partials(spark, sf_dir), "partials")
+    label = write_table(connected_components(resolve.identity_edges(p)), "given")
+    want = sorted(map(tuple, resolve.resolve(p).select("rec_ord", "cluster_ord").collect()))
+
+    before = max(plans(-1))
+    links = connected_components(spark.range(1000).select((2 * F.col("id")).alias("a"), (2 * F.col("id") + 1).alias("b")), least=1000)
+    assert {(r["node"], r["component"]) for r in links.collect()} == {(k, k // 2 * 2) for k in range(2000)}
+    write_table(resolve.identity_edges(p), "links")
+    monkeypatch.setattr(resolve, "connected_components", lambda edges: label)
+    got = sorted(map(tuple, resolve.resolve(p).select("rec_ord", "cluster_ord").collect()))
+    ran = plans(before)
+    assert got == want and sum("SortMergeJoin" in x for x in ran.values()) >= 5
+    assert not [x for x in ran.values() if "BroadcastExchange" in x]
+
+    plan = adapters.records(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") == 2  # nations and regions, not customers
+
+
 def test_read_directory(spark, tmp_path):
     """Known files directly in a folder, by name, in few tasks however many there are."""
     from prosopon.sources import files
